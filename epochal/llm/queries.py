@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from . import common, mixing
+import public_tokenizers
+
+import corpus_pipeline
+
+from . import bpe, common, licenses, merkle, mixing
 
 
 def op1_mixing(spark, sf_dir):
     return mixing.taken(common.table(spark, sf_dir))
 
 
+def op3_merkle(spark, sf_dir):
+    return merkle.edited_likeness(common.table(spark, sf_dir))
+
+
+def op5_bpe(spark, sf_dir):
+    return bpe.digests(common.table(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op7_licenses(spark, sf_dir):
+    return licenses.scan(common.table(spark, sf_dir))
+
+
 def queries():
     return {
         "op1_mixing": op1_mixing,
+        "op3_merkle": op3_merkle,
+        "op5_bpe": op5_bpe,
+        "op7_licenses": op7_licenses,
+        "pipeline": corpus_pipeline.run,
     }
 
 
