@@ -6,13 +6,18 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, merkle, mixing
+from . import bpe, common, licenses, merkle, mixing, quality, tiff, token_files
 
 
 def op1_mixing(spark, sf_dir):
     return mixing.taken(common.table(spark, sf_dir))
 
 
+def op2_quality(spark, sf_dir):
+    docs = common.table(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, common.table(spark, sf_dir, "labels")))
+
+
 def op3_merkle(spark, sf_dir):
     return merkle.edited_likeness(common.table(spark, sf_dir))
 
@@ -25,12 +30,23 @@ def op7_licenses(spark, sf_dir):
     return licenses.scan(common.table(spark, sf_dir))
 
 
+def op8_token_files(spark, sf_dir):
+    return token_files.digests(common.table(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_tiff(spark, sf_dir):
+    return tiff.digests(common.table(spark, sf_dir))
+
+
 def queries():
     return {
         "op1_mixing": op1_mixing,
+        "op2_quality": op2_quality,
         "op3_merkle": op3_merkle,
         "op5_bpe": op5_bpe,
         "op7_licenses": op7_licenses,
+        "op8_token_files": op8_token_files,
+        "op10_tiff": op10_tiff,
         "pipeline": corpus_pipeline.run,
     }
 
