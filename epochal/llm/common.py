@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches, and a checkpoint folder where the session names none (as in tests)."""
+    """Small Arrow batches, this package on the executors, and a checkpoint folder where the session names none."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     checkpoint_dir(spark)
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        _SHIPPED.add(spark.sparkContext.applicationId)
+        spark.sparkContext.addPyFile(_package())
+
+
+#: Applications whose executors have the package.
+_SHIPPED: set[str] = set()
+
+
+def _package() -> str:
+    """A zip of this package's modules, which Spark sends from the driver to each executor."""
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="epochal-"), "epochal.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("epochal", os.path.relpath(full, top)))
+    return path
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

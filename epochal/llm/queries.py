@@ -6,7 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, merkle, mixing, quality, tiff, token_files
+from . import bpe, common, licenses, merkle, mixing, quality, tiff, token_files, toxicity
 
 
 def op1_mixing(spark, sf_dir):
@@ -26,6 +26,11 @@ def op5_bpe(spark, sf_dir):
     return bpe.digests(common.table(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = common.table(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, common.table(spark, sf_dir, "labels")))
+
+
 def op7_licenses(spark, sf_dir):
     return licenses.scan(common.table(spark, sf_dir))
 
@@ -44,6 +49,7 @@ def queries():
         "op2_quality": op2_quality,
         "op3_merkle": op3_merkle,
         "op5_bpe": op5_bpe,
+        "op6_toxicity": op6_toxicity,
         "op7_licenses": op7_licenses,
         "op8_token_files": op8_token_files,
         "op10_tiff": op10_tiff,
