@@ -48,8 +48,10 @@ FEATURES = 9
 class Lexicon:
     """A trie of terms and stems, and the words that meet it."""
 
-    def __init__(self, terms, stems, fuzzy: int = FUZZY):
+    def __init__(self, terms, stems, clean=(), fuzzy: int = FUZZY):
         self.root: dict = {}
+        #: Words near a term that clean texts have: no misspellings.
+        self.clean = frozenset(clean)
         for kind, entries in ((1, terms), (2, stems)):
             for entry in entries:
                 node = self.root
@@ -88,7 +90,7 @@ class Lexicon:
             return 0
         if not any(word[:h] in self.heads or word[-h:] in self.tails for h in self.halves):
             return 0
-        return 3 if self.near(word, 1) else 0
+        return 3 if word not in self.clean and self.near(word, 1) else 0
 
     def near(self, word: str, limit: int) -> bool:
         """Whether a term of the trie is within the limit of edits: the automaton of the word walks the trie."""
@@ -144,21 +146,18 @@ def features(lexicon: Lexicon, text: str | None) -> list[float]:
 
 
 class Model:
-    def __init__(self, terms=DEFAULT, stems=(), weights=None):
-        self.terms, self.stems = tuple(terms), tuple(stems)
+    def __init__(self, terms=DEFAULT, stems=(), clean=(), weights=None):
+        self.terms, self.stems, self.clean = tuple(terms), tuple(stems), tuple(clean)
         self.weights = PRIOR if weights is None else weights
 
-    def key(self):
-        return self.terms, self.stems, tuple(self.weights)
-
     def score(self, rows: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + rows @ self.weights[1:], -30, 30)))
 
 
 @functools.lru_cache(maxsize=2)
-def _lexicon(terms, stems) -> Lexicon:
+def _lexicon(terms, stems, clean) -> Lexicon:
     """One lexicon, with the words it has met, in each Python worker."""
-    return Lexicon(terms, stems)
+    return Lexicon(terms, stems, clean)
 
 
 def candidates(text: str) -> set[str]:
@@ -200,7 +199,7 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pur
         for t in row.terms:
             holds.setdefault(t, set()).add(i)
     often = [t for t, s in holds.items() if not t.endswith("*") and len(s) >= max(cover, common_share * len(texts))]
-    stems = sorted((t for t, s in holds.items() if t.endswith("*") and len(s) >= max(cover, common_share * len(texts))), key=lambda t: (-len(holds[t]), -len(t), t))
+    stems = sorted((t for t, s in holds.items() if t.endswith("*") and len(s) >= max(cover, common_share * len(texts))), key=lambda t: (-len(holds[t]) * (1 + len(t) / 20), t))
     chosen = []
     for stem in stems:  # a stem that many words share stands for them
         if sum(t.startswith(stem[:-1]) for t in often) >= FAMILY:
@@ -247,8 +246,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not terms and not stems:
         return Model()
 
+    def near(batches):
+        lexicon = _lexicon(tuple(terms), tuple(stems), ())
+        for batch in batches:
+            met = {w for t in batch.column("text").to_pylist() for w in WORD.findall((t or "").lower()) if lexicon.kind(w) == 3}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(met), pa.string())], ["word"])
+
+    clean = sorted(r.word for r in chosen.filter("label = 0").select("text").mapInArrow(near, "word string").distinct().collect())  # bounded by the sample
+
     def extract(batches):
-        lexicon = _lexicon(tuple(terms), tuple(stems))
+        lexicon = _lexicon(tuple(terms), tuple(stems), tuple(clean))
         for batch in batches:
             rows = [features(lexicon, t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
@@ -256,14 +263,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     got = sorted(chosen.mapInArrow(extract, "doc_id long, label int, x array<double>").collect())  # bounded by the sample
     y = np.array([r.label for r in got], "f8")
     if y.min() == y.max():
-        return Model(terms, stems)
-    return Model(terms, stems, fit_weights(np.array([r.x for r in got]), y))
+        return Model(terms, stems, clean)
+    return Model(terms, stems, clean, fit_weights(np.array([r.x for r in got]), y))
 
 
 def _scorer(model):
     def score(texts: list[str | None]) -> np.ndarray:
         m = model.value
-        lexicon = _lexicon(m.terms, m.stems)
+        lexicon = _lexicon(m.terms, m.stems, m.clean)
         return np.round(m.score(np.array([features(lexicon, t) for t in texts]).reshape(-1, FEATURES)), 6)
 
     return score
