@@ -6,7 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, merkle, mixing, quality, tiff, token_files, toxicity
+from . import bpe, common, licenses, merkle, mixing, neardup, quality, tiff, token_files, toxicity
 
 
 def op1_mixing(spark, sf_dir):
@@ -22,6 +22,10 @@ def op3_merkle(spark, sf_dir):
     return merkle.edited_likeness(common.table(spark, sf_dir))
 
 
+def op4_neardup(spark, sf_dir):
+    return neardup.linked(common.table(spark, sf_dir), size=3, least_hundredths=85)
+
+
 def op5_bpe(spark, sf_dir):
     return bpe.digests(common.table(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -48,6 +52,7 @@ def queries():
         "op1_mixing": op1_mixing,
         "op2_quality": op2_quality,
         "op3_merkle": op3_merkle,
+        "op4_neardup": op4_neardup,
         "op5_bpe": op5_bpe,
         "op6_toxicity": op6_toxicity,
         "op7_licenses": op7_licenses,
