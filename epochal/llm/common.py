@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import os
+import re
 import tempfile
 import zipfile
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -89,3 +93,34 @@ def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column])
     carried = totals.select("_part", *[F.coalesce(F.sum(f"_sum_{k}").over(ahead), F.lit(0)).cast("long").alias(f"_to_{k}") for k in sums])
     joined = local.join(F.broadcast(carried), "_part")  # as many rows as parts
     return joined.select(*[F.col(c) for c in df.columns], *[(F.col(f"_in_{k}") + F.col(f"_to_{k}")).alias(k) for k in sums])
+
+
+_WORD = re.compile(r"[^ \t-\r]+")
+_LOWER = {c: c + 32 for c in range(65, 91)}
+#: Words remembered by a Python worker.
+REMEMBERED = 800_000
+
+
+def lower_words(text: str | None) -> list[str]:
+    """Words of a text with A-Z, and no other letters, lower-cased."""
+    text = text or ""
+    return _WORD.findall(text.lower() if text.isascii() else text.translate(_LOWER))
+
+
+@functools.lru_cache(maxsize=1)
+def _remembered() -> dict:
+    return {}
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words."""
+    seen = _remembered()
+    try:
+        return np.array([seen[w] for w in words], "u8")
+    except KeyError:
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        for w in words:
+            if w not in seen:
+                seen[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return np.array([seen[w] for w in words], "u8")

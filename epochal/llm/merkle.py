@@ -77,15 +77,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.size("sections").alias("n_sections"), F.size("paragraphs").alias("n_paragraphs"), F.col("root").alias("fingerprint"))
 
 
+KEY = ["id", "no_id", "h"]
+
+
 def _neighbours(base: DataFrame) -> DataFrame:
-    """doc_id, h, and of the document before in descending order: to_id, to_h, to_half."""
-    order = [F.col("doc_id").desc_nulls_last(), F.col("h")]
-    ranked = common.running_totals(base.select("doc_id", "h", F.length("text").alias("n")).distinct(), order, {"rank": F.lit(1)}).checkpoint()
-    rows = ranked.agg(F.max("rank")).first()[0]
-    if rows is None:
-        rows = 0
-    before = ranked.select(((F.col("rank") + 1) % (rows + 1)).alias("rank"), F.col("doc_id").alias("to_id"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("to_half"))
-    return ranked.join(before, "rank").select("doc_id", "h", "to_id", "to_h", "to_half")
+    """KEY, and of the document before in descending order: to_id, to_no_id, to_h, to_half."""
+    order = [F.col("no_id"), F.col("id").desc(), F.col("h")]
+    ranked = common.running_totals(base.select(*KEY, F.length("text").alias("n")).distinct(), order, {"rank": F.lit(1)}).checkpoint()
+    rows = (ranked.agg(F.max("rank")).first()[0] or 0) + 1
+    before = ranked.select(((F.col("rank") + 1) % rows).alias("rank"), *[F.col(k).alias(f"to_{k}") for k in KEY], F.floor(F.col("n") / 2).cast("int").alias("to_half"))
+    return ranked.join(before, "rank").select(*KEY, *[f"to_{k}" for k in KEY], "to_half")
 
 
 def edited_likeness(docs: DataFrame) -> DataFrame:
@@ -96,15 +97,13 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     """
     common.prepare(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
+    base = docs.select("doc_id", text.alias("text"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64(text).alias("h"))
     near = _neighbours(base)
-    key = lambda d, i, h: (base["doc_id"].eqNullSafe(d[i])) & (base["h"] == d[h])
-    ahead = base.join(near.hint("shuffle_hash"), key(near, "doc_id", "h"))
-    ahead = ahead.select("to_id", "to_h", F.expr("left(text, to_half)").alias("head"), base["text"].alias("full")).withColumn("next_pieces", pieces(F.col("full")))
-    ahead = ahead.withColumn("next_paragraphs", paragraphs(F.col("full")))
-    ahead = ahead.select("to_id", "to_h", "head", "next_pieces", root(sections(F.col("next_paragraphs"))).alias("next_root"))
-    ahead = ahead.dropDuplicates(["to_id", "to_h"])
-    joined = base.join(ahead, key(ahead, "to_id", "to_h")).select(base["doc_id"], base["text"], "head", "next_pieces", "next_root", F.length(base["text"]).alias("n"))
+    ahead = base.select("text", *KEY).join(near.hint("shuffle_hash"), KEY)
+    ahead = ahead.select(*[F.col(f"to_{k}").alias(k) for k in KEY], F.expr("left(text, to_half)").alias("head"), pieces(F.col("text")).alias("next_pieces"), paragraphs(F.col("text")).alias("next_paragraphs"))
+    ahead = ahead.select(*KEY, "head", "next_pieces", root(sections(F.col("next_paragraphs"))).alias("next_root"))
+    ahead = ahead.dropDuplicates(KEY)
+    joined = base.join(ahead, KEY).select("doc_id", "text", "head", "next_pieces", "next_root", F.length("text").alias("n"))
     joined = joined.withColumn("edited", F.expr("concat(left(text, n - n div 2), head)"))
     both = tree(tree(joined, "text", "a_"), "edited", "b_")
     return both.select(

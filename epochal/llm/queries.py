@@ -6,7 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, merkle, mixing, neardup, quality, tiff, token_files, toxicity
+from . import bpe, common, licenses, merkle, mixing, neardup, pitman_yor, quality, tiff, token_files, toxicity
 
 
 def op1_mixing(spark, sf_dir):
@@ -43,6 +43,10 @@ def op8_token_files(spark, sf_dir):
     return token_files.digests(common.table(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_pitman_yor(spark, sf_dir):
+    return pitman_yor.score(common.table(spark, sf_dir), lambda doc_id: common.crc_mod(doc_id, 7) == 2)
+
+
 def op10_tiff(spark, sf_dir):
     return tiff.digests(common.table(spark, sf_dir))
 
@@ -57,6 +61,7 @@ def queries():
         "op6_toxicity": op6_toxicity,
         "op7_licenses": op7_licenses,
         "op8_token_files": op8_token_files,
+        "op9_pitman_yor": op9_pitman_yor,
         "op10_tiff": op10_tiff,
         "pipeline": corpus_pipeline.run,
     }
