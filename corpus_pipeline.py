@@ -1,16 +1,33 @@
 """The corpus pipeline: STAGES in order, each over the documents that its predecessor kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again
-as the next stage's docs. All but the last return the columns of documents.
+as the next stage's docs. All but the last return the columns of documents. Both classifiers are
+fitted on a bounded sample of the labelled rows that a stage is given.
 """
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epochal.llm import common, mixing
+from epochal.llm import bpe, common, mixing, neardup, quality, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity score does not reject."""
+    return toxicity.keep(docs, toxicity.fit(docs, common.table(spark, sf_dir, "labels")))
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality score does not reject."""
+    return quality.keep(docs, quality.fit(docs, common.table(spark, sf_dir, "labels")))
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five words, similarity of 0.8 or more."""
+    return neardup.keep(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +35,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply(docs)
 
 
-STAGES = [("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of the decoded bytes of each document."""
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", drop_toxic), ("quality", keep_good), ("neardup", dedup), ("mixing", mix), ("bpe", encode)]
 
 #: The classifiers of the first two stages are fitted, which SQL can't express.
 ORACLE_SQL = None
