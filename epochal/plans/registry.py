@@ -2,14 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
 
+from epochal.sources import tables
 
-def queries():
-    return {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
 
+#: Named parts that an oracle may use.
+PARTS = {
+    "m": tables.MATCHES,
+    "st": tables.STATS,
+    "rk": tables.RANKINGS,
+    "pl": tables.PLAYERS,
+    "t": tables.TOURNAMENTS,
+    "p": """select id, start_dtm, tournament_id, rnd, surface, match_ret, winner as player_code, loser as opponent_code, 'win' as match_result from m
+      union all select id, start_dtm, tournament_id, rnd, surface, match_ret, loser, winner, 'loss' from m""",
+}
 
-def oracle_sql():
-    return {}
+
+def oracle(parts: str, select: str) -> str:
+    """A SELECT over some of PARTS (names with spaces between)."""
+    names = parts.split()
+    if "p" in names and "m" not in names:
+        names.insert(0, "m")
+    return tables.plain("with " + ", ".join(f"{n} as ({PARTS[n]})" for n in names) + " " + select) if names else tables.plain(select)
+
+
+def query(parts: str = "", select: str | None = None):
+    """Registers a function (spark, sf_dir) -> DataFrame under its name, with its oracle if SQL can express it."""
+
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if select is not None:
+            _ORACLES[f.__name__] = oracle(parts, select)
+        return f
+
+    return register
+
+
+def _load() -> None:
+    from epochal.plans import panel_queries, temporal_queries  # noqa: F401
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel, form, pair history, lagged averages and ratings joined into one feature table."""
+    from epochal.plans import flagship as plan
+
+    return plan.features(spark, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    _load()
+    return dict(_ORACLES)
