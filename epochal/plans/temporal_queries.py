@@ -205,7 +205,7 @@ def log_ratio(spark, sf_dir):
     return z.join(other, ["id", "opponent_code"]).select("id", "player_code", F.round(fx.log_ratio(F.col("v"), F.col("theirs")), 6).alias("kpi_log_ratio"))
 
 
-@query("p st", f"""select id, player_code, round(avg(won_points) over {W1} / greatest(avg(lost_points) over {W1}, 1e-9), 6) as efficiency, round(avg(won_points) over {W1} - avg(lost_points) over {W1}, 6) as clutch_gap,
+@query("p st", f"""select id, player_code, case when count(lost_points) over {W1} > 0 then round(avg(won_points) over {W1} / greatest(avg(lost_points) over {W1}, 1e-9), 6) end as efficiency, round(avg(won_points) over {W1} - avg(lost_points) over {W1}, 6) as clutch_gap,
   case when won_points is not null and lost_points is not null and aces is not null then greatest(0, least(won_points - aces, lost_points)) end as games from {KPI}""")
 def clutch_gap(spark, sf_dir):
     w = tp.before(["player_code"], ORDER)
@@ -256,9 +256,9 @@ def stats_3y(spark, sf_dir):
     p = timed(base(spark, sf_dir).join(tables.stats(spark, sf_dir).select("id", "won_points", "all_points"), "id", "left"))
     done = F.col("match_ret").isNull()
     count = lambda r: F.when(done & (F.col("match_result") == r), 1).otherwise(0)
-    sums = {"wins_3y": count("win"), "losses_3y": count("loss"), "won": F.when(done, F.col("won_points")), "points": F.when(done, F.col("all_points"))}
+    sums = {"wins_3y": count("win"), "losses_3y": count("loss"), "won": F.when(done, F.col("won_points")), "known": (done & F.col("won_points").isNotNull()).cast("int"), "points": F.when(done, F.col("all_points"))}
     s = tp.range_sums(p, ["player_code"], "day", "hour_order", sums, 1095)
-    return s.select("id", "player_code", "wins_3y", "losses_3y", F.when(F.col("points") > 0, F.floor(F.lit(1000) * F.col("won") / F.col("points").cast("double"))).alias("won_share_3y"))
+    return s.select("id", "player_code", "wins_3y", "losses_3y", F.when((F.col("points") > 0) & (F.col("known") > 0), F.floor(F.lit(1000) * F.col("won") / F.col("points").cast("double"))).alias("won_share_3y"))
 
 
 @query("m", """, e as (select *, date_diff('day', date '1970-01-01', start_dtm) as day, date_diff('day', date '1970-01-01', start_dtm) * 24 + rnd as hour_order from m)
