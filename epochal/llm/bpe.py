@@ -28,8 +28,6 @@ from . import common
 
 #: Code points of a chunk and of the overlap with the next one.
 CHUNK, OVERLAP = 32768, 512
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 700_000
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -91,24 +89,24 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes_of = {i: t for t, i in self.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.seen: dict[str, bytes] = {}
 
     def packed(self, token: str) -> bytes:
         """The ids of a pre-token as little-endian 32-bit integers."""
-        got = self.seen.get(token)
+        seen = common.remembered("bpe")
+        got = seen.get(token)
         if got is None:
             got = np.array(merge(token.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
             if len(token) < 64:
-                if len(self.seen) >= REMEMBERED:
-                    self.seen.clear()
-                self.seen[token] = got
+                if len(seen) >= common.REMEMBERED:
+                    seen.clear()
+                seen[token] = got
         return got
 
     def pretokens(self, text: str) -> list[str]:
         return self.find(text)
 
     def encode(self, text: str) -> bytes:
-        seen, packed = self.seen, self.packed
+        seen, packed = common.remembered("bpe"), self.packed
         return b"".join([seen.get(t) or packed(t) for t in self.find(text)])
 
     def decode(self, ids: bytes) -> bytes:
@@ -215,9 +213,10 @@ def digests(docs: DataFrame, path: str, pattern: str, **sizes) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
 
     def digest(batches):
+        c = codec(path, pattern)
         for batch in batches:
-            ids, raw = batch.column("ids").to_pylist(), batch.column("bytes").to_pylist()
+            ids = batch.column("ids").to_pylist()
             sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), sha(ids), sha(raw)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), sha(ids), sha(map(c.decode, ids))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return decode(encode(docs, path, pattern, **sizes), path, pattern).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encode(docs, path, pattern, **sizes).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import os
 import re
@@ -97,8 +96,17 @@ def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column])
 
 _WORD = re.compile(r"[^ \t-\r]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
-#: Words remembered by a Python worker.
-REMEMBERED = 800_000
+#: Words that a Python worker remembers at most, and what it holds for one operator or another.
+REMEMBERED = 400_000
+_HELD: dict[str, dict] = {}
+
+
+def remembered(name: str) -> dict:
+    """The memory of one operator in this Python worker; what it held for others goes, so that workers stay small."""
+    for other, held in _HELD.items():
+        if other != name and held:
+            held.clear()
+    return _HELD.setdefault(name, {})
 
 
 def lower_words(text: str | None) -> list[str]:
@@ -107,14 +115,9 @@ def lower_words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower() if text.isascii() else text.translate(_LOWER))
 
 
-@functools.lru_cache(maxsize=1)
-def _remembered() -> dict:
-    return {}
-
-
 def word_hashes(words: list[str]) -> np.ndarray:
     """64-bit hashes of words."""
-    seen = _remembered()
+    seen = remembered("hashes")
     try:
         return np.array([seen[w] for w in words], "u8")
     except KeyError:

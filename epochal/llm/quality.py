@@ -12,7 +12,6 @@ one kind every text scores 0.5; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections import Counter
@@ -28,8 +27,6 @@ from . import common
 SAMPLE = 6000
 #: Hash bins, latent dimensions, share threshold of a kept text.
 BINS, RANK, KEEP = 1 << 15, 8, 0.3
-#: Words remembered by a Python worker.
-REMEMBERED = 500_000
 STATS = 16
 _SHAPE = ((re.compile(r"[^\W\d_]+"), lambda m: "A" if m.group().isupper() else "a"), (re.compile(r"\d+"), lambda m: "0"))
 
@@ -43,11 +40,6 @@ def _bins(word: str) -> tuple[int, int]:
     return STATS + zlib.crc32(bare.encode("utf-8", "surrogatepass")) % (BINS - STATS), STATS + zlib.crc32(b"shape " + shape[:12].encode("utf-8", "surrogatepass")) % (BINS - STATS)
 
 
-@functools.lru_cache(maxsize=1)
-def _remembered() -> dict:
-    return {}
-
-
 def _statistics(text: str, counts: Counter, n: int) -> list[float]:
     """Structure of a text: sizes, kinds of characters, repetition, lines; each near 0 to 1."""
     chars = max(1, len(text))
@@ -77,10 +69,10 @@ _CLASS = np.array([0 if 97 <= b <= 122 or b >= 128 else 1 if 65 <= b <= 90 else
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Bins and values of one text: statistics first, then words and shapes, scaled to unit length each."""
     text = text or ""
-    seen = _remembered()
+    seen = common.remembered("quality")
     words = text.split()
     counts = Counter(words)
-    if len(seen) > REMEMBERED:
+    if len(seen) > common.REMEMBERED:
         seen.clear()
     bins = []
     for w in counts:

@@ -33,8 +33,8 @@ from pyspark.sql.window import Window
 
 from . import common
 
-#: Id that ends each document; ids in a shard at most; keys in a bucket of the index; words remembered.
-END, SHARD_IDS, BUCKET, REMEMBERED = 1, 1 << 27, 16384, 700_000
+#: Id that ends each document; ids in a shard at most; keys in a bucket of the index.
+END, SHARD_IDS, BUCKET = 1, 1 << 27, 16384
 #: Header: magic, bytes of an id, number of the shard.
 MAGIC, HEADER, HEADER_BYTES = b"EPOIDS01", "<8sII", 16
 SPLIT = re.compile(r"[^ \t\n\x0b\x0c\r]+")
@@ -48,14 +48,13 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.seen: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids and the end id, packed."""
-        kind, seen = f"<u{self.width}", self.seen
+        kind, seen = f"<u{self.width}", common.remembered("token files")
         split = [SPLIT.findall(t) for t in texts]
         new = list({w for words in split for w in words if w not in seen})
-        if len(seen) + len(new) > REMEMBERED:
+        if len(seen) + len(new) > common.REMEMBERED:
             seen.clear()
             new = list({w for words in split for w in words})
         for lo in range(0, len(new), 4096):

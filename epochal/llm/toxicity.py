@@ -34,8 +34,8 @@ FAMILY = 4
 #: Shortest and longest stem, and the shortest term of which one letter may differ.
 STEM, LONGEST, FUZZY = 4, 7, 5
 THRESHOLD = 0.5
-#: Words on either side that a hit's window spans; words remembered by a Python worker.
-WINDOW, REMEMBERED = 6, 700_000
+#: Words on either side that a hit's window spans.
+WINDOW = 6
 #: Used where nothing can be learned.
 DEFAULT = ("idiot", "moron", "stupid", "scum", "loser", "worthless", "pathetic", "disgusting", "trash", "clown")
 QUOTES = frozenset("\"'“”‘’«»„`")
@@ -65,16 +65,24 @@ class Lexicon:
         self.halves = sorted({len(h) for h in self.heads})
         self.shortest, self.longest = min(map(len, long), default=0) - 1, max(map(len, long), default=0) + 1
         self.fuzzy = fuzzy
-        self.seen: dict[str, int] = {}
+        self.name = f"toxicity {hash((tuple(terms), tuple(stems), self.clean))}"
 
     def kind(self, word: str) -> int:
         """0: no hit; 1: a term; 2: begins with a stem; 3: a term with one letter changed, put in or left out."""
-        got = self.seen.get(word)
-        if got is None:
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
-            got = self.seen[word] = self._kind(word)
-        return got
+        return self.kinds([word]).get(word, 0)
+
+    def kinds(self, words) -> dict[str, int]:
+        """The words that hit, with their kinds."""
+        seen, out = common.remembered(self.name), {}
+        for word in words:
+            got = seen.get(word)
+            if got is None:
+                if len(seen) >= common.REMEMBERED:
+                    seen.clear()
+                got = seen[word] = self._kind(word)
+            if got:
+                out[word] = got
+        return out
 
     def _kind(self, word: str) -> int:
         node = self.root
@@ -113,7 +121,7 @@ def features(lexicon: Lexicon, text: str | None) -> list[float]:
     """Counts and shares of a text's hits, by kind and by window."""
     text = text or ""
     found = WORD.findall(text.lower())
-    kinds = {w: k for w in set(found) if (k := lexicon.kind(w))}
+    kinds = lexicon.kinds(set(found))
     out = [0.0] * FEATURES
     if not kinds:
         return out
