@@ -44,7 +44,7 @@ def query(parts: str = "", select: str | None = None):
 
 
 def _load() -> None:
-    from epochal.plans import merge_queries, model_queries, panel_queries, rating_queries, temporal_queries  # noqa: F401
+    from epochal.plans import merge_queries, model_queries, panel_queries, rating_queries, stream_queries, temporal_queries, text_queries  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
