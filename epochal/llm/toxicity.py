@@ -29,6 +29,9 @@ SAMPLE = 5000
 #: Terms at most, toxic texts that a term must newly cover, share of toxic texts among those with it,
 #: and the share of all toxic texts that makes a word a term of itself.
 TERMS, COVER, PURE, COMMON = 400, 4, 0.95, 0.02
+#: Words that stand in toxic rows by chance alone: about so many are looked at, and fewer than one in
+#: a hundred such samples may learn one.
+CHANCE = 1e-7
 #: Terms that make their common beginning a stem.
 FAMILY = 4
 #: Shortest and longest stem, and the shortest term of which one letter may differ.
@@ -191,6 +194,10 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pur
                             tally[c] = tally.get(c, 0) + 1
                 yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), pa.array([label] * len(tally), pa.int32()), pa.array(list(tally.values()), pa.int64())], ["term", "label", "n"])
 
+    share = sample.agg(F.avg("label").alias("share")).first().share or 0.0
+    if not 0 < share < 1:
+        return [], []
+    cover = max(cover, int(np.ceil(np.log(CHANCE) / np.log(share))))
     counts = sample.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("good"))
     good = counts.filter((F.col("bad") >= cover) & (F.col("bad") >= pure * (F.col("bad") + F.col("good"))))
     picked = good.orderBy(F.desc("bad"), "good", F.length("term").desc(), "term").limit(50 * terms).collect()
