@@ -6,11 +6,11 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, merkle, mixing, neardup, pitman_yor, quality, tiff, token_files, toxicity
+from . import bpe, common, licenses, merkle, mixing, neardup, pitman_yor, quality, sql, tiff, token_files, toxicity
 
 
 def op1_mixing(spark, sf_dir):
-    return mixing.taken(common.table(spark, sf_dir))
+    return mixing.taken(common.table(spark, sf_dir)).drop("slots")
 
 
 def op2_quality(spark, sf_dir):
@@ -68,4 +68,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return sql.oracles() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
