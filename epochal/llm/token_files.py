@@ -35,33 +35,80 @@ from . import common
 
 #: Id that ends each document; ids in a shard at most; keys in a bucket of the index.
 END, SHARD_IDS, BUCKET = 1, 1 << 27, 16384
+#: Words and parts of words that a Python worker remembers.
+REMEMBERED = 900_000
 #: Header: magic, bytes of an id, number of the shard.
 MAGIC, HEADER, HEADER_BYTES = b"EPOIDS01", "<8sII", 16
 SPLIT = re.compile(r"[^ \t\n\x0b\x0c\r]+")
+#: Words that fall into one run of Latin letters and one of marks: the tokenizer's pattern splits them so too.
+SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*)([!#$%&()*+,\-./:;=?@|~]*)").fullmatch
 
 
 class Words:
-    """Encodes texts word by word: white space only separates for this tokenizer, so a text's ids are its words' ids."""
+    """Encodes texts word by word: white space only separates for this tokenizer, so a text's ids are its words' ids.
+
+    New words are split into letters and marks where that is plain, and these parts go to the
+    tokenizer many at a time; the last id of each part is one that ends a word. Other words go alone.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
+        self.width = int(self.kind[-1])
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def parts(self, new: list[str]) -> list[bytes]:
+        """Packed ids of parts, each of them one word to the tokenizer."""
+        out = []
+        for lo in range(0, len(new), 4096):
+            some = new[lo : lo + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):  # the tokenizer sees other words than we do: one at a time
+                out += [self.alone(w) for w in some]
+                continue
+            packed, last = ids.tobytes(), 0
+            for cut in (cuts * self.width).tolist():
+                out.append(packed[last:cut])
+                last = cut
+        return out
+
+    def alone(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def learn(self, new: list[str], seen: dict[str, bytes]) -> None:
+        """Adds the ids of new words to those seen."""
+        pairs, want = [], {}
+        for w in new:
+            found = SIMPLE(w)
+            if found is None:
+                seen[w] = self.alone(w)
+                continue
+            letters, marks = found.groups()
+            pairs.append((w, letters.lower(), marks))
+        for _, letters, marks in pairs:
+            for part in (letters, marks):
+                if part and part not in seen:
+                    want[part] = None
+        seen.update(zip(want, self.parts(list(want)), strict=True))
+        for w, letters, marks in pairs:
+            seen[w] = (seen[letters] if letters else b"") + (seen[marks] if marks else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids and the end id, packed."""
-        kind, seen = f"<u{self.width}", common.remembered("token files")
+        seen = common.remembered("token files")
         split = [SPLIT.findall(t) for t in texts]
-        new = list({w for words in split for w in words if w not in seen})
-        if len(seen) + len(new) > common.REMEMBERED:
+        every = set().union(*split) if split else set()
+        new = [w for w in every if w not in seen]
+        if len(seen) + len(new) > REMEMBERED:
             seen.clear()
-            new = list({w for words in split for w in words})
-        for lo in range(0, len(new), 4096):
-            some = new[lo : lo + 4096]
-            for word, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                seen[word] = np.array(got.ids, kind).tobytes()
-        end = np.array([END], kind).tobytes()
+            new = list(every)
+        self.learn(new, seen)
+        end = np.array([END], self.kind).tobytes()
         return [b"".join([seen[w] for w in words]) + end for words in split]
 
 
