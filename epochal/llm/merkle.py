@@ -97,13 +97,13 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     """
     common.prepare(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", text.alias("text"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64(text).alias("h"))
+    base = docs.select(text.alias("text"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64(text).alias("h"))
     near = _neighbours(base)
-    ahead = base.select("text", *KEY).join(near.hint("shuffle_hash"), KEY)
+    ahead = base.join(near.hint("shuffle_hash"), KEY)  # the same columns as in the join below: one exchange serves both
     ahead = ahead.select(*[F.col(f"to_{k}").alias(k) for k in KEY], F.expr("left(text, to_half)").alias("head"), pieces(F.col("text")).alias("next_pieces"), paragraphs(F.col("text")).alias("next_paragraphs"))
     ahead = ahead.select(*KEY, "head", "next_pieces", root(sections(F.col("next_paragraphs"))).alias("next_root"))
     ahead = ahead.dropDuplicates(KEY)
-    joined = base.join(ahead, KEY).select("doc_id", "text", "head", "next_pieces", "next_root", F.length("text").alias("n"))
+    joined = base.join(ahead, KEY).select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "text", "head", "next_pieces", "next_root", F.length("text").alias("n"))
     joined = joined.withColumn("edited", F.expr("concat(left(text, n - n div 2), head)"))
     both = tree(tree(joined, "text", "a_"), "edited", "b_")
     return both.select(
