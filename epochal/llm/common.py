@@ -94,6 +94,18 @@ def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column])
     return joined.select(*[F.col(c) for c in df.columns], *[(F.col(f"_in_{k}") + F.col(f"_to_{k}")).alias(k) for k in sums])
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds the number of rows that come before in a total order, like running_totals of 1, without a second deal:
+    rows are sorted and numbered in their part of the range, and one number a part is carried over."""
+    spark = df.sparkSession
+    part = df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).withColumn("_no", F.monotonically_increasing_id()).checkpoint()
+    part = part.select(*df.columns, F.shiftright("_no", 33).alias("_part"), F.col("_no").bitwiseAND(F.lit((1 << 33) - 1)).alias("_in"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    carried = part.groupBy("_part").agg(F.count("*").alias("n")).select("_part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_to"))
+    joined = part.join(F.broadcast(carried), "_part")  # as many rows as parts
+    return joined.select(*df.columns, (F.col("_in") + F.col("_to")).alias(name))
+
+
 _WORD = re.compile(r"[^ \t-\r]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 #: Words that a Python worker remembers at most, and what it holds for one operator or another.
