@@ -14,9 +14,15 @@ is joined into components. The second takes all trees, between different compone
 large groups of near copies, already joined, cost few pairs. Components spread by smallest
 neighbours until nothing changes; nothing of it passes the driver.
 
+A third round makes dense regions exact. Of each dense region that still holds more than one component,
+all rows are joined on the first common shingle that a pair above the least similarity must have: the
+shingles are ordered by how many rows of this round have them, rarest first (any order gives the same
+links), those of one component only come before all others and are never dealt. Shingles of many rows
+are dealt in cells, each of two shares of the rows, so that no task gets all rows of one.
+
 At the least similarity of 0.85, two texts that meet in no region of any of the 24 trees have a chance
-of 2e-8. In a dense region a link may be missed only if either text agrees better with BEST others of
-other components in each tree where they meet, and nothing else joins the two.
+of 2e-8 (3e-6 at 0.80). Texts that meet in a sparse region are candidates but for five deviations of
+their agreement; texts that meet in dense ones only are found by the third round, without exception.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with
 nothing; with fewer words than a shingle the whole sequence is one; rows that repeat share a
@@ -48,6 +54,8 @@ SLACK = 0.13
 PART_LINKS = 1 << 20
 #: Ids that are broadcast at most (some tens of MB).
 BROADCAST_IDS = 500_000
+#: Third round: bits of the table of shingle counts, rows of a share of a shingle, rows of a part of the work.
+COUNT_BITS, SHARE, PART_ROWS = 21, 2048, 1 << 20
 _TURN = np.random.default_rng(2024).integers(1, 1 << 32, TREES * DEPTH, dtype=np.uint64).astype("u4") | np.uint32(1)
 _SHIFT = np.random.default_rng(2025).integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint64).astype("u4")
 
@@ -104,7 +112,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
 
 
 def forest(classes: DataFrame) -> DataFrame:
-    """node, n, tree, path: rows of the trees whose region has other rows too.
+    """node, n, tree, path, region (a number if it is dense, else null): rows of the trees whose region has other rows too.
 
     A path holds two bytes of each of DEPTH minhashes: both planes of the first LEAST, then both of the rest.
     """
@@ -113,8 +121,8 @@ def forest(classes: DataFrame) -> DataFrame:
     spans = [(c, DEPTH, at, width) for at, width in ((1, LEAST), (LEAST + 1, DEPTH - LEAST)) for c in ("sketch", "high")]
     rows = rows.select("node", "n", "tree", F.concat(*[F.expr(plane.format(*x)) for x in spans]).alias("path"))
     rows = rows.withColumn("key", F.xxhash64("tree", F.expr(f"substring(path, 1, {2 * LEAST})")))
-    shared = rows.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
-    return rows.join(shared, "key").drop("key")
+    shared = rows.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    return rows.join(shared, "key").select("node", "n", "tree", "path", F.when(F.col("rows") > SPARSE, F.col("key")).alias("region"))
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -177,10 +185,88 @@ def candidates(blocks: DataFrame, nodes: DataFrame, trees: int, best: int, least
         ends = np.unique(np.stack([np.minimum(node[i[keep]], node[j[keep]]), np.maximum(node[i[keep]], node[j[keep]])], 1), axis=0)
         return pa.table({"a": pa.array(ends[:, 0], pa.int64()), "b": pa.array(ends[:, 1], pa.int64())})
 
-    some = blocks.filter(F.col("tree") < trees)  # a node has a row for each tree, so it is no hot key
+    some = blocks.filter(F.col("tree") < trees).drop("region")  # a node has a row for each tree, so it is no hot key
     return some.join(nodes, "node").groupBy("block").applyInArrow(pairs, "a long, b long").distinct()
 
 
+def crowded(blocks: DataFrame, found: DataFrame) -> DataFrame:
+    """node, component: the rows of dense regions that hold more than one component. found: node, component."""
+    rows = blocks.filter("region is not null").select("node", "region").join(found.select("node", "component"), "node")
+    mixed = rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("region").checkpoint()
+    few = mixed.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(mixed) if few else mixed, "region", "left_semi").select("node", "component").distinct()
+
+
+def by_shingles(docs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, least_hundredths: int) -> DataFrame:
+    """a, b: all pairs of rows (node, component) of different components that may be so similar, by a prefix filter."""
+    spark, shift = docs.sparkSession, np.uint64(64 - COUNT_BITS)
+    wanted = classes.select("node", "class", "rep").join(rows, "node").checkpoint()
+    texts = texts_of(docs, wanted).select("node", "component", "class", "text")
+
+    def held(batch):
+        for node, of, digest, text in zip(*[batch.column(c).to_pylist() for c in ("node", "component", "class", "text")], strict=True):
+            found = shingles(text, size)
+            if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == digest:
+                yield node, of, found
+
+    def count(batches):
+        for batch in batches:
+            some = list(held(batch))
+            if some:
+                of = np.repeat(np.array([x[1] for x in some], "i8"), [len(x[2]) for x in some])
+                bucket = (np.concatenate([x[2] for x in some]) >> shift).astype("i4")
+                order = np.argsort(bucket, kind="stable")
+                bucket, of = bucket[order], of[order]
+                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                n = np.diff(np.append(cuts, len(bucket)))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[cuts], n, np.minimum.reduceat(of, cuts), np.maximum.reduceat(of, cuts))], ["bucket", "n", "low", "high"])
+
+    met = texts.mapInArrow(count, "bucket int, n long, low long, high long").groupBy("bucket").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    met = met.filter("low < high").select("bucket", "n").toArrow()  # at most 2 ** COUNT_BITS rows
+    counts = np.zeros(1 << COUNT_BITS, "i8")  # none for the shingles of one component
+    counts[met["bucket"].to_numpy()] = met["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+
+    def prefixes(batches):
+        for batch in batches:
+            out = [np.zeros((5, 0), "i8")]
+            shares = [np.zeros(0, "i4")]
+            for node, of, found in held(batch):
+                n, seen = len(found), shared.value[found >> shift]
+                place = np.arange(n - -(-least_hundredths * n // 100) + 1)
+                first = np.lexsort((found, seen))[: len(place)]
+                some = seen[first] > 0
+                first, place = first[some], place[some]
+                out.append(np.stack([found[first].view("i8"), np.full(len(first), node), np.full(len(first), of), np.full(len(first), n), place]))
+                shares.append((seen[first] // SHARE + 1).astype("i4"))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, np.concatenate(out, 1)), pa.array(np.concatenate(shares))], ["shingle", "node", "component", "n", "place", "shares"])
+
+    def pairs(group: pa.Table) -> pa.Table:
+        key = group["key"].to_numpy()
+        order = np.argsort(key)
+        key, node, of, n, place = key[order], *(group[c].to_numpy()[order] for c in ("node", "component", "n", "place"))
+        ends, live, step, found, room = np.searchsorted(key, key, "right"), np.arange(len(key)), 1, [np.zeros((0, 2), "i8")], 1 << 22
+        while len(live := live[live + step < ends[live]]):
+            i, j = live, live + step
+            some = of[i] != of[j]
+            i, j, step = i[some], j[some], step + 1
+            left = np.minimum(n[i] - place[i], n[j] - place[j])  # common shingles at most, if this is the first
+            some = left * (100 + least_hundredths) >= least_hundredths * (n[i] + n[j])
+            i, j = node[i[some]], node[j[some]]
+            found.append(np.stack([np.minimum(i, j), np.maximum(i, j)], 1))
+            room -= len(i)
+            if room < 0:
+                found, room = [np.unique(np.concatenate(found), axis=0)], 1 << 22
+        ends = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pa.array(ends[:, 0], pa.int64()), "b": pa.array(ends[:, 1], pa.int64())})
+
+    parts = max(common.partitions(spark), -(-int((counts * (counts // SHARE + 1)).sum()) // PART_ROWS))
+    dealt = texts.mapInArrow(prefixes, "shingle long, node long, component long, n long, place long, shares int")
+    dealt = dealt.select("*", F.pmod(F.xxhash64("node"), "shares").alias("own"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("other"))
+    dealt = dealt.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "component", "n", "place")
+    return dealt.groupBy(F.pmod("key", F.lit(parts)).alias("part")).applyInArrow(pairs, "a long, b long").distinct()
+
+
 def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, least_hundredths: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are at least so similar."""
 
@@ -265,6 +351,9 @@ def linked(docs: DataFrame, size: int = SHINGLE, least_hundredths: int = LEAST_H
     links = confirmed(docs, classes, first, size, least_hundredths).checkpoint()
     second = candidates(blocks, components(nodes, links), TREES, BEST, least_hundredths, "component").join(first, ["a", "b"], "left_anti").checkpoint()
     links = links.unionByName(confirmed(docs, classes, second, size, least_hundredths)).checkpoint()
+    rest = crowded(blocks, components(nodes.select("node"), links))
+    third = by_shingles(docs, classes, rest, size, least_hundredths).join(first.unionByName(second), ["a", "b"], "left_anti").checkpoint()
+    links = links.unionByName(confirmed(docs, classes, third, size, least_hundredths)).checkpoint()
     found = components(classes.select("class", "node", "rep"), links).select("class", "rep", "component").checkpoint()
     smallest = found.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = found.join(smallest, "component").select("class", "component_id")

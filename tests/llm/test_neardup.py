@@ -93,3 +93,23 @@ def test_components_of_one_part_and_of_many(spark, monkeypatch, part_links):
             least[a] = least[b] = min(least[a], least[b])
     got = neardup.components(spark.range(650).selectExpr("id as node"), spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == dict(enumerate(least))
+
+
+@pytest.mark.parametrize(("share", "part_rows"), [(2048, 1 << 20), (40, 500)])
+def test_lone_links_in_dense_families(spark, monkeypatch, share, part_rows):
+    """Versions of a template whose pairs lie just below the threshold, but for one pair with fewer words of its own."""
+    monkeypatch.setattr(neardup, "SHARE", share)
+    monkeypatch.setattr(neardup, "PART_ROWS", part_rows)
+    rng, rows = random.Random(9), []
+    for family in range(3):
+        for i in range(300):
+            own = [f"f{family}t{k}" for k in range(900)]
+            slots = range(12 * i, 12 * i + 12) if i < 2 else rng.sample(range(24, 300), 15)
+            for k in slots:
+                own[3 * k + 1] = f"own{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 3, 85)
+    component = {int(a): int(c) for a, _, c in want}
+    assert all(component[300 * family + 1] == 300 * family for family in range(3)) and sum(a != c for a, c in component.items()) < 90
+    assert got(df, size=3, least_hundredths=85) == want
