@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -19,11 +20,23 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """All that a stream gives for the input there is, as a table in memory; for tests and small results."""
-    name = f"drained_{uuid.uuid4().hex}"
-    running = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """All that a stream gives for the input there is, as Parquet files in the shared folder; no rows pass the driver.
+
+    Each batch is a folder, written anew if the batch is; with mode complete the last one is the result.
+    """
+    spark = stream.sparkSession
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    target = f"{conf.rstrip('/') if conf else tempfile.mkdtemp(prefix='epochal-')}/drained/{uuid.uuid4().hex}"
+    numbers = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/v{number}")
+        numbers.append(number)
+
+    running = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start()
     running.awaitTermination()
-    return stream.sparkSession.table(name)
+    paths = [f"{target}/v{number}" for number in (numbers[-1:] if mode == "complete" else numbers)]
+    return spark.read.schema(stream.schema).parquet(*paths) if paths else spark.createDataFrame([], stream.schema)
 
 
 def deduplicated(stream: DataFrame, keys: list[str], lateness: str = "1 hour") -> DataFrame:
