@@ -5,13 +5,15 @@ each a header of 16 bytes and then little-endian ids, of 16 bits where the vocab
 minimal perfect hash maps each key (doc_id and its how-manieth row of that doc_id) to a slot that
 holds a fingerprint of the key, the shard, the offset and the number of ids. The hash is built per
 bucket of some thousands of keys: in each of its levels the keys that fall alone take a bit, the
-others go on; a key's slot is the rank of its bit.
+others go on; a key's slot is the rank of its bit. After LEVELS levels only keys whose 64-bit hashes
+are equal are left: these few stand in a list beside the hash, with the slots after all others.
 
 Shards are written under a temporary name and then renamed, so a task that is run again leaves the
 same file. They go to the shared folder of the session, never to a local one of a cluster.
 
-Defined results: a null text is empty and holds the end id only; null doc_ids come first; rows that
-repeat are rows of their own (ties by row hash); an empty table gives no rows; other columns are
+Defined results: a null text is empty and holds the end id only; null doc_ids come first; rows with
+one doc_id are rows of their own, numbered over all parts of the order (ties by row hash, and then by
+place, so that a row that repeats very often is spread over parts); an empty table gives no rows; other columns are
 not read. A key that is not in the index is not found but for one in 65,536 by its fingerprint.
 """
 
@@ -35,6 +37,8 @@ from . import common
 
 #: Id that ends each document; ids in a shard at most; keys in a bucket of the index.
 END, SHARD_IDS, BUCKET = 1, 1 << 27, 16384
+#: Levels of a bucket's hash at most.
+LEVELS = 64
 #: Words and parts of words that a Python worker remembers.
 REMEMBERED = 900_000
 #: Header: magic, bytes of an id, number of the shard.
@@ -128,8 +132,8 @@ ENTRIES = "doc_id long, occurrence long, shard long, at long, n long"
 
 def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
     """Writes the shards; doc_id, occurrence, shard, at (ids before it in the shard), n, pinned by a checkpoint."""
-    order = [F.col("doc_id").asc_nulls_first(), F.col("rid")]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), common.row_key(F.col("doc_id"), F.col("text")).alias("rid"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("rid"), F.col("tie")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("rid"), F.monotonically_increasing_id().alias("tie"))
     rows = rows.repartitionByRange(common.partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def save(batches):
@@ -161,7 +165,24 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*entries, strict=True)], ["doc_id", "occurrence", "shard", "at", "n"])
         close()
 
-    return rows.mapInArrow(save, ENTRIES).checkpoint()
+    return occurrences(rows.mapInArrow(save, ENTRIES).checkpoint())
+
+
+def occurrences(entries: DataFrame) -> DataFrame:
+    """Entries whose occurrences, counted in each part of the order, go on from the parts before.
+
+    Only the doc_id that a part begins with can have rows before it; they are at the ends of the parts
+    before. So one row a part carries the numbers over.
+    """
+    null, part = F.col("doc_id").isNull(), F.shiftright("shard", 20)
+    rows = entries.select("*", part.alias("_part"), F.struct((~null).alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id")).alias("_doc"))
+    ends = rows.groupBy("_part").agg(F.min("_doc").alias("first"), F.max(F.struct("_doc", "occurrence")).alias("last"))
+    first = ends.select("_part", F.col("first").alias("_doc"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("n"))
+    last = ends.select("_part", F.col("last._doc").alias("_doc"), F.lit(1).alias("side"), (F.col("last.occurrence") + 1).alias("n"))
+    so_far = Window.partitionBy("_doc").orderBy("_part", "side").rowsBetween(Window.unboundedPreceding, -1)  # two rows a part at most
+    carried = first.unionByName(last).withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0))).filter("side = 0").select("_part", "_doc", "before")
+    joined = rows.join(F.broadcast(carried), ["_part", "_doc"], "left")  # as many rows as parts
+    return joined.select("doc_id", (F.col("occurrence") + F.coalesce("before", F.lit(0))).alias("occurrence"), "shard", "at", "n").checkpoint()
 
 
 def _mix(keys: np.ndarray, level: int) -> np.ndarray:
@@ -172,17 +193,17 @@ def _mix(keys: np.ndarray, level: int) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def build(keys: np.ndarray, room: float = 1.5) -> tuple[list[int], np.ndarray]:
-    """Sizes of the levels and their bits, one after another. keys: distinct 64-bit hashes."""
-    sizes, bits, left = [], [], keys
-    while len(left):
+def build(keys: np.ndarray, room: float = 1.5) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Sizes of the levels, their bits, one after another, and the places of keys that fall on none. keys: 64-bit hashes."""
+    sizes, bits, left = [], [], np.arange(len(keys))
+    while len(left) and len(sizes) < LEVELS:
         size = max(8, int(len(left) * room))
-        at = (_mix(left, len(sizes)) % np.uint64(size)).astype("i8")
+        at = (_mix(keys[left], len(sizes)) % np.uint64(size)).astype("i8")
         alone = np.bincount(at, minlength=size) == 1
         sizes.append(size)
         bits.append(alone)
         left = left[~alone[at]]
-    return sizes, np.concatenate(bits) if bits else np.zeros(0, bool)
+    return sizes, np.concatenate(bits) if bits else np.zeros(0, bool), left
 
 
 def slots(keys: np.ndarray, sizes: list[int], bits: np.ndarray) -> np.ndarray:
@@ -205,30 +226,36 @@ def _key(df: DataFrame, buckets: int) -> DataFrame:
     return df.withColumn("key", F.xxhash64("doc_id", "occurrence", F.col("doc_id").isNull())).withColumn("bucket", F.pmod(F.hash("key"), F.lit(buckets)).cast("long"))
 
 
-INDEX = "bucket long, levels array<long>, bits binary, fingerprints binary, shards binary, ats binary, ns binary"
+INDEX = "bucket long, levels array<long>, bits binary, listed array<string>, fingerprints binary, shards binary, ats binary, ns binary"
 
 
 def index(entries: DataFrame, buckets: int) -> DataFrame:
-    """One row a bucket: the levels and bits of its hash, and in slot order fingerprints, shards, offsets and numbers of ids."""
+    """One row a bucket: the levels and bits of its hash, the keys listed beside it, and in slot order fingerprints, shards, offsets and numbers of ids."""
 
     def one(group: pa.Table) -> pa.Table:
         keys = group["key"].to_numpy().astype("i8").view("u8")
-        sizes, bits = build(keys)
+        sizes, bits, left = build(keys)
         slot = slots(keys, sizes, bits)
+        slot[left] = len(keys) - len(left) + np.arange(len(left))
         by_slot = np.empty(len(keys), "i8")
         by_slot[slot] = np.arange(len(keys))
         column = lambda c, kind: group[c].to_numpy()[by_slot].astype(kind).tobytes()
-        row = {"bucket": group["bucket"][0].as_py(), "levels": sizes, "bits": np.packbits(bits).tobytes(), "fingerprints": _fingerprint(keys)[by_slot].tobytes()}
+        row = {"bucket": group["bucket"][0].as_py(), "levels": sizes, "bits": np.packbits(bits).tobytes(), "listed": _names(group.take(pa.array(left))), "fingerprints": _fingerprint(keys)[by_slot].tobytes()}
         return pa.Table.from_pylist([row | {"shards": column("shard", "i8"), "ats": column("at", "i8"), "ns": column("n", "i8")}], _index_schema())
 
     return _key(entries, buckets).groupBy("bucket").applyInArrow(one, INDEX)
 
 
 def _index_schema() -> pa.Schema:
-    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "binary": pa.binary()}
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in INDEX.split(", ")])
 
 
+def _names(group: pa.Table) -> list[str]:
+    """Keys as they are, for those that no hash tells apart."""
+    return [f"{d} {k}" for d, k in zip(group["doc_id"].to_pylist(), group["occurrence"].to_pylist(), strict=True)]
+
+
 def lookup(keys: DataFrame, indexed: DataFrame, buckets: int) -> DataFrame:
     """doc_id, occurrence, shard, at, n of each key (doc_id, occurrence) that the index holds."""
     schema = pa.schema([(f.split()[0], pa.int64()) for f in ENTRIES.split(", ")])
@@ -240,6 +267,9 @@ def lookup(keys: DataFrame, indexed: DataFrame, buckets: int) -> DataFrame:
         keys = asked["key"].to_numpy().astype("i8").view("u8")
         bits = np.unpackbits(np.frombuffer(row["bits"], "u1"), count=sum(row["levels"])).astype(bool)
         slot = slots(keys, row["levels"], bits)
+        if row["listed"]:
+            listed, missed = {name: i for i, name in enumerate(row["listed"])}, np.flatnonzero(slot < 0)
+            slot[missed] = [listed.get(name, -1 - bits.sum()) + bits.sum() for name in _names(asked.take(pa.array(missed)))]
         good = (slot >= 0) & (np.frombuffer(row["fingerprints"], "u2")[slot] == _fingerprint(keys))
         asked, slot = asked.filter(pa.array(good)), slot[good]
         columns = [pa.array(np.frombuffer(row[c], "i8")[slot]) for c in ("shards", "ats", "ns")]
@@ -294,10 +324,8 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document, read back by its key: doc_id, start, n_tokens, ids_crc32, shard, at."""
     spark = docs.sparkSession
     folder = new_folder(spark)
-    _, shards, indexed, buckets = store(docs, path, folder)
-    keys = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("rows"))
-    keys = keys.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("occurrence"))
-    read = fetch(lookup(keys, indexed, buckets), folder)
+    entries, shards, indexed, buckets = store(docs, path, folder)
+    read = fetch(lookup(entries.select("doc_id", "occurrence"), indexed, buckets), folder)
 
     def crc(batches):
         for batch in batches:

@@ -43,9 +43,9 @@ def test_special_marks_and_spaces(spark):
 def test_perfect_hash():
     keys = np.random.default_rng(3).integers(0, 1 << 63, 20_000, dtype=np.uint64)
     keys = np.unique(keys)
-    sizes, bits = token_files.build(keys)
+    sizes, bits, left = token_files.build(keys)
     slot = token_files.slots(keys, sizes, bits)
-    assert sorted(slot.tolist()) == list(range(len(keys)))
+    assert len(left) == 0 and sorted(slot.tolist()) == list(range(len(keys)))
     others = np.random.default_rng(4).integers(0, 1 << 63, 5_000, dtype=np.uint64)
     at = token_files.slots(others, sizes, bits)
     prints = np.zeros(len(keys), "u2")
@@ -54,6 +54,40 @@ def test_perfect_hash():
     assert false.mean() < 0.01
 
 
+def test_equal_hashes_are_listed():
+    sizes, bits, left = token_files.build(np.array([5, 5, 9], "u8"))
+    assert left.tolist() == [0, 1] and len(sizes) == token_files.LEVELS
+    assert token_files.slots(np.array([5, 9], "u8"), sizes, bits).tolist() == [-1, 0]
+
+
+def test_one_doc_id_over_many_parts(spark):
+    """10,000 null and 10,000 repeated doc_ids over 8 parts: distinct texts, and equal ones."""
+    rows = [(None if k % 2 else 7, f"w{k % 3000} x" if k < 16_000 else "same row") for k in range(20_000)] + [(8, None), (9, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        folder = token_files.new_folder(spark)
+        entries, _, _, _ = token_files.store(df, PATH, folder)
+        assert entries.select("doc_id", "occurrence").distinct().count() == len(rows)
+        top = entries.groupBy("doc_id").agg({"occurrence": "max"}).collect()
+        assert {r[0]: r[1] for r in top} == {None: 9_999, 7: 9_999, 8: 0, 9: 0}
+        found = got(df)
+        assert found == want(df)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_forced_clash(spark, docs, monkeypatch):
+    """Keys of one 64-bit hash are found by their own names."""
+    entries = spark.createDataFrame([(d, 0, 0, 10 * d, 10) for d in range(40)], token_files.ENTRIES).coalesce(1)
+    same = lambda df, buckets: df.selectExpr("*", "case when doc_id < 20 then 5L else doc_id end as key", "0L as bucket")
+    monkeypatch.setattr(token_files, "_key", same)
+    indexed = token_files.index(entries, 1)
+    asked = spark.createDataFrame([(d, 0) for d in range(30)] + [(3, 1)], "doc_id long, occurrence long")
+    found = sorted((r.doc_id, r.at) for r in token_files.lookup(asked, indexed, 1).collect())
+    assert found == [(d, 10 * d) for d in range(30)]
+
+
 def test_missing_keys(spark, docs):
     folder = token_files.new_folder(spark)
     _, _, indexed, buckets = token_files.store(docs.limit(50), PATH, folder)
