@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def unpivot(matches: DataFrame, winner: str = "winner", loser: str = "loser", sided: dict[str, tuple[str, str]] | None = None) -> DataFrame:
@@ -17,7 +18,7 @@ def unpivot(matches: DataFrame, winner: str = "winner", loser: str = "loser", si
     taken = {winner, loser, *[c for pair in sided.values() for c in pair]}
     shared = [F.col(c) for c in matches.columns if c not in taken]
 
-    def side(me: int) -> F.Column:
+    def side(me: int) -> Column:
         ends = (winner, loser)
         fields = [F.col(ends[me]).alias("player_code"), F.col(ends[1 - me]).alias("opponent_code"), F.lit("loss" if me else "win").alias("match_result")]
         fields += [F.col(pair[i]).alias(f"{role}_{name}") for name, pair in sided.items() for role, i in (("player", me), ("opponent", 1 - me))]
@@ -26,6 +27,12 @@ def unpivot(matches: DataFrame, winner: str = "winner", loser: str = "loser", si
     return matches.select(*shared, F.explode(F.array(side(0), side(1))).alias("_side")).select(*[F.col(c) for c in matches.columns if c not in taken], "_side.*")
 
 
+def partner(column: str | Column, match: str = "id", side: str = "match_result") -> Column:
+    """The other row's value of a panel with two rows a match, without joining the panel to itself."""
+    w = Window.partitionBy(match).orderBy(side)
+    return F.coalesce(F.lag(column).over(w), F.lead(column).over(w))
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """All rows of frames, columns by name; a column that one lacks is null there."""
     out = frames[0]

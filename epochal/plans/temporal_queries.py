@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from epochal.functions import features as fx
+from epochal.operators import panel
 from epochal.operators import temporal as tp
 from epochal.plans.panel_queries import base
 from epochal.plans.registry import query
@@ -52,13 +53,12 @@ def rank_trend(spark, sf_dir):
     return s.select("id", "player_code", fx.trend_number(fx.trend(F.col("r0"), F.col("r28"), 0.02)).alias("trend_4w"), fx.trend_number(fx.trend(F.col("r0"), F.col("r84"), 0.05)).alias("trend_12w"))
 
 
-@query("p rk", """, a as (""" + ASOF.format(name="ranking", days=1) + """) select x.id, x.player_code, y.ranking - x.ranking as rank_diff,
-  case when x.ranking > 0 and y.ranking > 0 then round(ln(y.ranking) - ln(x.ranking), 6) end as rank_log_ratio from a x join a y on x.id = y.id and x.opponent_code = y.player_code""")
+@query("p rk", """, a as materialized (""" + ASOF.format(name="ranking", days=1) + """) select x.id, x.player_code, y.ranking - x.ranking as rank_diff,
+  case when x.ranking > 0 and y.ranking > 0 then round(ln(y.ranking) - ln(x.ranking), 6) end as rank_log_ratio from a x join a y on x.id = y.id and x.match_result <> y.match_result""")
 def rank_differences(spark, sf_dir):
-    a = ranked(spark, sf_dir)
-    b = a.select("id", F.col("player_code").alias("opponent_code"), F.col("ranking").alias("theirs"))
+    a = ranked(spark, sf_dir).withColumn("theirs", panel.partner("ranking"))
     logs = F.when((F.col("ranking") > 0) & (F.col("theirs") > 0), F.round(F.log("theirs") - F.log("ranking"), 6))
-    return a.join(b, ["id", "opponent_code"]).select("id", "player_code", (F.col("theirs") - F.col("ranking")).alias("rank_diff"), logs.alias("rank_log_ratio"))
+    return a.select("id", "player_code", (F.col("theirs") - F.col("ranking")).alias("rank_diff"), logs.alias("rank_log_ratio"))
 
 
 @query("p rk pl", """, a as (""" + ASOF.format(name="ranking", days=1) + """), s as (select player_code, min(ranking) as seed from rk where snapshot_date < date '1993-01-01' group by 1)
@@ -200,9 +200,8 @@ def kpi_lagged_avg_min5(spark, sf_dir):
 
 @query("p st", f""", z as (select id, player_code, opponent_code, avg(kpi) over {W1} as v from {KPI}) select a.id, a.player_code, case when a.v is not null and b.v is not null then round(ln(greatest(a.v, 1e-6) / greatest(b.v, 1e-6)), 6) end as kpi_log_ratio from z a join z b on a.id = b.id and a.opponent_code = b.player_code""")
 def log_ratio(spark, sf_dir):
-    z = kpis(spark, sf_dir).select("id", "player_code", "opponent_code", tp.exposed_mean(F.col("kpi"), tp.before(["player_code"], ORDER)).alias("v"))
-    other = z.select("id", F.col("player_code").alias("opponent_code"), F.col("v").alias("theirs"))
-    return z.join(other, ["id", "opponent_code"]).select("id", "player_code", F.round(fx.log_ratio(F.col("v"), F.col("theirs")), 6).alias("kpi_log_ratio"))
+    z = kpis(spark, sf_dir).select("id", "player_code", "match_result", tp.exposed_mean(F.col("kpi"), tp.before(["player_code"], ORDER)).alias("v"))
+    return z.withColumn("theirs", panel.partner("v")).select("id", "player_code", F.round(fx.log_ratio(F.col("v"), F.col("theirs")), 6).alias("kpi_log_ratio"))
 
 
 @query("p st", f"""select id, player_code, case when count(lost_points) over {W1} > 0 then round(avg(won_points) over {W1} / greatest(avg(lost_points) over {W1}, 1e-9), 6) end as efficiency, round(avg(won_points) over {W1} - avg(lost_points) over {W1}, 6) as clutch_gap,

@@ -6,21 +6,23 @@ NAMES = "region nation customer supplier part orders lineitem events documents e
 
 
 def plain(value):
-    if value is None or value != value:
+    if value is None or isinstance(value, float) and value != value:
         return ""
     if isinstance(value, bool):
         return str(int(value))
     if isinstance(value, str):
         return value
+    if isinstance(value, (list, tuple)):
+        return str([plain(v) for v in value])
     try:
         return f"{float(value):.5f}".replace("-0.00000", "0.00000")
     except (TypeError, ValueError):
         return str(value)
 
 
-def rows(frame):
-    frame = frame[sorted(frame.columns)]
-    return sorted(tuple(plain(v) for v in r) for r in frame.astype(object).itertuples(index=False))
+def rows(names, values):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(plain(r[i]) for i in order) for r in values)
 
 
 def duck(sql, sf):
@@ -28,12 +30,14 @@ def duck(sql, sf):
     con.sql("set timezone = 'UTC'")
     for t in NAMES:
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
-    return con.sql(sql).df()
+    got = con.execute(sql)
+    return [d[0] for d in got.description], got.fetchall()
 
 
 def same(spark_df, sql, sf):
-    mine, theirs = spark_df.toPandas(), duck(sql, sf)
-    assert sorted(mine.columns) == sorted(theirs.columns)
-    a, b = rows(mine), rows(theirs)
+    names, theirs = duck(sql, sf)
+    mine = spark_df.collect()
+    assert sorted(spark_df.columns) == sorted(names)
+    a, b = rows(spark_df.columns, mine), rows(names, theirs)
     assert len(a) == len(b)
     assert a == b
