@@ -6,7 +6,8 @@ byte strings losslessly as 8-bit gray pages. Files stay in the task that holds t
 shuffled, and a page is at most PAGE_ROWS rows of its width.
 
 Defined results: a null file, or one that is broken, gives no pages (a broken one names its error in
-one row with page -1); a null text is empty and is stored as padding; rows that repeat each get
+one row with page -1; so does one whose pages would hold more than MOST samples, or whose directories
+name sizes of 0 or less data than their pages need: nothing is allocated before that is known); a null text is empty and is stored as padding; rows that repeat each get
 their result; an empty table gives no rows; other columns are not read.
 """
 
@@ -30,11 +31,15 @@ NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 FIELD = {1: ("B", 1), 3: ("H", 2), 4: ("I", 4)}
 #: Samples in a row and rows in a page of the writer; payloads are padded with PAD to whole rows.
 ROW, PAGE_ROWS, PAD = 576, 256, 255
+#: Samples that the pages of one file hold at most.
+MOST = 1 << 30
+#: What a broken file can raise.
+BROKEN = (ValueError, KeyError, IndexError, TypeError, ZeroDivisionError, OverflowError, MemoryError, struct.error, zlib.error)
 
 
-def packbits_decode(data: bytes) -> bytes:
+def packbits_decode(data: bytes, most: int = MOST) -> bytes:
     out, i = [], 0
-    while i < len(data):
+    while i < len(data) and len(out) <= most:
         n = data[i]
         if n < 128:
             out.append(data[i + 1 : i + 2 + n])
@@ -65,13 +70,21 @@ def packbits_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
+def inflate(data: bytes, most: int = MOST) -> bytes:
+    """At most so many bytes: what a strip holds beyond its samples is not unpacked."""
+    return zlib.decompressobj().decompress(data, most)
+
+
+def lzw_decode(data: bytes, most: int = MOST) -> bytes:
     """Codes of 9 to 12 bits, high bits first; 256 clears the table, 257 ends; widths grow one code early."""
     out, table, width, held, bits, last = [], [bytes([i]) for i in range(256)] + [b"", b""], 9, 0, 0, None
+    left = most
     for byte in data:
         held, bits = (held << 8) | byte, bits + 8
         if bits < width:
             continue
+        if left <= 0:
+            break
         bits -= width
         code, held = held >> bits, held & ((1 << bits) - 1)
         if code == 257:
@@ -86,6 +99,7 @@ def lzw_decode(data: bytes) -> bytes:
             entry = table[code] if code < len(table) else last + last[:1]
             table.append(last + entry[:1])
         out.append(entry)
+        left -= len(entry)
         last = entry
         width = min(12, (len(table) + 1).bit_length())
     return b"".join(out)
@@ -128,7 +142,7 @@ def lzw_encode(data: bytes) -> bytes:
 
 
 ENCODE = {NONE: bytes, PACKBITS: packbits_encode, LZW: lzw_encode, DEFLATE: lambda d: zlib.compress(d, 1)}
-DECODE = {NONE: bytes, PACKBITS: packbits_decode, LZW: lzw_decode, DEFLATE: zlib.decompress, OLD_DEFLATE: zlib.decompress}
+DECODE = {NONE: lambda d, most: d[:most], PACKBITS: packbits_decode, LZW: lzw_decode, DEFLATE: inflate, OLD_DEFLATE: inflate}
 
 
 def write(payload: bytes, width: int = ROW, page_rows: int = PAGE_ROWS, compression: int = DEFLATE, predictor: int = 2, tile: int = 0, strip_rows: int = 64) -> bytes:
@@ -200,12 +214,21 @@ def page_pixels(data: bytes, tags: dict) -> np.ndarray:
     tiled = TILE_AT in tags
     wide, high = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(STRIP_ROWS, height), height))
     places, sizes = (tags[TILE_AT], tags[TILE_BYTES]) if tiled else (tags[STRIP_AT], tags[STRIP_BYTES])
+    if min(width, height, samples, wide, high) < 1:
+        raise ValueError("a page, strip or tile of size 0")
     across = -(-width // wide)
+    if max(height * width, (high if tiled else 1) * wide) * samples > MOST:
+        raise ValueError("a page of too many samples")
+    if len(places) < across * -(-height // high):
+        raise ValueError("a page without all of its strips or tiles")
     page = np.zeros((height, width * samples), "u1")
     for k, (place, size) in enumerate(zip(places, sizes, strict=True)):
         y, x = k // across * high, k % across * wide
+        if y >= height:
+            break
         rows = high if tiled else min(high, height - y)
-        cell = np.frombuffer(decode(data[place : place + size]), "u1")[: rows * wide * samples].reshape(rows, wide, samples)
+        need = rows * wide * samples
+        cell = np.frombuffer(decode(data[place : place + size], need), "u1")[:need].reshape(rows, wide, samples)
         if predictor == 2:
             cell = np.cumsum(cell, axis=1, dtype="u1")
         cell = cell[: height - y, : width - x].reshape(min(rows, height - y), -1)
@@ -224,14 +247,17 @@ def read_pages(files: DataFrame, key: str, media: str) -> DataFrame:
         no = 0
         for batch in batches:
             for given, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = []
+                rows, held = [], 0
                 try:
                     found = list(directories(data)) if data is not None else []
                     for k, tags in enumerate(found):
+                        held += tags[WIDTH][0] * tags[HEIGHT][0] * tags.get(SAMPLES, (1,))[0]
+                        if held > MOST:
+                            raise ValueError("pages of too many samples")
                         pixels, samples = page_pixels(data, tags), tags.get(SAMPLES, (1,))[0]
                         rows.append((given, no, k, len(found), pixels.shape[1] // samples, pixels.shape[0], samples, pixels.tobytes(), None))
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as wrong:
-                    rows = [(given, no, -1, 0, 0, 0, 0, None, str(wrong))]
+                except BROKEN as wrong:
+                    rows = [(given, no, -1, 0, 0, 0, 0, None, f"{type(wrong).__name__}: {wrong}")]
                 no += 1
                 for lo in range(0, len(rows), 32):
                     yield _batch(rows[lo : lo + 32])

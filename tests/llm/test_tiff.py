@@ -50,6 +50,36 @@ def test_big_endian(spark):
     assert b"n" not in rows and rows[b"b"].page == -1 and rows[b"b"].error
 
 
+def altered(file, **tags):
+    """A file with other values of tags (by number), or without those given as None."""
+    (at,) = struct.unpack_from("<I", file, 4)
+    (n,) = struct.unpack_from("<H", file, at)
+    out = bytearray(file)
+    for k in range(n):
+        place = at + 2 + 12 * k
+        tag = f"t{struct.unpack_from('<H', file, place)[0]}"
+        if tag in tags:
+            struct.pack_into("<H" if tags[tag] is None else "<I", out, place if tags[tag] is None else place + 8, 65000 if tags[tag] is None else tags[tag])
+    return bytes(out)
+
+
+def test_broken_files_give_error_rows(spark):
+    """Whatever is wrong, a file gives one row with its error, and the others their pages."""
+    strips, tiles = tiff.write(b"ab" * 288 * 3, strip_rows=1 << 16), tiff.write(b"ab" * 288 * 3, tile=16)
+    bomb = tiff.write(b"\0" * 576 * 4, strip_rows=1 << 16)
+    broken = [altered(strips, t256=None), altered(strips, t257=None), altered(strips, t273=None), altered(strips, t256=0), altered(strips, t277=0), altered(tiles, t322=0), altered(tiles, t323=0), altered(tiles, t322=None)]
+    broken += [altered(strips, t257=0xFFFFFFFF), altered(tiles, t323=0xFFFFFFFF), altered(strips, t259=77), altered(strips, t273=1 << 30), altered(bomb, t257=1 << 20), strips[: len(strips) // 2], b"", b"II*\0", b"II*\0\xff\xff\xff\xff"]
+    rows = [(b"good", bytearray(strips))] + [(b"bad%d" % k, bytearray(f)) for k, f in enumerate(broken)] + [(b"more", bytearray(tiles)), (b"none", None)]
+    got = tiff.read_pages(spark.createDataFrame(rows, "key binary, media binary"), "key", "media").collect()
+    assert {bytes(r.key) for r in got if r.error is None} == {b"good", b"more"}
+    assert sorted(bytes(r.key) for r in got if r.page == -1 and r.error) == sorted(b"bad%d" % k for k in range(len(broken)))
+
+
+def test_strips_are_unpacked_to_their_samples():
+    assert tiff.inflate(zlib.compress(b"\0" * 100_000_000), 10) == b"\0" * 10
+    assert len(tiff.lzw_decode(tiff.lzw_encode(b"a" * 100_000), 10)) < 100
+
+
 def check(df, **how):
     got = sorted((str(r.doc_id), r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in tiff.digests(df, **how).collect())
     want = []
