@@ -2,7 +2,8 @@
 
 score = sigmoid(w0 + sum w_i x_i + sum over pairs <v_i, v_j> x_i x_j); the pairs are summed in linear
 time as half of |sum v_i x_i|^2 - sum |v_i x_i|^2. Inputs come from the text alone. The machine is
-fitted on a bounded sample of labelled rows (SAMPLE, a parameter); every row is scored, in the task
+fitted on a bounded sample of labelled rows (SAMPLE rows of each label and VALUES feature values in all,
+both parameters; labels without a document take no place in it); every row is scored, in the task
 that holds it, with the broadcast model (a fixed size: BINS x (1 + RANK) floats).
 
 Defined results: a null or empty text is scored from its structure statistics, like any other; rows
@@ -25,6 +26,8 @@ from . import common
 
 #: Labelled rows of each label that the fit takes at most.
 SAMPLE = 6000
+#: Feature values of the sample that the driver takes at most (8 bytes each), whatever the length of its texts.
+VALUES = 1 << 24
 #: Hash bins, latent dimensions, share threshold of a kept text.
 BINS, RANK, KEEP = 1 << 15, 8, 0.3
 STATS = 16
@@ -151,13 +154,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int
     """text, label of at most sample labelled rows of each label whose doc_id is not held out, by hash order of doc_id."""
     known = labels.select("doc_id", F.col(label).alias("label")).filter(F.col("label").isin(0, 1) & (common.crc_mod(F.col("doc_id"), 5) != 0))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     picked = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     ids = picked[0].unionByName(picked[1])
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 x sample ids
     return texts.dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **how) -> Machine | None:
+def within(rows: DataFrame, size: str, most: int) -> list:
+    """doc_ids of a (bounded) sample, by hash of doc_id, whose sizes sum up to no more than most."""
+    sizes = rows.select("doc_id", F.col(size).alias("n"), F.xxhash64("doc_id").alias("h")).collect()  # two numbers a row of the sample
+    total, out = 0, []
+    for r in sorted(sizes, key=lambda r: (r.h, r.doc_id)):
+        if total + r.n <= most:
+            total += r.n
+            out.append(r.doc_id)
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, values: int = VALUES, **how) -> Machine | None:
     """The machine fitted on the sample; None if it lacks one of the labels."""
     common.prepare(docs.sparkSession)
 
@@ -168,7 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **how) -> Mach
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *packed], ["doc_id", "label", "at", "x"])
 
     chosen = labelled_sample(docs, labels, "quality", sample).select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int"))
-    got = sorted(chosen.mapInArrow(extract, "doc_id long, label int, at binary, x binary").collect())  # bounded by the sample
+    rows = chosen.mapInArrow(extract, "doc_id long, label int, at binary, x binary").withColumn("n", F.length("x") / 4).checkpoint()
+    rows = rows.filter(F.col("doc_id").isin(within(rows, "n", values))).drop("n")
+    got = sorted(rows.collect())  # bounded by sample and values
     y = np.array([r.label for r in got], "f4")
     if not len(y) or y.min() == y.max():
         return None
