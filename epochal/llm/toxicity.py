@@ -1,10 +1,12 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows.
 
-The lexicon (terms, and stems that stand for every word they begin) is the default one and what a
-bounded sample of labelled rows adds: words that many toxic rows and hardly any others have, then,
-by greedy cover, words and stems of the toxic rows that are left. A word is run through the trie with the states of
-a Levenshtein automaton (rows of edit distances, cut where all exceed the limit), which finds terms
-that it equals or misspells. Each hit is weighed by its window: quotation marks, words of reporting
+The lexicon holds terms, stems that stand for every word they begin, and repeated stems, which count
+only where a text has them often (at least twice, and once in RARE words). It is the default one and
+what a bounded sample of labelled rows adds: words that many toxic rows and hardly any others have, then,
+by greedy cover, words and stems of the toxic rows that are left, TERMS entries at most, picked from the
+POOL most frequent. A word is run through the trie with the states of a Levenshtein automaton (rows of
+edit distances, cut where all exceed the limit), which finds terms that it equals or misspells by one
+edit; stems are not misspelt. Each hit is weighed by its window: quotation marks, words of reporting
 and address near it. A logistic model of the hits' counts, shares and windows gives the score.
 
 Defined results: a null or empty text has no hits and scores the model's base; rows that repeat get
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,9 @@ SAMPLE = 5000
 #: Terms at most, toxic texts that a term must newly cover, share of toxic texts among those with it,
 #: and the share of all toxic texts that makes a word a term of itself.
 TERMS, COVER, PURE, COMMON = 400, 4, 0.95, 0.02
+#: Entries from which the lexicon is chosen at most; the share of toxic texts that a repeated stem needs;
+#: words in which it stands once at least.
+POOL, PURE_REPEATED, RARE = 20_000, 0.9, 250
 #: Words that stand in toxic rows by chance alone: about so many are looked at, and fewer than one in
 #: a hundred such samples may learn one.
 CHANCE = 1e-7
@@ -45,22 +51,22 @@ QUOTES = frozenset("\"'“”‘’«»„`")
 REPORT = frozenset("said says wrote writes quote quoted quotes called reported stated word words term phrase".split())
 ADDRESS = frozenset("you your yours youre u ur".split())
 WORD = re.compile(r"[^\W_]+")
-FEATURES = 9
+FEATURES = 11
 
 
 class Lexicon:
     """A trie of terms and stems, and the words that meet it."""
 
-    def __init__(self, terms, stems, clean=(), fuzzy: int = FUZZY):
+    def __init__(self, terms, stems, clean=(), repeated=(), fuzzy: int = FUZZY):
         self.root: dict = {}
         #: Words near a term that clean texts have: no misspellings.
         self.clean = frozenset(clean)
-        for kind, entries in ((1, terms), (2, stems)):
+        for kind, entries in ((4, repeated), (1, terms), (2, stems)):
             for entry in entries:
                 node = self.root
                 for c in entry:
                     node = node.setdefault(c, {})
-                node[""] = max(kind, node.get("", 0))
+                node[""] = kind
         long = [t for t in terms if len(t) >= fuzzy]
         #: One edit leaves a term's first or last half as it is: words that share neither can't be near it.
         self.heads = {t[: len(t) // 2] for t in long}
@@ -68,10 +74,10 @@ class Lexicon:
         self.halves = sorted({len(h) for h in self.heads})
         self.shortest, self.longest = min(map(len, long), default=0) - 1, max(map(len, long), default=0) + 1
         self.fuzzy = fuzzy
-        self.name = f"toxicity {hash((tuple(terms), tuple(stems), self.clean))}"
+        self.name = f"toxicity {hash((tuple(terms), tuple(stems), self.clean, tuple(repeated)))}"
 
     def kind(self, word: str) -> int:
-        """0: no hit; 1: a term; 2: begins with a stem; 3: a term with one letter changed, put in or left out."""
+        """0: no hit; 1: a term; 2: begins with a stem; 3: a term with one letter changed, put in or left out; 4: begins with a repeated stem."""
         return self.kinds([word]).get(word, 0)
 
     def kinds(self, words) -> dict[str, int]:
@@ -88,15 +94,17 @@ class Lexicon:
         return out
 
     def _kind(self, word: str) -> int:
-        node = self.root
+        node, repeated = self.root, False
         for i, c in enumerate(word):
             node = node.get(c)
             if node is None:
                 break
-            if node.get("") == 2:
-                return 2
-            if i + 1 == len(word) and node.get(""):
-                return node[""]
+            mark = node.get("")
+            if mark == 2 or mark == 1 and i + 1 == len(word):
+                return mark
+            repeated |= mark == 4
+        if repeated:
+            return 4
         if not self.shortest <= len(word) <= self.longest:
             return 0
         if not any(word[:h] in self.heads or word[-h:] in self.tails for h in self.halves):
@@ -129,8 +137,13 @@ def features(lexicon: Lexicon, text: str | None) -> list[float]:
     if not kinds:
         return out
     spans = list(WORD.finditer(text.lower()))
+    often = [kinds[m.group()] for m in spans if m.group() in kinds].count(4)
+    if often < 2 or often * RARE < len(spans):
+        kinds = {w: k for w, k in kinds.items() if k != 4}
+        if not kinds:
+            return out
     plain = quoted = aimed = 0
-    count = [0, 0, 0, 0]
+    count = [0, 0, 0, 0, 0]
     for i, m in enumerate(spans):
         k = kinds.get(m.group())
         if not k:
@@ -153,12 +166,14 @@ def features(lexicon: Lexicon, text: str | None) -> list[float]:
         quoted / max(1, plain + quoted),
         np.log1p(aimed),
         np.log1p(100 * sum(count) / n),
+        float(count[4] > 0),
+        np.log1p(100 * count[4] / n),
     ]
 
 
 class Model:
-    def __init__(self, terms=DEFAULT, stems=(), clean=(), weights=None):
-        self.terms, self.stems, self.clean = tuple(terms), tuple(stems), tuple(clean)
+    def __init__(self, terms=DEFAULT, stems=(), clean=(), repeated=(), weights=None):
+        self.terms, self.stems, self.clean, self.repeated = tuple(terms), tuple(stems), tuple(clean), tuple(repeated)
         self.weights = PRIOR if weights is None else weights
 
     def score(self, rows: np.ndarray) -> np.ndarray:
@@ -166,19 +181,24 @@ class Model:
 
 
 @functools.lru_cache(maxsize=2)
-def _lexicon(terms, stems, clean) -> Lexicon:
+def _lexicon(terms, stems, clean, repeated) -> Lexicon:
     """One lexicon, with the words it has met, in each Python worker."""
-    return Lexicon(terms, stems, clean)
+    return Lexicon(terms, stems, clean, repeated)
 
 
 def candidates(text: str) -> set[str]:
-    """Words of a text, and with a trailing star the stems that its words begin with."""
-    words = {w for w in WORD.findall(text.lower()) if len(w) > 2 and not w.isdigit()}
-    return words | {w[:k] + "*" for w in words for k in range(STEM, min(LONGEST, len(w) - 1) + 1)}
+    """Words of a text, with a trailing star the stems that its words begin with, and with two stars those that it repeats."""
+    found = WORD.findall(text.lower())
+    counts = Counter(w for w in found if len(w) > 2 and not w.isdigit())
+    stems: Counter = Counter()
+    for w, n in counts.items():
+        for k in range(STEM, min(LONGEST, len(w) - 1) + 1):
+            stems[w[:k]] += n
+    return {*counts, *[s + "*" for s in stems], *[s + "**" for s, n in stems.items() if n > 1 and n * RARE >= len(found)]}
 
 
-def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pure: float = PURE, common_share: float = COMMON) -> tuple[list[str], list[str]]:
-    """Terms and stems that cover the toxic texts of the (bounded) sample and keep off the others.
+def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pure: float = PURE, common_share: float = COMMON, default=DEFAULT) -> tuple[list[str], list[str], list[str]]:
+    """Terms, stems and repeated stems that cover the toxic texts of the (bounded) sample and keep off the others.
 
     Texts that are near copies bring the same rare words; a term counts only for the texts that no
     term before it covers, so such words add little once real terms are in.
@@ -196,11 +216,12 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pur
 
     share = sample.agg(F.avg("label").alias("share")).first().share or 0.0
     if not 0 < share < 1:
-        return [], []
+        return [], [], []
     cover = max(cover, int(np.ceil(np.log(CHANCE) / np.log(share))))
     counts = sample.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("good"))
-    good = counts.filter((F.col("bad") >= cover) & (F.col("bad") >= pure * (F.col("bad") + F.col("good"))))
-    picked = good.orderBy(F.desc("bad"), "good", F.length("term").desc(), "term").limit(50 * terms).collect()
+    needed = F.when(F.col("term").endswith("**"), PURE_REPEATED).otherwise(pure)
+    good = counts.filter((F.col("bad") >= cover) & (F.col("bad") >= needed * (F.col("bad") + F.col("good"))))
+    picked = good.orderBy(F.desc("bad"), "good", F.length("term").desc(), "term").limit(POOL).collect()
     known = {r.term: (r.bad, r.good) for r in picked}
 
     def meet(batches):
@@ -217,9 +238,9 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pur
     stems = sorted((t for t, s in holds.items() if t.endswith("*") and len(s) >= max(cover, common_share * len(texts))), key=lambda t: (-len(holds[t]) * (1 + len(t) / 20), t))
     chosen = []
     for stem in stems:  # a stem that many words share stands for them
-        if sum(t.startswith(stem[:-1]) for t in often) >= FAMILY:
+        if sum(t.startswith(stem.rstrip("*")) for t in often) >= FAMILY:
             chosen.append(stem)
-            often = [t for t in often if not t.startswith(stem[:-1])]
+            often = [t for t in often if not t.startswith(stem.rstrip("*"))]
     chosen = (chosen + sorted(often, key=lambda t: (-len(holds[t]), t)))[:terms]
     covered = set().union(*[holds[t] for t in chosen])
     left = {t: s - covered for t, s in holds.items() if t not in chosen}
@@ -231,13 +252,14 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pur
         covered = left.pop(best)
         chosen.append(best)
         left = {t: rest for t, s in left.items() if len(rest := s - covered) >= cover}
-    impure = {r.term for r in counts.filter(F.col("term").isin(*DEFAULT) & (F.col("bad") < pure * (F.col("bad") + F.col("good")))).collect()}
-    chosen += [t for t in DEFAULT if t not in impure and t not in chosen]
-    return sorted(t for t in chosen if not t.endswith("*")), sorted(t[:-1] for t in chosen if t.endswith("*"))
+    impure = {r.term for r in counts.filter(F.col("term").isin(*default) & (F.col("bad") < pure * (F.col("bad") + F.col("good")))).collect()}
+    chosen += [t for t in default if t not in impure and t not in chosen]
+    stars = lambda k: sorted(t.rstrip("*") for t in chosen if len(t) - len(t.rstrip("*")) == k)
+    return stars(0), stars(1), stars(2)
 
 
 #: Weights before any evidence: base, then one for each feature; what the sample doesn't show stays there.
-PRIOR = np.array([-3.0, 3.0, 1.0, 1.0, 2.5, 1.0, 0.5, -0.5, 0.2, 0.2])
+PRIOR = np.array([-3.0, 3.0, 1.0, 1.0, 2.5, 1.0, 0.5, -0.5, 0.2, 0.2, 3.0, 0.5])
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.002, steps: int = 100) -> np.ndarray:
@@ -254,15 +276,15 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.002, steps: int =
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, default=DEFAULT) -> Model:
     common.prepare(docs.sparkSession)
     chosen = quality.labelled_sample(docs, labels, "toxic", sample).select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int")).checkpoint()  # bounded by the sample
-    terms, stems = learn_lexicon(chosen)
-    if not terms and not stems:
+    terms, stems, repeated = learn_lexicon(chosen, default=default)
+    if not terms and not stems and not repeated:
         return Model()
 
     def near(batches):
-        lexicon = _lexicon(tuple(terms), tuple(stems), ())
+        lexicon = _lexicon(tuple(terms), tuple(stems), (), tuple(repeated))
         for batch in batches:
             met = {w for t in batch.column("text").to_pylist() for w in WORD.findall((t or "").lower()) if lexicon.kind(w) == 3}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(met), pa.string())], ["word"])
@@ -270,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     clean = sorted(r.word for r in chosen.filter("label = 0").select("text").mapInArrow(near, "word string").distinct().collect())  # bounded by the sample
 
     def extract(batches):
-        lexicon = _lexicon(tuple(terms), tuple(stems), tuple(clean))
+        lexicon = _lexicon(tuple(terms), tuple(stems), tuple(clean), tuple(repeated))
         for batch in batches:
             rows = [features(lexicon, t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
@@ -278,14 +300,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     got = sorted(chosen.mapInArrow(extract, "doc_id long, label int, x array<double>").collect())  # bounded by the sample
     y = np.array([r.label for r in got], "f8")
     if y.min() == y.max():
-        return Model(terms, stems, clean)
-    return Model(terms, stems, clean, fit_weights(np.array([r.x for r in got]), y))
+        return Model(terms, stems, clean, repeated)
+    return Model(terms, stems, clean, repeated, fit_weights(np.array([r.x for r in got]), y))
 
 
 def _scorer(model):
     def score(texts: list[str | None]) -> np.ndarray:
         m = model.value
-        lexicon = _lexicon(m.terms, m.stems, m.clean)
+        lexicon = _lexicon(m.terms, m.stems, m.clean, m.repeated)
         return np.round(m.score(np.array([features(lexicon, t) for t in texts]).reshape(-1, FEATURES)), 6)
 
     return score

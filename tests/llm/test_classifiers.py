@@ -104,6 +104,34 @@ def test_misspelt_and_quoted():
     assert score('the word "idiot" was quoted by the report and nothing else') < score(plain)
 
 
+def test_repeated_stems():
+    """Words of a repeated stem count only where a text has them often."""
+    lexicon = toxicity.Lexicon(("idiot",), (), repeated=("zorgo",))
+    often = toxicity.features(lexicon, "zorgola and zorgone and some words")
+    once = toxicity.features(lexicon, "zorgola and some words")
+    thin = toxicity.features(lexicon, "zorgola zorgone " + "some words " * 400)
+    assert often[9] == 1.0 and not any(once) and not any(thin)
+    assert toxicity.features(lexicon, "zorgola idiot")[:2] == [1.0, pytest.approx(np.log(2))]
+    assert "zorgo**" in toxicity.candidates("zorgola zorgone") and "zorgo**" not in toxicity.candidates("zorgola")
+
+
+@pytest.mark.parametrize("label", ["quality", "toxic"])
+def test_labels_without_documents_take_no_place(spark, planted, label):
+    """A sample of 40 rows is the same with 5,000 labels of documents that are not here."""
+    docs, labels = planted
+    foreign = spark.range(10**6, 10**6 + 5000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "cast(id % 2 as int) as toxic")
+    pick = lambda x: sorted(r.doc_id for r in quality.labelled_sample(docs, x, label, 20).collect())
+    assert pick(labels) == pick(labels.unionByName(foreign)) and len(pick(labels)) == 40
+
+
+def test_sample_is_bounded_in_values(planted):
+    docs, labels = planted
+    rows = docs.selectExpr("doc_id", "length(text) as n")
+    some = quality.within(rows, "n", 20_000)
+    assert 0 < sum(r.n for r in rows.collect() if r.doc_id in set(some)) <= 20_000
+    assert quality.fit(docs, labels, values=20_000) is not None
+
+
 @pytest.mark.parametrize("which", [quality, toxicity])
 def test_odd_and_empty(spark, odd, empty, labels, which):
     model = which.fit(odd, labels)
