@@ -174,7 +174,7 @@ def _stitched(groups: pa.Table) -> pa.Table:
     firsts = [r for r in rows if r["no"] == 0]  # rows that repeat bring their chunks again
     parts = [r for i, r in enumerate(rows) if i == 0 or rows[i - 1]["no"] != r["no"]]
     ids = stitch(parts)
-    return pa.table({"doc_id": pa.array([r["doc_id"] for r in firsts], pa.int64()), "rid": pa.array([r["rid"] for r in firsts], pa.int64()), "ids": pa.array([ids] * len(firsts), pa.binary())})
+    return pa.table({"doc_id": pa.array([r["doc_id"] for r in firsts], pa.int64()), "rid": pa.array([r["rid"] for r in firsts], pa.string()), "ids": pa.array([ids] * len(firsts), pa.binary())})
 
 
 def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -189,9 +189,9 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
     last = F.col("no") == F.col("chunks") - 1
     cut = cut.select("doc_id", "rid", "no", "chunks", F.substring("text", F.col("no") * chunk + 1, F.when(last, F.lit(chunk * 2 + overlap)).otherwise(F.lit(chunk + overlap))).alias("text"))
     cut = cut.repartition(common.partitions(docs.sparkSession), "rid", "no")
-    kinds = "doc_id long, rid long, no int, chunks int, ids binary, head_at array<long>, head_ids array<long>, tail_at array<long>, tail_ids array<long>"
+    kinds = "doc_id long, rid string, no int, chunks int, ids binary, head_at array<long>, head_ids array<long>, tail_at array<long>, tail_ids array<long>"
     parts = cut.mapInArrow(_chunks(path, pattern, chunk, overlap), kinds)
-    joined = parts.groupBy("rid").applyInArrow(_stitched, "doc_id long, rid long, ids binary")
+    joined = parts.groupBy("rid").applyInArrow(_stitched, "doc_id long, rid string, ids binary")
     done = joined.filter("ids is not null").select("doc_id", "ids")
     rest = long.join(joined.filter("ids is null").select("rid").distinct(), "rid", "left_semi").select("doc_id", "text")
     return whole.unionByName(done).unionByName(rest.mapInArrow(_whole(path, pattern), "doc_id long, ids binary"))

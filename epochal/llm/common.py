@@ -73,8 +73,8 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
-    """Equal for repeated rows only: the identity of a row where doc_id may repeat."""
-    return F.xxhash64(doc_id, text)
+    """128 bits, equal for repeated rows only: the identity of a row where doc_id may repeat."""
+    return F.concat(F.hex(F.xxhash64(doc_id, text)), F.lit("-"), F.hex(F.xxhash64(F.lit(1), text, doc_id)))
 
 
 def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
