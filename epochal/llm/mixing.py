@@ -2,13 +2,15 @@
 
 Golden-ratio points are mapped through the cumulative shares of the sources, so that every
 stretch of the schedule holds each source near its share. The slots of a source are ranked, its
-documents are laid in shuffled order on a line of words, the line is cut into equal blocks, and
-the block of rank k goes to the slot of rank k. A source whose target exceeds its size is walked
-again, up to three times.
+documents are laid in shuffled order on a line of words, the line is cut into blocks of one size,
+and the block of rank k goes to the slot of rank k. A source takes what its slots draw: as many
+blocks as points fell into its share (a source that no point falls to has one slot at the end), and
+never more than its target, so its words are within a few blocks of the target. A source whose
+target exceeds its size is walked again, up to three times.
 
 Defined results: a null text has no words; a null source is a source of its own, last in order;
 rows that repeat are documents of their own; documents without words are never taken; an empty
-table gives no rows; other columns are not read.
+table gives no rows; other columns are not read, and apply hands them on.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from . import common
 
 #: Weights by place in the order of sources, repeating, and how often a source may be walked.
 WEIGHTS, PASSES = (5, 2, 1), 3
-#: Words in a block, about a training sequence.
-BLOCK_WORDS = 2048
+#: Words in a block.
+BLOCK_WORDS = 128
 #: 2^31 and the odd number next to 2^31 / golden ratio; i * GOLDEN mod 2^31 walks all points.
 MODULUS, GOLDEN = 2147483648, 1327217885
 #: Cells of the unit line in which points meet the shares, and slots ranked at a time.
@@ -32,6 +34,7 @@ SALT = 32
 
 
 def _sized(docs: DataFrame) -> DataFrame:
+    """Slim rows, pinned: each text is read once here."""
     doc_id, source = F.col("doc_id"), F.col("source")
     return docs.select(
         doc_id,
@@ -39,7 +42,7 @@ def _sized(docs: DataFrame) -> DataFrame:
         F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source)).alias("src"),
         common.n_words(F.col("text")).alias("size"),
         F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")).alias("shuffle"),
-    )
+    ).checkpoint()
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -69,7 +72,8 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     spark = sources.sparkSession
     total = sources.agg(F.coalesce(F.sum("take"), F.lit(0))).first()[0]
     slots = -(-total // block_words)
-    point = (F.col("id") % MODULUS * GOLDEN % MODULUS + 0.5) / MODULUS
+    fine = (F.expr(f"id div {MODULUS}") * GOLDEN % MODULUS + 0.5) / MODULUS  # later walks over all points fall between them
+    point = (F.col("id") % MODULUS * GOLDEN % MODULUS + fine) / MODULUS
     cell = lambda x: F.floor(x.cast("double") / max(total, 1) * CELLS)
     at = F.floor(point * total).cast("long")
     points = spark.range(slots).select(F.col("id").alias("slot"), at.alias("at")).withColumn("cell", cell(F.col("at")))
@@ -88,25 +92,20 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 def lines(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Documents with their place (starts, in words) on the shuffled line of their source."""
-    order = [F.col(c) for c in ("src", "shuffle", "doc_id", "size")]
-    placed = common.running_totals(sized, order, {"at": F.col("size")})
+    tied = sized.withColumn("tie", F.monotonically_increasing_id())  # of pinned rows: a row that repeats is spread over parts
+    placed = common.running_totals(tied, [F.col(c) for c in ("src", "shuffle", "doc_id", "size", "tie")], {"at": F.col("size")})
     salted = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     placed = placed.withColumn("salt", F.pmod(F.xxhash64("doc_id", "at"), F.lit(SALT)).cast("int")).join(salted, ["src", "salt"])
     return placed.select("doc_id", "rid", "src", "size", "source_size", "target", "take", (F.col("at") - F.col("line_at")).alias("starts"))
 
 
-def mix(placed: DataFrame, slots: DataFrame) -> DataFrame:
-    """slot, src, doc_id, starts, walk, first_word, words: the pieces of the mix in the order of slots."""
-    counts = slots.groupBy("src").agg(F.count("*").alias("n"))
+def mix(placed: DataFrame, slots: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """slot, src, doc_id, starts, walk, first_word, words: the pieces that the slots draw."""
     walks = placed.filter("size > 0 and take > 0").withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(PASSES - 1))))
     walks = walks.withColumn("lo", F.col("starts") + F.col("walk") * F.col("source_size")).filter("lo < take")
     walks = walks.withColumn("hi", F.least(F.col("lo") + F.col("size"), F.col("take")))
-    salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    walks = walks.withColumn("salt", F.pmod(F.xxhash64("doc_id", "lo"), F.lit(SALT)).cast("int")).join(salted, ["src", "salt"])
-    walks = walks.withColumn("block", F.ceil(F.col("take") / F.col("n")).cast("long"))
-    div = lambda a: F.floor(F.expr(f"({a}) div block")).cast("long")
-    pieces = walks.withColumn("rank", F.explode(F.sequence(div("lo"), div("hi - 1"))))
-    first, last = F.greatest(F.col("lo"), F.col("rank") * F.col("block")), F.least(F.col("hi"), (F.col("rank") + 1) * F.col("block"))
+    pieces = walks.withColumn("rank", F.explode(F.sequence(F.expr(f"lo div {block_words}"), F.expr(f"(hi - 1) div {block_words}"))))
+    first, last = F.greatest(F.col("lo"), F.col("rank") * block_words), F.least(F.col("hi"), (F.col("rank") + 1) * block_words)
     return pieces.join(slots, ["src", "rank"]).select("slot", "src", "doc_id", "starts", "walk", (first - F.col("lo")).alias("first_word"), (last - first).alias("words"))
 
 
@@ -116,29 +115,33 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, D
     sized = _sized(docs)
     sources = targets(sized)
     placed = lines(sized, sources)
-    return placed, mix(placed, schedule(sources, block_words))
+    return placed, mix(placed, schedule(sources, block_words), block_words)
 
 
 def taken(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken, slots (blocks that it went to)."""
+    """Per document: doc_id, size, source_size, target, taken, slots (that drew from it), first_slot (null for none)."""
     placed, pieces = mixed(docs, block_words)
-    sums = pieces.groupBy("src", "starts").agg(F.sum("words").alias("taken"), F.countDistinct("slot").alias("slots"))
+    sums = pieces.groupBy("src", "starts").agg(F.sum("words").alias("taken"), F.count("slot").alias("slots"), F.min("slot").alias("first_slot"))
     sums = sums.withColumn("has", F.lit(True))
     out = placed.withColumn("has", F.col("size") > 0).join(sums, ["src", "starts", "has"], "left")
-    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), F.coalesce("taken", F.lit(0)).alias("taken"), F.coalesce("slots", F.lit(0)).alias("slots"))
+    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), F.coalesce("taken", F.lit(0)).alias("taken"), F.coalesce("slots", F.lit(0)).alias("slots"), "first_slot")
 
 
 def apply(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of docs as the mix takes them: a row comes once for each walk that takes over half of its words.
+    """The rows of docs in the order of the slots that draw them: a row comes once for each walk of which slots
+    take over half of its words, at the first of these slots.
 
     Rows that repeat share their walks evenly, rounded.
     """
+    spark = docs.sparkSession
     placed, pieces = mixed(docs, block_words)
     places = placed.filter("size > 0").select("src", "starts", "size", "rid")
-    got = pieces.groupBy("src", "starts", "walk").agg(F.sum("words").alias("got")).join(places, ["src", "starts"])
-    walks = got.groupBy("rid").agg(F.sum(F.when(F.col("got") * 2 > F.col("size"), 1).otherwise(0)).alias("walks"))
+    got = pieces.groupBy("src", "starts", "walk").agg(F.sum("words").alias("got"), F.min("slot").alias("slot")).join(places, ["src", "starts"])
+    of_walk = got.filter(F.col("got") * 2 > F.col("size")).groupBy("rid", "walk").agg(F.count("*").alias("n"), F.min("slot").alias("slot"))
+    walks = of_walk.groupBy("rid").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("slot")).alias("slots"))  # a slot a walk
     copies = placed.groupBy("rid").agg(F.count("*").alias("rows")).join(walks, "rid")
-    copies = copies.select("rid", F.round(F.col("walks") / F.col("rows")).cast("int").alias("copies")).filter("copies > 0")
+    drawn = F.slice("slots", F.lit(1), F.round(F.col("n") / F.col("rows")).cast("int"))
+    copies = copies.select("rid", F.explode(drawn).alias("slot"))
     rows = docs.select(F.struct("*").alias("row"), common.row_key(F.col("doc_id"), F.col("text")).alias("rid"))
-    kept = rows.join(copies.hint("shuffle_hash"), "rid")
-    return kept.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    kept = rows.join(copies.hint("shuffle_hash"), "rid").select("slot", "row")
+    return kept.repartitionByRange(common.partitions(spark), "slot").sortWithinPartitions("slot").select("row.*")

@@ -14,9 +14,18 @@ OP1 = r"""with d as (select doc_id, case when source is null then '1' else '0' |
   f as (select *, (select sum(source_size) from w) - coalesce(sum(cap) over o, 0) as rest, (select sum(weight) from w) - coalesce(sum(weight) over o, 0) as over_weight
     from w window o as (order by fill, src rows between unbounded preceding and 1 preceding)),
   l as (select *, rest * weight > cap * over_weight as capped from f),
-  t as (select src, source_size, case when capped then cast(cap as double) else (select max(cast(rest as double) / over_weight) from l where not capped) * weight end as target from l),
-  a as (select d.*, t.source_size, t.target, cast(floor(t.target + 0.5) as bigint) as take, cast(sum(size) over (partition by src order by h, doc_id nulls first, size rows unbounded preceding) - size as bigint) as starts from d join t using (src))
-select doc_id, size, source_size, round(target, 6) as target, cast((select sum(greatest(0, least(starts + size + p * source_size, take) - (starts + p * source_size))) from range(3) r(p)) as bigint) as taken from a"""
+  c as (select src, source_size, case when capped then cast(cap as double) else (select max(cast(rest as double) / over_weight) from l where not capped) * weight end as target from l),
+  t as (select *, cast(floor(target + 0.5) as bigint) as take, cast(coalesce(sum(cast(floor(target + 0.5) as bigint)) over (order by src rows between unbounded preceding and 1 preceding), 0) as bigint) as share_at from c),
+  n as (select cast(sum(take) as bigint) as total, (cast(sum(take) as bigint) + 127) // 128 as slots from t),
+  i as (select unnest(range(slots)) as slot, total from n),
+  x as (select slot, cast(floor((slot % 2147483648 * 1327217885 % 2147483648 + (slot // 2147483648 * 1327217885 % 2147483648 + 0.5::double) / 2147483648::double) / 2147483648::double * total) as bigint) as pos from i),
+  y as (select slot, src from x join t on pos >= share_at and pos < share_at + take),
+  z as (select slot, src, row_number() over (partition by src order by slot) - 1 as rank from (select * from y union all select (select slots from n) + share_at, src from t where take > 0 and src not in (select src from y)) u),
+  a as (select d.*, t.source_size, t.target, t.take, cast(sum(size) over (partition by src order by h, doc_id nulls first, size rows unbounded preceding) - size as bigint) as starts from d join t using (src)),
+  k as (select src, starts, starts + p * source_size as lo, least(starts + p * source_size + size, take) as hi from a, range(3) r(p) where size > 0 and starts + p * source_size < take),
+  g as (select src, starts, lo, hi, unnest(range(lo // 128, (hi - 1) // 128 + 1)) as rank from k),
+  q as (select src, starts, sum(least(hi, (rank + 1) * 128) - greatest(lo, rank * 128)) as taken, count(*) as slots, min(slot) as first_slot from g join z using (src, rank) group by 1, 2)
+select doc_id, size, a.source_size, round(target, 6) as target, cast(coalesce(q.taken, 0) as bigint) as taken, coalesce(q.slots, 0) as slots, q.first_slot from a left join q on q.src = a.src and q.starts = a.starts and a.size > 0"""
 
 OP3 = r"""with o as (select doc_id, coalesce(text, '') as t, coalesce(lead(coalesce(text, '')) over w, first_value(coalesce(text, '')) over w) as n from documents window w as (order by doc_id desc rows between unbounded preceding and unbounded following)),
   e as (select *, left(t, length(t) - length(t) // 2) || left(n, length(t) // 2) as u from o),

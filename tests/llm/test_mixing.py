@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from epochal.llm import mixing
+from epochal.llm import common, mixing
 from pyspark.sql import functions as F
 
 
@@ -37,9 +37,12 @@ def check(docs):
     out = mixing.taken(docs)
     assert out.count() == len(rows)
     assert out.filter("taken > 3 * size").isEmpty()
-    by_target = {r.src: r.words for r in pieces.groupBy("src").agg(F.sum("words").alias("words")).collect()}
+    by_target = {r.src: (r.words, r.n) for r in pieces.groupBy("src").agg(F.sum("words").alias("words"), F.countDistinct("slot").alias("n")).collect()}
     for s, target in want.items():
-        assert abs(by_target.get("1" if s is None else "0" + s, 0) - target) <= 0.5 + 1e-6
+        words, n = by_target.get("1" if s is None else "0" + s, (0, 0))
+        assert words <= target + 0.5 + 1e-6 and words >= target - 2.5 * mixing.BLOCK_WORDS
+        assert words == min(n * mixing.BLOCK_WORDS, round(target)) or target - words < 1
+    assert out.agg(F.sum("taken")).first()[0] == sum(w for w, _ in by_target.values())
     return out
 
 
@@ -69,6 +72,30 @@ def test_schedule_is_even(spark):
     assert all(r.m + 1 == r.n for r in ranks)
 
 
+def test_apply_is_in_slot_order(spark, docs):
+    """Rows come in the order of the slots that draw them, as often as their walks are taken."""
+    out = [r.doc_id for r in mixing.apply(docs).collect()]
+    placed, pieces = mixing.mixed(docs)
+    got = pieces.groupBy("src", "starts", "walk", "doc_id").agg(F.sum("words").alias("got"), F.min("slot").alias("slot"))
+    rows = got.join(placed.filter("size > 0").select("src", "starts", "size"), ["src", "starts"]).filter("got * 2 > size").collect()
+    slot_of = {}
+    for r in rows:
+        slot_of.setdefault(r.doc_id, []).append(r.slot)
+    assert Counter(out) == {d: len(s) for d, s in slot_of.items()}
+    place = [min(slot_of[d]) for d in dict.fromkeys(out)]
+    assert place == sorted(place)
+
+
+def test_a_row_that_repeats_very_often_is_spread(spark):
+    df = spark.createDataFrame([(7, "a b c", "s")] * 4000 + [(8, "d e", "s"), (9, "f", "t")], "doc_id long, text string, source string")
+    sized = mixing._sized(df)
+    placed = common.running_totals(sized.withColumn("tie", F.monotonically_increasing_id()), [F.col("src"), F.col("shuffle"), F.col("tie")], {"at": F.col("size")})
+    assert placed.filter("doc_id = 7").select("at").distinct().count() == 4000
+    assert placed.filter("doc_id = 7").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    out = mixing.taken(df)
+    assert out.count() == 4002 and out.filter("taken > 3 * size").isEmpty()
+
+
 def test_apply_keeps_columns(odd):
     out = mixing.apply(odd)
     assert out.columns == odd.columns
