@@ -29,8 +29,10 @@ select doc_id, size, a.source_size, round(target, 6) as target, cast(coalesce(q.
 
 OP3 = r"""with o as (select doc_id, coalesce(text, '') as t, coalesce(lead(coalesce(text, '')) over w, first_value(coalesce(text, '')) over w) as n from documents window w as (order by doc_id desc rows between unbounded preceding and unbounded following)),
   e as (select *, left(t, length(t) - length(t) // 2) || left(n, length(t) // 2) as u from o),
-  p as (select *, list_transform(string_split(t, chr(10)), lambda x: sha256('P' || x)) as pa, list_transform(string_split(u, chr(10)), lambda x: sha256('P' || x)) as pb, list_transform(string_split(n, chr(10)), lambda x: sha256('P' || x)) as pc,
-    list_distinct(regexp_extract_all(t, '[^\n.]{1,48}\.?')) as a, list_distinct(regexp_extract_all(u, '[^\n.]{1,48}\.?')) as b, list_distinct(regexp_extract_all(n, '[^\n.]{1,48}\.?')) as c from e),
+  v as (select *, list_transform(string_split(t, chr(10)), lambda x: list_transform(regexp_extract_all(x, '[^\n.]{0,48}\.|[^\n.]{1,48}'), lambda y: sha256(y))) as la, list_transform(string_split(u, chr(10)), lambda x: list_transform(regexp_extract_all(x, '[^\n.]{0,48}\.|[^\n.]{1,48}'), lambda y: sha256(y))) as lb,
+    list_transform(string_split(n, chr(10)), lambda x: list_transform(regexp_extract_all(x, '[^\n.]{0,48}\.|[^\n.]{1,48}'), lambda y: sha256(y))) as lc from e),
+  p as (select *, list_transform(la, lambda x: sha256('P' || array_to_string(x, ''))) as pa, list_transform(lb, lambda x: sha256('P' || array_to_string(x, ''))) as pb, list_transform(lc, lambda x: sha256('P' || array_to_string(x, ''))) as pc,
+    list_distinct(flatten(la)) as a, list_distinct(flatten(lb)) as b, list_distinct(flatten(lc)) as c from v),
   s as (select *, list_transform(range((len(pa) + 7) // 8), lambda i: sha256('S' || array_to_string(pa[i * 8 + 1 : i * 8 + 8], ''))) as sa, list_transform(range((len(pb) + 7) // 8), lambda i: sha256('S' || array_to_string(pb[i * 8 + 1 : i * 8 + 8], ''))) as sb,
     list_transform(range((len(pc) + 7) // 8), lambda i: sha256('S' || array_to_string(pc[i * 8 + 1 : i * 8 + 8], ''))) as sc, len(list_intersect(a, b)) as ab, len(list_intersect(a, c)) as ac from p),
   r as (select *, sha256('R' || array_to_string(sa, '')) as ra, sha256('R' || array_to_string(sb, '')) as rb, sha256('R' || array_to_string(sc, '')) as rc from s)

@@ -5,12 +5,12 @@ import re
 
 from epochal.llm import merkle
 
-PIECE = re.compile(r"[^\n.]{1,48}\.?")
+PIECE = re.compile(r"[^\n.]{0,48}\.|[^\n.]{1,48}")
 
 
 def root(text):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    p = [sha("P" + x) for x in text.split("\n")]
+    p = [sha("P" + "".join(map(sha, PIECE.findall(x)))) for x in text.split("\n")]
     s = [sha("S" + "".join(p[i : i + 8])) for i in range(0, len(p), 8)]
     return sha("R" + "".join(s)), p, s
 
@@ -42,6 +42,15 @@ def test_documents(docs):
         assert (r.changed_section is None) == (first is None) and (first is None or r.changed_section == first // 8)
 
 
+def test_pieces_are_the_whole_line(spark):
+    """Texts that differ in a dot or a space only have other roots, and share the leaves of what is equal."""
+    rows = [(1, "a..b"), (2, "a.b"), (3, "a. .b"), (4, "a..b."), (5, "x" * 100), (6, "x" * 101), (7, ""), (8, "\n"), (9, "...")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all("".join(PIECE.findall(t)) == t.replace("\n", "") for _, t in rows)
+    got = {r.doc_id: r.fingerprint for r in merkle.fingerprints(df).collect()}
+    assert len(set(got.values())) == len(rows) and got == {d: root(t)[0] for d, t in rows}
+
+
 def test_odd(odd, empty):
     out = merkle.edited_likeness(odd).collect()
     assert len(out) == odd.count()
