@@ -106,6 +106,19 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return joined.select(*df.columns, (F.col("_in") + F.col("_to")).alias(name))
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of left (pinned, any number of rows a key) with right (one row a key), such that no task gets a hot key.
+
+    Keys with more than a quarter of an even part are at most four a part: their rows stay where they are
+    and meet a broadcast; all others are dealt.
+    """
+    parts = partitions(left.sparkSession)
+    most = left.count() // (4 * parts) + 1
+    hot = left.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > most).select(key).checkpoint()  # at most 4 * parts rows
+    some = left.join(F.broadcast(right.join(F.broadcast(hot), key)), key)
+    return some.unionByName(left.join(F.broadcast(hot), key, "left_anti").join(right, key))
+
+
 _WORD = re.compile(r"[^ \t-\r]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 #: Words that a Python worker remembers at most, and what it holds for one operator or another.

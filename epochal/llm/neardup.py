@@ -356,8 +356,8 @@ def linked(docs: DataFrame, size: int = SHINGLE, least_hundredths: int = LEAST_H
     links = links.unionByName(confirmed(docs, classes, third, size, least_hundredths)).checkpoint()
     found = components(classes.select("class", "node", "rep"), links).select("class", "rep", "component").checkpoint()
     smallest = found.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = found.join(smallest, "component").select("class", "component_id")
-    some = rows.select("doc_id", "n_shingles", "class").filter("class is not null").join(of_class, "class").drop("class")
+    of_class = common.spread_join(found.select("class", "component"), smallest, "component").select("class", "component_id").checkpoint()
+    some = common.spread_join(rows.select("doc_id", "n_shingles", "class").filter("class is not null"), of_class, "class").drop("class")
     none = rows.filter("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     return some.unionByName(none).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
