@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from epochal import session
+
 
 def change_hash(columns: Sequence[str | Column]) -> Column:
-    """64-bit hash of a row's values in order; a null is an empty text and keeps its place."""
-    texts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]
-    return F.xxhash64(F.concat_ws("|", *texts))
+    """64-bit hash of a row's values in order, each value on its own; a null is unlike an empty text and keeps its place."""
+    values = [F.col(c) if isinstance(c, str) else c for c in columns]
+    return F.xxhash64(*[x for v in values for x in (v.isNull(), v)])
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -24,8 +28,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], policy: di
     """Target after merging source rows in, with a column action: insert, update or noop.
 
     The new value of a column is the source's, or the target's where that is null; policy gives
-    other rules as columns over old.<name> and new.<name>. A row whose merged values hash as before
-    is a noop; so is one whose hash can't be compared. Both sides hold a key once.
+    other rules as columns over old.<name> and new.<name>. A row whose merged values are as before
+    (a null equals a null only) is a noop. Both sides hold a key once.
     """
     values = [c for c in target.columns if c not in keys]
     policy = policy or {}
@@ -34,20 +38,41 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], policy: di
     both = old.join(new, list(keys), "full" if insert else "left")
     merged = [F.when(F.col("_new").isNull(), F.col(f"old.{c}")).otherwise(policy.get(c, F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")))).alias(c) for c in values]
     both = both.select("*", F.struct(*merged).alias("_merged"))
-    differs = change_hash([F.col(f"_merged.{c}") for c in values]) != change_hash([F.col(f"old.{c}") for c in values])
+    differs = ~reduce(and_, [F.col(f"_merged.{c}").eqNullSafe(F.col(f"old.{c}")) for c in values], F.lit(True))
     action = F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNotNull() & differs, "update").otherwise("noop")
     return both.select(*keys, "_merged.*", action.alias("action"))
 
 
-def replace_code(df: DataFrame, column: str, codes: DataFrame, old: str = "old_code", new: str = "new_code") -> DataFrame:
-    """Repoints a column of codes by a map of few rows."""
+def replace_code(df: DataFrame, column: str, codes: DataFrame, old: str = "old_code", new: str = "new_code", texts: Sequence[str] = ()) -> DataFrame:
+    """Repoints a column of codes by a map; texts: columns of ids that contain the code, in which it is replaced too."""
     pairs = codes.select(F.col(old).alias(column), F.col(new).alias("_to"))
-    return df.join(F.broadcast(pairs), column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
+    inside = {t: F.when(F.col("_to").isNotNull(), F.replace(t, F.col(column).cast("string"), F.col("_to").cast("string"))).otherwise(F.col(t)) for t in texts}
+    return df.join(pairs, column, "left").withColumns({**inside, column: F.coalesce("_to", column)}).select(*df.columns)
+
+
+def resolved(codes: DataFrame, old: str = "old_code", new: str = "new_code", most: int = 40) -> DataFrame:
+    """The map with chains followed to their ends, in steps that double; an error if a chain comes back to itself."""
+    now = session.pinned(codes.select(F.col(old).alias("_old"), F.col(new).alias("_new")).filter("_old <> _new"))
+    for _ in range(most):
+        step = now.alias("a").join(now.alias("b"), F.col("a._new") == F.col("b._old"), "left")
+        after = session.pinned(step.select(F.col("a._old").alias("_old"), F.coalesce("b._new", "a._new").alias("_new"), F.col("b._new").isNotNull().alias("_more")))
+        if after.filter("_more").isEmpty():
+            return after.select(F.col("_old").alias(old), F.col("_new").alias(new))
+        if not after.filter("_old = _new").isEmpty():
+            break
+        now = after.drop("_more")
+    raise ValueError("the map of codes has a cycle")
 
 
 def merge_entities(entities: DataFrame, codes: DataFrame, key: str, old: str = "old_code", new: str = "new_code") -> DataFrame:
-    """Entities after each old code is merged into its new one: nulls filled from it, the old row gone."""
+    """Entities after each old code is merged into its new one: nulls filled from it, the old row gone.
+
+    Chains of codes are followed. Of several old rows of one new code the smallest code's value counts
+    that is not null. Where there is no row of the new code, the old ones make it.
+    """
     values = [c for c in entities.columns if c != key]
-    gone = entities.join(codes.select(F.col(old).alias(key), F.col(new).alias("_to")), key).select(F.col("_to").alias(key), F.struct(*values).alias("_from"))
-    left = entities.join(codes.select(F.col(old).alias(key)), key, "left_anti").join(gone, key, "left")
-    return left.select(key, *[F.coalesce(F.col(c), F.col(f"_from.{c}")).alias(c) for c in values])
+    pairs = resolved(codes, old, new)
+    gone = entities.join(pairs.select(F.col(old).alias(key), F.col(new).alias("_to")), key)
+    gone = gone.groupBy(F.col("_to").alias(key)).agg(F.struct(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in values]).alias("_from"))
+    left = entities.join(pairs.select(F.col(old).alias(key)), key, "left_anti").select(key, F.struct(*values).alias("_own"))
+    return left.join(gone, key, "full").select(key, *[F.coalesce(F.col(f"_own.{c}"), F.col(f"_from.{c}")).alias(c) for c in values])

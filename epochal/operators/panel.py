@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,15 +43,12 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def attach(panel: DataFrame, attributes: DataFrame, key: str, columns: Sequence[str], roles: Sequence[str] = ("player", "opponent"), small: bool = False) -> DataFrame:
-    """Left-joins attributes (one row a key is kept) to each role as <role>_<column>.
-
-    small: the attributes are known to be few, such as a dimension, and are broadcast.
-    """
+def attach(panel: DataFrame, attributes: DataFrame, key: str, columns: Sequence[str], roles: Sequence[str] = ("player", "opponent")) -> DataFrame:
+    """Left-joins attributes (one row a key is kept) to each role as <role>_<column>."""
     one = attributes.dropDuplicates([key]).select(key, *columns)
     for role in roles:
         side = one.select(F.col(key).alias(f"{role}_code"), *[F.col(c).alias(f"{role}_{c}") for c in columns])
-        panel = panel.join(F.broadcast(side) if small else side, f"{role}_code", "left")
+        panel = panel.join(side, f"{role}_code", "left")
     return panel
 
 
@@ -76,6 +75,39 @@ def keep_columns(df: DataFrame, first: Sequence[str] = (), drop: Sequence[str] =
     return df.select(*[c for c in first if c in df.columns], *rest)
 
 
+def known_in_both(df: DataFrame, column: str, roles: Sequence[str] = ("player", "opponent"), watch: Observation | None = None) -> DataFrame:
+    """Rows whose <role>_<column> is known for every role; watch gets the numbers of rows seen and left out."""
+    known = reduce(and_, [F.col(f"{r}_{column}").isNotNull() for r in roles])
+    if watch is not None:
+        df = df.observe(watch, F.count("*").alias("seen"), F.count(F.when(~known, 1)).alias("left_out"))
+    return df.filter(known)
+
+
+def filled(df: DataFrame, column: str, values: DataFrame, key: str, value: str, roles: Sequence[str] = ("player", "opponent")) -> DataFrame:
+    """<role>_<column> filled, where it is null, from a table of (key, value)."""
+    for r in roles:
+        side = values.select(F.col(key).alias(f"{r}_code"), F.col(value).alias("_fill"))
+        df = df.join(side, f"{r}_code", "left").withColumn(f"{r}_{column}", F.coalesce(f"{r}_{column}", "_fill")).drop("_fill")
+    return df
+
+
+def matched(panel: DataFrame, key: str = "id", side: str = "match_result", columns: Sequence[str] = ("player_code",)) -> DataFrame:
+    """One row a match from its two rows: winner_<column> and loser_<column>. Keys without exactly one row a side are left out."""
+    both = [F.max(F.when(F.col(side) == s, F.col(c))).alias(f"{r}_{c}") for c in columns for r, s in (("winner", "win"), ("loser", "loss"))]
+    of = panel.groupBy(key).agg(F.count("*").alias("_n"), F.count(F.when(F.col(side) == "win", 1)).alias("_w"), *both)
+    return of.filter("_n = 2 and _w = 1").drop("_n", "_w")
+
+
+def malformed(panel: DataFrame, key: str = "id") -> DataFrame:
+    """key, rows: keys whose number of rows is not two."""
+    return panel.groupBy(key).agg(F.count("*").alias("rows")).filter("rows <> 2")
+
+
+def empty_row(columns: Sequence[str]) -> Column:
+    """Whether none of the columns has a value."""
+    return F.coalesce(*[F.col(c).cast("string") for c in columns]).isNull()
+
+
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """df, or an error that names the columns it lacks."""
     if missing := [c for c in columns if c not in df.columns]:

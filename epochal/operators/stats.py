@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from epochal.operators import order
+
 
 def correlations(df: DataFrame, columns: Sequence[str], chunk: int = 300) -> DataFrame:
     """a, b, r, n for each pair of columns over the rows where both are known; one aggregate a chunk of pairs."""
@@ -27,12 +29,11 @@ def correlations(df: DataFrame, columns: Sequence[str], chunk: int = 300) -> Dat
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each column replaced by its average rank; null stays null.
 
-    Ranks come from counts of equal values, so that only distinct values are put in order.
+    Ranks come from counts of equal values, so that only distinct values are put in order, by ranges.
     """
     for c in columns:
         tally = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
-        below = Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
-        ranks = tally.select(c, (F.coalesce(F.sum("_n").over(below), F.lit(0)) + (F.col("_n") + 1) / 2).alias("_rank"))
+        ranks = order.running_totals(tally, [F.col(c)], {"_below": F.col("_n")}).select(c, (F.col("_below") + (F.col("_n") + 1) / 2).alias("_rank"))
         df = df.join(ranks, c, "left").drop(c).withColumnRenamed("_rank", c)
     return df
 
@@ -109,7 +110,7 @@ def frequencies(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
     """Count and share of each fixed level, those without rows too."""
     spark = df.sparkSession
     fixed = spark.createDataFrame([(x,) for x in levels], f"{column} string")
-    counted = F.broadcast(fixed).join(df.groupBy(column).agg(F.count("*").alias("n")), column, "left").fillna(0, ["n"])
+    counted = fixed.join(df.groupBy(column).agg(F.count("*").alias("n")), column, "left").fillna(0, ["n"])
     total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # a row a level
     return counted.select(column, "n", F.try_divide(F.col("n"), total).alias("share"))
 
@@ -117,28 +118,31 @@ def frequencies(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
 def prefix_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
     """score, hits, misses: positives and negatives with at least each distinct score.
 
-    Counts of equal scores come first; only distinct scores are put in order.
+    Counts of equal scores come first; distinct scores are put in order by ranges, not in one task.
     """
     tally = scored.groupBy(score).agg(F.sum(label).alias("_p"), F.sum(1 - F.col(label)).alias("_n"))
-    above = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    return tally.select(score, F.sum("_p").over(above).alias("hits"), F.sum("_n").over(above).alias("misses"))
+    above = order.running_totals(tally, [F.desc(score)], {"_hits": F.col("_p"), "_misses": F.col("_n")})
+    return above.select(score, (F.col("_hits") + F.col("_p")).alias("hits"), (F.col("_misses") + F.col("_n")).alias("misses"))
 
 
 def best_threshold(scored: DataFrame, score: str, label: str, cost_fp: float = 1.0, cost_fn: float = 1.0) -> DataFrame:
-    """threshold, cost: the score at or above which calling positive costs least; 1 + 1e-12 where calling nothing does."""
-    positives = scored.agg(F.sum(label).alias("positives"))
-    curve = prefix_counts(scored, score, label).join(F.broadcast(positives))  # one row
-    cost = F.col("misses") * cost_fp + (F.col("positives") - F.col("hits")) * cost_fn
-    none = positives.select(F.lit(1 + 1e-12).alias("threshold"), (F.col("positives") * cost_fn).alias("cost"))
-    both = curve.select(F.col(score).alias("threshold"), cost.alias("cost")).unionByName(none)
-    return both.agg(F.min(F.struct("cost", "threshold")).alias("_b")).select("_b.threshold", "_b.cost")
+    """threshold, cost: the score at or above which calling positive costs least; 1 + 1e-12 where calling nothing does.
+
+    The positives that a threshold misses are those at lower scores: the positives in all less its hits,
+    which is the same number for every threshold, so one aggregate finds the best and adds it.
+    """
+    curve = prefix_counts(scored, score, label)
+    gain = F.col("misses") * cost_fp - F.col("hits") * cost_fn
+    best = curve.agg(F.min(F.struct(gain.alias("gain"), F.col(score).alias("threshold"))).alias("_b"), F.max("hits").alias("_all"))
+    called = (F.col("_b.gain") + F.col("_all") * cost_fn).cast("double")
+    none = (F.col("_all") * cost_fn).cast("double")
+    return best.select(F.when(none < called, F.lit(1 + 1e-12)).otherwise(F.col("_b.threshold")).alias("threshold"), F.least(called, none).alias("cost"))
 
 
 def auc(scored: DataFrame, score: str, label: str) -> DataFrame:
     """auc: share of positive-negative pairs in order, ties by half, from counts of equal scores."""
     tally = scored.groupBy(score).agg(F.sum(label).alias("_p"), F.sum(1 - F.col(label)).alias("_n"))
-    below = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    steps = tally.select("_p", "_n", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_below"))
+    steps = order.running_totals(tally, [F.col(score)], {"_below": F.col("_n")})
     return steps.agg(F.try_divide(F.sum(F.col("_p") * (F.col("_below") + F.col("_n") / 2)), F.sum("_p") * F.sum("_n")).alias("auc"))
 
 

@@ -41,7 +41,7 @@ def year_and_placeholder_filter(spark, sf_dir):
   from p left join pl a on a.player_code = p.player_code left join pl b on b.player_code = p.opponent_code left join t on t.tournament_id = p.tournament_id""")
 def player_meta_join(spark, sf_dir):
     players = tables.players(spark, sf_dir).withColumnRenamed("player_name", "name")
-    p = panel.attach(base(spark, sf_dir), players, "player_code", ["name", "citizenship"], small=True)
+    p = panel.attach(base(spark, sf_dir), players, "player_code", ["name", "citizenship"])
     p = p.join(tables.tournaments(spark, sf_dir).select("tournament_id", "country"), "tournament_id", "left")
     return p.select("id", "player_code", "player_name", "opponent_name", "player_citizenship", "opponent_citizenship", *[fx.home(F.col(f"{r}_citizenship"), F.col("country")).alias(f"{r}_home") for r in ("player", "opponent")])
 
@@ -62,7 +62,7 @@ def star_view(spark, sf_dir):
     pl = tables.players(spark, sf_dir)
     m = tables.matches(spark, sf_dir).join(tables.tournaments(spark, sf_dir).drop("start_dtm", "continent"), "tournament_id")
     for role in ("winner", "loser"):
-        m = m.join(F.broadcast(pl.select(F.col("player_code").alias(role), F.col("player_name").alias(f"{role}_name"), F.col("turned_pro").alias(f"{role}_pro"))), role)  # 150 players
+        m = m.join(pl.select(F.col("player_code").alias(role), F.col("player_name").alias(f"{role}_name"), F.col("turned_pro").alias(f"{role}_pro")), role)  # 150 players
     m = m.join(tables.stats(spark, sf_dir), "id", "left")
     months = F.months_between(F.trunc("start_dtm", "month"), F.make_date("winner_pro", F.lit(1), F.lit(1)))
     share = F.round(F.try_divide(F.col("won_points"), F.nullif((F.col("won_points") + F.col("lost_points")).cast("double"), F.lit(0.0))), 3) * 1000

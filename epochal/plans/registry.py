@@ -15,17 +15,21 @@ _ORACLES: dict[str, str] = {}
 PARTS = {
     "m": tables.MATCHES,
     "st": tables.STATS,
+    "sd": tables.SIDES,
     "rk": tables.RANKINGS,
     "pl": tables.PLAYERS,
     "t": tables.TOURNAMENTS,
     "p": """select id, start_dtm, tournament_id, rnd, surface, match_ret, winner as player_code, loser as opponent_code, 'win' as match_result from m
       union all select id, start_dtm, tournament_id, rnd, surface, match_ret, loser, winner, 'loss' from m""",
+    "q": "select p.*, " + ", ".join(f"case when match_result = 'win' then {a}_{c} else {b}_{c} end as {n}{c}" for n, a, b in (("", "w", "l"), ("opponent_", "l", "w")) for c in tables.COUNTS) + " from p left join sd on sd.id = p.id",
 }
 
 
 def oracle(parts: str, select: str) -> str:
     """A SELECT over some of PARTS (names with spaces between)."""
     names = parts.split()
+    if "q" in names:
+        names = ["p", "sd", *names]
     if "p" in names and "m" not in names:
         names.insert(0, "m")
     return tables.plain("with " + ", ".join(f"{n} as ({PARTS[n]})" for n in names) + " " + select) if names else tables.plain(select)
@@ -44,7 +48,7 @@ def query(parts: str = "", select: str | None = None):
 
 
 def _load() -> None:
-    from epochal.plans import merge_queries, model_queries, panel_queries, rating_queries, stream_queries, temporal_queries, text_queries  # noqa: F401
+    from epochal.plans import feature_queries, kpi_queries, merge_queries, model_queries, page_queries, panel_queries, rating_queries, stream_queries, temporal_queries, text_queries, upkeep_queries  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from epochal.plans.registry import query
@@ -33,12 +31,5 @@ def stream_session(spark, sf_dir):
 @query("", "select user_id, arg_max(event_id, (ts, event_id)) as event_id, arg_max(value, (ts, event_id)) as value from {events} group by 1")
 def stream_upsert(spark, sf_dir):
     """The last event of each user, merged batch by batch into a table in the shared folder."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    folder = f"{conf.rstrip('/')}/upsert" if conf else tempfile.mkdtemp(prefix="epochal-")
-    import uuid
-
-    target = f"{folder}/{uuid.uuid4().hex}"
     rows = events.source(spark, sf_dir).select("user_id", "event_id", "value", "ts")
-    running = rows.writeStream.foreachBatch(events.upserting(target, ["user_id"], [F.desc("ts"), F.desc("event_id")])).trigger(availableNow=True).start()
-    running.awaitTermination()
-    return spark.read.parquet(f"{target}/v0").select("user_id", "event_id", "value")
+    return events.upserted(rows, ["user_id"], [F.desc("ts"), F.desc("event_id")], ["ts", "event_id"]).select("user_id", "event_id", "value")

@@ -277,6 +277,6 @@ def h2h_3y(spark, sf_dir):
   (select coalesce(cast(sum(h.points) as bigint), 0) from e h where h.player_code = e.player_code and h.surface = e.surface and h.day >= e.day - 363 and h.day < e.day) as surface_points_1y from e""")
 def points_1y_3y(spark, sf_dir):
     p = timed(base(spark, sf_dir)).withColumn("points", F.when(F.col("match_result") == "win", F.col("rnd") * 10).otherwise(5))
-    total = lambda keys, days: F.coalesce(F.sum("points").over(Window.partitionBy(*keys).orderBy("day").rangeBetween(-days, -1)), F.lit(0)).cast("long")
-    surface = F.when(F.col("surface").isNotNull(), total(["player_code", "surface"], 363)).otherwise(0)
-    return p.select("id", "player_code", total(["player_code"], 363).alias("points_1y"), total(["player_code"], 1095).alias("points_3y"), surface.cast("long").alias("surface_points_1y"))
+    from epochal.plans.kpi_queries import points_before
+
+    return points_before(p).select("id", "player_code", "points_1y", "points_3y", "surface_points_1y")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g", name: str = "epochal") -> SparkSession:
@@ -19,3 +21,21 @@ def session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g", name
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, for checkpoints and written tables. A session without one gets a
+    temporary folder, but only where driver and executors are one machine."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir")
+    if sc.getCheckpointDir() is None:
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="epochal-"))
+    return (named or sc.getCheckpointDir()).rstrip("/")
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """The rows, written once to the shared folder: later steps start from there, even if executors are lost."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -32,6 +32,22 @@ select l_orderkey as id,
 from {lineitem} group by l_orderkey
 """
 
+#: Serve and return counts of each side of a match, from its lines; null without lines that count.
+COUNTS = (
+    "aces double_faults first_serves_in first_serves_total first_serve_points_won first_serve_points_total second_serve_points_won second_serve_points_total "
+    "break_points_saved break_points_serve_total service_points_won service_points_total service_games_played first_serve_return_won first_serve_return_total "
+    "second_serve_return_won second_serve_return_total break_points_converted break_points_return_total return_games_played return_points_won return_points_total "
+    "total_points_won total_points_total games_won tiebreaks_won sets_won"
+).split()
+
+
+def _count(k: int, name: str, side: int) -> str:
+    some = "" if name.endswith(("total", "played")) else f"case when (l_linenumber + {k + side}) % 3 <> 0 then "
+    return f"cast(sum({some}cast(l_quantity as bigint) * {1 + (k + side) % 4}{' end' if some else ''}) as bigint) as {'wl'[side]}_{name}"
+
+
+SIDES = "select l_orderkey as id, " + ", ".join(_count(k, c, side) for side in (0, 1) for k, c in enumerate(COUNTS)) + " from {lineitem} where l_orderkey % 37 <> 0 group by l_orderkey"
+
 #: Ranking snapshots: each month, players by what they spent in it.
 RANKINGS = """
 select player_code, snapshot_date, cast(row_number() over (partition by snapshot_date order by total desc, player_code) as int) as ranking
@@ -87,6 +103,10 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, STATS)
 
 
+def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, SIDES)
+
+
 def rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, RANKINGS)
 

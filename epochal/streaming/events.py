@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epochal import session
 from epochal.operators import merge
 
 
-def source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as a stream of files; times get a zone, as watermarks ask for."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+def source(spark: SparkSession, sf_dir: str, files: str = "events.parquet", each: int = 8) -> DataFrame:
+    """events as a stream of files, some a batch; times get a zone, as watermarks ask for."""
+    schema = spark.read.option("pathGlobFilter", files).parquet(sf_dir).schema if "*" in files else spark.read.parquet(f"{sf_dir}/{files}").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", files).option("maxFilesPerTrigger", each).parquet(sf_dir)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -25,8 +25,7 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     Each batch is a folder, written anew if the batch is; with mode complete the last one is the result.
     """
     spark = stream.sparkSession
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    target = f"{conf.rstrip('/') if conf else tempfile.mkdtemp(prefix='epochal-')}/drained/{uuid.uuid4().hex}"
+    target = f"{session.shared_folder(spark)}/drained/{uuid.uuid4().hex}"
     numbers = []
 
     def write(batch: DataFrame, number: int) -> None:
@@ -56,15 +55,35 @@ def sessions(stream: DataFrame, gap: str, lateness: str = "1 hour") -> DataFrame
     return g.select("user_id", F.col("session_window.start").alias("starts"), "n")
 
 
-def upserting(target: str, keys: list[str], order: list) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: merges the last row of each key of a batch into a Parquet table, version by version."""
+def upserting(target: str, keys: list[str], order: list, since: list[str]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: merges the last row of each key of a batch into a Parquet table, version by version.
+
+    A row counts only if it comes after the one that is there by the columns of since, so batches may be in any order.
+    """
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = merge.first_rows(batch, keys, order)
         if number:
             old = spark.read.parquet(f"{target}/v{number - 1}")
-            new = merge.upsert(old, new, keys).drop("action")
+            later = F.struct(*[F.col(f"new.{c}") for c in since]) > F.struct(*[F.col(f"old.{c}") for c in since])
+            policy = {c: F.when(F.col("_old").isNull() | later, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")) for c in old.columns if c not in keys}
+            new = merge.upsert(old, new, keys, policy).drop("action")
         new.write.mode("overwrite").parquet(f"{target}/v{number}")
 
     return merge_batch
+
+
+def upserted(stream: DataFrame, keys: list[str], order: list, since: list[str]) -> DataFrame:
+    """The table after all batches of the input there is; empty without any."""
+    spark = stream.sparkSession
+    target = f"{session.shared_folder(spark)}/upsert/{uuid.uuid4().hex}"
+    merge_batch, last = upserting(target, keys, order, since), []
+
+    def step(batch: DataFrame, number: int) -> None:
+        merge_batch(batch, number)
+        last[:] = [number]
+
+    running = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return spark.read.parquet(f"{target}/v{last[0]}") if last else spark.createDataFrame([], stream.schema)

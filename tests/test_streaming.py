@@ -15,3 +15,15 @@ def test_drained_is_files(spark, sf, mode):
         out, want = events.drained(s.groupBy("user_id").agg(F.count("*").alias("n")), mode), rows.groupBy("user_id").agg(F.count("*").alias("n"))
     assert out.inputFiles() and all(f.endswith(".parquet") for f in out.inputFiles())
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_upsert_over_three_batches(spark, sf, tmp_path):
+    """Files in any order of time, one a batch: the last row of each user stays, whichever batch brought it."""
+    rows = spark.read.parquet(f"{sf}/events.parquet")
+    for k, part in enumerate(rows.randomSplit([1.0, 1.0, 1.0], seed=4)):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = events.source(spark, str(tmp_path / "in"), "*.parquet", 1).select("user_id", "event_id", "value", "ts")
+    out = events.upserted(stream, ["user_id"], [F.desc("ts"), F.desc("event_id")], ["ts", "event_id"])
+    want = rows.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    assert int(out.inputFiles()[0].split("/v")[-1].split("/")[0]) == 2
+    assert sorted(map(tuple, out.select("user_id", "event_id").collect())) == sorted(map(tuple, want.collect()))
