@@ -80,6 +80,11 @@ def log_ratio(a: Column, b: Column, eps: float = 1e-6) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), F.log(F.greatest(a, F.lit(eps)) / F.greatest(b, F.lit(eps))))
 
 
+def log_distance(a: Column, b: Column) -> Column:
+    """Difference of logs; null unless both are positive."""
+    return F.when((a > 0) & (b > 0), F.log(a) - F.log(b))
+
+
 def trend(now: Column, then: Column, share: float) -> Column:
     """subida, bajada or estable, by the change against a share of the worse rank; null if a rank is."""
     known = now.isNotNull() & then.isNotNull()
@@ -118,3 +123,43 @@ def fatigue(continent: Column, country: Column, surface: Column, indoor: Column)
 
 def changed(now: Column, then: Column) -> Column:
     return F.coalesce((now != then).cast("int"), F.lit(0))
+
+
+def split_draw(text: Column) -> Column:
+    """singles, doubles of '32/16'; null without a slash."""
+    side = lambda i: F.nullif(F.trim(F.split_part(text, F.lit("/"), F.lit(i))), F.lit(""))
+    return F.when(text.contains("/"), F.struct(side(1).alias("singles"), side(2).alias("doubles")))
+
+
+def prize(text: Column) -> Column:
+    """money (digits), currency (A$ or the first character) of '€2,345,000'; null for an empty text."""
+    s = F.trim(text)
+    two = s.startswith("A$")
+    money = F.regexp_replace(F.when(two, F.substr(s, F.lit(3))).otherwise(F.substr(s, F.lit(2))), "[,.]", "")
+    return F.when(F.length(s) > 0, F.struct(F.nullif(money, F.lit("")).alias("money"), F.when(two, "A$").otherwise(F.left(s, F.lit(1))).alias("currency")))
+
+
+def location(text: Column) -> Column:
+    """city (the first part, empty if there is one only), country (the last part) of 'City, Country'."""
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x))
+    return F.struct(F.when(F.size(parts) > 1, parts[0]).otherwise("").alias("city"), F.element_at(parts, -1).alias("country"))
+
+
+#: Marks in a banner's address, in the order they are looked for, and their series.
+BANNERS = {"categorystamps_500": "atp500", "categorystamps_finals": "atpFinal", "categorystamps_atpcup": "atpCup", "categorystamps_lvr": "laverCup", "categorystamps_nextgen": "nextGen", "categorystamps_1000": "1000"}
+#: Fixed value: prize money from which a challenger is of the higher series.
+CHALLENGER_MONEY = 75000
+
+
+def series_of(key: Column, banner: Column, money: Column) -> Column:
+    """The series of a tournament: by banner on the tour, by prize money for challengers, else the key itself."""
+    tour = F.lit(None).cast("string")
+    for mark, series in reversed(BANNERS.items()):
+        tour = F.when(banner.contains(mark), series).otherwise(tour)
+    rich = F.coalesce(money.try_cast("bigint") >= CHALLENGER_MONEY, F.lit(False))
+    return F.when(key == "atp", F.coalesce(tour, F.lit("atp250"))).when(key == "ch", F.when(rich, "ch100").otherwise("ch50")).otherwise(key)
+
+
+def finite(x: Column) -> Column:
+    """Null for what is no finite number."""
+    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)

@@ -159,3 +159,16 @@ def drawn(key: Column, mean: Column, deviation: Column, least: float, most: floa
     normal = F.sqrt(-2 * F.log(uniform(1))) * F.cos(2 * math.pi * uniform(2))
     value = mean + normal * deviation
     return F.when(value.isNotNull(), F.least(F.lit(most), F.greatest(F.lit(least), value)))
+
+
+def largest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """name, most: the largest value of each column, in one aggregate."""
+    cells = [F.struct(F.lit(c).alias("name"), F.max(c).alias("most")) for c in columns]
+    return df.agg(F.array(*cells).alias("_c")).select(F.explode("_c").alias("_c")).select("_c.*")
+
+
+def by_tier(scored: DataFrame, tier: str, tokens: Sequence[str], also: Sequence[str] = (), score: str = "score", label: str = "hit") -> DataFrame:
+    """tier, the columns of also, n, brier, accuracy: each row counts in every token that begins its tier."""
+    fits = F.filter(F.array(*map(F.lit, tokens)), lambda t: F.startswith(F.col(tier), t))
+    rows = scored.select(*also, F.explode(fits).alias("tier"), F.col(score).alias("_s"), F.col(label).alias("_y"))
+    return rows.groupBy("tier", *also).agg(F.count("*").alias("n"), F.avg((F.col("_s") - F.col("_y")) * (F.col("_s") - F.col("_y"))).alias("brier"), F.avg(((F.col("_s") >= 0.5).cast("int") == F.col("_y")).cast("double")).alias("accuracy"))

@@ -52,11 +52,20 @@ def exposed_mean(value: Column, window: WindowSpec, least: int = 1) -> Column:
     return F.when(F.count(value).over(window) >= least, F.avg(value).over(window))
 
 
-def running_best(rank: Column, seed: Column, partition: Sequence[str], order: Sequence[Column | str]) -> Column:
-    """Smallest rank so far; the first row of a partition has the seed instead of its own rank."""
+def running_best(df: DataFrame, rank: str, seed: str | None, partition: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+    """Adds the smallest rank up to the current row; with a seed, the first row of a partition has it instead of its own rank."""
     w = Window.partitionBy(*partition).orderBy(*order)
-    value = F.when(F.row_number().over(w) == 1, seed).otherwise(rank)
-    return value
+    own = F.col(rank) if seed is None else F.when(F.row_number().over(w) == 1, F.col(seed)).otherwise(F.col(rank))
+    best = df.withColumn("_own", own).withColumn(name, F.min("_own").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return best.drop("_own")
+
+
+def never_rises(df: DataFrame, partition: Sequence[str], order: Sequence[Column | str], value: str, name: str) -> DataFrame:
+    """The partition's columns and name: whether a value, its gaps filled with the last one, never rises; true without two values."""
+    w = Window.partitionBy(*partition).orderBy(*order)
+    held = df.select(*partition, *[c for c in order if isinstance(c, str)], F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_held"))
+    steps = held.select(*partition, (F.col("_held") <= F.lag("_held").over(w)).alias("_falls"))
+    return steps.groupBy(*partition).agg(F.coalesce(F.bool_and("_falls"), F.lit(True)).alias(name))
 
 
 def range_sums(panel: DataFrame, partition: Sequence[str], day: str, hour_order: str, values: dict[str, Column], days: int) -> DataFrame:

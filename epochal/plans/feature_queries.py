@@ -1 +1,128 @@
-"""."""
+"""The feature table: the families of features side by side, a row a match and player; and flags made of them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from epochal.functions import features as fx
+from epochal.operators import panel, ratings
+from epochal.operators import temporal as tp
+from epochal.plans import kpi_queries as kpi
+from epochal.plans import rating_queries as rq
+from epochal.plans import registry
+from epochal.plans import temporal_queries as tq
+from epochal.plans.registry import query
+from epochal.sources import tables
+
+WIN = F.col("match_result") == "win"
+
+
+def form(p: DataFrame) -> DataFrame:
+    """Shares of the last five and ten matches, their difference, its size, and a flag for each above 0.7."""
+    p = p.withColumns({f"form_{k}": F.avg(WIN.cast("double")).over(tp.before(["player_code"], tq.ORDER, k)) for k in (5, 10)})
+    return p.withColumns({"form_trend": F.col("form_5") - F.col("form_10"), "consistency": F.abs(F.col("form_5") - F.col("form_10")), "good_form_5": (F.col("form_5") > 0.7).cast("int"), "good_form_10": (F.col("form_10") > 0.7).cast("int")})
+
+
+FORM = """(select *, form_5 - form_10 as form_trend, abs(form_5 - form_10) as consistency, cast(form_5 > 0.7 as int) as good_form_5, cast(form_10 > 0.7 as int) as good_form_10 from (
+  select *, avg(win) over {0} as form_5, avg(win) over {1} as form_10 from (select *, case when match_result = 'win' then 1.0 else 0.0 end::double as win from p) q) r)""".format(tq.last_rows(5), tq.last_rows(10))
+
+
+@query("p", f""", f as materialized {FORM} select a.id, a.player_code, round(a.form_trend, 6) as form_trend, round(a.consistency, 6) as consistency, a.good_form_5, a.good_form_10, round(a.form_5 - b.form_5, 6) as momentum_diff_5, round(a.form_10 - b.form_10, 6) as momentum_diff_10
+  from f a join f b on a.id = b.id and a.match_result <> b.match_result""")
+def form_flags(spark, sf_dir):
+    p = form(panel.unpivot(tables.matches(spark, sf_dir)))
+    gap = lambda k: F.round(F.col(f"form_{k}") - panel.partner(f"form_{k}"), 6).alias(f"momentum_diff_{k}")
+    return p.select("id", "player_code", F.round("form_trend", 6).alias("form_trend"), F.round("consistency", 6).alias("consistency"), "good_form_5", "good_form_10", gap(5), gap(10))
+
+
+@query("p t", tq.PT + f""", z as (select *, date_diff('day', lag(start_dtm) over {tq.TW}, start_dtm) as days, lag(continent) over {tq.TW} as c1 from pt) select player_code, tournament_id, cast(coalesce(days <= 9 and continent <> c1, false) as int) as red_eye from z""")
+def red_eye(spark, sf_dir):
+    """A week after a tournament on another continent."""
+    return travel(tq.player_tournaments(spark, sf_dir)).select("player_code", "tournament_id", "red_eye")
+
+
+def travel(t: DataFrame) -> DataFrame:
+    """Days since the last tournament, flags of rest and of what changed, fatigue, and the last tournament's load."""
+    w = Window.partitionBy("player_code").orderBy("starts", "tournament_id")
+    z = t.withColumn("days", F.datediff("starts", F.lag("starts").over(w)).cast("long"))
+    changed = {f"{c}_changed": fx.changed(F.col(c), F.lag(c).over(w)) for c in ("continent", "country", "surface", "indoor")}
+    z = z.withColumns(fx.rest_flags(F.col("days")) | changed | {"prev_played": F.lag("played").over(w), "prev_furthest": F.lag("furthest").over(w)})
+    return z.withColumns({"fatigue": fx.fatigue(*map(F.col, changed)), "red_eye": F.col("back_to_back") * F.col("continent_changed")})
+
+
+@query("p rk pl", """, a as materialized (select b.id, b.player_code, b.best_rank, r.ranking, b.match_result from (select x.*, min(case when rn = 1 then seed else ranking end) over (partition by player_code """ + tq.O + """ rows unbounded preceding) as best_rank from (select a.*, s.seed, row_number() over (partition by a.player_code order by a.start_dtm, a.tournament_id, a.rnd, a.id) as rn from (""" + tq.ASOF.format(name="ranking", days=1) + """) a left join (select player_code, min(ranking) as seed from rk where snapshot_date < date '1993-01-01' group by 1) s on s.player_code = a.player_code) x) b
+  join (""" + tq.ASOF.format(name="ranking", days=1) + """) r on r.id = b.id and r.match_result = b.match_result) select a.id, a.player_code, case when a.ranking > 0 and a.best_rank > 0 then round(ln(a.ranking) - ln(a.best_rank), 6) end as distance_to_peak, case when b.ranking > 0 and b.best_rank > 0 then round(ln(b.ranking) - ln(b.best_rank), 6) end as opponent_distance_to_peak from a join a b on a.id = b.id and a.match_result <> b.match_result""")
+def rank_peak_distance(spark, sf_dir):
+    seeds = tables.rankings(spark, sf_dir).filter("snapshot_date < date '1993-01-01'").groupBy("player_code").agg(F.min("ranking").alias("seed"))
+    a = tp.running_best(tq.ranked(spark, sf_dir).join(seeds, "player_code", "left"), "ranking", "seed", ["player_code"], tq.ORDER, "best_rank")
+    a = a.withColumn("far", fx.log_distance(F.col("ranking"), F.col("best_rank")))
+    return a.select("id", "player_code", F.round("far", 6).alias("distance_to_peak"), F.round(panel.partner("far"), 6).alias("opponent_distance_to_peak"))
+
+
+def table(spark, sf_dir) -> DataFrame:
+    """All families in one plan: windows of the player first, which share their exchange, then joins of slim tables by match and
+    tournament, and the partner's values last."""
+    m = tables.matches(spark, sf_dir)
+    p = kpi.side_panel(spark, sf_dir).withColumn("points", F.when(WIN, F.col("rnd") * 10).otherwise(5))
+    t = tables.tournaments(spark, sf_dir).select("tournament_id", "category")
+    p = p.join(t, "tournament_id")
+    w, title = tp.before(["player_code"], tq.ORDER), ((F.col("rnd") == 11) & WIN).cast("int")
+    played = F.row_number().over(Window.partitionBy("player_code").orderBy(*tq.ORDER)).cast("long") - 1
+    p = kpi.points_before(kpi.three_years(kpi.lagged_means(form(p))))
+    p = p.withColumns({"prior_wins": tp.cumulative(WIN.cast("int"), w).cast("long"), "prior_matches": played, "titles": tp.cumulative(title, w).cast("long"), "gs_titles": tp.cumulative(title * (F.col("category") == "gs").cast("int"), w).cast("long")})
+    ws = tp.before(["player_code", "surface"], tq.ORDER)
+    on_surface = (1 + tp.cumulative(WIN.cast("int"), ws)) / (2 + F.coalesce(F.count(F.lit(1)).over(ws), F.lit(0))).cast("double")
+    p = p.withColumn("surface_rate", F.when(F.col("surface").isNotNull(), on_surface))
+    trips = travel(tq.player_tournaments(spark, sf_dir)).select("player_code", "tournament_id", *TRAVEL)
+    p = p.join(trips, ["player_code", "tournament_id"], "left").join(tq.shifted(spark, sf_dir), ["id", "player_code"])
+    met = tq.pair_history(m, ["player_a", "player_b"]).select("id", "player_a", "met", "a_wins")
+    elo = ratings.elo_by_round(m, rq.ORDER, rq.ROUND).select("id", "winner_elo", "loser_elo")
+    sur = ratings.surface_elo(m, rq.ORDER).select("id", F.col("winner_elo").alias("winner_surface_elo"), F.col("loser_elo").alias("loser_surface_elo"))
+    p = kpi.log_ratios(p.join(met, "id").join(elo, "id").join(sur, "id"))
+    mine = F.when(F.col("player_code") == F.col("player_a"), F.col("a_wins")).otherwise(F.col("met") - F.col("a_wins"))
+    side = lambda a, b: F.when(WIN, F.col(a) - F.col(b)).otherwise(F.col(b) - F.col(a))
+    known = F.col("r0").isNotNull()
+    theirs = panel.partner("r0")
+    p = p.withColumns({
+        "target": WIN.cast("int"), "h2h_rate": fx.smoothed(mine, F.col("met"), 8.0), "h2h_credibility": fx.credibility(F.col("met"), 8.0), "has_h2h": (F.coalesce("met", F.lit(0)) > 0).cast("int"),
+        "elo_diff": side("winner_elo", "loser_elo"), "surface_elo_diff": side("winner_surface_elo", "loser_surface_elo"),
+        "rank_diff": theirs - F.col("r0"), "rank_log_ratio": F.when(known & theirs.isNotNull(), F.log(theirs) - F.log("r0")),
+        "rank_trend_4w": fx.trend_number(fx.trend(F.col("r0"), F.col("r28"), 0.02)), "rank_trend_12w": fx.trend_number(fx.trend(F.col("r0"), F.col("r84"), 0.05)),
+    })
+    return p.select("id", "player_code", "opponent_code", "target", *[F.round(c, 5).alias(c) for c in ROUNDED], *WHOLE, *[F.col(c).isNull().cast("int").alias(f"{c}_was_na") for c in MISSING])
+
+
+TRAVEL = ["days", "back_to_back", "two_weeks", "long_rest", "continent_changed", "country_changed", "surface_changed", "indoor_changed", "prev_played", "prev_furthest", "fatigue", "red_eye"]
+ROUNDED = ["form_5", "form_10", "form_trend", "consistency", "surface_rate", "h2h_rate", "h2h_credibility", "elo_diff", "surface_elo_diff", "rank_log_ratio", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED]]
+WHOLE = ["good_form_5", "good_form_10", "prior_wins", "prior_matches", "titles", "gs_titles", "has_h2h", "r0", "r28", "r84", "rank_diff", "rank_trend_4w", "rank_trend_12w", *[f"{s}points_{y}" for s in ("", "surface_") for y in ("1y", "3y")], *kpi.THREE_YEARS, *TRAVEL]
+MISSING = ["surface_rate", "rank_diff", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED]]
+
+
+def _sql() -> str:
+    """The same table put together from the SQL of the families, a join each."""
+    have = registry.oracle_sql_so_far()
+    of = lambda name: f"({have[name]})"
+    travel_sql = registry.oracle("p t", tq.PT + f""" select player_code, tournament_id, days, cast(coalesce(days <= 9, false) as int) as back_to_back, cast(coalesce(days > 9 and days <= 16, false) as int) as two_weeks, cast(coalesce(days >= 21, false) as int) as long_rest, v1 as continent_changed, v2 as country_changed, v3 as surface_changed, v4 as indoor_changed,
+      2.0::double * v1 + v2 + v3 + 0.5::double * v4 as fatigue, cast(coalesce(days <= 9, false) as int) * v1 as red_eye, prev_played, prev_furthest from (select *, date_diff('day', lag(start_dtm) over w, start_dtm) as days, cast(coalesce(continent <> lag(continent) over w, false) as int) as v1, cast(coalesce(country <> lag(country) over w, false) as int) as v2, cast(coalesce(surface <> lag(surface) over w, false) as int) as v3,
+      cast(coalesce(indoor <> lag(indoor) over w, false) as int) as v4, lag(played) over w as prev_played, lag(furthest) over w as prev_furthest from pt window w as (partition by player_code order by start_dtm, tournament_id)) z""")
+    lagged = registry.oracle("q", f"select id, player_code, {', '.join(n for n, *_ in kpi.LAGGED)} from (select *, {kpi.LAGGED_SQL} from {kpi.VALUES_SQL} window w as {kpi.W1}) x")
+    form_sql = registry.oracle("p", f"select * from {FORM} f")
+    won = "p.match_result = 'win'"
+    values = {
+        "rank_log_ratio": "d.rank_log_ratio", "rank_diff": "d.rank_diff", "rank_trend_4w": "tr.trend_4w", "rank_trend_12w": "tr.trend_12w", "surface_rate": "sp.surface_rate",
+        "h2h_rate": "least(0.999, greatest(0.001, (case when p.player_code = h.player_a then h.a_wins else h.met - h.a_wins end + 4.0) / (h.met + 8.0)))", "h2h_credibility": "h.met / (h.met + 8.0)", "has_h2h": "cast(h.met > 0 as int)",
+        "elo_diff": f"case when {won} then e.winner_elo - e.loser_elo else e.loser_elo - e.winner_elo end", "surface_elo_diff": f"case when {won} then s.winner_elo - s.loser_elo else s.loser_elo - s.winner_elo end",
+    }
+    one = lambda c: values.get(c, c if c.startswith("surface_points") else c)
+    cells = [f"round({one(c)}, 5) as {c}" for c in ROUNDED] + [f"{one(c)} as {c}" for c in WHOLE] + [f"cast({one(c)} is null as int) as {c}_was_na" for c in MISSING]
+    joins = [(lagged, "k"), (rq.exact(have["kpi_log_ratios"]), "lr"), (have["per_mille_3y"], "y"), (have["points_windows"], "pw"), (have["career_stats"], "c"), (have["titles_cumulative"], "ti"), (have["rank_asof_shifted"], "r"), (rq.exact(have["rank_differences"]), "d"), (have["rank_trend"], "tr")]
+    return registry.oracle("p", "select p.id, p.player_code, p.opponent_code, cast(p.match_result = 'win' as int) as target, " + ", ".join(cells) + " from p " + " ".join(f"join ({sql}) {a} on {a}.id = p.id and {a}.player_code = p.player_code" for sql, a in joins)
+        + f" join ({form_sql}) f on f.id = p.id and f.player_code = p.player_code left join ({rq.exact(have['surface_progressive'])}) sp on sp.id = p.id and sp.player_code = p.player_code join ({travel_sql}) tv on tv.player_code = p.player_code and tv.tournament_id = p.tournament_id"
+        + f" join {of('h2h_full')} h on h.id = p.id join ({rq.exact(rq.GENERAL)}) e on e.id = p.id join ({rq.exact(rq.surfaces('false'))}) s on s.id = p.id").replace("round(form_5,", "round(f.form_5,")
+
+
+@registry.query_of(_sql)
+def feature_table(spark, sf_dir):
+    return table(spark, sf_dir)

@@ -47,6 +47,22 @@ def query(parts: str = "", select: str | None = None):
     return register
 
 
+def oracle_sql_so_far() -> dict[str, str]:
+    """The SQL of what is registered up to now, for queries that are put together from others."""
+    return dict(_ORACLES)
+
+
+def query_of(sql: Callable[[], str]):
+    """Like query, with SQL that is put together from that of other queries."""
+
+    def register(f):
+        _QUERIES[f.__name__] = f
+        _ORACLES[f.__name__] = sql()
+        return f
+
+    return register
+
+
 def _load() -> None:
     from epochal.plans import feature_queries, kpi_queries, merge_queries, model_queries, page_queries, panel_queries, rating_queries, stream_queries, temporal_queries, text_queries, upkeep_queries  # noqa: F401
 

@@ -20,7 +20,7 @@ def ranked(spark, sf_dir, days=1, name="ranking"):
     """The panel with each player's last ranking at so many days before the match."""
     probe = base(spark, sf_dir).withColumn("probe_date", F.date_sub("start_dtm", days))
     history = tables.rankings(spark, sf_dir).withColumnRenamed("ranking", name)
-    return tp.asof(probe, history, ["player_code"], "probe_date", "snapshot_date", [name], slice_width=365).drop("probe_date")
+    return tp.asof(probe, history, ["player_code"], "probe_date", "snapshot_date", [name]).drop("probe_date")
 
 
 ASOF = "select p.*, rk.ranking as {name} from p asof left join rk on rk.player_code = p.player_code and rk.snapshot_date <= p.start_dtm - {days}"
@@ -37,12 +37,12 @@ def rank_asof_shifted(spark, sf_dir):
 
 
 def shifted(spark, sf_dir):
-    """One union for all three dates: a probe row for each of them, folded back."""
-    p = base(spark, sf_dir)
-    probes = p.select("*", F.explode(F.array(F.lit(1), F.lit(29), F.lit(85))).alias("back")).withColumn("probe_date", F.expr("date_sub(start_dtm, back)"))
-    found = tp.asof(probes, tables.rankings(spark, sf_dir), ["player_code"], "probe_date", "snapshot_date", ["ranking"], slice_width=365)
+    """id, player_code, r0, r28, r84: one union for all three dates, a slim probe row for each of them, folded back."""
+    p = base(spark, sf_dir).select("id", "player_code", "start_dtm")
+    probes = p.select("id", "player_code", F.explode(F.array(F.lit(1), F.lit(29), F.lit(85))).alias("back"), "start_dtm").withColumn("probe_date", F.expr("date_sub(start_dtm, back)"))
+    found = tp.asof(probes, tables.rankings(spark, sf_dir), ["player_code"], "probe_date", "snapshot_date", ["ranking"])
     picked = [F.max(F.when(F.col("back") == b, F.col("ranking"))).alias(n) for b, n in ((1, "r0"), (29, "r28"), (85, "r84"))]
-    return found.groupBy(*p.columns).agg(*picked)
+    return found.groupBy("id", "player_code").agg(*picked)
 
 
 @query("p rk", """select id, player_code, case when r0 is not null and r28 is not null then case when r28 - r0 >= greatest(1, ceil(greatest(r0, r28) * 0.02)) then 1 when r28 - r0 <= -greatest(1, ceil(greatest(r0, r28) * 0.02)) then -1 else 0 end end as trend_4w,
@@ -67,9 +67,7 @@ def rank_differences(spark, sf_dir):
 def rank_best_so_far(spark, sf_dir):
     seeds = tables.rankings(spark, sf_dir).filter("snapshot_date < date '1993-01-01'").groupBy("player_code").agg(F.min("ranking").alias("seed"))
     a = ranked(spark, sf_dir).join(seeds, "player_code", "left")
-    own = a.withColumn("own", tp.running_best(F.col("ranking"), F.col("seed"), ["player_code"], ORDER))
-    w = Window.partitionBy("player_code").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    return own.select("id", "player_code", F.min("own").over(w).alias("best_rank"))
+    return tp.running_best(a, "ranking", "seed", ["player_code"], ORDER, "best_rank").select("id", "player_code", "best_rank")
 
 
 @query("rk pl", """select pl.player_code, pl.turned_pro, min(rk.ranking) as best_rank, count(*) as snapshots from pl join rk on rk.player_code = pl.player_code and extract(year from rk.snapshot_date) between pl.turned_pro and 1998 group by 1, 2""")
