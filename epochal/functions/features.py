@@ -28,6 +28,12 @@ def recoded(key: Column, values: Mapping) -> Column:
     return F.coalesce(mapped(key, values), key)
 
 
+#: Names of courts, rounds and roofs as pages have them, and what they are called here.
+COURTS = {"Outdoor Hard": "Hard", "Indoor Hard": "Hard", "Outdoor Clay": "Clay", "Indoor Clay": "Clay", "Outdoor Grass": "Grass", "Indoor Carpet": "Carpet"}
+ROUNDS = {"Final": "F", "Finals": "F", "Semi-Finals": "SF", "Semifinals": "SF", "Quarter-Finals": "QF", "Quarterfinals": "QF", "Round of 16": "R16", "Round of 32": "R32", "Round of 64": "R64", "Round of 128": "R128", "Round Robin": "RR", "3rd Place Match": "3P", "1st Round Qualifying": "Q1", "2nd Round Qualifying": "Q2", "3rd Round Qualifying": "Q3"}
+ROOFS = {"I": "Indoor", "O": "Outdoor"}
+
+
 def place(label: Column, ladder: Sequence[str]) -> Column:
     """Place of a round on a ladder, from 1; null for an unknown one."""
     return mapped(label, {x: i + 1 for i, x in enumerate(ladder)})

@@ -44,14 +44,23 @@ def games(token: Column) -> Column:
     return F.struct(first.alias("won"), second.alias("lost"), token.startswith("T").alias("tie"))
 
 
-def parsed(score: Column) -> Column:
-    """sets, games and tie-breaks of winner and loser; null where the match has a status."""
+#: Tournament codes with sets to four games, and with deciding tie-breaks as a matter of course.
+SHORT_SETS, DECIDED = "7696", "9210"
+
+
+def parsed(score: Column, code: Column | None = None) -> Column:
+    """sets, games and tie-breaks of winner and loser; null where the match has a status.
+
+    code: the tournament's; where sets go to four games, 4-3 was decided by a tie-break.
+    """
+    short = F.lit(False) if code is None else F.coalesce(code == SHORT_SETS, F.lit(False))
     sets = F.transform(tokens(score), games)
     zero = F.struct(*[F.lit(0).alias(c) for c in ("sets_won", "sets_lost", "games_won", "games_lost", "ties_won", "ties_lost")])
 
     def add(acc, s):
         mine = (s["won"] > s["lost"]).cast("int")
-        close = s["tie"] | ((F.greatest(s["won"], s["lost"]) == 7) & (F.least(s["won"], s["lost"]) == 6))
+        high, low = F.greatest(s["won"], s["lost"]), F.least(s["won"], s["lost"])
+        close = s["tie"] | ((high == 7) & (low == 6)) | (short & (high == 4) & (low == 3))
         counted = F.when(s["tie"], 0).otherwise(1)
         return F.struct(
             (acc["sets_won"] + mine).alias("sets_won"),

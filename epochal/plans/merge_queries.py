@@ -109,11 +109,10 @@ def apply_points_rule(spark, sf_dir):
 def points_by_tournament(spark, sf_dir):
     """A player's points: losers have those of the round they lost in, winners of finals those of the title."""
     p = panel.unpivot(tables.matches(spark, sf_dir)).join(ruled(spark, sf_dir).select("tournament_id", "rule"), "tournament_id")
-    book = rulebook(spark)
-    lost = p.filter("match_result = 'loss'").join(F.broadcast(book.filter("result = 'L'")), [p["rule"] == book["rule"], p["rnd"] == book["stage"]], "left").select("tournament_id", "player_code", "points")
-    titles = book.filter("result = 'W'")
-    won = p.filter("match_result = 'win'").join(F.broadcast(titles), [p["rule"] == titles["rule"], p["rnd"] == titles["stage"]], "left").select("tournament_id", "player_code", "points")
-    return lost.unionByName(won).groupBy("tournament_id", "player_code").agg(F.sum(F.coalesce("points", F.lit(0))).alias("points"))
+    p = p.withColumn("result", F.when(F.col("match_result") == "win", "W").otherwise("L"))
+    book = rulebook(spark).withColumnRenamed("stage", "rnd")
+    scored = p.join(book, ["rule", "rnd", "result"], "left")
+    return scored.groupBy("tournament_id", "player_code").agg(F.sum(F.coalesce("points", F.lit(0))).alias("points"))
 
 
 @query("m", f"""select coalesce(o.tournament_id, s.tournament_id) as tournament_id, case when o.category in ('gs', 'finals') then o.category else coalesce(s.category, o.category) end as category, coalesce(s.n, o.n) as n,

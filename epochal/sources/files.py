@@ -10,6 +10,21 @@ from pyspark.sql import functions as F
 from epochal.operators import panel
 
 
+#: Names that the rank column of a snapshot may have, in the order they are looked for.
+RANK_NAMES = ("player_atp_ranking", "atp_rank", "player_rank", "ranking", "rank")
+
+
+def split_rejects(df: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of the right length, and those of another as they stand (line) with the number of their fields."""
+    bad = df.filter(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("line"), F.size(F.split(corrupt, ",")).alias("fields"))
+    return df.filter(F.col(corrupt).isNull()).drop(corrupt), bad
+
+
+def quiet(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Columns cast to other types; what can't be read is null."""
+    return df.withColumns({c: F.expr(f"try_cast(`{c}` as {kind})") for c, kind in kinds.items()})
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, corrupt: str | None = None) -> DataFrame:
     """CSV with a header by a given schema; rows of another length go to the corrupt column, if it is named."""
     reader = spark.read.option("header", True)
@@ -18,7 +33,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, corrupt: str | None =
     return reader.schema(schema).csv(path)
 
 
-def read_snapshots(spark: SparkSession, path: str, names: Sequence[str] = ("ranking", "rank", "player_rank", "position", "pos")) -> DataFrame:
+def read_snapshots(spark: SparkSession, path: str, names: Sequence[str] = RANK_NAMES) -> DataFrame:
     """player_code, snapshot_date, ranking of rankings_YYYY-MM-DD.csv files; the rank column may have any of the names."""
     raw = spark.read.option("header", True).csv(path)
     raw = panel.first_of(panel.require(raw, "player_code"), names, "ranking")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from itertools import groupby
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from epochal import session
 from epochal.operators import merge
@@ -87,3 +90,39 @@ def upserted(stream: DataFrame, keys: list[str], order: list, since: list[str])
     running = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start()
     running.awaitTermination()
     return spark.read.parquet(f"{target}/v{last[0]}") if last else spark.createDataFrame([], stream.schema)
+
+
+STATE = "user_id long, ts timestamp, event_id long, before double, after double"
+
+
+def rated(stream: DataFrame, lateness: str = "1 hour", step: float = 0.5) -> DataFrame:
+    """user_id, ts, event_id, before, after: a running level of each user, moved by a share of the way to each value.
+
+    All events of a user at one time are a round: they start from the same level, and their moves are
+    applied together. Rows wait in the state until the watermark has passed them, so that they are
+    taken in order whatever their batches; a user's state is one number and the rows that wait.
+    """
+
+    def advance(key, frames, state: GroupState):
+        level, waiting = state.get if state.exists else (0.0, [])
+        waiting = [tuple(w) for w in waiting]
+        if not state.hasTimedOut:
+            for frame in frames:
+                waiting += list(zip(frame["ts"].astype("int64") // 1000, frame["event_id"], frame["value"], strict=True))
+        upto = state.getCurrentWatermarkMs() * 1000
+        ready = sorted(w for w in waiting if w[0] <= upto)
+        out = []
+        for at, group in groupby(ready, key=lambda w: w[0]):
+            group = list(group)
+            moves = [step * (v - level) / len(group) for _, _, v in group]
+            out += [(key[0], pd.Timestamp(at, unit="us"), e, level, level + sum(moves)) for _, e, _ in group]
+            level += sum(moves)
+        waiting = [w for w in waiting if w[0] > upto]
+        state.update((level, waiting))
+        if waiting:
+            state.setTimeoutTimestamp(min(w[0] for w in waiting) // 1000 + 1)
+        yield pd.DataFrame(out, columns=["user_id", "ts", "event_id", "before", "after"])
+
+    slim = stream.select("user_id", "ts", "event_id", "value").filter("value is not null").withWatermark("ts", lateness)
+    kept = "level double, waiting array<struct<at: long, event_id: long, value: double>>"
+    return slim.groupBy("user_id").applyInPandasWithState(advance, STATE, kept, "append", GroupStateTimeout.EventTimeTimeout)

@@ -220,3 +220,73 @@ def test_types(spark, sf):
 
     for name in ("panel_unpivot", "form_last_5_10"):
         assert all(not isinstance(f.dataType, T.NullType) for f in registry.queries()[name](spark, sf).schema)
+
+
+def test_merges_of_chains_many_and_absent(spark):
+    """Olds 2 and 3 go to 1, 4 over 5 to 6, and 8 to 9, which is absent."""
+    rows = [(1, None, None), (2, "x", None), (3, "y", "z"), (4, "a", None), (5, "b", "c"), (6, None, None), (8, "k", None), (7, "q", "r")]
+    codes = spark.createDataFrame([(2, 1), (3, 1), (4, 5), (5, 6), (8, 9)], "old_code int, new_code int")
+    out = merge.merge_entities(spark.createDataFrame(rows, "code int, a string, b string"), codes, "code")
+    assert sorted(map(tuple, out.collect())) == [(1, "x", "z"), (6, "a", "c"), (7, "q", "r"), (9, "k", None)]
+    with pytest.raises(ValueError):
+        merge.resolved(spark.createDataFrame([(1, 2), (2, 1)], "old_code int, new_code int"))
+
+
+def test_upserts_tell_values_apart(spark):
+    """Values that look alike when joined, and nulls against empty texts, are changes."""
+    old = spark.createDataFrame([(1, "a|b", "c"), (2, None, "x"), (3, "s", "t")], "k int, a string, b string")
+    new = spark.createDataFrame([(1, "a", "b|c"), (2, "", "x"), (3, "s", "t")], "k int, a string, b string")
+    assert {r.k: r.action for r in merge.upsert(old, new, ["k"]).collect()} == {1: "update", 2: "update", 3: "noop"}
+    hashes = old.unionByName(new).select(merge.change_hash(["a", "b"]).alias("h")).distinct().count()
+    assert hashes == 5
+
+
+def test_ratings_of_separate_groups(spark):
+    """Players that never meet are folded apart, with the same figures as together."""
+    rows = [(i, i // 3, i % 4 + 10 * (i % 2), (i % 4 + 1) % 4 + 10 * (i % 2), None, "Clay") for i in range(60)]
+    rows = [r for r in rows if r[2] != r[3]]
+    m = spark.createDataFrame(rows, "id long, day int, winner int, loser int, match_ret string, surface string")
+    linked = {r.player: r.group for r in ratings.groups(m).collect()}
+    assert len(set(linked.values())) > 1
+    both = {r.id: tuple(r) for r in ratings.elo_by_round(m, ["day", "id"], ["day"]).collect()}
+    for g in set(linked.values()):
+        mine = [p for p, x in linked.items() if x == g]
+        apart = ratings.elo_by_round(m.filter(m.winner.isin(mine)), ["day", "id"], ["day"]).collect()
+        assert all(both[r.id] == tuple(r) for r in apart)
+
+
+def test_files(spark, tmp_path):
+    """Rows of another length are told apart; any of the rank names is taken; what can't be read is null."""
+    from epochal.sources import files
+
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3\n4,5,6\n")
+    good, bad = files.split_rejects(files.read_csv(spark, str(tmp_path / "a.csv"), "x int, y int", "broken").cache(), "broken")
+    assert [tuple(r) for r in good.collect()] == [(1, 2)] and {r.line: r.fields for r in bad.collect()} == {"3": 1, "4,5,6": 3}
+    for k, name in enumerate(files.RANK_NAMES):
+        (tmp_path / f"s{k}").mkdir()
+        (tmp_path / f"s{k}" / "rankings_2001-02-03.csv").write_text(f"player_code,{name}\nA1,7\nB2,none\n")
+        assert sorted((r.player_code, r.ranking) for r in files.read_snapshots(spark, str(tmp_path / f"s{k}")).collect()) == [("A1", 7), ("B2", None)]
+    assert files.quiet(spark.createDataFrame([("1.5", "x")], "a string, b string"), {"a": "double", "b": "int"}).first() == (1.5, None)
+
+
+def test_short_sets_and_finite(spark):
+    from epochal.functions import features, scores
+
+    df = spark.createDataFrame([("43 34 42", "7696", float("inf")), ("43 34 42", "1", 2.0), ("64 [10-8]", "9210", None)], "s string, code string, x double")
+    rows = df.select(scores.parsed(F.col("s"), F.col("code")).alias("p"), features.finite(F.col("x")).alias("x")).collect()
+    assert [(r.p.ties_won, r.p.ties_lost) for r in rows] == [(1, 1), (0, 0), (1, 0)] and [r.x for r in rows] == [None, 2.0, None]
+
+
+def test_known_in_both(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([(1, 1, 2), (2, None, 3), (3, 4, None)], "id int, player_y int, opponent_y int")
+    seen = Observation()
+    assert [r.id for r in panel.known_in_both(df, "y", watch=seen).collect()] == [1] and seen.get == {"seen": 3, "left_out": 2}
+
+
+def test_runner(spark, sf, tmp_path):
+    from epochal.__main__ import main
+
+    assert main(["players", "--tables", sf, "--out", str(tmp_path / "o")]) == 0
+    assert main(["players", "--tables", str(tmp_path / "none"), "--out", str(tmp_path / "p")]) == 1

@@ -27,3 +27,26 @@ def test_upsert_over_three_batches(spark, sf, tmp_path):
     want = rows.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
     assert int(out.inputFiles()[0].split("/v")[-1].split("/")[0]) == 2
     assert sorted(map(tuple, out.select("user_id", "event_id").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_levels_by_rounds(spark, sf, tmp_path):
+    """Files in any order of time within the lateness: levels are those of a fold in order, rounds at one time together."""
+    rows = spark.read.parquet(f"{sf}/events.parquet").withColumn("ts", F.date_trunc("hour", "ts"))
+    for part in rows.randomSplit([1.0, 1.0, 1.0], seed=4):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    end = rows.agg(F.max("ts")).first()[0]
+    last = rows.limit(1).selectExpr("event_id", f"timestamp_ntz'{end}' + interval 400 days as ts", "-1L as user_id", "event_type", "value", "props")
+    last.select(rows.columns).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))  # read last: its time passes all others
+    out = events.drained(events.rated(events.source(spark, str(tmp_path / "in"), "*.parquet", 1), "400 days"))
+    got = {r.event_id: (round(r.before, 9), round(r.after, 9)) for r in out.filter("user_id >= 0").collect()}
+    want, level = {}, {}
+    by_round = {}
+    for r in rows.filter("value is not null").collect():
+        by_round.setdefault((r.user_id, r.ts), []).append(r)
+    for (user, _), group in sorted(by_round.items()):
+        now = level.get(user, 0.0)
+        after = now + sum(0.5 * (r.value - now) / len(group) for r in sorted(group, key=lambda r: (r.event_id, r.value)))
+        want |= {r.event_id: (round(now, 9), round(after, 9)) for r in group}
+        level[user] = after
+    assert got and all(abs(got[e][0] - want[e][0]) < 1e-6 and abs(got[e][1] - want[e][1]) < 1e-6 for e in got)
+    assert len(got) >= 0.5 * len(want)
