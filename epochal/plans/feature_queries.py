@@ -16,12 +16,13 @@ from epochal.plans import temporal_queries as tq
 from epochal.plans.registry import query
 from epochal.sources import tables
 
-WIN = F.col("match_result") == "win"
+def won():
+    return F.col("match_result") == "win"
 
 
 def form(p: DataFrame) -> DataFrame:
     """Shares of the last five and ten matches, their difference, its size, and a flag for each above 0.7."""
-    p = p.withColumns({f"form_{k}": F.avg(WIN.cast("double")).over(tp.before(["player_code"], tq.ORDER, k)) for k in (5, 10)})
+    p = p.withColumns({f"form_{k}": F.avg(won().cast("double")).over(tp.before(["player_code"], tq.ORDER, k)) for k in (5, 10)})
     return p.withColumns({"form_trend": F.col("form_5") - F.col("form_10"), "consistency": F.abs(F.col("form_5") - F.col("form_10")), "good_form_5": (F.col("form_5") > 0.7).cast("int"), "good_form_10": (F.col("form_10") > 0.7).cast("int")})
 
 
@@ -65,15 +66,15 @@ def table(spark, sf_dir) -> DataFrame:
     """All families in one plan: windows of the player first, which share their exchange, then joins of slim tables by match and
     tournament, and the partner's values last."""
     m = tables.matches(spark, sf_dir)
-    p = kpi.side_panel(spark, sf_dir).withColumn("points", F.when(WIN, F.col("rnd") * 10).otherwise(5))
+    p = kpi.side_panel(spark, sf_dir).withColumn("points", F.when(won(), F.col("rnd") * 10).otherwise(5))
     t = tables.tournaments(spark, sf_dir).select("tournament_id", "category")
     p = p.join(t, "tournament_id")
-    w, title = tp.before(["player_code"], tq.ORDER), ((F.col("rnd") == 11) & WIN).cast("int")
+    w, title = tp.before(["player_code"], tq.ORDER), ((F.col("rnd") == 11) & won()).cast("int")
     played = F.row_number().over(Window.partitionBy("player_code").orderBy(*tq.ORDER)).cast("long") - 1
     p = kpi.points_before(kpi.three_years(kpi.lagged_means(form(p))))
-    p = p.withColumns({"prior_wins": tp.cumulative(WIN.cast("int"), w).cast("long"), "prior_matches": played, "titles": tp.cumulative(title, w).cast("long"), "gs_titles": tp.cumulative(title * (F.col("category") == "gs").cast("int"), w).cast("long")})
+    p = p.withColumns({"prior_wins": tp.cumulative(won().cast("int"), w).cast("long"), "prior_matches": played, "titles": tp.cumulative(title, w).cast("long"), "gs_titles": tp.cumulative(title * (F.col("category") == "gs").cast("int"), w).cast("long")})
     ws = tp.before(["player_code", "surface"], tq.ORDER)
-    on_surface = (1 + tp.cumulative(WIN.cast("int"), ws)) / (2 + F.coalesce(F.count(F.lit(1)).over(ws), F.lit(0))).cast("double")
+    on_surface = (1 + tp.cumulative(won().cast("int"), ws)) / (2 + F.coalesce(F.count(F.lit(1)).over(ws), F.lit(0))).cast("double")
     p = p.withColumn("surface_rate", F.when(F.col("surface").isNotNull(), on_surface))
     trips = travel(tq.player_tournaments(spark, sf_dir)).select("player_code", "tournament_id", *TRAVEL)
     p = p.join(trips, ["player_code", "tournament_id"], "left").join(tq.shifted(spark, sf_dir), ["id", "player_code"])
@@ -82,11 +83,11 @@ def table(spark, sf_dir) -> DataFrame:
     sur = ratings.surface_elo(m, rq.ORDER).select("id", F.col("winner_elo").alias("winner_surface_elo"), F.col("loser_elo").alias("loser_surface_elo"))
     p = kpi.log_ratios(p.join(met, "id").join(elo, "id").join(sur, "id"))
     mine = F.when(F.col("player_code") == F.col("player_a"), F.col("a_wins")).otherwise(F.col("met") - F.col("a_wins"))
-    side = lambda a, b: F.when(WIN, F.col(a) - F.col(b)).otherwise(F.col(b) - F.col(a))
+    side = lambda a, b: F.when(won(), F.col(a) - F.col(b)).otherwise(F.col(b) - F.col(a))
     known = F.col("r0").isNotNull()
     theirs = panel.partner("r0")
     p = p.withColumns({
-        "target": WIN.cast("int"), "h2h_rate": fx.smoothed(mine, F.col("met"), 8.0), "h2h_credibility": fx.credibility(F.col("met"), 8.0), "has_h2h": (F.coalesce("met", F.lit(0)) > 0).cast("int"),
+        "target": won().cast("int"), "h2h_rate": fx.smoothed(mine, F.col("met"), 8.0), "h2h_credibility": fx.credibility(F.col("met"), 8.0), "has_h2h": (F.coalesce("met", F.lit(0)) > 0).cast("int"),
         "elo_diff": side("winner_elo", "loser_elo"), "surface_elo_diff": side("winner_surface_elo", "loser_surface_elo"),
         "rank_diff": theirs - F.col("r0"), "rank_log_ratio": F.when(known & theirs.isNotNull(), F.log(theirs) - F.log("r0")),
         "rank_trend_4w": fx.trend_number(fx.trend(F.col("r0"), F.col("r28"), 0.02)), "rank_trend_12w": fx.trend_number(fx.trend(F.col("r0"), F.col("r84"), 0.05)),
@@ -109,11 +110,11 @@ def _sql() -> str:
       cast(coalesce(indoor <> lag(indoor) over w, false) as int) as v4, lag(played) over w as prev_played, lag(furthest) over w as prev_furthest from pt window w as (partition by player_code order by start_dtm, tournament_id)) z""")
     lagged = registry.oracle("q", f"select id, player_code, {', '.join(n for n, *_ in kpi.LAGGED)} from (select *, {kpi.LAGGED_SQL} from {kpi.VALUES_SQL} window w as {kpi.W1}) x")
     form_sql = registry.oracle("p", f"select * from {FORM} f")
-    won = "p.match_result = 'win'"
+    is_won = "p.match_result = 'win'"
     values = {
         "rank_log_ratio": "d.rank_log_ratio", "rank_diff": "d.rank_diff", "rank_trend_4w": "tr.trend_4w", "rank_trend_12w": "tr.trend_12w", "surface_rate": "sp.surface_rate",
         "h2h_rate": "least(0.999, greatest(0.001, (case when p.player_code = h.player_a then h.a_wins else h.met - h.a_wins end + 4.0) / (h.met + 8.0)))", "h2h_credibility": "h.met / (h.met + 8.0)", "has_h2h": "cast(h.met > 0 as int)",
-        "elo_diff": f"case when {won} then e.winner_elo - e.loser_elo else e.loser_elo - e.winner_elo end", "surface_elo_diff": f"case when {won} then s.winner_elo - s.loser_elo else s.loser_elo - s.winner_elo end",
+        "elo_diff": f"case when {is_won} then e.winner_elo - e.loser_elo else e.loser_elo - e.winner_elo end", "surface_elo_diff": f"case when {is_won} then s.winner_elo - s.loser_elo else s.loser_elo - s.winner_elo end",
     }
     one = lambda c: values.get(c, c if c.startswith("surface_points") else c)
     cells = [f"round({one(c)}, 5) as {c}" for c in ROUNDED] + [f"{one(c)} as {c}" for c in WHOLE] + [f"cast({one(c)} is null as int) as {c}_was_na" for c in MISSING]
