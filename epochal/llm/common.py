@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import tempfile
 import zipfile
 
@@ -119,8 +118,6 @@ def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return some.unionByName(left.join(F.broadcast(hot), key, "left_anti").join(right, key))
 
 
-_WORD = re.compile(r"[^ \t-\r]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
 #: Words that a Python worker remembers at most, and what it holds for one operator or another.
 REMEMBERED = 400_000
 _HELD: dict[str, dict] = {}
@@ -134,13 +131,12 @@ def remembered(name: str) -> dict:
     return _HELD.setdefault(name, {})
 
 
-def lower_words(text: str | None) -> list[str]:
-    """Words of a text with A-Z, and no other letters, lower-cased."""
-    text = text or ""
-    return _WORD.findall(text.lower() if text.isascii() else text.translate(_LOWER))
+def lower_words(text: str | None) -> list[bytes]:
+    """Words of a text, as UTF-8, with A-Z, and no other letters, lower-cased: what bytes do of themselves."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
+def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of words."""
     seen = remembered("hashes")
     try:
@@ -150,5 +146,5 @@ def word_hashes(words: list[str]) -> np.ndarray:
             seen.clear()
         for w in words:
             if w not in seen:
-                seen[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+                seen[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
         return np.array([seen[w] for w in words], "u8")
