@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from epochal import session
+
 #: Fixed pattern: words between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows in an Arrow batch; texts may be long, so batches stay small.
@@ -23,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches, this package on the executors, and a checkpoint folder where the session names none."""
+    """Small Arrow batches (they stay so in the session), this package on the executors, and a checkpoint folder where the session names none."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     checkpoint_dir(spark)
     if spark.sparkContext.applicationId not in _SHIPPED:
@@ -49,12 +51,8 @@ def _package() -> str:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one only if the session has none."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="epochal-"))
-    return named or sc.getCheckpointDir()
+    """The shared folder of the session; a temporary one only on a single machine whose session has none."""
+    return session.shared_folder(spark)
 
 
 def partitions(spark: SparkSession) -> int:
