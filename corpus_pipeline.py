@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again
 as the next stage's docs. All but the last return the columns of documents. Both classifiers are
 fitted on a bounded sample of the labelled rows that a stage is given.
+
+Defined results, stage by stage: null and empty texts are not toxic, are scored for quality like any
+other, are copies of nothing, and are left out of the mix; rows with a null doc_id are kept by the first
+two stages, and by the third as one document of their group; rows that repeat are one group of copies,
+whose rows of the least doc_id all stay, and share the mix evenly; ties in the order of the mix go by
+doc_id; an empty table gives no rows in any stage; columns beyond those of documents, whatever their
+names, are handed on up to the last stage. The mix gives rows in the order of its slots, which Parquet
+keeps within and among its files.
 """
 
 from __future__ import annotations
