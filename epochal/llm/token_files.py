@@ -40,10 +40,9 @@ END, SHARD_IDS, BUCKET = 1, 1 << 27, 16384
 #: Levels of a bucket's hash at most.
 LEVELS = 64
 #: Words and parts of words that a Python worker remembers.
-REMEMBERED = 900_000
+REMEMBERED = 500_000
 #: Header: magic, bytes of an id, number of the shard.
 MAGIC, HEADER, HEADER_BYTES = b"EPOIDS01", "<8sII", 16
-SPLIT = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 #: Words that fall into one run of Latin letters and one of marks: the tokenizer's pattern splits them so too.
 SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*)([!#$%&()*+,\-./:;=?@|~]*)").fullmatch
 
@@ -84,36 +83,43 @@ class Words:
     def alone(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def learn(self, new: list[str], seen: dict[str, bytes]) -> None:
-        """Adds the ids of new words to those seen."""
+    def learn(self, new: set[bytes], seen: dict[bytes, bytes]) -> None:
+        """Adds the ids of new words, and of their parts, to those seen."""
         pairs, want = [], {}
         for w in new:
-            found = SIMPLE(w)
+            text = w.decode("utf-8", "surrogatepass")
+            found = SIMPLE(text)
             if found is None:
-                seen[w] = self.alone(w)
+                seen[w] = self.alone(text)
                 continue
             letters, marks = found.groups()
-            pairs.append((w, letters.lower(), marks))
-        for _, letters, marks in pairs:
-            for part in (letters, marks):
-                if part and part not in seen:
-                    want[part] = None
-        seen.update(zip(want, self.parts(list(want)), strict=True))
-        for w, letters, marks in pairs:
-            seen[w] = (seen[letters] if letters else b"") + (seen[marks] if marks else b"")
+            letters = letters.lower()
+            if marks or letters != text:
+                at, to = letters.encode(), marks.encode()
+                pairs.append((w, at, to))
+                if letters and at not in seen:
+                    want[at] = letters
+                if marks and to not in seen:
+                    want[to] = marks
+            else:
+                want[w] = text
+        seen.update(zip(want, self.parts(list(want.values())), strict=True))
+        seen[b""] = b""
+        for w, at, to in pairs:
+            seen[w] = seen[at] + seen[to]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids and the end id, packed."""
+        """Each text's ids and the end id, packed. Bytes split at ASCII white space only, as this tokenizer does."""
         seen = common.remembered("token files")
-        split = [SPLIT.findall(t) for t in texts]
-        every = set().union(*split) if split else set()
-        new = [w for w in every if w not in seen]
+        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        every = set().union(*split)
+        new = every.difference(seen)
         if len(seen) + len(new) > REMEMBERED:
             seen.clear()
-            new = list(every)
+            new = every
         self.learn(new, seen)
-        end = np.array([END], self.kind).tobytes()
-        return [b"".join([seen[w] for w in words]) + end for words in split]
+        end, get = np.array([END], self.kind).tobytes(), seen.__getitem__
+        return [b"".join(map(get, words)) + end for words in split]
 
 
 @functools.lru_cache(maxsize=2)
@@ -233,6 +239,7 @@ def index(entries: DataFrame, buckets: int) -> DataFrame:
     """One row a bucket: the levels and bits of its hash, the keys listed beside it, and in slot order fingerprints, shards, offsets and numbers of ids."""
 
     def one(group: pa.Table) -> pa.Table:
+        common.remembered("id files")
         keys = group["key"].to_numpy().astype("i8").view("u8")
         sizes, bits, left = build(keys)
         slot = slots(keys, sizes, bits)
@@ -283,6 +290,7 @@ def fetch(found: DataFrame, folder: str) -> DataFrame:
     near = found.repartitionByRange(common.partitions(found.sparkSession), "shard", "at").sortWithinPartitions("shard", "at")
 
     def read(batches):
+        common.remembered("id files")  # a worker that encoded before forgets its words
         where, base = open_folder(folder)
         held, file, width = None, None, 0
         for batch in batches:
