@@ -39,8 +39,9 @@ from . import common
 END, SHARD_IDS, BUCKET = 1, 1 << 27, 16384
 #: Levels of a bucket's hash at most.
 LEVELS = 64
-#: Words and parts of words that a Python worker remembers.
-REMEMBERED = 500_000
+#: Words and parts of words that a Python worker remembers in each of two generations: the older one is
+#: dropped when the younger is full, but for what has been met again meanwhile.
+REMEMBERED = 300_000
 #: Header: magic, bytes of an id, number of the shard.
 MAGIC, HEADER, HEADER_BYTES = b"EPOIDS01", "<8sII", 16
 #: Words that fall into one run of Latin letters and one of marks: the tokenizer's pattern splits them so too.
@@ -83,8 +84,8 @@ class Words:
     def alone(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def learn(self, new: set[bytes], seen: dict[bytes, bytes]) -> None:
-        """Adds the ids of new words, and of their parts, to those seen."""
+    def learn(self, new: set[bytes], seen: dict[bytes, bytes], before: dict[bytes, bytes]) -> None:
+        """Adds the ids of new words, and of their parts, to those seen; parts may be known from before."""
         pairs, want = [], {}
         for w in new:
             text = w.decode("utf-8", "surrogatepass")
@@ -97,10 +98,12 @@ class Words:
             if marks or letters != text:
                 at, to = letters.encode(), marks.encode()
                 pairs.append((w, at, to))
-                if letters and at not in seen:
-                    want[at] = letters
-                if marks and to not in seen:
-                    want[to] = marks
+                for part, as_text in ((at, letters), (to, marks)):
+                    if part and part not in seen:
+                        if part in before:
+                            seen[part] = before[part]
+                        else:
+                            want[part] = as_text
             else:
                 want[w] = text
         seen.update(zip(want, self.parts(list(want.values())), strict=True))
@@ -110,14 +113,17 @@ class Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids and the end id, packed. Bytes split at ASCII white space only, as this tokenizer does."""
-        seen = common.remembered("token files")
+        held = common.remembered("token files")
+        seen, before = held.setdefault("younger", {}), held.setdefault("older", {})
         split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        every = set().union(*split)
-        new = every.difference(seen)
+        new = set().union(*split).difference(seen)
         if len(seen) + len(new) > REMEMBERED:
-            seen.clear()
-            new = every
-        self.learn(new, seen)
+            before, seen = seen, {}
+            held.update(younger=seen, older=before)
+            new = set().union(*split)
+        known = new.intersection(before)
+        seen.update(zip(known, map(before.__getitem__, known), strict=True))
+        self.learn(new - known, seen, before)
         end, get = np.array([END], self.kind).tobytes(), seen.__getitem__
         return [b"".join(map(get, words)) + end for words in split]
 
