@@ -118,6 +118,8 @@ def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 #: Words that a Python worker remembers at most, and what it holds for one operator or another.
 REMEMBERED = 400_000
+#: Words whose hashes it remembers: they are made anew quickly.
+HASHED = 200_000
 _HELD: dict[str, dict] = {}
 
 
@@ -140,7 +142,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     try:
         return np.array([seen[w] for w in words], "u8")
     except KeyError:
-        if len(seen) > REMEMBERED:
+        if len(seen) > HASHED:
             seen.clear()
         for w in words:
             if w not in seen:
