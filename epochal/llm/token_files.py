@@ -47,6 +47,9 @@ MAGIC, HEADER, HEADER_BYTES = b"EPOIDS01", "<8sII", 16
 #: Words that fall into one run of Latin letters and one of marks: the tokenizer's pattern splits them so too.
 SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*)([!#$%&()*+,\-./:;=?@|~]*)").fullmatch
 
+#: The one mark between an ASCII letter and white space.
+MARK = re.compile(rb"([!,\-.:;?)])(?=[\x09-\x0d\x20])(?<=[a-z].)").sub
+
 
 class Words:
     """Encodes texts word by word: white space only separates for this tokenizer, so a text's ids are its words' ids.
@@ -62,15 +65,16 @@ class Words:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
+        self.as_they_are = [b"\xcc", b"\xcd", *(t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def parts(self, new: list[str]) -> list[bytes]:
         """Packed ids of parts, each of them one word to the tokenizer."""
         out = []
-        for lo in range(0, len(new), 4096):
-            some = new[lo : lo + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+        for lo in range(0, len(new), 512):
+            some = new[lo : lo + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(some):  # the tokenizer sees other words than we do: one at a time
                 out += [self.alone(w) for w in some]
@@ -111,11 +115,24 @@ class Words:
         for w, at, to in pairs:
             seen[w] = seen[at] + seen[to]
 
+    def words(self, text: str) -> list[bytes]:
+        """A text's words as UTF-8, split at ASCII white space only, as this tokenizer does.
+
+        It lower-cases and splits off marks itself; done here already where that is plain, fewer words
+        are new. A-Z stay where a combining mark (U+0300 to U+037F) may follow, which makes one character
+        of some small letters but not of the large ones, and where small letters may name a special token.
+        """
+        data = text.encode("utf-8", "surrogatepass")
+        small = data.lower()
+        if not any(x in small for x in self.as_they_are):
+            data = small
+        return MARK(rb" \1", data).split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids and the end id, packed. Bytes split at ASCII white space only, as this tokenizer does."""
+        """Each text's ids and the end id, packed."""
         held = common.remembered("token files")
         seen, before = held.setdefault("younger", {}), held.setdefault("older", {})
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        split = [self.words(t) for t in texts]
         new = set().union(*split).difference(seen)
         if len(seen) + len(new) > REMEMBERED:
             before, seen = seen, {}

@@ -40,6 +40,17 @@ def test_special_marks_and_spaces(spark):
     assert got(df) == want(df)
 
 
+def test_words_split_before_the_tokenizer():
+    """Letters that are made small, marks that are split off, and where neither may be."""
+    texts = ["J\u030c j\u030c", "<|ENDOFTEXT|> A. <|endoftext|>", "Ab, ab., ab- ab -, é, E\u0301, \u212a. K.", "a.\u0338 b a=\u0338 c d.\te!\nf?\x0bg;\x1ch: ", "it's. DON'T, x1. 2, (z) z)) z) .", "İ. ß, SS! \u3000, \ud7ff."]
+    rng = np.random.default_rng(7)
+    some = list("aZ.,'!-) \n\té\u0301<|>1İK") + ["<|endoftext|>", "<|EndOfText|>"]
+    texts += ["".join(rng.choice(some, 60)) for _ in range(400)]
+    tokenizer, encoder = Tokenizer.from_file(PATH), token_files.Words(PATH)
+    for text, packed in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(packed, encoder.kind).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(3).integers(0, 1 << 63, 20_000, dtype=np.uint64)
     keys = np.unique(keys)
