@@ -9,16 +9,19 @@ from epochal.operators import merge, panel
 from epochal.plans.registry import query
 from epochal.sources import tables
 
-OLD = "select winner as code, count(*) as n, min(surface) as surface, cast(max(start_dtm) as varchar) as last_day from m where id % 2 = 0 and winner % 3 <> 0 group by 1"
-NEW = "select winner as code, count(*) as n, min(case when id % 3 = 0 then surface end) as surface, cast(max(start_dtm) as varchar) as last_day from m where id % 4 <> 1 and winner % 5 <> 0 group by 1"
+#: Day from which a winner's matches are new: one in five winners has new ones only, one in five old ones only.
+SINCE = "case winner % 5 when 0 then date '1900-01-01' when 1 then date '2100-01-01' else date '1998-01-01' end"
+OLD = f"select winner as code, count(*) as n, min(surface) as surface, cast(max(start_dtm) as varchar) as last_day from m where start_dtm < {SINCE} group by 1"
+NEW = f"select winner as code, count(*) as n, min(case when winner % 7 <> 3 then surface end) as surface, cast(max(start_dtm) as varchar) as last_day from m where start_dtm >= {SINCE} group by 1"
+ALL = "select winner as code, count(*) as n, min(surface) as surface, cast(max(start_dtm) as varchar) as last_day from m group by 1"
+LAST = F.max("start_dtm").cast("string").alias("last_day")
 
 
 def split(spark, sf_dir):
-    """A target and a source of players, with nulls and keys that either lacks."""
+    """A target and a source of players, of the matches before a day and of all others, with nulls and keys that either lacks."""
     m = tables.matches(spark, sf_dir)
-    last = F.max("start_dtm").cast("string").alias("last_day")
-    old = m.filter("id % 2 = 0 and winner % 3 <> 0").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min("surface").alias("surface"), last)
-    new = m.filter("id % 4 <> 1 and winner % 5 <> 0").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min(F.when(F.col("id") % 3 == 0, F.col("surface"))).alias("surface"), last)
+    old = m.filter(f"start_dtm < {SINCE}").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min("surface").alias("surface"), LAST)
+    new = m.filter(f"start_dtm >= {SINCE}").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min(F.when(F.col("winner") % 7 != 3, F.col("surface"))).alias("surface"), LAST)
     return old, new
 
 
@@ -48,10 +51,10 @@ def merge_stats(spark, sf_dir):
     return merge.upsert(old, new, ["code"], insert=False)
 
 
-@query("m", f"""select a.code, a.n, coalesce(a.surface, b.surface) as surface, a.last_day from (select code, n, case when code % 4 = 1 then null else surface end as surface, last_day from ({OLD}) z where not (code % 10 = 2 and code + 2 in (select code from ({OLD}) y))) a
-  left join (select code + 2 as code, case when code % 4 = 1 then null else surface end as surface from ({OLD}) z where code % 10 = 2) b on b.code = a.code""")
+@query("m", f"""select a.code, a.n, coalesce(a.surface, b.surface) as surface, a.last_day from (select code, n, case when code % 4 = 1 then null else surface end as surface, last_day from ({ALL}) z where not (code % 10 = 2 and code + 2 in (select code from ({ALL}) y))) a
+  left join (select code + 2 as code, case when code % 4 = 1 then null else surface end as surface from ({ALL}) z where code % 10 = 2) b on b.code = a.code""")
 def entity_merge(spark, sf_dir):
-    old, _ = split(spark, sf_dir)
+    old = tables.matches(spark, sf_dir).groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min("surface").alias("surface"), LAST)
     old = old.withColumn("surface", F.when(F.col("code") % 4 != 1, F.col("surface")))
     known = old.select(F.col("code").alias("new_code"))
     codes = old.filter("code % 10 = 2").select(F.col("code").alias("old_code"), (F.col("code") + 2).alias("new_code")).join(known, "new_code", "left_semi")
@@ -117,13 +120,14 @@ def points_by_tournament(spark, sf_dir):
 
 @query("m", f"""select coalesce(o.tournament_id, s.tournament_id) as tournament_id, case when o.category in ('gs', 'finals') then o.category else coalesce(s.category, o.category) end as category, coalesce(s.n, o.n) as n,
   case when o.tournament_id is null then 'insert' when s.tournament_id is not null and (case when o.category in ('gs', 'finals') then o.category else coalesce(s.category, o.category) end is distinct from o.category or coalesce(s.n, o.n) is distinct from o.n) then 'update' else 'noop' end as action
-  from (select tournament_id, case when count(*) % 3 = 0 then 'gs' else '250' end as category, count(*) as n from m where id % 2 = 0 group by 1) o
-  full join (select tournament_id, case when count(*) % 5 = 0 then null else '500' end as category, count(*) as n from m where id % 3 = 0 group by 1) s on s.tournament_id = o.tournament_id""")
+  from (select tournament_id, case when count(*) % 3 = 0 then 'gs' else '250' end as category, count(*) as n from m where rnd < 9 group by 1) o
+  full join (select tournament_id, case when count(*) % 5 = 0 then null else '500' end as category, count(*) as n from m where rnd >= 9 group by 1) s on s.tournament_id = o.tournament_id""")
 def merge_tournaments(spark, sf_dir):
+    """Tournaments as known from their early rounds, and read anew with the late ones; some categories are fixed."""
     m = tables.matches(spark, sf_dir)
     n = F.count("*")
-    old = m.filter("id % 2 = 0").groupBy("tournament_id").agg(F.when(n % 3 == 0, "gs").otherwise("250").alias("category"), n.alias("n"))
-    new = m.filter("id % 3 = 0").groupBy("tournament_id").agg(F.when(n % 5 != 0, "500").alias("category"), n.alias("n"))
+    old = m.filter("rnd < 9").groupBy("tournament_id").agg(F.when(n % 3 == 0, "gs").otherwise("250").alias("category"), n.alias("n"))
+    new = m.filter("rnd >= 9").groupBy("tournament_id").agg(F.when(n % 5 != 0, "500").alias("category"), n.alias("n"))
     fixed = F.when(F.col("old.category").isin("gs", "finals"), F.col("old.category")).otherwise(F.coalesce("new.category", "old.category"))
     return merge.upsert(old, new, ["tournament_id"], {"category": fixed})
 

@@ -69,27 +69,33 @@ def star_view(spark, sf_dir):
     return m.select("id", "winner_name", "loser_name", "country", "category", fx.ordinal_start(F.col("start_dtm"), F.col("rnd")).alias("ord_start"), (F.floor(F.round(months) * 1000 / 12) / 1000).alias("winner_years"), F.when(F.col("match_ret").isNull(), share).alias("won_share"))
 
 
-@query("p", """select coalesce(a.player_code, b.player_code) as player_code, coalesce(a.n, 0) as early, coalesce(b.n, 0) as late, coalesce(b.wins, 0) as late_wins, cast(coalesce(a.n, 0) + coalesce(b.n, 0) <= 20 as int) as low
-  from (select player_code, count(*) n from p where start_dtm < date '1995-01-01' and player_code % 7 <> 0 group by 1) a
-  full join (select player_code, count(*) n, cast(count(*) filter (match_result = 'win') as bigint) wins from p where start_dtm >= date '1995-01-01' and player_code % 5 <> 0 group by 1) b on a.player_code = b.player_code""")
+#: Day that parts a player's early and late rows: one in seven has late ones only, one in seven early ones only.
+LATE = "case player_code % 7 when 0 then date '1900-01-01' when 1 then date '2100-01-01' else date '1998-01-01' end"
+
+
+@query("p", f"""select coalesce(a.player_code, b.player_code) as player_code, coalesce(a.n, 0) as early, coalesce(b.n, 0) as late, coalesce(b.wins, 0) as late_wins, cast(coalesce(a.n, 0) + coalesce(b.n, 0) <= 20 as int) as low
+  from (select player_code, count(*) n from p where start_dtm < {LATE} group by 1) a
+  full join (select player_code, count(*) n, cast(count(*) filter (match_result = 'win') as bigint) wins from p where start_dtm >= {LATE} group by 1) b on a.player_code = b.player_code""")
 def full_outer_counts(spark, sf_dir):
     p = base(spark, sf_dir)
-    early = p.filter("start_dtm < date '1995-01-01' and player_code % 7 <> 0").groupBy("player_code").agg(F.count("*").alias("early"))
-    late = p.filter("start_dtm >= date '1995-01-01' and player_code % 5 <> 0").groupBy("player_code").agg(F.count("*").alias("late"), F.count_if(F.col("match_result") == "win").alias("late_wins"))
+    early = p.filter(f"start_dtm < {LATE}").groupBy("player_code").agg(F.count("*").alias("early"))
+    late = p.filter(f"start_dtm >= {LATE}").groupBy("player_code").agg(F.count("*").alias("late"), F.count_if(F.col("match_result") == "win").alias("late_wins"))
     out = early.join(late, "player_code", "full").fillna(0, ["early", "late", "late_wins"])
     return out.withColumn("low", (F.col("early") + F.col("late") <= 20).cast("int"))
 
 
-@query("m", "select distinct loser as player_code from m where id % 3 = 0 and loser not in (select winner from m where id % 1000 = 7)")
+@query("m", "select distinct loser as player_code from m where start_dtm >= date '1995-01-16' and loser not in (select winner from m where start_dtm < date '1995-01-16')")
 def new_players_anti(spark, sf_dir):
+    """Who loses since a day without having won before it."""
     m = tables.matches(spark, sf_dir)
-    known = m.filter("id % 1000 = 7").select(F.col("winner").alias("player_code"))
-    return m.filter("id % 3 = 0").select(F.col("loser").alias("player_code")).distinct().join(known, "player_code", "left_anti")
+    known = m.filter("start_dtm < date '1995-01-16'").select(F.col("winner").alias("player_code"))
+    return m.filter("start_dtm >= date '1995-01-16'").select(F.col("loser").alias("player_code")).distinct().join(known, "player_code", "left_anti")
 
 
-@query("p", "select id, player_code, match_result from p where player_code in (select winner from m where rnd = 11 and surface = 'Grass' and id % 64 = 1)")
+@query("p", "select id, player_code, match_result from p where player_code in (select winner from m where rnd = 11 and surface = 'Grass' and start_dtm >= date '2001-01-01')")
 def cohort_semi(spark, sf_dir):
-    finalists = tables.matches(spark, sf_dir).filter("rnd = 11 and surface = 'Grass' and id % 64 = 1").select(F.col("winner").alias("player_code"))
+    """All rows of those who won a final on grass in the last year."""
+    finalists = tables.matches(spark, sf_dir).filter("rnd = 11 and surface = 'Grass' and start_dtm >= date '2001-01-01'").select(F.col("winner").alias("player_code"))
     return base(spark, sf_dir).join(finalists, "player_code", "left_semi").select("id", "player_code", "match_result")
 
 

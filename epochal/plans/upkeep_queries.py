@@ -43,14 +43,14 @@ def stats_by_url(spark, sf_dir):
     return u.join(s, "url").select("id", "a", "b")
 
 
-@query("m p pl", """, k as (select player_code, case when player_code % 4 = 0 then null else turned_pro end as turned_pro from pl), d as (select player_code, cast(min(extract(year from start_dtm)) as int) as debut from p where player_code % 8 <> 0 group by 1)
+@query("m p pl", """, k as (select player_code, case when player_code % 4 = 0 then null else turned_pro end as turned_pro from pl), d as (select player_code, case when player_code % 8 <> 0 then cast(min(extract(year from start_dtm)) as int) end as debut from p group by 1)
   select * from (select p.id, p.player_code, coalesce(a.turned_pro, x.debut) as player_turned_pro, coalesce(b.turned_pro, y.debut) as opponent_turned_pro from p left join k a on a.player_code = p.player_code left join k b on b.player_code = p.opponent_code
     left join d x on x.player_code = p.player_code left join d y on y.player_code = p.opponent_code) z where player_turned_pro is not null and opponent_turned_pro is not null""")
 def debut_backfill(spark, sf_dir):
     """The year of a debut fills an unknown one for both roles; rows that still lack one go."""
     p = base(spark, sf_dir)
     known = tables.players(spark, sf_dir).select("player_code", F.when(F.col("player_code") % 4 != 0, F.col("turned_pro")).alias("turned_pro"))
-    debuts = p.filter("player_code % 8 <> 0").groupBy("player_code").agg(F.min(F.year("start_dtm")).alias("debut"))
+    debuts = p.groupBy("player_code").agg(F.when(F.col("player_code") % 8 != 0, F.min(F.year("start_dtm"))).alias("debut"))
     out = panel.filled(panel.attach(p, known, "player_code", ["turned_pro"]), "turned_pro", debuts, "player_code", "debut")
     return panel.known_in_both(out, "turned_pro").select("id", "player_code", "player_turned_pro", "opponent_turned_pro")
 
@@ -239,13 +239,13 @@ def merge_enriched(spark, sf_dir):
     return merge.upsert(old, new, ["id", "player_code"])
 
 
-@query("m", """, o as (select id, case when id % 2 = 0 then '63 62' end as score, case when id % 3 = 0 then '(RET)' end as ret from m where start_dtm < date '1997-01-01'), n as (select id, '64 36 76' as score, match_ret as ret from m where id % 5 = 0)
+@query("m", """, o as (select id, case when id % 2 = 0 then '63 62' end as score, case when id % 3 = 0 then '(RET)' end as ret from m where start_dtm < date '1997-01-01'), n as (select id, '64 36 76' as score, match_ret as ret from m where start_dtm >= date '1996-01-01')
   select coalesce(o.id, n.id) as id, coalesce(n.score, o.score) as score, coalesce(n.ret, o.ret) as ret, case when o.id is null then 'insert' when n.id is not null and (o.score is distinct from n.score or coalesce(n.ret, o.ret) is distinct from o.ret) then 'update' else 'noop' end as action from o full join n on n.id = o.id""")
 def merge_scores(spark, sf_dir):
     """Scores read anew are merged into staged matches: what is new and known replaces, what is missing is put in."""
     m = tables.matches(spark, sf_dir)
     old = m.filter("start_dtm < date '1997-01-01'").select("id", F.when(F.col("id") % 2 == 0, "63 62").alias("score"), F.when(F.col("id") % 3 == 0, "(RET)").alias("ret"))
-    new = m.filter("id % 5 = 0").select("id", F.lit("64 36 76").alias("score"), F.col("match_ret").alias("ret"))
+    new = m.filter("start_dtm >= date '1996-01-01'").select("id", F.lit("64 36 76").alias("score"), F.col("match_ret").alias("ret"))
     return merge.upsert(old, new, ["id"])
 
 
