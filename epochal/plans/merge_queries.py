@@ -14,14 +14,17 @@ SINCE = "case winner % 5 when 0 then date '1900-01-01' when 1 then date '2100-01
 OLD = f"select winner as code, count(*) as n, min(surface) as surface, cast(max(start_dtm) as varchar) as last_day from m where start_dtm < {SINCE} group by 1"
 NEW = f"select winner as code, count(*) as n, min(case when winner % 7 <> 3 then surface end) as surface, cast(max(start_dtm) as varchar) as last_day from m where start_dtm >= {SINCE} group by 1"
 ALL = "select winner as code, count(*) as n, min(surface) as surface, cast(max(start_dtm) as varchar) as last_day from m group by 1"
-LAST = F.max("start_dtm").cast("string").alias("last_day")
+
+
+def last_day():
+    return F.max("start_dtm").cast("string").alias("last_day")
 
 
 def split(spark, sf_dir):
     """A target and a source of players, of the matches before a day and of all others, with nulls and keys that either lacks."""
     m = tables.matches(spark, sf_dir)
-    old = m.filter(f"start_dtm < {SINCE}").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min("surface").alias("surface"), LAST)
-    new = m.filter(f"start_dtm >= {SINCE}").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min(F.when(F.col("winner") % 7 != 3, F.col("surface"))).alias("surface"), LAST)
+    old = m.filter(f"start_dtm < {SINCE}").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min("surface").alias("surface"), last_day())
+    new = m.filter(f"start_dtm >= {SINCE}").groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min(F.when(F.col("winner") % 7 != 3, F.col("surface"))).alias("surface"), last_day())
     return old, new
 
 
@@ -54,7 +57,7 @@ def merge_stats(spark, sf_dir):
 @query("m", f"""select a.code, a.n, coalesce(a.surface, b.surface) as surface, a.last_day from (select code, n, case when code % 4 = 1 then null else surface end as surface, last_day from ({ALL}) z where not (code % 10 = 2 and code + 2 in (select code from ({ALL}) y))) a
   left join (select code + 2 as code, case when code % 4 = 1 then null else surface end as surface from ({ALL}) z where code % 10 = 2) b on b.code = a.code""")
 def entity_merge(spark, sf_dir):
-    old = tables.matches(spark, sf_dir).groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min("surface").alias("surface"), LAST)
+    old = tables.matches(spark, sf_dir).groupBy(F.col("winner").alias("code")).agg(F.count("*").alias("n"), F.min("surface").alias("surface"), last_day())
     old = old.withColumn("surface", F.when(F.col("code") % 4 != 1, F.col("surface")))
     known = old.select(F.col("code").alias("new_code"))
     codes = old.filter("code % 10 = 2").select(F.col("code").alias("old_code"), (F.col("code") + 2).alias("new_code")).join(known, "new_code", "left_semi")
