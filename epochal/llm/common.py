@@ -123,10 +123,10 @@ HASHED = 200_000
 _HELD: dict[str, dict] = {}
 
 
-def remembered(name: str) -> dict:
-    """The memory of one operator in this Python worker; what it held for others goes, so that workers stay small."""
+def remembered(name: str, *beside: str) -> dict:
+    """The memory of one operator in this Python worker; what it held for others, but those beside, goes, so that workers stay small."""
     for other, held in _HELD.items():
-        if other != name and held:
+        if other != name and held and other not in beside:
             held.clear()
     return _HELD.setdefault(name, {})
 

@@ -6,7 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, merkle, mixing, neardup, pitman_yor, quality, sql, tiff, token_files, toxicity
+from . import bpe, common, licenses, merkle, mixing, neardup, pitman_yor, prefix_bpe, quality, sql, tiff, token_files, toxicity
 
 
 def op1_mixing(spark, sf_dir):
@@ -51,6 +51,10 @@ def op10_tiff(spark, sf_dir):
     return tiff.digests(common.table(spark, sf_dir))
 
 
+def op12_prefix_bpe(spark, sf_dir):
+    return prefix_bpe.digests(common.table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries():
     return {
         "op1_mixing": op1_mixing,
@@ -63,6 +67,7 @@ def queries():
         "op8_token_files": op8_token_files,
         "op9_pitman_yor": op9_pitman_yor,
         "op10_tiff": op10_tiff,
+        "op12_prefix_bpe": op12_prefix_bpe,
         "pipeline": corpus_pipeline.run,
     }
 
