@@ -133,7 +133,7 @@ class Codec:
         self.cutter = Tokenizer.from_file(path).pre_tokenizer
         self.newer = self._newer()
 
-    def _newer(self) -> str:
+    def _newer(self) -> frozenset[str]:
         """Letters and numbers of the pattern's Unicode tables that the library doesn't take for such."""
         points = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
         found = []
@@ -142,14 +142,10 @@ class Codec:
             joined = "".join(f" {mark}{c}" for c in some)
             alone = {joined[lo + 2] for _, (lo, hi) in self.cutter.pre_tokenize_str(joined) if hi - lo == 2 and joined[lo] == " "}
             found += alone & set(some)
-        return "".join(sorted(found))
-
-    @functools.cached_property
-    def has_newer(self):
-        return regex.compile("[" + regex.escape(self.newer) + "]").search if self.newer else lambda text: None
+        return frozenset(found)
 
     def pretokens(self, text: str) -> list[str]:
-        if self.newer and not text.isascii() and max(text) >= self.newer[0] and self.has_newer(text):
+        if not text.isascii() and not self.newer.isdisjoint(text):
             return [text[lo:hi] for lo, hi in _joined(at for _, at in self.cutter.pre_tokenize_str(text))]
         return self.find(text)
 

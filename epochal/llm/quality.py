@@ -151,14 +151,15 @@ def flat(rows):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> DataFrame:
-    """text, label of at most sample labelled rows of each label whose doc_id is not held out, by hash order of doc_id."""
+    """text, label of at most sample labelled rows of each label whose doc_id is not held out, by hash order of doc_id. Of several texts of
+    one doc_id the one with the least hash counts (then the least text), in whatever order rows come."""
     known = labels.select("doc_id", F.col(label).alias("label")).filter(F.col("label").isin(0, 1) & (common.crc_mod(F.col("doc_id"), 5) != 0))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     picked = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     ids = picked[0].unionByName(picked[1])
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 x sample ids
-    return texts.dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    return texts.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", "label")
 
 
 def within(rows: DataFrame, size: str, most: int) -> list:

@@ -1,22 +1,22 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows.
 
 The lexicon holds terms, stems that stand for every word they begin, and repeated stems, which count
-only where a text has them often (at least twice, and once in RARE words). It is the default one and
-what a bounded sample of labelled rows adds: words that many toxic rows and hardly any others have, then,
-by greedy cover, words and stems of the toxic rows that are left, TERMS entries at most, picked from the
-POOL most frequent. A word is run through the trie with the states of a Levenshtein automaton (rows of
+only where a text has them often (at least twice, and once in RARE words). All are learned from a
+bounded sample of labelled rows: words that many toxic rows and hardly any others have, then, by greedy
+cover, words and stems of the toxic rows that are left, as long as one newly covers COVER rows or more. A word is run through the trie with the states of a Levenshtein automaton (rows of
 edit distances, cut where all exceed the limit), which finds terms that it equals or misspells by one
 edit; stems are not misspelt. Each hit is weighed by its window: quotation marks, words of reporting
 and address near it. A logistic model of the hits' counts, shares and windows gives the score.
 
 Defined results: a null or empty text has no hits and scores the model's base; rows that repeat get
-equal scores; a null doc_id is scored and is not held out; without labels of both kinds the default
-lexicon and weights are used; an empty table gives no rows; other columns are not read.
+equal scores; a null doc_id is scored and is not held out; without labels of both kinds the lexicon is
+empty, so that all texts score the base of the weights; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 from collections import Counter
 
@@ -29,12 +29,11 @@ from . import common, quality
 
 #: Labelled rows of each label that the fit takes at most.
 SAMPLE = 5000
-#: Terms at most, toxic texts that a term must newly cover, share of toxic texts among those with it,
+#: Toxic texts that a term must newly cover, share of toxic texts among those with it,
 #: and the share of all toxic texts that makes a word a term of itself.
-TERMS, COVER, PURE, COMMON = 400, 4, 0.95, 0.02
-#: Entries from which the lexicon is chosen at most; the share of toxic texts that a repeated stem needs;
-#: words in which it stands once at least.
-POOL, PURE_REPEATED, RARE = 20_000, 0.9, 250
+COVER, PURE, COMMON = 4, 0.95, 0.02
+#: The share of toxic texts that a repeated stem needs; words in which it stands once at least.
+PURE_REPEATED, RARE = 0.9, 250
 #: Words that stand in toxic rows by chance alone: about so many are looked at, and fewer than one in
 #: a hundred such samples may learn one.
 CHANCE = 1e-7
@@ -45,8 +44,6 @@ STEM, LONGEST, FUZZY = 4, 7, 5
 THRESHOLD = 0.5
 #: Words on either side that a hit's window spans.
 WINDOW = 6
-#: Used where nothing can be learned.
-DEFAULT = ("idiot", "moron", "stupid", "scum", "loser", "worthless", "pathetic", "disgusting", "trash", "clown")
 QUOTES = frozenset("\"'“”‘’«»„`")
 REPORT = frozenset("said says wrote writes quote quoted quotes called reported stated word words term phrase".split())
 ADDRESS = frozenset("you your yours youre u ur".split())
@@ -172,7 +169,7 @@ def features(lexicon: Lexicon, text: str | None) -> list[float]:
 
 
 class Model:
-    def __init__(self, terms=DEFAULT, stems=(), clean=(), repeated=(), weights=None):
+    def __init__(self, terms=(), stems=(), clean=(), repeated=(), weights=None):
         self.terms, self.stems, self.clean, self.repeated = tuple(terms), tuple(stems), tuple(clean), tuple(repeated)
         self.weights = PRIOR if weights is None else weights
 
@@ -197,7 +194,7 @@ def candidates(text: str) -> set[str]:
     return {*counts, *[s + "*" for s in stems], *[s + "**" for s, n in stems.items() if n > 1 and n * RARE >= len(found)]}
 
 
-def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pure: float = PURE, common_share: float = COMMON, default=DEFAULT) -> tuple[list[str], list[str], list[str]]:
+def learn_lexicon(sample: DataFrame, cover: int = COVER, pure: float = PURE, common_share: float = COMMON) -> tuple[list[str], list[str], list[str]]:
     """Terms, stems and repeated stems that cover the toxic texts of the (bounded) sample and keep off the others.
 
     Texts that are near copies bring the same rare words; a term counts only for the texts that no
@@ -221,7 +218,7 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pur
     counts = sample.mapInArrow(count, "term string, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("good"))
     needed = F.when(F.col("term").endswith("**"), PURE_REPEATED).otherwise(pure)
     good = counts.filter((F.col("bad") >= cover) & (F.col("bad") >= needed * (F.col("bad") + F.col("good"))))
-    picked = good.orderBy(F.desc("bad"), "good", F.length("term").desc(), "term").limit(POOL).collect()
+    picked = good.collect()  # of the (bounded) sample
     known = {r.term: (r.bad, r.good) for r in picked}
 
     def meet(batches):
@@ -241,19 +238,19 @@ def learn_lexicon(sample: DataFrame, terms: int = TERMS, cover: int = COVER, pur
         if sum(t.startswith(stem.rstrip("*")) for t in often) >= FAMILY:
             chosen.append(stem)
             often = [t for t in often if not t.startswith(stem.rstrip("*"))]
-    chosen = (chosen + sorted(often, key=lambda t: (-len(holds[t]), t)))[:terms]
+    chosen += sorted(often, key=lambda t: (-len(holds[t]), t))
     covered = set().union(*[holds[t] for t in chosen])
-    left = {t: s - covered for t, s in holds.items() if t not in chosen}
-    while left and len(chosen) < terms:
-        worth = lambda t: (len(left[t]) - 5 * known[t][1], not t.endswith("*"), -len(t), t)
-        best = max(left, key=worth)
-        if worth(best)[0] < cover:
-            break
-        covered = left.pop(best)
-        chosen.append(best)
-        left = {t: rest for t, s in left.items() if len(rest := s - covered) >= cover}
-    impure = {r.term for r in counts.filter(F.col("term").isin(*default) & (F.col("bad") < pure * (F.col("bad") + F.col("good")))).collect()}
-    chosen += [t for t in default if t not in impure and t not in chosen]
+    offer = lambda t, new: (5 * known[t][1] - len(new), t.endswith("*"), len(t), t)
+    heap = [offer(t, s - covered) for t, s in holds.items() if t not in set(chosen)]
+    heapq.heapify(heap)
+    while heap and -heap[0][0] >= cover:  # what a term newly covers only falls, so an offer that still stands is the best
+        was = heapq.heappop(heap)
+        now = offer(was[3], holds[was[3]] - covered)
+        if now == was:
+            chosen.append(was[3])
+            covered |= holds[was[3]]
+        elif -now[0] >= cover:
+            heapq.heappush(heap, now)
     stars = lambda k: sorted(t.rstrip("*") for t in chosen if len(t) - len(t.rstrip("*")) == k)
     return stars(0), stars(1), stars(2)
 
@@ -276,10 +273,10 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.002, steps: int =
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, default=DEFAULT) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     common.prepare(docs.sparkSession)
     chosen = quality.labelled_sample(docs, labels, "toxic", sample).select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int")).checkpoint()  # bounded by the sample
-    terms, stems, repeated = learn_lexicon(chosen, default=default)
+    terms, stems, repeated = learn_lexicon(chosen)
     if not terms and not stems and not repeated:
         return Model()
 

@@ -146,3 +146,13 @@ def test_odd_and_empty(spark, odd, empty, labels, which):
     assert which.keep(odd, model).columns == odd.columns
     nulls = spark.createDataFrame([(None, None, None), (1, None, None)], "doc_id long, quality int, toxic int")
     which.fit(odd, nulls)
+
+
+def test_sample_is_the_same_in_any_order(spark):
+    """Of several texts of one doc_id the sample has the same one, however rows are dealt."""
+    rows = [(i % 40, f"text {i * 7919 % 400} of {i % 40}") for i in range(400)] + [(i % 40, None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    pick = lambda d: sorted(map(tuple, quality.labelled_sample(d, labels, "toxic", 100).collect()), key=str)
+    once = pick(docs)
+    assert once == pick(docs.repartition(7)) == pick(docs.orderBy("text").repartition(3, "text")) and len({r[0] for r in once}) == len(once)
