@@ -6,7 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, merkle, mixing, neardup, pitman_yor, prefix_bpe, quality, sql, tiff, token_files, toxicity
+from . import bpe, common, licenses, manifest, merkle, mixing, neardup, pitman_yor, prefix_bpe, quality, sql, tiff, token_files, toxicity
 
 
 def op1_mixing(spark, sf_dir):
@@ -55,6 +55,10 @@ def op12_prefix_bpe(spark, sf_dir):
     return prefix_bpe.digests(common.table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_manifest(spark, sf_dir):
+    return manifest.tampered(common.table(spark, sf_dir))
+
+
 def queries():
     return {
         "op1_mixing": op1_mixing,
@@ -68,6 +72,7 @@ def queries():
         "op9_pitman_yor": op9_pitman_yor,
         "op10_tiff": op10_tiff,
         "op12_prefix_bpe": op12_prefix_bpe,
+        "op13_manifest": op13_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
