@@ -103,7 +103,7 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return joined.select(*df.columns, (F.col("_in") + F.col("_to")).alias(name))
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str | list[str]) -> DataFrame:
     """Inner join of left (pinned, any number of rows a key) with right (one row a key), such that no task gets a hot key.
 
     Keys with more than a quarter of an even part are at most four a part: their rows stay where they are

@@ -6,7 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import bpe, common, licenses, manifest, merkle, mixing, neardup, pitman_yor, prefix_bpe, quality, sql, tiff, token_files, toxicity
+from . import bpe, common, licenses, manifest, merkle, mixing, neardup, pitman_yor, prefix_bpe, prefix_trie, quality, sql, tiff, token_files, toxicity
 
 
 def op1_mixing(spark, sf_dir):
@@ -51,6 +51,10 @@ def op10_tiff(spark, sf_dir):
     return tiff.digests(common.table(spark, sf_dir))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(common.table(spark, sf_dir, "conversations"))
+
+
 def op12_prefix_bpe(spark, sf_dir):
     return prefix_bpe.digests(common.table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -71,6 +75,7 @@ def queries():
         "op8_token_files": op8_token_files,
         "op9_pitman_yor": op9_pitman_yor,
         "op10_tiff": op10_tiff,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_prefix_bpe": op12_prefix_bpe,
         "op13_manifest": op13_manifest,
         "pipeline": corpus_pipeline.run,
