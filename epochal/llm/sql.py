@@ -83,5 +83,48 @@ select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_base, 0) as n_ba
     )
 
 
+def crc32(number: str) -> str:
+    """Unsigned crc32 of a number's decimal text."""
+    digits = f"list_transform(string_split(cast({number} as varchar), ''), lambda x: ord(x)::bigint)"
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {digits}), lambda c, b: {bits}), 4294967295)"
+
+
+def _leaf(columns: list[str]) -> str:
+    return "sha256(concat(" + ", ".join(f"case when {c} is null then '-' else concat(octet_length(encode(cast({c} as varchar))), ':', cast({c} as varchar)) end" for c in columns) + "))"
+
+
+OP11 = f"""with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place from conversations where conv_id is not null),
+  c as (select distinct conv_id, conv_id - conv_id % 5 as head, {crc32('conv_id')} % 9 as shared from t),
+  r as (select c.conv_id, place - 8 as pos, role, text from c join t on t.conv_id = c.head where place < shared union all select conv_id, place, role, text from t join c using (conv_id) where place >= shared),
+  o as (select conv_id, row_number() over w as depth, string_agg(sha256(role) || sha256(text), '') over w as key, octet_length(encode(text)) as bytes from r window w as (partition by conv_id order by pos)),
+  p as (select * from o union all select conv_id, 0, '', 0 from c),
+  m as (select key, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes from p group by key, depth),
+  k as (select left(key, 128 * (depth - 1)) as key, count(*) as n_children from m where depth > 0 group by 1),
+  n as (select m.*, coalesce(n_children, 0) as n_children from m left join k using (key)),
+  u as (select left(key, 128 * i) as key, sum(cast(n_children = 0 as int)) as n_leaves, sum((n_convs - 1) * bytes) as saved_tokens from (select *, unnest(range(depth + 1)) as i from n) x group by 1),
+  e as (select key, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as ends_sha256 from (select conv_id, arg_max(key, depth) as key from p group by conv_id) x group by key)
+select n.conv_id, n.depth, a.conv_id as parent_conv_id, n.n_convs, n.n_children, cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens, coalesce(ends_sha256, sha256('')) as ends_sha256
+  from n join u on u.key = n.key left join e on e.key = n.key left join n a on n.depth > 0 and a.key = left(n.key, 128 * (n.depth - 1))"""
+
+_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+OP13 = f"""with recursive l as (select *, coalesce('1' || source, '0') as tree, {_leaf(_COLUMNS)} as leaf, case when {crc32('doc_id')} % 2 = 0 then {_leaf([*_COLUMNS[:-1], "replace(text, chr(10), '')"])} end as changed from documents),
+  d as (select row_number() over () as rid, tree, doc_id, leaf, coalesce(changed, leaf) as held, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by tree) as n from l),
+  b(tree, step, pos, n, digest) as (select tree, 0, pos, n, leaf from d
+    union all select tree, step + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' order by pos)) from b where n > 1 group by tree, step, pos // 3),
+  s as (select tree, digest as subroot, row_number() over (order by tree) - 1 as pos, count(*) over () as n from b where n = 1),
+  u(step, pos, n, digest) as (select 0, pos, n, subroot from s
+    union all select step + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' order by pos)) from u where n > 1 group by step, pos // 3),
+  p(rid, tree, step, pos, n, held, proof) as (select rid, tree, 0, pos, n, held, '' from d
+    union all select p.rid, any_value(p.tree), any_value(p.step) + 1, any_value(p.pos) // 3, (any_value(p.n) + 2) // 3, sha256(string_agg(case when b.pos = p.pos then p.held else b.digest end, '' order by b.pos)),
+      any_value(p.proof) || coalesce(string_agg(b.digest, '' order by b.pos) filter (b.pos <> p.pos), '') from p join b on b.tree = p.tree and b.step = p.step and b.pos // 3 = p.pos // 3 where p.n > 1 group by p.rid),
+  q(rid, step, pos, n, held, proof) as (select rid, 0, s.pos, s.n, held, proof from p join s using (tree) where p.n = 1
+    union all select q.rid, any_value(q.step) + 1, any_value(q.pos) // 3, (any_value(q.n) + 2) // 3, sha256(string_agg(case when u.pos = q.pos then q.held else u.digest end, '' order by u.pos)),
+      any_value(q.proof) || coalesce(string_agg(u.digest, '' order by u.pos) filter (u.pos <> q.pos), '') from q join u on u.step = q.step and u.pos // 3 = q.pos // 3 where q.n > 1 group by q.rid)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, q.held as folded_root, q.held = root as verified
+  from q join d using (rid) join s on s.tree = d.tree cross join (select digest as root from u where n = 1) r where q.n = 1"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op3_merkle": OP3, "op4_neardup": OP4, "op7_licenses": op7()}
+    return {"op1_mixing": OP1, "op3_merkle": OP3, "op4_neardup": OP4, "op7_licenses": op7(), "op11_prefix_trie": OP11, "op13_manifest": OP13}
