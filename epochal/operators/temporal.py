@@ -1,4 +1,4 @@
-"""Point-in-time operators: as-of joins, lagged frames, range statistics without leaks."""
+"""Point-in-time operators: as-of joins and lagged frames without leaks."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from epochal.operators import scans
+
 
 def asof(probe: DataFrame, history: DataFrame, keys: Sequence[str], probe_time: str, history_time: str, values: Sequence[str], strict: bool = False, tie: Sequence[str] = (), slice_width: int | None = None) -> DataFrame:
     """Adds to each probe row the values of the last history row of its keys at or before its time.
@@ -15,7 +17,7 @@ def asof(probe: DataFrame, history: DataFrame, keys: Sequence[str], probe_time:
     strict: before its time only. History rows of one time are taken in the order of tie, the last
     wins. Both sides are joined in one sort per key, never as a range join. slice_width: with
     integer or date times, keys are split into slices of that many units (days), and the last row of
-    the slices before is carried over, so that a key with very many rows is spread.
+    the slices before is carried over as the slice's first row, so that a key with very many rows is spread.
     """
     at, value = "_at", F.struct(*[F.col(c) for c in values])
     old = history.select(*keys, F.col(history_time).alias(at), F.lit(1 if strict else 0).alias("_side"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie)], value.alias("_value"))
@@ -25,15 +27,13 @@ def asof(probe: DataFrame, history: DataFrame, keys: Sequence[str], probe_time:
     parts = list(keys)
     if slice_width:
         number = F.datediff(F.col(at), F.lit("1970-01-01")) if dict(both.dtypes)[at] == "date" else F.col(at)
-        both, parts = both.withColumn("_slice", F.floor(number / slice_width)), [*keys, "_slice"]
+        both, parts = both.withColumns({"_slice": F.floor(number / slice_width), "_kind": F.lit(1)}), [*keys, "_slice"]
+        ends = both.groupBy(*parts).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_value"))
+        ahead = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.select(*parts, F.last("_value", ignorenulls=True).over(ahead).alias("_value"), F.lit(0).alias("_kind"))
+        both, order = both.unionByName(carried, allowMissingColumns=True), [F.col("_kind"), *order]
     so_far = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = both.withColumn("_last", F.last("_value", ignorenulls=True).over(so_far))
-    if slice_width:
-        ends = both.filter("_value is not null").groupBy(*parts).agg(F.max_by("_value", F.struct(*order)).alias("_end"))
-        ends = ends.unionByName(both.select(*parts).distinct(), allowMissingColumns=True).groupBy(*parts).agg(F.max("_end").alias("_end"))
-        before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        carried = ends.select(*parts, F.last("_end", ignorenulls=True).over(before).alias("_carried"))
-        found = found.join(carried, parts).withColumn("_last", F.coalesce("_last", "_carried"))
     return found.filter("_row is not null").select("_row.*", *[F.col(f"_last.{c}").alias(c) for c in values])
 
 
@@ -52,12 +52,16 @@ def exposed_mean(value: Column, window: WindowSpec, least: int = 1) -> Column:
     return F.when(F.count(value).over(window) >= least, F.avg(value).over(window))
 
 
-def running_best(df: DataFrame, rank: str, seed: str | None, partition: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
-    """Adds the smallest rank up to the current row; with a seed, the first row of a partition has it instead of its own rank."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    own = F.col(rank) if seed is None else F.when(F.row_number().over(w) == 1, F.col(seed)).otherwise(F.col(rank))
-    best = df.withColumn("_own", own).withColumn(name, F.min("_own").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return best.drop("_own")
+def running_best(df: DataFrame, rank: str, seed: str | None, partition: Sequence[str], order: Sequence[str], name: str, block: Column | None = None) -> DataFrame:
+    """Adds the smallest rank up to the current row; with a seed, the first row of a partition has it instead of its own rank.
+    block: a stretch of time that rises with the order, by which partitions are scanned in two levels."""
+    block = F.lit(0) if block is None else block
+    own = F.col(rank)
+    if seed is not None:
+        df = scans.before(df, partition, block, order, {"_earlier": F.lit(1)})
+        own = F.when(F.col("_earlier") == 0, F.col(seed)).otherwise(own)
+    best = scans.before(df.withColumn("_own", own), partition, block, order, least={"_best": F.col("_own")})
+    return best.withColumn(name, F.least("_best", "_own")).drop("_own", "_best", "_earlier")
 
 
 def never_rises(df: DataFrame, partition: Sequence[str], order: Sequence[Column | str], value: str, name: str) -> DataFrame:
@@ -68,15 +72,6 @@ def never_rises(df: DataFrame, partition: Sequence[str], order: Sequence[Column
     return steps.groupBy(*partition).agg(F.coalesce(F.bool_and("_falls"), F.lit(True)).alias(name))
 
 
-def range_sums(panel: DataFrame, partition: Sequence[str], day: str, hour_order: str, values: dict[str, Column], days: int) -> DataFrame:
-    """Adds, for each name, the sum over rows from days before the current day up to, but not with, the
-    current hour order (day * 24 + hour). The lower bound counts days and the upper one hours, so it is
-    the difference of two running sums, each with a constant frame; exact for integers."""
-    upto = Window.partitionBy(*partition).orderBy(hour_order).rangeBetween(Window.unboundedPreceding, -1)
-    gone = Window.partitionBy(*partition).orderBy(day).rangeBetween(Window.unboundedPreceding, -days - 1)
-    return panel.withColumns({k: F.coalesce(F.sum(v).over(upto), F.lit(0)) - F.coalesce(F.sum(v).over(gone), F.lit(0)) for k, v in values.items()})
-
-
 def previous_event(df: DataFrame, partition: Sequence[str], date: str, value: str, name: str) -> DataFrame:
     """Adds the largest value of the last earlier date of a partition (events on one date don't precede each other)."""
     dates = df.groupBy(*partition, date).agg(F.max(value).alias("_value"))

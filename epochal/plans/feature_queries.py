@@ -7,22 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from epochal.functions import features as fx
-from epochal.operators import panel, ratings
+from epochal.operators import panel, ratings, scans
 from epochal.operators import temporal as tp
 from epochal.plans import kpi_queries as kpi
 from epochal.plans import rating_queries as rq
 from epochal.plans import registry
 from epochal.plans import temporal_queries as tq
 from epochal.plans.registry import query
+from epochal.plans.temporal_queries import won
 from epochal.sources import tables
 
-def won():
-    return F.col("match_result") == "win"
-
 
 def form(p: DataFrame) -> DataFrame:
     """Shares of the last five and ten matches, their difference, its size, and a flag for each above 0.7."""
-    p = p.withColumns({f"form_{k}": F.avg(won().cast("double")).over(tp.before(["player_code"], tq.ORDER, k)) for k in (5, 10)})
+    p = tq.form_shares(p)
     return p.withColumns({"form_trend": F.col("form_5") - F.col("form_10"), "consistency": F.abs(F.col("form_5") - F.col("form_10")), "good_form_5": (F.col("form_5") > 0.7).cast("int"), "good_form_10": (F.col("form_10") > 0.7).cast("int")})
 
 
@@ -57,7 +55,7 @@ def travel(t: DataFrame) -> DataFrame:
   join (""" + tq.ASOF.format(name="ranking", days=1) + """) r on r.id = b.id and r.match_result = b.match_result) select a.id, a.player_code, case when a.ranking > 0 and a.best_rank > 0 then round(ln(a.ranking) - ln(a.best_rank), 6) end as distance_to_peak, case when b.ranking > 0 and b.best_rank > 0 then round(ln(b.ranking) - ln(b.best_rank), 6) end as opponent_distance_to_peak from a join a b on a.id = b.id and a.match_result <> b.match_result""")
 def rank_peak_distance(spark, sf_dir):
     seeds = tables.rankings(spark, sf_dir).filter("snapshot_date < date '1993-01-01'").groupBy("player_code").agg(F.min("ranking").alias("seed"))
-    a = tp.running_best(tq.ranked(spark, sf_dir).join(seeds, "player_code", "left"), "ranking", "seed", ["player_code"], tq.ORDER, "best_rank")
+    a = tp.running_best(tq.ranked(spark, sf_dir).join(seeds, "player_code", "left"), "ranking", "seed", ["player_code"], tq.ORDER, "best_rank", tq.month())
     a = a.withColumn("far", fx.log_distance(F.col("ranking"), F.col("best_rank")))
     return a.select("id", "player_code", F.round("far", 6).alias("distance_to_peak"), F.round(panel.partner("far"), 6).alias("opponent_distance_to_peak"))
 
@@ -69,12 +67,11 @@ def table(spark, sf_dir) -> DataFrame:
     p = kpi.side_panel(spark, sf_dir).withColumn("points", F.when(won(), F.col("rnd") * 10).otherwise(5))
     t = tables.tournaments(spark, sf_dir).select("tournament_id", "category")
     p = p.join(t, "tournament_id")
-    w, title = tp.before(["player_code"], tq.ORDER), ((F.col("rnd") == 11) & won()).cast("int")
-    played = F.row_number().over(Window.partitionBy("player_code").orderBy(*tq.ORDER)).cast("long") - 1
+    title = ((F.col("rnd") == 11) & won()).cast("int")
     p = kpi.points_before(kpi.three_years(kpi.lagged_means(form(p))))
-    p = p.withColumns({"prior_wins": tp.cumulative(won().cast("int"), w).cast("long"), "prior_matches": played, "titles": tp.cumulative(title, w).cast("long"), "gs_titles": tp.cumulative(title * (F.col("category") == "gs").cast("int"), w).cast("long")})
-    ws = tp.before(["player_code", "surface"], tq.ORDER)
-    on_surface = (1 + tp.cumulative(won().cast("int"), ws)) / (2 + F.coalesce(F.count(F.lit(1)).over(ws), F.lit(0))).cast("double")
+    p = scans.before(p, ["player_code"], tq.month(), tq.ORDER, {"prior_wins": won().cast("int"), "prior_matches": F.lit(1), "titles": title, "gs_titles": title * (F.col("category") == "gs").cast("int")})
+    p = scans.before(p, ["player_code", "surface"], tq.month(), tq.ORDER, {"_wins": won().cast("int"), "_played": F.lit(1)})
+    on_surface = (1 + F.col("_wins")) / (2 + F.col("_played")).cast("double")
     p = p.withColumn("surface_rate", F.when(F.col("surface").isNotNull(), on_surface))
     trips = travel(tq.player_tournaments(spark, sf_dir)).select("player_code", "tournament_id", *TRAVEL)
     p = p.join(trips, ["player_code", "tournament_id"], "left").join(tq.shifted(spark, sf_dir), ["id", "player_code"])

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epochal.functions import features as fx
-from epochal.operators import panel, ratings
-from epochal.operators import temporal as tp
+from epochal.operators import panel, ratings, scans
 from epochal.plans.rating_queries import ROUND
-from epochal.plans.temporal_queries import ORDER, pair_history
+from epochal.plans.temporal_queries import ORDER, form_shares, month, pair_history, won
 from epochal.sources import tables
 
 
@@ -18,16 +17,16 @@ def features(spark, sf_dir) -> DataFrame:
     s = tables.stats(spark, sf_dir).select("id", fx.ratio(F.col("won_points"), F.col("all_points")).alias("kpi"))
     met = pair_history(m, ["player_a", "player_b"]).select("id", "player_a", F.coalesce("met", F.lit(0)).alias("met"), F.coalesce("a_wins", F.lit(0)).alias("a_wins"))
     elo = ratings.elo_by_round(m, ORDER, ROUND).select("id", "winner_elo", "loser_elo")
-    p = panel.unpivot(m).join(s, "id", "left").join(met, "id").join(elo, "id")
-    w, won = tp.before(["player_code"], ORDER), F.col("match_result") == "win"
+    p = scans.means(form_shares(panel.unpivot(m).join(s, "id", "left")), ["player_code"], month(), ORDER, {"kpi_mean": (F.col("kpi"), 5)})
+    p = p.join(met, "id").join(elo, "id")
     mine = F.when(F.col("player_code") == F.col("player_a"), F.col("a_wins")).otherwise(F.col("met") - F.col("a_wins"))
     return p.select(
         "id",
         "player_code",
         "opponent_code",
-        won.cast("int").alias("target"),
-        F.avg(won.cast("double")).over(tp.before(["player_code"], ORDER, 5)).alias("form_5"),
-        tp.exposed_mean(F.col("kpi"), w, 5).alias("kpi_mean"),
+        won().cast("int").alias("target"),
+        "form_5",
+        "kpi_mean",
         fx.smoothed(mine, F.col("met"), 8.0).alias("h2h_rate"),
-        F.when(won, F.col("winner_elo") - F.col("loser_elo")).otherwise(F.col("loser_elo") - F.col("winner_elo")).alias("elo_diff"),
+        F.when(won(), F.col("winner_elo") - F.col("loser_elo")).otherwise(F.col("loser_elo") - F.col("winner_elo")).alias("elo_diff"),
     )

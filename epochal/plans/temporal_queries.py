@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from epochal.functions import features as fx
-from epochal.operators import panel
+from epochal.operators import panel, scans
 from epochal.operators import temporal as tp
 from epochal.plans.panel_queries import base
 from epochal.plans.registry import query
@@ -14,13 +14,24 @@ from epochal.sources import tables
 
 ORDER = ["start_dtm", "tournament_id", "rnd", "id"]
 O = "order by start_dtm, tournament_id, rnd, id"  # noqa: E741
+#: Days of a slice of as-of joins.
+SLICE = 91
+
+
+def month():
+    """The blocks that a player's matches are scanned by."""
+    return F.trunc("start_dtm", "month")
+
+
+def won():
+    return F.col("match_result") == "win"
 
 
 def ranked(spark, sf_dir, days=1, name="ranking"):
     """The panel with each player's last ranking at so many days before the match."""
     probe = base(spark, sf_dir).withColumn("probe_date", F.date_sub("start_dtm", days))
     history = tables.rankings(spark, sf_dir).withColumnRenamed("ranking", name)
-    return tp.asof(probe, history, ["player_code"], "probe_date", "snapshot_date", [name]).drop("probe_date")
+    return tp.asof(probe, history, ["player_code"], "probe_date", "snapshot_date", [name], slice_width=SLICE).drop("probe_date")
 
 
 ASOF = "select p.*, rk.ranking as {name} from p asof left join rk on rk.player_code = p.player_code and rk.snapshot_date <= p.start_dtm - {days}"
@@ -40,7 +51,7 @@ def shifted(spark, sf_dir):
     """id, player_code, r0, r28, r84: one union for all three dates, a slim probe row for each of them, folded back."""
     p = base(spark, sf_dir).select("id", "player_code", "start_dtm")
     probes = p.select("id", "player_code", F.explode(F.array(F.lit(1), F.lit(29), F.lit(85))).alias("back"), "start_dtm").withColumn("probe_date", F.expr("date_sub(start_dtm, back)"))
-    found = tp.asof(probes, tables.rankings(spark, sf_dir), ["player_code"], "probe_date", "snapshot_date", ["ranking"])
+    found = tp.asof(probes, tables.rankings(spark, sf_dir), ["player_code"], "probe_date", "snapshot_date", ["ranking"], slice_width=SLICE)
     picked = [F.max(F.when(F.col("back") == b, F.col("ranking"))).alias(n) for b, n in ((1, "r0"), (29, "r28"), (85, "r84"))]
     return found.groupBy("id", "player_code").agg(*picked)
 
@@ -53,8 +64,8 @@ def rank_trend(spark, sf_dir):
     return s.select("id", "player_code", fx.trend_number(fx.trend(F.col("r0"), F.col("r28"), 0.02)).alias("trend_4w"), fx.trend_number(fx.trend(F.col("r0"), F.col("r84"), 0.05)).alias("trend_12w"))
 
 
-@query("p rk", """, a as materialized (""" + ASOF.format(name="ranking", days=1) + """) select x.id, x.player_code, y.ranking - x.ranking as rank_diff,
-  case when x.ranking > 0 and y.ranking > 0 then round(ln(y.ranking) - ln(x.ranking), 6) end as rank_log_ratio from a x join a y on x.id = y.id and x.match_result <> y.match_result""")
+@query("p rk", """select id, player_code, theirs - ranking as rank_diff, case when ranking > 0 and theirs > 0 then round(ln(theirs) - ln(ranking), 6) end as rank_log_ratio
+  from (select *, coalesce(lag(ranking) over w, lead(ranking) over w) as theirs from (""" + ASOF.format(name="ranking", days=1) + """) a window w as (partition by id order by match_result)) b""")
 def rank_differences(spark, sf_dir):
     a = ranked(spark, sf_dir).withColumn("theirs", panel.partner("ranking"))
     logs = F.when((F.col("ranking") > 0) & (F.col("theirs") > 0), F.round(F.log("theirs") - F.log("ranking"), 6))
@@ -67,7 +78,7 @@ def rank_differences(spark, sf_dir):
 def rank_best_so_far(spark, sf_dir):
     seeds = tables.rankings(spark, sf_dir).filter("snapshot_date < date '1993-01-01'").groupBy("player_code").agg(F.min("ranking").alias("seed"))
     a = ranked(spark, sf_dir).join(seeds, "player_code", "left")
-    return tp.running_best(a, "ranking", "seed", ["player_code"], ORDER, "best_rank").select("id", "player_code", "best_rank")
+    return tp.running_best(a, "ranking", "seed", ["player_code"], ORDER, "best_rank", month()).select("id", "player_code", "best_rank")
 
 
 @query("rk pl", """select pl.player_code, pl.turned_pro, min(rk.ranking) as best_rank, count(*) as snapshots from pl join rk on rk.player_code = pl.player_code and extract(year from rk.snapshot_date) between pl.turned_pro and 1998 group by 1, 2""")
@@ -83,29 +94,25 @@ W1 = "(partition by player_code " + O + " rows between unbounded preceding and 1
   round((player_code % 5 + coalesce(sum(case when match_result = 'win' then 1 else 0 end) over w, 0)) / nullif(cast(player_code % 9 + row_number() over (partition by player_code {O}) - 1 as double), 0), 6) as win_rate
   from p window w as {W1}""")
 def career_stats(spark, sf_dir):
-    w = tp.before(["player_code"], ORDER)
-    wins = tp.cumulative((F.col("match_result") == "win").cast("int"), w)
-    played = F.row_number().over(Window.partitionBy("player_code").orderBy(*ORDER)).cast("long") - 1
-    rate = F.try_divide(F.col("player_code") % 5 + wins, F.nullif((F.col("player_code") % 9 + played).cast("double"), F.lit(0.0)))
-    return base(spark, sf_dir).select("id", "player_code", wins.cast("long").alias("prior_wins"), played.alias("prior_matches"), F.round(rate, 6).alias("win_rate"))
+    p = scans.before(base(spark, sf_dir), ["player_code"], month(), ORDER, {"prior_wins": won().cast("int"), "prior_matches": F.lit(1)})
+    rate = F.try_divide(F.col("player_code") % 5 + F.col("prior_wins"), F.nullif((F.col("player_code") % 9 + F.col("prior_matches")).cast("double"), F.lit(0.0)))
+    return p.select("id", "player_code", "prior_wins", "prior_matches", F.round(rate, 6).alias("win_rate"))
 
 
 @query("p t", f"""select id, player_code, coalesce(cast(sum(won) over w as bigint), 0) as titles, coalesce(cast(sum(won * gs) over w as bigint), 0) as gs_titles
   from (select p.*, case when rnd = 11 and match_result = 'win' then 1 else 0 end as won, case when category = 'gs' then 1 else 0 end as gs from p join t on t.tournament_id = p.tournament_id) p window w as {W1.replace("start_dtm", "p.start_dtm")}""")
 def titles_cumulative(spark, sf_dir):
     p = base(spark, sf_dir).join(tables.tournaments(spark, sf_dir).select("tournament_id", "category"), "tournament_id")
-    won = ((F.col("rnd") == 11) & (F.col("match_result") == "win")).cast("int")
-    w = tp.before(["player_code"], ORDER)
-    return p.select("id", "player_code", tp.cumulative(won, w).cast("long").alias("titles"), tp.cumulative(won * (F.col("category") == "gs").cast("int"), w).cast("long").alias("gs_titles"))
+    title = ((F.col("rnd") == 11) & won()).cast("int")
+    p = scans.before(p, ["player_code"], month(), ORDER, {"titles": title, "gs_titles": title * (F.col("category") == "gs").cast("int")})
+    return p.select("id", "player_code", "titles", "gs_titles")
 
 
 @query("p", f"""select id, player_code, surface, round((1 + coalesce(sum(case when match_result = 'win' then 1 else 0 end) over w, 0)) / cast(2 + row_number() over (partition by player_code, surface {O}) - 1 as double), 6) as surface_rate
   from p where surface is not null window w as (partition by player_code, surface {O} rows between unbounded preceding and 1 preceding)""")
 def surface_progressive(spark, sf_dir):
-    w = tp.before(["player_code", "surface"], ORDER)
-    wins = tp.cumulative((F.col("match_result") == "win").cast("int"), w)
-    played = F.row_number().over(Window.partitionBy("player_code", "surface").orderBy(*ORDER)) - 1
-    return base(spark, sf_dir).filter("surface is not null").select("id", "player_code", "surface", F.round((1 + wins) / (2 + played).cast("double"), 6).alias("surface_rate"))
+    p = scans.before(base(spark, sf_dir).filter("surface is not null"), ["player_code", "surface"], month(), ORDER, {"wins": won().cast("int"), "played": F.lit(1)})
+    return p.select("id", "player_code", "surface", F.round((1 + F.col("wins")) / (2 + F.col("played")).cast("double"), 6).alias("surface_rate"))
 
 
 @query("p st", f"""select p.id, p.player_code, coalesce(cast(sum(sets) over w as bigint), 0) as prior_sets, coalesce(cast(sum(sets) over w as bigint), 0) + sets as sets_so_far from (
@@ -121,12 +128,17 @@ def last_rows(k):
     return f"(partition by player_code {O} rows between {k} preceding and 1 preceding)"
 
 
+def form_shares(p):
+    """The panel with the shares of the last five and ten matches that were won."""
+    p = scans.before(p, ["player_code"], month(), ORDER, last={"_last": (won().cast("double"), 10)})
+    share = lambda x: F.try_divide(F.aggregate(x, F.lit(0.0), lambda a, b: a + b), F.size(x))
+    return p.withColumns({f"form_{k}": share(F.slice("_last", F.greatest(F.size("_last") - k + 1, F.lit(1)), k)) for k in (5, 10)}).drop("_last")
+
+
 @query("p", f"""select id, player_code, round(form_5, 6) as form_5, round(form_10, 6) as form_10, cast(form_5 > 0.7 as int) as good_form from (
   select id, player_code, avg(win) over {last_rows(5)} as form_5, avg(win) over {last_rows(10)} as form_10 from (select *, case when match_result = 'win' then 1.0 else 0.0 end::double as win from p) q) r""")
 def form_last_5_10(spark, sf_dir):
-    win = (F.col("match_result") == "win").cast("double")
-    p = base(spark, sf_dir)
-    f = p.select("id", "player_code", *[F.avg(win).over(tp.before(["player_code"], ORDER, k)).alias(f"form_{k}") for k in (5, 10)])
+    f = form_shares(base(spark, sf_dir))
     return f.select("id", "player_code", F.round("form_5", 6).alias("form_5"), F.round("form_10", 6).alias("form_10"), (F.col("form_5") > 0.7).cast("int").alias("good_form"))
 
 
@@ -151,7 +163,7 @@ def pair_history(m, keys):
     done = pairs(m).groupBy(*keys, "event_key").agg(F.count("*").alias("n"), F.sum("a_won").alias("a"))
     so_far = Window.partitionBy(*keys).orderBy("event_key").rowsBetween(Window.unboundedPreceding, 0)
     done = done.select(*keys, "event_key", F.sum("n").over(so_far).alias("met"), F.sum("a").over(so_far).alias("a_wins"))
-    return tp.asof(pairs(m), done, keys, "event_key", "event_key", ["met", "a_wins"], strict=True)
+    return tp.asof(pairs(m), done, keys, "event_key", "event_key", ["met", "a_wins"], strict=True, slice_width=100 * SLICE)
 
 
 PAIRS = """, g as (select *, least(winner, loser) as player_a, greatest(winner, loser) as player_b, date_diff('day', date '1970-01-01', start_dtm) * 100 + rnd as event_key, cast(winner < loser as int) as a_won from m)"""
@@ -187,29 +199,29 @@ KPI = "(select p.*, case when all_points > 0 then won_points / cast(all_points a
 
 @query("p st", f"select id, player_code, round(avg(kpi) over {W1}, 6) as kpi_mean from {KPI}")
 def kpi_lagged_avg(spark, sf_dir):
-    return kpis(spark, sf_dir).select("id", "player_code", F.round(tp.exposed_mean(F.col("kpi"), tp.before(["player_code"], ORDER)), 6).alias("kpi_mean"))
+    return scans.means(kpis(spark, sf_dir), ["player_code"], month(), ORDER, {"mean": (F.col("kpi"), 1)}).select("id", "player_code", F.round("mean", 6).alias("kpi_mean"))
 
 
 @query("p st", f"select id, player_code, case when count(kpi) over {W1} >= 5 then round(avg(kpi) over {W1}, 6) end as kpi_mean, case when count(aces) over {W1} >= 5 then round(avg(aces) over {W1}, 6) end as aces_mean from {KPI}")
 def kpi_lagged_avg_min5(spark, sf_dir):
-    w = tp.before(["player_code"], ORDER)
-    return kpis(spark, sf_dir).select("id", "player_code", F.round(tp.exposed_mean(F.col("kpi"), w, 5), 6).alias("kpi_mean"), F.round(tp.exposed_mean(F.col("aces"), w, 5), 6).alias("aces_mean"))
+    k = scans.means(kpis(spark, sf_dir), ["player_code"], month(), ORDER, {f"{c}_mean": (F.col(c), 5) for c in ("kpi", "aces")})
+    return k.select("id", "player_code", *[F.round(f"{c}_mean", 6).alias(f"{c}_mean") for c in ("kpi", "aces")])
 
 
 @query("p st", f""", z as (select id, player_code, opponent_code, avg(kpi) over {W1} as v from {KPI}) select a.id, a.player_code, case when a.v is not null and b.v is not null then round(ln(greatest(a.v, 1e-6) / greatest(b.v, 1e-6)), 6) end as kpi_log_ratio from z a join z b on a.id = b.id and a.opponent_code = b.player_code""")
 def log_ratio(spark, sf_dir):
-    z = kpis(spark, sf_dir).select("id", "player_code", "match_result", tp.exposed_mean(F.col("kpi"), tp.before(["player_code"], ORDER)).alias("v"))
+    z = scans.means(kpis(spark, sf_dir), ["player_code"], month(), ORDER, {"v": (F.col("kpi"), 1)})
     return z.withColumn("theirs", panel.partner("v")).select("id", "player_code", F.round(fx.log_ratio(F.col("v"), F.col("theirs")), 6).alias("kpi_log_ratio"))
 
 
 @query("p st", f"""select id, player_code, case when count(lost_points) over {W1} > 0 then round(avg(won_points) over {W1} / greatest(avg(lost_points) over {W1}, 1e-9), 6) end as efficiency, round(avg(won_points) over {W1} - avg(lost_points) over {W1}, 6) as clutch_gap,
   case when won_points is not null and lost_points is not null and aces is not null then greatest(0, least(won_points - aces, lost_points)) end as games from {KPI}""")
 def clutch_gap(spark, sf_dir):
-    w = tp.before(["player_code"], ORDER)
-    a, b = tp.exposed_mean(F.col("won_points"), w), tp.exposed_mean(F.col("lost_points"), w)
+    k = scans.means(kpis(spark, sf_dir), ["player_code"], month(), ORDER, {f"_{c}": (F.col(c), 1) for c in ("won_points", "lost_points")})
+    a, b = F.col("_won_points"), F.col("_lost_points")
     games = fx.clamped_games(F.col("won_points"), F.col("aces"), F.col("lost_points")).cast("long")
     efficiency = F.when(b.isNotNull(), a / F.greatest(b, F.lit(1e-9)))
-    return kpis(spark, sf_dir).select("id", "player_code", F.round(efficiency, 6).alias("efficiency"), F.round(a - b, 6).alias("clutch_gap"), games.alias("games"))
+    return k.select("id", "player_code", F.round(efficiency, 6).alias("efficiency"), F.round(a - b, 6).alias("clutch_gap"), games.alias("games"))
 
 
 PT = """, pt as (select player_code, p.tournament_id, t.start_dtm, t.country, t.continent, t.indoor, min(p.surface) as surface, count(*) as played, max(rnd) as furthest from p join t on t.tournament_id = p.tournament_id group by 1, 2, 3, 4, 5, 6)"""
@@ -254,7 +266,7 @@ def stats_3y(spark, sf_dir):
     done = F.col("match_ret").isNull()
     count = lambda r: F.when(done & (F.col("match_result") == r), 1).otherwise(0)
     sums = {"wins_3y": count("win"), "losses_3y": count("loss"), "won": F.when(done, F.col("won_points")), "known": (done & F.col("won_points").isNotNull()).cast("int"), "points": F.when(done, F.col("all_points"))}
-    s = tp.range_sums(p, ["player_code"], "day", "hour_order", sums, 1095)
+    s = scans.range_sums(p, ["player_code"], "day", "hour_order", sums, {"": 1095})
     return s.select("id", "player_code", "wins_3y", "losses_3y", F.when((F.col("points") > 0) & (F.col("known") > 0), F.floor(F.lit(1000) * F.col("won") / F.col("points").cast("double"))).alias("won_share_3y"))
 
 
@@ -264,7 +276,7 @@ def stats_3y(spark, sf_dir):
 def h2h_3y(spark, sf_dir):
     m = timed(pairs(tables.matches(spark, sf_dir)))
     done = F.col("match_ret").isNull()
-    s = tp.range_sums(m, ["player_a", "player_b"], "day", "hour_order", {"a": F.when(done & (F.col("a_won") == 1), 1).otherwise(0), "b": F.when(done & (F.col("a_won") == 0), 1).otherwise(0)}, 1095)
+    s = scans.range_sums(m, ["player_a", "player_b"], "day", "hour_order", {"a": F.when(done & (F.col("a_won") == 1), 1).otherwise(0), "b": F.when(done & (F.col("a_won") == 0), 1).otherwise(0)}, {"": 1095})
     won = F.col("a_won") == 1
     return s.select("id", F.when(won, F.col("a")).otherwise(F.col("b")).alias("winner_h2h_3y"), F.when(won, F.col("b")).otherwise(F.col("a")).alias("loser_h2h_3y"))
 
