@@ -1,4 +1,4 @@
-"""Files as sources and sinks: CSV with given schemas, snapshots dated by their names, checked writes."""
+"""Files as sources and sinks: CSV with given schemas or by each file's header, snapshots dated by their names, checked writes."""
 
 from __future__ import annotations
 
@@ -33,11 +33,48 @@ def read_csv(spark: SparkSession, path: str, schema: str, corrupt: str | None =
     return reader.schema(schema).csv(path)
 
 
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """file, header of each file that has a line: its first line, found in one scan."""
+    first = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value", first.alias("at"))
+    return lines.filter("at is not null").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def fields(header: str) -> list[str]:
+    """The names of a CSV header, without a byte order mark, quotes and white space around them."""
+    return [n.strip().strip('"').strip() for n in header.lstrip("\ufeff").split(",")]
+
+
+def read_by_header(spark: SparkSession, path: str, columns: dict[str, Sequence[str]]) -> DataFrame:
+    """CSV files of a folder whose headers differ: file_name and the columns, each under the first of its names that
+    a file's own header has. Files of one header are read together, by name, and the reads are joined by union.
+
+    A header that lacks a column, or has a name twice, raises ValueError with the header and a file that has it.
+    The files are listed on the driver, as Spark lists them itself; their rows are not.
+    """
+    kinds: dict[str, list[str]] = {}
+    for r in headers(spark, path).orderBy("file").collect():  # a row a file
+        kinds.setdefault(r.header, []).append(r.file)
+    reads = []
+    for header, paths in kinds.items():
+        names = fields(header)
+        taken = {c: next((n for n in known if n in names), None) for c, known in columns.items()}
+        lacking = [c for c, n in taken.items() if n is None]
+        if lacking or len(set(names)) < len(names):
+            raise ValueError(f"unknown header {header!r} in {paths[0]}: " + (f"nothing for {', '.join(lacking)}" if lacking else "a name stands twice"))
+        schema = ", ".join(f"`{n}` string" for n in names)
+        read = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(paths)
+        reads.append(read.select(F.col("_metadata.file_name").alias("file_name"), *[F.col(f"`{n}`").alias(c) for c, n in taken.items()]))
+    if not reads:
+        return spark.createDataFrame([], "file_name string, " + ", ".join(f"`{c}` string" for c in columns))
+    return panel.union_sources(*reads)
+
+
 def read_snapshots(spark: SparkSession, path: str, names: Sequence[str] = RANK_NAMES) -> DataFrame:
-    """player_code, snapshot_date, ranking of rankings_YYYY-MM-DD.csv files; the rank column may have any of the names."""
-    raw = spark.read.option("header", True).csv(path)
-    raw = panel.first_of(panel.require(raw, "player_code"), names, "ranking")
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-\d{2}-\d{2})", 1))
+    """player_code, snapshot_date, ranking of rankings_YYYY-MM-DD.csv files; each file's rank column may have any of the
+    names, in any place. What is no number is a null ranking, a name without a date a null date."""
+    raw = read_by_header(spark, path, {"player_code": ["player_code"], "ranking": names})
+    day = F.expr(r"try_cast(regexp_extract(file_name, '(\\d{4}-\\d{2}-\\d{2})', 1) as date)")
     return raw.select("player_code", day.alias("snapshot_date"), F.expr("try_cast(ranking as int)").alias("ranking"))
 
 
@@ -48,9 +85,3 @@ def write_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
 
 def write_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True).csv(path)
-
-
-def read_database(spark: SparkSession, url: str, query: str, column: str, low: int, high: int, parts: int, fetch: int = 200_000, **options) -> DataFrame:
-    """A query over JDBC, read in ranges of a number column."""
-    given = {"url": url, "dbtable": f"({query}) q", "partitionColumn": column, "lowerBound": low, "upperBound": high, "numPartitions": parts, "fetchsize": fetch, **options}
-    return spark.read.format("jdbc").options(**{k: str(v) for k, v in given.items()}).load()

@@ -179,18 +179,6 @@ def test_threshold_edges(spark):
     assert tuple(stats.best_threshold(split, "score", "label").first()) == (0.9, 0.0)
 
 
-def test_files(spark, tmp_path):
-    (tmp_path / "rankings_2020-01-06.csv").write_text("player_code,position\nA,1\nB,x\n")
-    (tmp_path / "rankings_2020-01-13.csv").write_text("player_code,position\nA,2\n")
-    got = {(r.player_code, str(r.snapshot_date)): r.ranking for r in files.read_snapshots(spark, str(tmp_path)).collect()}
-    assert got == {("A", "2020-01-06"): 1, ("B", "2020-01-06"): None, ("A", "2020-01-13"): 2}
-    (tmp_path / "t.csv").write_text("a,b\n1,x\n2\n")
-    rows = files.read_csv(spark, str(tmp_path / "t.csv"), "a int, b string", corrupt="bad").cache()
-    assert rows.filter("bad is not null").count() == 1
-    files.write_table(frame(spark, [(1, 2)], "y int, x int"), str(tmp_path / "out"), ["y"])
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
-
-
 def test_ranking_page(spark):
     html = '<tr class="lower-row"><td>1</td><td><a href="/players/a-b/x1/"></a></td></tr><tr class="lower-row"><td>2</td><td><a href="/players/c/y2/"></a></td></tr><tr class="lower-row"><td>3</td><td><a href="/players/a-b/x1/"></a></td></tr>'
     got = pages.ranking_rows(frame(spark, [("d", html)], "day string, html string"))
