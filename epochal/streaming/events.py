@@ -9,10 +9,10 @@ from itertools import groupby
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from epochal import session
-from epochal.operators import merge
+from epochal.operators import merge, store
 
 
 def source(spark: SparkSession, sf_dir: str, files: str = "events.parquet", each: int = 8) -> DataFrame:
@@ -22,10 +22,12 @@ def source(spark: SparkSession, sf_dir: str, files: str = "events.parquet", each
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
+def drained(stream: DataFrame, mode: str = "append", state: str | None = None, conf: dict[str, str] | None = None) -> DataFrame:
     """All that a stream gives for the input there is, as Parquet files in the shared folder; no rows pass the driver.
 
     Each batch is a folder, written anew if the batch is; with mode complete the last one is the result.
+    state: a folder from which a stream goes on where it was; only what is new is given then. conf: settings
+    that the stream is started with.
     """
     spark = stream.sparkSession
     target = f"{session.shared_folder(spark)}/drained/{uuid.uuid4().hex}"
@@ -35,9 +37,16 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{target}/v{number}")
         numbers.append(number)
 
-    running = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start()
-    running.awaitTermination()
-    paths = [f"{target}/v{number}" for number in (numbers[-1:] if mode == "complete" else numbers)]
+    before = {k: spark.conf.get(k, None) for k in conf or {}}
+    for k, v in (conf or {}).items():
+        spark.conf.set(k, v)
+    try:
+        running = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", state or f"{target}/state").trigger(availableNow=True).start()
+        running.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    paths = [f"{target}/v{number}" for number in (numbers[-1:] if mode == "complete" else dict.fromkeys(numbers))]
     return spark.read.schema(stream.schema).parquet(*paths) if paths else spark.createDataFrame([], stream.schema)
 
 
@@ -58,71 +67,88 @@ def sessions(stream: DataFrame, gap: str, lateness: str = "1 hour") -> DataFrame
     return g.select("user_id", F.col("session_window.start").alias("starts"), "n")
 
 
-def upserting(target: str, keys: list[str], order: list, since: list[str]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: merges the last row of each key of a batch into a Parquet table, version by version.
+def upserting(table: store.Store, order: list, since: list[str]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: merges the last row of each key of a batch into a table in parts; only the parts that the batch
+    touches are written.
 
-    A row counts only if it comes after the one that is there by the columns of since, so batches may be in any order.
+    A row counts only if it comes after the one that is there by the columns of since, so batches may be in any
+    order. Versions bear the number of their batch: one that is run again changes nothing.
     """
 
     def merge_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = merge.first_rows(batch, keys, order)
-        if number:
-            old = spark.read.parquet(f"{target}/v{number - 1}")
-            later = F.struct(*[F.col(f"new.{c}") for c in since]) > F.struct(*[F.col(f"old.{c}") for c in since])
-            policy = {c: F.when(F.col("_old").isNull() | later, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")) for c in old.columns if c not in keys}
-            new = merge.upsert(old, new, keys, policy).drop("action")
-        new.write.mode("overwrite").parquet(f"{target}/v{number}")
+        new, here = merge.first_rows(batch, table.keys, order), store.Store(batch.sparkSession, table.folder, table.keys, table.by)
+        note = here.note()
+        if note is None:
+            here.create(new, str(number))
+        elif number > int(note):
+            here.merge(new, store.newest([c for c in new.columns if c not in table.keys], since), note=str(number))
 
     return merge_batch
 
 
-def upserted(stream: DataFrame, keys: list[str], order: list, since: list[str]) -> DataFrame:
+def upserted(stream: DataFrame, keys: list[str], order: list, since: list[str], buckets: int = 16) -> DataFrame:
     """The table after all batches of the input there is; empty without any."""
     spark = stream.sparkSession
     target = f"{session.shared_folder(spark)}/upsert/{uuid.uuid4().hex}"
-    merge_batch, last = upserting(target, keys, order, since), []
-
-    def step(batch: DataFrame, number: int) -> None:
-        merge_batch(batch, number)
-        last[:] = [number]
-
-    running = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start()
+    table = store.Store(spark, target, keys, buckets)
+    running = stream.writeStream.foreachBatch(upserting(table, order, since)).option("checkpointLocation", f"{target}/state").trigger(availableNow=True).start()
     running.awaitTermination()
-    return spark.read.parquet(f"{target}/v{last[0]}") if last else spark.createDataFrame([], stream.schema)
+    return table.read() if table.versions() else spark.createDataFrame([], stream.schema)
 
 
 STATE = "user_id long, ts timestamp, event_id long, before double, after double"
+#: State of any number of keys beside the heap, with its changes logged.
+ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
-def rated(stream: DataFrame, lateness: str = "1 hour", step: float = 0.5) -> DataFrame:
-    """user_id, ts, event_id, before, after: a running level of each user, moved by a share of the way to each value.
+class Levels(StatefulProcessor):
+    """A running level of each user, moved by a share of the way to each value.
 
-    All events of a user at one time are a round: they start from the same level, and their moves are
-    applied together. Rows wait in the state until the watermark has passed them, so that they are
-    taken in order whatever their batches; a user's state is one number and the rows that wait.
+    Values wait in a map by time and event. A timer a time takes them out once the watermark has passed it:
+    all of one time are a round, which starts from one level and moves it once.
     """
 
-    def advance(key, frames, state: GroupState):
-        level, waiting = state.get if state.exists else (0.0, [])
-        waiting = [tuple(w) for w in waiting]
-        if not state.hasTimedOut:
-            for frame in frames:
-                waiting += list(zip(frame["ts"].astype("int64") // 1000, frame["event_id"], frame["value"], strict=True))
-        upto = state.getCurrentWatermarkMs() * 1000
-        ready = sorted(w for w in waiting if w[0] <= upto)
-        out = []
+    def __init__(self, step: float):
+        self.step = step
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.level = handle.getValueState("level", "level double")
+        self.waiting = handle.getMapState("waiting", "at long, event_id long", "value double")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for frame in rows:
+            for at, event, value in zip(frame["ts"].astype("datetime64[us]").astype("int64"), frame["event_id"], frame["value"], strict=True):
+                self.waiting.updateValue((int(at), int(event)), (float(value),))
+                self.handle.registerTimer(int(at) // 1000)
+        yield pd.DataFrame([], columns=STATE_NAMES)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        upto = expiredTimerInfo.getExpiryTimeInMs()
+        ready = sorted((at, event, value[0]) for (at, event), value in self.waiting.iterator() if at // 1000 <= upto)
+        level, out = (self.level.get()[0] if self.level.exists() else 0.0), []
         for at, group in groupby(ready, key=lambda w: w[0]):
             group = list(group)
-            moves = [step * (v - level) / len(group) for _, _, v in group]
-            out += [(key[0], pd.Timestamp(at, unit="us"), e, level, level + sum(moves)) for _, e, _ in group]
-            level += sum(moves)
-        waiting = [w for w in waiting if w[0] > upto]
-        state.update((level, waiting))
-        if waiting:
-            state.setTimeoutTimestamp(min(w[0] for w in waiting) // 1000 + 1)
-        yield pd.DataFrame(out, columns=["user_id", "ts", "event_id", "before", "after"])
-
-    slim = stream.select("user_id", "ts", "event_id", "value").filter("value is not null").withWatermark("ts", lateness)
-    kept = "level double, waiting array<struct<at: long, event_id: long, value: double>>"
-    return slim.groupBy("user_id").applyInPandasWithState(advance, STATE, kept, "append", GroupStateTimeout.EventTimeTimeout)
+            after = level + self.step * (sum(v for _, _, v in group) / len(group) - level)
+            out += [(key[0], pd.Timestamp(at, unit="us"), event, level, after) for _, event, _ in group]
+            level = after
+        for at, event, _ in ready:
+            self.waiting.removeKey((at, event))
+        if ready:
+            self.level.update((level,))
+        yield pd.DataFrame(out, columns=STATE_NAMES)
+
+    def close(self) -> None:
+        pass
+
+
+STATE_NAMES = [x.split()[0] for x in STATE.split(", ")]
+
+
+def rated(stream: DataFrame, lateness: str = "1 hour", step: float = 0.5) -> DataFrame:
+    """user_id, ts, event_id, before, after of each event that the watermark has passed, in whatever batches events come.
+
+    Events without a value don't count; of rows with one time and event_id the last one read does. Needs ROCKS.
+    """
+    slim = stream.select("user_id", "ts", "event_id", "value").filter("value is not null and ts is not null").withWatermark("ts", lateness)
+    return slim.groupBy("user_id").transformWithStateInPandas(Levels(step), outputStructType=STATE, outputMode="append", timeMode="eventTime")
