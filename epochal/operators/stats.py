@@ -5,37 +5,71 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Sequence
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from epochal import session
 from epochal.operators import order
 
 
-def correlations(df: DataFrame, columns: Sequence[str], chunk: int = 300) -> DataFrame:
-    """a, b, r, n for each pair of columns over the rows where both are known; one aggregate a chunk of pairs."""
-    pairs = list(combinations(columns, 2))
-    out = None
-    for lo in range(0, len(pairs), chunk):
-        some = pairs[lo : lo + chunk]
-        cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("r"), F.count(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1)).alias("n")) for a, b in some]
-        part = df.agg(F.array(*cells).alias("_cells")).select(F.explode("_cells").alias("_c")).select("_c.*")
-        out = part if out is None else out.unionByName(part)
-    return out
+MOMENTS = "i int, n array<double>, x array<double>, xx array<double>, xy array<double>"
+
+
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """a, b, r, n for each pair of columns over the rows where both are known; NaN counts as unknown.
+
+    One scan makes, in each task, the Gram matrices of all columns and of what is known of them, shifted by the
+    columns' means; a task sends a row of sums a pair, whatever its rows. A second, slim scan before it gives
+    the means and the number of pairs grows with the square of the columns, not with the rows.
+    """
+    columns, count = list(columns), len(columns)
+    number = {c: F.col(c).cast("double") for c in columns}
+    known = df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in number.items()])
+    means = known.agg(*[F.avg(c).alias(c) for c in columns]).first()  # one row
+    shift = np.array([m if (m := means[c]) is not None else 0.0 for c in columns])
+
+    def gram(batches):
+        total = np.zeros((4, count, count))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1) if count else np.zeros((0, 0))
+            there = ~np.isnan(x)
+            m, x = there.astype("f8"), np.where(there, x - shift, 0.0)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        names = [f.split()[0] for f in MOMENTS.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(range(count), pa.int32()), *[pa.array(t.tolist(), pa.list_(pa.float64())) for t in total]], names)
+
+    rows = known.mapInArrow(gram, MOMENTS)
+    cells = rows.select("i", F.posexplode(F.arrays_zip("n", "x", "xx", "xy")).alias("j", "m")).groupBy("i", "j").agg(*[F.sum(f"m.{k}").alias(k) for k in ("n", "x", "xx", "xy")])
+    other = cells.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("x").alias("y"), F.col("xx").alias("yy"))
+    both = cells.filter("i < j").join(other, ["i", "j"])  # a row a pair
+    spread = F.sqrt((F.col("xx") - F.col("x") * F.col("x") / F.col("n")) * (F.col("yy") - F.col("y") * F.col("y") / F.col("n")))
+    r = F.try_divide(F.col("xy") - F.col("x") * F.col("y") / F.col("n"), spread)
+    name = F.array(*map(F.lit, columns)) if columns else F.array(F.lit(None).cast("string"))
+    one = F.when((F.col("n") > 0) & (spread > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    return both.select(F.get(name, F.col("i")).alias("a"), F.get(name, F.col("j")).alias("b"), one.alias("r"), F.col("n").cast("long").alias("n"))
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each column replaced by its average rank; null stays null.
 
-    Ranks come from counts of equal values, so that only distinct values are put in order, by ranges.
+    Values of all columns are melted; equal ones are counted, and the distinct values of all columns are put in
+    order by one deal of ranges. Ranks go back to their rows by one join and one aggregate.
     """
-    for c in columns:
-        tally = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
-        ranks = order.running_totals(tally, [F.col(c)], {"_below": F.col("_n")}).select(c, (F.col("_below") + (F.col("_n") + 1) / 2).alias("_rank"))
-        df = df.join(ranks, c, "left").drop(c).withColumnRenamed("_rank", c)
-    return df
+    columns = list(columns)
+    rows = session.pinned(df.withColumn("_row", F.monotonically_increasing_id()))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]))
+    melted = rows.select("_row", each.alias("_e")).select("_row", "_e.*").filter("v is not null")
+    tally = melted.groupBy("c", "v").agg(F.count("*").alias("_n"))
+    placed = order.running_totals(tally, [F.col("c"), F.col("v")], {"_below": F.col("_n")})
+    starts = placed.groupBy("c").agg(F.min("_below").alias("_start"))  # a row a column
+    ranks = placed.join(starts, "c").select("c", "v", (F.col("_below") - F.col("_start") + (F.col("_n") + 1) / 2).alias("_rank"))
+    back = melted.join(ranks, ["c", "v"]).groupBy("_row").agg(*[F.max(F.when(F.col("c") == i, F.col("_rank"))).alias(c) for i, c in enumerate(columns)])
+    others = [c for c in df.columns if c not in columns]
+    return rows.select("_row", *others).join(back, "_row", "left").select(*df.columns)
 
 
 def p_value(r: float | None, n: int | None) -> float | None:
@@ -154,8 +188,10 @@ def losses(scored: DataFrame, score: str, label: str, clip: float = 1e-6) -> Dat
 
 
 def drawn(key: Column, mean: Column, deviation: Column, least: float, most: float, seed: int = 1) -> Column:
-    """A normal draw that depends on the key and the seed only, whatever the partitioning, within bounds."""
-    uniform = lambda k: (F.pmod(F.xxhash64(key, F.lit(seed), F.lit(k)), F.lit(1 << 31)) + 0.5) / float(1 << 31)
+    """A normal draw that depends on the key and the seed only, whatever the partitioning, within bounds. Its two uniform
+    numbers are the first 32 bits of MD5 of key, seed and 1 or 2, so that other engines draw the same."""
+    bits = lambda k: F.conv(F.substring(F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed)), F.lit(str(k))).cast("binary")), 1, 8), 16, 10)
+    uniform = lambda k: (bits(k).cast("double") + 0.5) / float(1 << 32)
     normal = F.sqrt(-2 * F.log(uniform(1))) * F.cos(2 * math.pi * uniform(2))
     value = mean + normal * deviation
     return F.when(value.isNotNull(), F.least(F.lit(most), F.greatest(F.lit(least), value)))

@@ -14,8 +14,8 @@ from epochal.sources import tables
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def pair_sql(source):
-    return " union all ".join(f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 5) as r, count(*) filter ({a} is not null and {b} is not null) as n from {source}" for i, a in enumerate(NUMBERS) for b in NUMBERS[i + 1 :])
+def pair_sql(source, columns=tuple(NUMBERS)):
+    return " union all ".join(f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 5) as r, count(*) filter ({a} is not null and {b} is not null) as n from {source}" for i, a in enumerate(columns) for b in columns[i + 1 :])
 
 
 @query("", pair_sql("{lineitem}"))
@@ -32,14 +32,18 @@ def corr_spearman(spark, sf_dir):
     return stats.correlations(ranks, NUMBERS).withColumn("r", F.round("r", 5))
 
 
-@query("", "select a, b from (" + pair_sql("{lineitem}") + ") z where abs(r) > 0.85 and n > 2")
+CLOSE = ["won_points", "all_points", "lost_points", "sets_played", "aces"]
+CLOSE_RANKED = "(select " + ", ".join(f"case when {c} is not null then rank() over (order by {c} nulls last) + (count(*) over (partition by {c}) - 1) / 2.0 end as {c}" for c in CLOSE) + " from st)"
+
+
+@query("st", f"select x.a, x.b from ({pair_sql('st', CLOSE)}) x join ({pair_sql(CLOSE_RANKED + ' z', CLOSE)}) y on y.a = x.a and y.b = x.b where abs(x.r) > 0.7 and abs(y.r) > 0.7 and abs(x.r) * sqrt((x.n - 2) / (1 - x.r * x.r)) > 2")
 def corr_high(spark, sf_dir):
     """Pairs that are close by both measures and not by chance; the p-values of a few dozen pairs are made on the driver."""
-    lines = tables.table(spark, sf_dir, "lineitem").select(*NUMBERS)
-    pearson = stats.correlations(lines, NUMBERS)
-    spearman = stats.correlations(stats.average_ranks(lines, NUMBERS), NUMBERS).select("a", "b", F.col("r").alias("rho"))
-    rows = [(x.a, x.b) for x in pearson.join(spearman, ["a", "b"]).collect() if x.r is not None and abs(x.r) > 0.85 and (stats.p_value(x.r, x.n) or 0) < 0.05 and abs(x.rho) > 0.85]  # a row a pair of columns
-    return spark.createDataFrame(rows, "a string, b string")
+    rows = tables.stats(spark, sf_dir).select(*CLOSE)
+    pearson = stats.correlations(rows, CLOSE)
+    spearman = stats.correlations(stats.average_ranks(rows, CLOSE), CLOSE).select("a", "b", F.col("r").alias("rho"))
+    high = [(x.a, x.b) for x in pearson.join(spearman, ["a", "b"]).collect() if x.r is not None and abs(x.r) > 0.7 and (stats.p_value(x.r, x.n) or 0) < 0.05 and abs(x.rho) > 0.7]  # a row a pair of columns
+    return spark.createDataFrame(high, "a string, b string")
 
 
 @query("m", "select id, case when x <= -0.2 then 'negative' when x <= 0.2 then 'neutral' else 'positive' end as sign from (select id, (winner - loser) / 100.0::double as x from m) z")
@@ -76,14 +80,19 @@ def duration_cell_stats(spark, sf_dir):
     return m.groupBy("surface", "rnd").agg(F.count("all_points").alias("n"), F.round(F.avg("all_points"), 6).alias("mean"), F.round(F.stddev_samp("all_points"), 5).alias("sd"))
 
 
-@query("m st", "select m.id, cast(all_points is null as int) as imputed, cast(true as boolean) as within from m left join st on st.id = m.id")
+UNIFORM = "(cast(('0x' || substr(md5(cast(m.id as varchar) || '|1|{k}'), 1, 8)) as bigint) + 0.5::double) / 4294967296"
+
+
+@query("m st", """, d as (select m.id, m.surface, m.rnd, all_points from m left join st on st.id = m.id), c as (select surface, rnd, avg(all_points) as mean, stddev_samp(all_points) as sd from d group by 1, 2)
+  select m.id, cast(m.all_points is null as int) as imputed, round(coalesce(cast(m.all_points as double), least(500.0, greatest(1.0, mean + sqrt(-2 * ln(""" + UNIFORM.format(k=1) + ")) * cos(2 * pi() * " + UNIFORM.format(k=2) + """) * sd))), 5) as minutes
+  from d m left join c on c.surface is not distinct from m.surface and c.rnd = m.rnd""")
 def duration_imputed(spark, sf_dir):
-    """Missing durations drawn from their cell; the draw depends on the id only."""
+    """Missing durations drawn from the mean and deviation of their cell; the draw depends on the id only."""
     m = tables.matches(spark, sf_dir).join(tables.stats(spark, sf_dir).select("id", "all_points"), "id", "left")
     cells = m.groupBy("surface", "rnd").agg(F.avg("all_points").alias("mean"), F.stddev_samp("all_points").alias("sd")).withColumnsRenamed({"surface": "s", "rnd": "r"})
-    m = m.join(F.broadcast(cells), m["surface"].eqNullSafe(cells["s"]) & (m["rnd"] == cells["r"]), "left")  # a row a cell, 30
+    m = m.join(cells, m["surface"].eqNullSafe(cells["s"]) & (m["rnd"] == cells["r"]), "left")
     value = F.coalesce(F.col("all_points").cast("double"), stats.drawn(F.col("id"), F.col("mean"), F.col("sd"), 1.0, 500.0))
-    return m.select("id", F.col("all_points").isNull().cast("int").alias("imputed"), value.between(1.0, 500.0).alias("within"))
+    return m.select("id", F.col("all_points").isNull().cast("int").alias("imputed"), F.round(value, 5).alias("minutes"))
 
 
 def scored(spark, sf_dir):
