@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from epochal import session
 from epochal.operators import stats
 
 
@@ -46,33 +50,61 @@ def prepared(panel: DataFrame, numbers: list[str], labels: list[str]) -> DataFra
     return panel.withColumns(clean | {c: F.coalesce(F.col(c), F.lit("__MISSING__")) for c in labels})
 
 
-def out_of_fold(panel: DataFrame, numbers: list[str], labels: list[str], fold: str, folds: list, group: str = "id") -> DataFrame:
-    """Rows of the folds with prob, each from a model fitted on the rows of other folds."""
-    panel, out = prepared(panel, numbers, labels), None
-    for value in folds:
-        rest = panel.filter(F.col(fold) != value).withColumn("is_check", F.pmod(F.xxhash64(group), F.lit(10)) == 0)
-        model = pipeline(numbers, labels).fit(rest)
-        held = model.transform(panel.filter(F.col(fold) == value).withColumn("is_check", F.lit(False)))
-        held = held.select(*panel.columns, vector_to_array("probability")[1].alias("prob"))
-        out = held if out is None else out.unionByName(held)
-    return out
+def scored_by(model, rows: DataFrame) -> DataFrame:
+    """Rows with prob, by a fitted pipeline."""
+    return model.transform(rows.withColumn("is_check", F.lit(False))).select(*rows.columns, vector_to_array("probability")[1].alias("prob"))
+
+
+#: Models that are fitted at a time.
+AT_ONCE = 4
+
+
+def out_of_fold(panel: DataFrame, numbers: list[str], labels: list[str], fold: str, folds: list, group: str = "id", **how) -> DataFrame:
+    """Rows of the folds with prob, each from a model fitted on the rows of other folds, none of a group of the fold.
+    Models are fitted side by side; the panel should be pinned."""
+    panel = prepared(panel, numbers, labels)
 
+    def one(value):
+        rest, held = split_by_group(panel, panel.filter(F.col(fold) == value), group)
+        model = pipeline(numbers, labels, **how).fit(rest.withColumn("is_check", F.pmod(F.xxhash64(group), F.lit(10)) == 0))
+        return scored_by(model, held.filter(F.col(fold) == value))
 
-def calibrated(scored: DataFrame, score: str = "prob", label: str = "target") -> DataFrame:
-    """Adds calibrated, by isotonic regression of the label on the score, within 1e-6 of 0 and 1."""
-    weighted = scored.groupBy(score).agg(F.avg(label).alias("label"), F.count("*").cast("double").alias("weight"))
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        parts = list(pool.map(one, folds))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def calibrated(scored: DataFrame, known: DataFrame, score: str = "prob", label: str = "target") -> DataFrame:
+    """Adds calibrated, by isotonic regression within 1e-6 of 0 and 1, fitted on other rows, whose labels are known."""
+    weighted = known.groupBy(score).agg(F.avg(label).alias("label"), F.count("*").cast("double").alias("weight"))
     model = IsotonicRegression(featuresCol=score, labelCol="label", weightCol="weight", predictionCol="_c").fit(weighted)
     return model.transform(scored).withColumn("calibrated", F.least(F.lit(1 - 1e-6), F.greatest(F.lit(1e-6), F.col("_c")))).drop("_c")
 
 
+def held_out_forward(panel: DataFrame, numbers: list[str], labels: list[str], year: str, train_to: int, folds: int = 3, group: str = "id", **how) -> DataFrame:
+    """Rows of the years after train_to with prob and calibrated; nothing of these years is seen before.
+
+    The model is fitted on the years before train_to and stops early by the year train_to. The calibrator is fitted on
+    what models of folds of groups, up to train_to, say of rows that they have not seen. Groups that have rows
+    in both are left out of the earlier years.
+    """
+    panel = session.pinned(prepared(panel, numbers, labels))
+    later = panel.filter(F.col(year) > train_to)
+    early, later = split_by_group(panel, later, group, forward=year)
+    later = later.filter(F.col(year) > train_to)
+    early = session.pinned(early.withColumn("_fold", F.pmod(F.xxhash64(group, F.lit("fold")), F.lit(folds))))
+    seen = session.pinned(out_of_fold(early, numbers, labels, "_fold", list(range(folds)), group, **how).select("prob", "target"))
+    model = pipeline(numbers, labels, **how).fit(early.withColumn("is_check", F.col(year) == train_to))
+    return calibrated(scored_by(model, later), seen)
+
+
 NUMBERS, LABELS = ["elo_gap", "kpi_mean", "rnd"], ["surface"]
 
 
 def example_panel(spark, sf_dir) -> DataFrame:
     """The panel with a rating gap, a lagged average, round, surface, year and target."""
     from epochal.functions import features as fx
-    from epochal.operators import panel, ratings
-    from epochal.operators import temporal as tp
+    from epochal.operators import panel, ratings, scans
     from epochal.sources import tables
 
     m = tables.matches(spark, sf_dir)
@@ -80,19 +112,20 @@ def example_panel(spark, sf_dir) -> DataFrame:
     elo = ratings.elo_by_round(m, order, order[:3])
     s = tables.stats(spark, sf_dir).select("id", fx.ratio(F.col("won_points"), F.col("all_points")).alias("kpi"))
     p = panel.unpivot(m).join(s, "id", "left").join(elo.select("id", (F.col("winner_elo") - F.col("loser_elo")).alias("gap")), "id")
+    p = scans.means(p, ["player_code"], F.trunc("start_dtm", "month"), order, {"kpi_mean": (F.col("kpi"), 1)})
     won = F.col("match_result") == "win"
-    return p.select("id", "player_code", fx.leading_year(F.col("tournament_id")).alias("year"), F.col("rnd").cast("double").alias("rnd"), "surface", F.when(won, F.col("gap")).otherwise(-F.col("gap")).alias("elo_gap"), tp.exposed_mean(F.col("kpi"), tp.before(["player_code"], order)).alias("kpi_mean"), won.cast("double").alias("target"))
+    gap = F.when(won, F.col("gap")).otherwise(-F.col("gap"))
+    return p.select("id", "player_code", "tournament_id", fx.leading_year(F.col("tournament_id")).alias("year"), F.col("rnd").cast("double").alias("rnd"), "surface", gap.alias("elo_gap"), "kpi_mean", won.cast("double").alias("target"))
 
 
 def yearly_metrics(panel: DataFrame, years: int = 2) -> DataFrame:
-    """year, n, auc, brier, log_loss, accuracy of the last years, each held out from its model."""
-    panel = panel.cache()
+    """year, n, auc, brier, log_loss, accuracy of the last years, each held out from its model and from its calibrator,
+    which is fitted on the other years' rows."""
+    panel = session.pinned(panel)
     last = sorted(r.year for r in panel.select("year").distinct().collect())[-years:]  # a row a year
-    scored = calibrated(out_of_fold(panel, NUMBERS, LABELS, "year", last)).withColumn("label", F.col("target").cast("int"))
-    out = None
-    for year in last:
-        held = scored.filter(F.col("year") == year)
-        row = held.agg(F.count("*").alias("n")).join(stats.auc(held, "calibrated", "label")).join(stats.losses(held, "calibrated", "label"))  # one row each
-        row = row.select(F.lit(year).alias("year"), "n", *[F.round(c, 6).alias(c) for c in ("auc", "brier", "log_loss", "accuracy")])
-        out = row if out is None else out.unionByName(row)
-    return out
+    scored = session.pinned(out_of_fold(panel, NUMBERS, LABELS, "year", last))
+    parts = [calibrated(scored.filter(F.col("year") == y), scored.filter(F.col("year") != y)) for y in last]
+    held = session.pinned(reduce(DataFrame.unionByName, parts).withColumn("label", F.col("target").cast("int")))
+    counts = held.groupBy("year").agg(F.count("*").alias("n"))
+    out = counts.join(stats.auc_by(held, "year", "calibrated", "label"), "year").join(stats.losses(held, "calibrated", "label", by=["year"]), "year")
+    return out.select("year", "n", *[F.round(c, 6).alias(c) for c in ("auc", "brier", "log_loss", "accuracy")])

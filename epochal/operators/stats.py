@@ -180,11 +180,20 @@ def auc(scored: DataFrame, score: str, label: str) -> DataFrame:
     return steps.agg(F.try_divide(F.sum(F.col("_p") * (F.col("_below") + F.col("_n") / 2)), F.sum("_p") * F.sum("_n")).alias("auc"))
 
 
-def losses(scored: DataFrame, score: str, label: str, clip: float = 1e-6) -> DataFrame:
-    """brier, log_loss, accuracy in one aggregate."""
+def losses(scored: DataFrame, score: str, label: str, clip: float = 1e-6, by: Sequence[str] = ()) -> DataFrame:
+    """brier, log_loss, accuracy in one aggregate, of all rows or of each group."""
     p = F.least(F.lit(1 - clip), F.greatest(F.lit(clip), F.col(score)))
     y = F.col(label)
-    return scored.agg(F.avg((F.col(score) - y) * (F.col(score) - y)).alias("brier"), F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"), F.avg(((F.col(score) >= 0.5).cast("int") == y).cast("double")).alias("accuracy"))
+    return scored.groupBy(*by).agg(F.avg((F.col(score) - y) * (F.col(score) - y)).alias("brier"), F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"), F.avg(((F.col(score) >= 0.5).cast("int") == y).cast("double")).alias("accuracy"))
+
+
+def auc_by(scored: DataFrame, by: str, score: str, label: str) -> DataFrame:
+    """by, auc: as auc for each group; the distinct scores of all groups are put in order at once."""
+    tally = scored.groupBy(by, score).agg(F.sum(label).alias("_p"), F.sum(1 - F.col(label)).alias("_n"))
+    steps = order.running_totals(tally, [F.col(by), F.col(score)], {"_below": F.col("_n")})
+    first = F.min("_below")  # what all groups before come to
+    sums = steps.groupBy(by).agg(F.sum(F.col("_p") * (F.col("_below") + F.col("_n") / 2)).alias("_s"), first.alias("_first"), F.sum("_p").alias("_ps"), F.sum("_n").alias("_ns"))
+    return sums.select(by, F.try_divide(F.col("_s") - F.col("_first") * F.col("_ps"), F.col("_ps") * F.col("_ns")).alias("auc"))
 
 
 def drawn(key: Column, mean: Column, deviation: Column, least: float, most: float, seed: int = 1) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from epochal import session
 from epochal.functions import features as fx
 from epochal.operators import ml, stats
 from epochal.plans.registry import query
@@ -161,6 +162,20 @@ def gbt_calibrated(spark, sf_dir):
     return ml.yearly_metrics(ml.example_panel(spark, sf_dir))
 
 
+@query()
+def gbt_holdout(spark, sf_dir):
+    """Trees fitted on the first years, stopped by the next, calibrated out of fold, and measured on the last two by year and tier."""
+    from epochal.plans.upkeep_queries import TIERS
+
+    panel = ml.example_panel(spark, sf_dir)
+    last = panel.agg(F.max("year")).first()[0]
+    held = ml.held_out_forward(panel, ml.NUMBERS, ml.LABELS, "year", last - 2)
+    t = tables.tournaments(spark, sf_dir).select("tournament_id", "category")
+    held = session.pinned(held.join(t, "tournament_id").withColumn("hit", F.col("target").cast("int")))
+    kinds = [stats.by_tier(held, "category", TIERS, ["year"], score=c).withColumn("score", F.lit(c)) for c in ("prob", "calibrated")]
+    return kinds[0].unionByName(kinds[1]).select("score", "tier", "year", "n", F.round("brier", 6).alias("brier"), F.round("accuracy", 6).alias("accuracy"))
+
+
 @query("p", "select cast(substr(tournament_id, 1, 4) as int) as fold, count(*) as held_out, (select count(*) from p) - count(*) as rest, cast(count(distinct id) as bigint) as ids from p group by 1")
 def yearly_folds(spark, sf_dir):
     from epochal.operators import panel
