@@ -119,12 +119,13 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _whole(path: str, pattern: str):
+def _whole(path: str, pattern: str, *also: str):
     def encode(batches):
         c = codec(path, pattern)
         for batch in batches:
             ids = [c.encode(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            kept = ["doc_id", *also]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(ids, pa.binary())], [*kept, "ids"])
 
     return encode
 
@@ -146,9 +147,9 @@ def _chunks(path: str, pattern: str, chunk: int, overlap: int):
                 for name, keep, shift in (("head", head, 0), ("tail", tail, chunk)):
                     out[f"{name}_at"].append((at[keep] - shift).tolist())
                     out[f"{name}_ids"].append(ids[keep].tolist())
-            arrays = [batch.column(k) for k in ("doc_id", "rid", "no", "chunks")]
+            arrays = [batch.column(k) for k in ("rid", "no", "chunks")]
             arrays += [pa.array(out["ids"], pa.binary())] + [pa.array(out[k], pa.list_(pa.int64())) for k in ("head_at", "head_ids", "tail_at", "tail_ids")]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "rid", "no", "chunks", "ids", "head_at", "head_ids", "tail_at", "tail_ids"])
+            yield pa.RecordBatch.from_arrays(arrays, ["rid", "no", "chunks", "ids", "head_at", "head_ids", "tail_at", "tail_ids"])
 
     return encode
 
@@ -169,32 +170,43 @@ def stitch(parts: list[dict]) -> bytes | None:
     return b"".join(out)
 
 
-def _stitched(groups: pa.Table) -> pa.Table:
-    rows = sorted(groups.to_pylist(), key=lambda r: r["no"])
-    firsts = [r for r in rows if r["no"] == 0]  # rows that repeat bring their chunks again
-    parts = [r for i, r in enumerate(rows) if i == 0 or rows[i - 1]["no"] != r["no"]]
-    ids = stitch(parts)
-    return pa.table({"doc_id": pa.array([r["doc_id"] for r in firsts], pa.int64()), "rid": pa.array([r["rid"] for r in firsts], pa.string()), "ids": pa.array([ids] * len(firsts), pa.binary())})
+def _cut(chunk: int, overlap: int):
+    """The chunks of each text, cut in one pass over it, some at a time."""
+
+    def cut(batches):
+        for batch in batches:
+            for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                chunks = -(-(len(text) - overlap) // chunk)
+                for lo in range(0, chunks, 16):
+                    some = range(lo, min(lo + 16, chunks))
+                    parts = [text[no * chunk : (no + 1) * chunk + overlap if no < chunks - 1 else None] for no in some]
+                    yield pa.RecordBatch.from_arrays([pa.array([rid] * len(parts), pa.string()), pa.array(some, pa.int32()), pa.array([chunks] * len(parts), pa.int32()), pa.array(parts, pa.string())], ["rid", "no", "chunks", "text"])
+
+    return cut
+
+
+def _stitched(group: pa.Table) -> pa.Table:
+    parts = sorted(group.to_pylist(), key=lambda r: r["no"])
+    return pa.table({"rid": pa.array([parts[0]["rid"]], pa.string()), "ids": pa.array([stitch(parts)], pa.binary())})
 
 
 def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """doc_id, ids: the ids of every text as little-endian 32-bit integers."""
+    """doc_id, ids: the ids of every text as little-endian 32-bit integers. Of long rows that repeat one is encoded."""
     common.prepare(docs.sparkSession)
     length = F.coalesce(F.length("text"), F.lit(0))
     short = docs.filter(length <= chunk + overlap).select(F.col("doc_id").cast("long"), "text")
     whole = short.mapInArrow(_whole(path, pattern), "doc_id long, ids binary")
     long = docs.filter(length > chunk + overlap).select(F.col("doc_id").cast("long").alias("doc_id"), "text", common.row_key(F.col("doc_id"), F.col("text")).alias("rid"))
-    chunks = F.ceil((F.length("text") - overlap) / chunk).cast("int")
-    cut = long.withColumn("chunks", chunks).withColumn("no", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    last = F.col("no") == F.col("chunks") - 1
-    cut = cut.select("doc_id", "rid", "no", "chunks", F.substring("text", F.col("no") * chunk + 1, F.when(last, F.lit(chunk * 2 + overlap)).otherwise(F.lit(chunk + overlap))).alias("text"))
-    cut = cut.repartition(common.partitions(docs.sparkSession), "rid", "no")
-    kinds = "doc_id long, rid string, no int, chunks int, ids binary, head_at array<long>, head_ids array<long>, tail_at array<long>, tail_ids array<long>"
-    parts = cut.mapInArrow(_chunks(path, pattern, chunk, overlap), kinds)
-    joined = parts.groupBy("rid").applyInArrow(_stitched, "doc_id long, rid string, ids binary")
-    done = joined.filter("ids is not null").select("doc_id", "ids")
-    rest = long.join(joined.filter("ids is null").select("rid").distinct(), "rid", "left_semi").select("doc_id", "text")
-    return whole.unionByName(done).unionByName(rest.mapInArrow(_whole(path, pattern), "doc_id long, ids binary"))
+    rows = long.groupBy("rid", "doc_id").agg(F.count("*").cast("int").alias("times"))
+    texts = long.groupBy("rid").agg(F.first("text").alias("text"))
+    parts = texts.mapInArrow(_cut(chunk, overlap), "rid string, no int, chunks int, text string").repartition(common.partitions(docs.sparkSession), "rid", "no")
+    kinds = "rid string, no int, chunks int, ids binary, head_at array<long>, head_ids array<long>, tail_at array<long>, tail_ids array<long>"
+    joined = parts.mapInArrow(_chunks(path, pattern, chunk, overlap), kinds).groupBy("rid").applyInArrow(_stitched, "rid string, ids binary")
+    every = F.explode(F.array_repeat(F.col("doc_id"), F.col("times"))).alias("doc_id")
+    done = joined.filter("ids is not null").join(rows, "rid").select(every, "ids")
+    rest = joined.filter("ids is null").join(rows, "rid").join(texts, "rid").select("doc_id", "times", "text")
+    rest = rest.mapInArrow(_whole(path, pattern, "times"), "doc_id long, times int, ids binary").select(every, "ids")
+    return whole.unionByName(done).unionByName(rest)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
