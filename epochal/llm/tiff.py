@@ -31,8 +31,9 @@ NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 FIELD = {1: ("B", 1), 3: ("H", 2), 4: ("I", 4)}
 #: Samples in a row and rows in a page of the writer; payloads are padded with PAD to whole rows.
 ROW, PAGE_ROWS, PAD = 576, 256, 255
-#: Samples that the pages of one file hold at most.
-MOST = 1 << 30
+#: Samples that the pages of one file hold at most: of files from elsewhere, whose few bytes may name any size, and
+#: of files written here, which are as large as their texts.
+MOST, OWN = 1 << 30, 1 << 62
 #: What a broken file can raise.
 BROKEN = (ValueError, KeyError, IndexError, TypeError, ZeroDivisionError, OverflowError, MemoryError, struct.error, zlib.error)
 
@@ -204,7 +205,7 @@ def directories(data: bytes):
         (at,) = struct.unpack_from(f"{end}I", data, at + 2 + 12 * n)
 
 
-def page_pixels(data: bytes, tags: dict) -> np.ndarray:
+def page_pixels(data: bytes, tags: dict, most: int = MOST) -> np.ndarray:
     """Rows of samples of one page with 8-bit samples side by side."""
     one = lambda tag, default=None: tags[tag][0] if tag in tags else default
     width, height, samples = one(WIDTH), one(HEIGHT), one(SAMPLES, 1)
@@ -217,7 +218,7 @@ def page_pixels(data: bytes, tags: dict) -> np.ndarray:
     if min(width, height, samples, wide, high) < 1:
         raise ValueError("a page, strip or tile of size 0")
     across = -(-width // wide)
-    if max(height * width, (high if tiled else 1) * wide) * samples > MOST:
+    if max(height * width, (high if tiled else 1) * wide) * samples > most:
         raise ValueError("a page of too many samples")
     if len(places) < across * -(-height // high):
         raise ValueError("a page without all of its strips or tiles")
@@ -239,7 +240,7 @@ def page_pixels(data: bytes, tags: dict) -> np.ndarray:
 PAGES = "key binary, file_no long, page int, pages int, width int, height int, samples int, pixels binary, error string"
 
 
-def read_pages(files: DataFrame, key: str, media: str) -> DataFrame:
+def read_pages(files: DataFrame, key: str, media: str, most: int = MOST) -> DataFrame:
     """One row per page, in the order of rows and pages: key (bytes, as given), file_no (place of the
     file in its partition), page, pages, width, height, samples, pixels, error."""
 
@@ -252,9 +253,9 @@ def read_pages(files: DataFrame, key: str, media: str) -> DataFrame:
                     found = list(directories(data)) if data is not None else []
                     for k, tags in enumerate(found):
                         held += tags[WIDTH][0] * tags[HEIGHT][0] * tags.get(SAMPLES, (1,))[0]
-                        if held > MOST:
+                        if held > most:
                             raise ValueError("pages of too many samples")
-                        pixels, samples = page_pixels(data, tags), tags.get(SAMPLES, (1,))[0]
+                        pixels, samples = page_pixels(data, tags, most), tags.get(SAMPLES, (1,))[0]
                         rows.append((given, no, k, len(found), pixels.shape[1] // samples, pixels.shape[0], samples, pixels.tobytes(), None))
                 except BROKEN as wrong:
                     rows = [(given, no, -1, 0, 0, 0, 0, None, f"{type(wrong).__name__}: {wrong}")]
@@ -335,7 +336,7 @@ def digests(docs: DataFrame, **how) -> DataFrame:
     longs, texts = ("doc_id", "n_bytes", "payload_bytes", "tail_crc32", "media_bytes", "n_pages"), ("payload_sha256", "media_sha256", "feature")
     schema = pa.schema([(c, pa.int64()) for c in longs] + [(c, pa.string()) for c in texts])
     kinds = ", ".join([f"{c} long" for c in longs] + [f"{c} string" for c in texts])
-    return read_pages(store(docs, **how), "key", "media").mapInArrow(fold, kinds)
+    return read_pages(store(docs, **how), "key", "media", most=OWN).mapInArrow(fold, kinds)  # own files hold what the texts hold
 
 
 def _row(now: dict) -> dict:

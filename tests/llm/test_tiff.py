@@ -97,3 +97,12 @@ def test_digests(docs, odd, empty, how):
     assert tiff.digests(empty, **how).count() == 0
     same = {(r.media_sha256, r.feature) for r in tiff.digests(odd).filter("doc_id in (7, 8)").collect()}
     assert len(same) == 1
+
+
+def test_own_files_have_no_limit(spark, monkeypatch):
+    """Files from elsewhere that name too many samples are refused, those written here are read whatever their size."""
+    df = spark.createDataFrame([(1, "x" * 5000), (2, "y")], "doc_id long, text string")
+    stored = tiff.store(df)
+    pages = tiff.read_pages(stored, "key", "media", most=4000).collect()
+    assert sorted(p.page for p in pages) == [-1, 0] and tiff.MOST < tiff.OWN
+    assert {r.doc_id: r.n_bytes for r in tiff.digests(df).collect()} == {1: 5000, 2: 1}
