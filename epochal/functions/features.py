@@ -169,3 +169,27 @@ def series_of(key: Column, banner: Column, money: Column) -> Column:
 def finite(x: Column) -> Column:
     """Null for what is no finite number."""
     return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+
+#: Country codes and their continents.
+CONTINENTS = """
+AUS Oceania, QAT Asia, NZL Oceania, GER Europe, USA North America, IND Asia, FRA Europe, URU South America, UAE Asia, RUS Europe
+NED Europe, VIE Asia, GBR Europe, DEN Europe, SGP Asia, JPN Asia, ECU South America, MAR Africa, ITA Europe, POR Europe
+CHN Asia, ESP Europe, BER North America, MON Europe, CZE Europe, SLO Europe, ISR Asia, AUT Europe, BUL Europe, CRO Europe
+SUI Europe, SWE Europe, CAN North America, BEL Europe, ARG South America, FIN Europe, TUR Europe, BRA South America, POL Europe, SMR Europe
+UKR Europe, ROU Europe, HUN Europe, MKD Europe, UZB Asia, EGY Africa, PER South America, CHI South America, AND Europe, MEX North America
+VEN South America, COL South America, SVK Europe, KOR Asia, CRC North America, THA Asia, SRB Europe, TUN Africa, BIH Europe, BOL South America
+LUX Europe, IRI Asia, IRL Europe, PAR South America, RSA Africa, KAZ Asia, TPE Asia, MAS Asia, GRE Europe, CAL Oceania
+GUD North America, PAN North America, HKG Asia, DOM North America, PHI Asia, BRN Asia, LTU Europe, PUR North America, KSA Asia, RWA Africa
+GEO Europe, COD Africa, CIV Africa, MDA Europe
+"""
+
+
+def continents() -> dict[str, str]:
+    """Continent by country code."""
+    return dict(x.strip().split(" ", 1) for line in CONTINENTS.strip().splitlines() for x in line.split(","))
+
+
+def continent(country: Column) -> Column:
+    """The continent of a country's code; null for codes that the list lacks."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in continents().items() for x in pair]), country)

@@ -44,8 +44,8 @@ def games(token: Column) -> Column:
     return F.struct(first.alias("won"), second.alias("lost"), token.startswith("T").alias("tie"))
 
 
-#: Tournament codes with sets to four games, and with deciding tie-breaks as a matter of course.
-SHORT_SETS, DECIDED = "7696", "9210"
+#: Fixed value: the code of the tournament whose sets go to four games.
+SHORT_SETS = "7696"
 
 
 def parsed(score: Column, code: Column | None = None) -> Column:

@@ -76,3 +76,45 @@ def merge_entities(entities: DataFrame, codes: DataFrame, key: str, old: str = "
     gone = gone.groupBy(F.col("_to").alias(key)).agg(F.struct(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(key))).alias(c) for c in values]).alias("_from"))
     left = entities.join(pairs.select(F.col(old).alias(key)), key, "left_anti").select(key, F.struct(*values).alias("_own"))
     return left.join(gone, key, "full").select(key, *[F.coalesce(F.col(f"_own.{c}"), F.col(f"_from.{c}")).alias(c) for c in values])
+
+
+def replace_tokens(id_: Column, pairs: Column, mark: str = "-") -> Column:
+    """An id whose tokens between marks are codes: those that the map has are replaced, parts of other tokens are not."""
+    return F.array_join(F.transform(F.split(id_, mark), lambda t: F.coalesce(F.try_element_at(pairs, t), t)), mark)
+
+
+def merge_everywhere(catalog, codes: DataFrame, entity: tuple[str, str], uses: dict[str, dict], old: str = "old_code", new: str = "new_code", note: str | None = None) -> dict[str, int]:
+    """Merges entities in all tables of a catalog, in one commit; how many rows changed in each.
+
+    entity: table and key whose old rows are merged into the new ones, as by merge_entities. uses: for each
+    other table the columns that hold a code (codes), the id columns with codes among their tokens
+    (ids, found by the columns named in codes or, where there are none, by their tokens), and a column with the
+    hash of others (hash: (name, columns)), which is made anew. If any table fails, none has changed.
+    """
+    now, versions, changed = catalog.now(), {}, {}
+    pairs = session.pinned(resolved(codes, old, new).select(F.col(old).cast("string").alias("_old"), F.col(new).cast("string").alias("_new")))
+    name, key = entity
+    rows = catalog.read(name)
+    taken = pairs.select(F.explode(F.array("_old", "_new")).alias("_old")).distinct()
+    family = session.pinned(rows.join(taken, rows[key].cast("string") == taken["_old"], "left_semi"))
+    kind = dict(rows.dtypes)[key]
+    merged = merge_entities(family, pairs.select(F.col("_old").cast(kind).alias("o"), F.col("_new").cast(kind).alias("n")), key, "o", "n")
+    versions[name] = catalog.tables[name].rewrite(family, merged, now[name])["version"]
+    changed[name] = family.count()
+    for name, spec in uses.items():
+        table, rows = catalog.tables[name], catalog.read(name).withColumn("_row", F.struct("*"))
+        found = [F.col(c).cast("string") for c in spec.get("codes", ())]
+        tokens = F.array(*found) if found else F.flatten(F.array(*[F.split(c, "-") for c in spec["ids"]]))
+        hits = rows.withColumn("_old", F.explode(F.array_distinct(tokens))).join(pairs, "_old")
+        each = hits.groupBy("_row").agg(F.map_from_entries(F.collect_set(F.struct("_old", "_new"))).alias("_map"))  # a row's codes are few
+        hits = session.pinned(each.select("_row.*", "_map"))
+        kinds = dict(hits.dtypes)
+        moved = {c: F.coalesce(F.try_element_at("_map", F.col(c).cast("string")).cast(kinds[c]), F.col(c)) for c in spec.get("codes", ())}
+        moved |= {c: replace_tokens(F.col(c), F.col("_map")) for c in spec.get("ids", ())}
+        after = hits.withColumns(moved).drop("_map")
+        if "hash" in spec:
+            after = after.withColumn(spec["hash"][0], change_hash(spec["hash"][1]))
+        versions[name] = table.rewrite(hits.drop("_map"), after, now[name])["version"]
+        changed[name] = hits.count()
+    catalog.commit(versions, note)
+    return changed

@@ -119,6 +119,19 @@ class Store:
         kept = {p: e for p, e in entries.items() if p not in set(parts)}
         return {"version": self._commit(kept | new, after, note), "parts": len(parts), **seen}
 
+    def rewrite(self, gone: DataFrame, rows: DataFrame, version: int | None = None, note: str | None = None) -> dict:
+        """Takes out the rows whose keys are in gone and puts rows in, which may belong to other parts; only parts of either
+        are written. version: the one to go on from (the last)."""
+        after = self.versions()[-1] if version is None else version
+        gone, rows = session.pinned(gone.select(*self.keys)), session.pinned(rows)
+        parts = sorted({*self.touched(gone), *self.touched(rows)})
+        same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in self.keys]
+        left = self.read(after, parts).alias("a").join(gone.distinct().alias("b"), same, "left_anti")
+        entries = self.manifest(after)
+        new, _ = self._write(left.unionByName(rows.select(*left.columns)))
+        kept = {p: e for p, e in entries.items() if p not in set(parts)}
+        return {"version": self._commit(kept | new, self.versions()[-1], note), "parts": len(parts)}
+
     def vacuum(self, keep: int = 1) -> int:
         """Removes all versions but the last ones, and files that none of these names; how many folders went.
         Not while others write: their files are not named yet."""
@@ -135,6 +148,31 @@ class Store:
         return gone
 
 
+class Catalog:
+    """Several tables that change together: a version of the catalog names a version of each. A change writes new
+    versions of its tables, which nobody sees who reads by the catalog, and is there at once with the catalog's commit."""
+
+    def __init__(self, folder: str, tables: dict[str, Store]):
+        self.folder, self.tables = folder.rstrip("/"), tables
+        self.spark = next(iter(tables.values())).spark
+
+    def _log(self) -> Store:
+        return Store(self.spark, f"{self.folder}/catalog", ["part"], 1)
+
+    def now(self) -> dict[str, int]:
+        """The version of each table in the last version of the catalog."""
+        return {p: e["rows"] for p, e in self._log().manifest().items()}
+
+    def commit(self, versions: dict[str, int], note: str | None = None) -> int:
+        log = self._log()
+        at = log.versions()
+        after = self.now() | versions
+        return log._commit({t: {"part": t, "path": "", "rows": v} for t, v in after.items()}, at[-1] if at else -1, note)
+
+    def read(self, table: str) -> DataFrame:
+        return self.tables[table].read(self.now()[table])
+
+
 def newest(columns: Sequence[str], since: Sequence[str]) -> dict[str, Column]:
     """A policy for merge: a source row counts, nulls included, if it comes after the one that is there by the columns of since."""
     later = F.struct(*[F.col(f"new.{c}") for c in since]) > F.struct(*[F.col(f"old.{c}") for c in since])

@@ -151,6 +151,26 @@ def missing_stats_worklist(spark, sf_dir):
     return tables.matches(spark, sf_dir).filter("match_ret = '(W/O)'").orderBy(F.desc("start_dtm"), "tournament_id", "rnd", "id").limit(50).select("id")
 
 
+@query("m sd", """select replace(link, 'stats-centre', 'match-stats') as stats_url, link as original_url from (select m.id, concat('/stats-centre/', cast(m.id as varchar)) as link, m.start_dtm, sd.w_aces, sd.l_aces from m left join sd on sd.id = m.id where m.id % 9 <> 0) z
+  where w_aces is null or l_aces is null order by start_dtm desc, link limit 50""")
+def missing_stats_links(spark, sf_dir):
+    """Links of matches that have one and lack a side's statistics, rewritten to where they are now: a report of fifty."""
+    m = tables.matches(spark, sf_dir).filter("id % 9 <> 0").withColumn("link", F.concat(F.lit("/stats-centre/"), F.col("id").cast("string")))
+    lacking = m.join(tables.sides(spark, sf_dir).select("id", "w_aces", "l_aces"), "id", "left").filter("w_aces is null or l_aces is null")
+    return lacking.orderBy(F.desc("start_dtm"), "link").limit(50).select(F.replace("link", F.lit("stats-centre"), F.lit("match-stats")).alias("stats_url"), F.col("link").alias("original_url"))
+
+
+CODES = ", ".join(f"('{code}', '{name}')" for code, name in fx.continents().items())
+
+
+@query("", f"select substr(n_name, 1, 3) as country, c.continent, count(*) as customers from {{customer}} join {{nation}} on c_nationkey = n_nationkey left join (values {CODES}) c(code, continent) on c.code = substr(n_name, 1, 3) group by 1, 2")
+def continents(spark, sf_dir):
+    """Customers by country code, with the continents that the list of codes gives."""
+    c = tables.table(spark, sf_dir, "customer").join(tables.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    code = F.substring("n_name", 1, 3)
+    return c.groupBy(code.alias("country")).agg(F.count("*").alias("customers")).select("country", fx.continent(F.col("country")).alias("continent"), "customers")
+
+
 @query("m", "select winner as player_code from m where surface is null union select loser from m where surface = 'Carpet'")
 def player_discovery(spark, sf_dir):
     m = tables.matches(spark, sf_dir)

@@ -92,3 +92,41 @@ def test_restated_days_over_four_batches(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "e" / "late")).collect()) == [6, 8]
     late_again = store.restate(table, features, batch(2, (3, day(9), 1)), ["at"], build)  # an older batch that is run again
     assert late_again["taken"] == 1 and got()["09"] == (1, 32)
+
+
+def test_merging_in_four_tables_is_one_commit(spark, tmp_path, monkeypatch):
+    """A failure after the second table leaves all four as they were; then ids, codes and hashes follow chains of codes."""
+    from epochal.operators import merge
+
+    data = {
+        "players": spark.createDataFrame([("A1", "x", None), ("B2", None, "q"), ("C3", "z", "r"), ("A12", "w", "w")], "code string, name string, hand string"),
+        "matches": spark.createDataFrame([("1-A1-B2", "A1", "B2", 0), ("2-C3-A12", "C3", "A12", 0), ("3-A12-A12", "A12", "A12", 0)], "id string, w string, l string, h long"),
+        "enriched": spark.createDataFrame([("1-A1-B2", 5), ("3-A12-A12", 6)], "id string, n int"),
+        "points": spark.createDataFrame([("t", "C3", 10), ("t", "B2", 20)], "t string, code string, n int"),
+    }
+    keys = {"players": ["code"], "matches": ["id"], "enriched": ["id"], "points": ["t", "code"]}
+    held = {t: store.Store(spark, str(tmp_path / t), keys[t], 4) for t in data}
+    catalog = store.Catalog(str(tmp_path), held)
+    catalog.commit({t: s.create(data[t]) for t, s in held.items()})
+    codes = spark.createDataFrame([("A1", "B2"), ("B2", "C4"), ("C3", "C4")], "old_code string, new_code string")
+    uses = {"matches": {"codes": ["w", "l"], "ids": ["id"], "hash": ("h", ["id", "w", "l"])}, "enriched": {"ids": ["id"]}, "points": {"codes": ["code"]}}
+    got = lambda t: sorted(tuple(r) for r in catalog.read(t).select(*data[t].columns).collect())
+    before, real, calls = {t: got(t) for t in data}, store.Store.rewrite, []
+
+    def third_fails(self, *args, **how):
+        calls.append(self)
+        if len(calls) == 3:
+            raise OSError("lost")
+        return real(self, *args, **how)
+
+    with monkeypatch.context() as m:
+        m.setattr(store.Store, "rewrite", third_fails)
+        with pytest.raises(OSError):
+            merge.merge_everywhere(catalog, codes, ("players", "code"), uses)
+    assert {t: got(t) for t in data} == before and len(held["matches"].versions()) == 2
+    merge.merge_everywhere(catalog, codes, ("players", "code"), uses)
+    assert got("players") == [("A12", "w", "w"), ("C4", "x", "q")]
+    assert [r[:3] for r in got("matches")] == [("1-C4-C4", "C4", "C4"), ("2-C4-A12", "C4", "A12"), ("3-A12-A12", "A12", "A12")]
+    assert got("enriched") == [("1-C4-C4", 5), ("3-A12-A12", 6)] and got("points") == [("t", "C4", 10), ("t", "C4", 20)]
+    hashes = {r.id: r.h for r in catalog.read("matches").withColumn("h", F.col("h") == merge.change_hash(["id", "w", "l"])).collect()}
+    assert hashes == {"1-C4-C4": True, "2-C4-A12": True, "3-A12-A12": False}
