@@ -64,9 +64,7 @@ def profile_pages(spark, sf_dir):
     return pages.profiles(made).select("player_code", "slug", "first_name", "last_name", "country", "turned_pro", "weight", "height", F.col("birth_date").cast("string").alias("birth_date"), "handedness", "backhand")
 
 
-@query("m", """select tournament_id, 'R' || cast(rnd as varchar) as stage, 'P' || cast(winner as varchar) as winner_code, 'P' || cast(loser as varchar) as loser_code, case when id % 4 = 0 then cast(id % 7 as varchar) end as winner_seed, cast(null as varchar) as loser_seed,
-  case when id % 2 = 0 then '64 76(' || cast(id % 6 as varchar) || ')' else '36 63 61' end as score, match_ret as note, '/en/scores/match-stats/' || cast(id as varchar) as stats_url, cast(60 + id % 60 as int) as duration from m where id % 41 <> 0""")
-def result_pages(spark, sf_dir):
+def result_html(spark, sf_dir):
     """One page a tournament; matches of wheelchair draws stand on it too."""
     c = lambda x: F.col(x).cast("string")
     even = F.col("id") % 2 == 0
@@ -83,7 +81,19 @@ def result_pages(spark, sf_dir):
     clock = F.concat(F.lit("<span>01:"), F.lpad((F.col("id") % 60).cast("string"), 2, "0"), F.lit(":09</span>"))
     node = F.concat(F.lit('<div class="match"><div class="match-header"><span><strong>'), head, F.lit("</strong></span>"), clock, F.lit("</div>"), both, note, F.lit('<a class="stats" href="/en/scores/match-stats/'), c("id"), F.lit('">x</a></div>'))
     made = tables.matches(spark, sf_dir).groupBy("tournament_id").agg(F.array_join(F.collect_list(node), "").alias("html"))
-    return pages.results(made)
+    return made
+
+
+@query("m", """select tournament_id, 'R' || cast(rnd as varchar) as stage, 'P' || cast(winner as varchar) as winner_code, 'P' || cast(loser as varchar) as loser_code, case when id % 4 = 0 then cast(id % 7 as varchar) end as winner_seed, cast(null as varchar) as loser_seed,
+  case when id % 2 = 0 then '64 76(' || cast(id % 6 as varchar) || ')' else '36 63 61' end as score, match_ret as note, '/en/scores/match-stats/' || cast(id as varchar) as stats_url, cast(60 + id % 60 as int) as duration from m where id % 41 <> 0""")
+def result_pages(spark, sf_dir):
+    return pages.results(result_html(spark, sf_dir))
+
+
+@query("m", "select tournament_id, 'other draw' as reason, count(*) as n from m where id % 41 = 0 group by 1")
+def result_rejects(spark, sf_dir):
+    """Matches of result pages that don't count, by reason."""
+    return pages.rejected_results(result_html(spark, sf_dir))
 
 
 FIGURES = [*pages.SINGLE.items(), *[(i, n) for i, pair in pages.PAIRS.items() for n in pair]]

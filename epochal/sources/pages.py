@@ -14,6 +14,16 @@ def saved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.col("content").cast("string").alias("html"))
 
 
+def held(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator: filters on their columns stay above it, so what makes these is worked out once."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_held")).select("_held.*")
+
+
+def _after_first(parts: Column) -> Column:
+    """What follows each mark at which a text was split."""
+    return F.slice(parts, 2, F.size(parts))
+
+
 def titles_and_links(pages: DataFrame) -> DataFrame:
     """page_id, title, links: text of the first title and the number of distinct link targets."""
     links = F.array_distinct(F.regexp_extract_all("html", F.lit(r'(?i)href="([^"]*)"'), F.lit(1)))
@@ -100,30 +110,41 @@ def profiles(pages: DataFrame) -> DataFrame:
 OTHER_DRAWS = ("Wheelchair", "Champions Tour", "International Jr Event")
 
 
-def results(pages: DataFrame, tournament: str = "tournament_id") -> DataFrame:
-    """tournament_id, stage, winner_code, loser_code, winner_seed, loser_seed, score, note, stats_url, duration of result pages.
+def read_results(pages: DataFrame, tournament: str = "tournament_id") -> DataFrame:
+    """tournament_id, stage, winner_code, loser_code, winner_seed, loser_seed, score, note, stats_url, duration of result
+    pages, and reason: null, or why a match doesn't count (other draw, not two players, no code, long code).
 
-    A page is cut at its matches and a match at its two players; who has the winner's mark is the winner. Matches
-    of other draws, with a bye, or without two players are left out.
+    A page is cut at its matches and a match at its two players; who has the winner's mark is the winner.
     """
-    nodes = pages.select(tournament, F.explode(F.slice(F.split("html", r'<div class="match">'), 2, 1 << 20)).alias("m"))
+    nodes = pages.select(tournament, F.explode(_after_first(F.split("html", r'<div class="match">'))).alias("m"))
     stage = F.trim(F.regexp_replace(F.split_part(F.regexp_extract("m", r"(?s)<strong>(.*?)</strong>", 1), F.lit("-"), F.lit(1)), r"Day [1-6]", ""))
-    items = F.slice(F.split("m", r'<div class="stats-item">'), 2, 1 << 10)
+    items = _after_first(F.split("m", r'<div class="stats-item">'))
     rows = nodes.select(tournament, stage.alias("stage"), items.alias("items"), _one(F.col("m"), r'(?s)<div class="match-notes">(.*?)</div>').alias("note"), _one(F.col("m"), r'<a class="stats"[^>]*href="([^"]*)"').alias("stats_url"), _one(F.col("m"), r"(\d{2}:\d{2}:\d{2})").alias("clock"))
-    rows = rows.filter((F.size("items") == 2) & ~F.col("stage").rlike("|".join(OTHER_DRAWS)))
 
     def side(x):
         sets = F.transform(_all(x, r'(?s)<div class="score-item">(.*?)</div>'), lambda s: F.transform(F.regexp_extract_all(s, F.lit(r"<span>(\d*)</span>"), F.lit(1)), lambda v: v))
         return F.struct(F.upper(_one(x, r"/players/[^/]+/([^/]+)/")).alias("code"), _one(x, r'(?s)<div class="name">(?:(?!</div>).)*?<span>\(?([^)<]*)\)?</span>').alias("seed"), x.contains('<div class="winner">').alias("won"), sets.alias("sets"))
 
-    rows = rows.select("*", side(F.col("items")[0]).alias("a"), side(F.col("items")[1]).alias("b"))
+    rows = rows.select("*", side(F.get("items", F.lit(0))).alias("a"), side(F.get("items", F.lit(1))).alias("b"))
     rows = rows.select("*", F.when(F.col("a.won"), F.col("a")).otherwise(F.col("b")).alias("w"), F.when(F.col("a.won"), F.col("b")).otherwise(F.col("a")).alias("l"))
     games = lambda s: F.transform(s, lambda x: F.get(x, F.lit(0)).try_cast("int"))
     ties = F.zip_with("a.sets", "b.sets", lambda x, y: F.coalesce(F.get(y, F.lit(1)).try_cast("int"), F.get(x, F.lit(1)).try_cast("int")))
     seconds = F.split("clock", ":")
     minutes = seconds[0].cast("int") * 60 + seconds[1].cast("int")
-    out = rows.filter("w.code is not null and l.code is not null and length(w.code) <= 4")
-    return out.select(tournament, "stage", F.col("w.code").alias("winner_code"), F.col("l.code").alias("loser_code"), F.col("w.seed").alias("winner_seed"), F.col("l.seed").alias("loser_seed"), scores.composed(games(F.col("w.sets")), games(F.col("l.sets")), ties).alias("score"), "note", "stats_url", minutes.alias("duration"))
+    reason = F.when(F.col("stage").rlike("|".join(OTHER_DRAWS)), "other draw").when(F.size("items") != 2, "not two players")
+    reason = reason.when(F.col("w.code").isNull() | F.col("l.code").isNull(), "no code").when(F.length("w.code") > 4, "long code")
+    out = rows.select(tournament, "stage", F.col("w.code").alias("winner_code"), F.col("l.code").alias("loser_code"), F.col("w.seed").alias("winner_seed"), F.col("l.seed").alias("loser_seed"), scores.composed(games(F.col("w.sets")), games(F.col("l.sets")), ties).alias("score"), "note", "stats_url", minutes.alias("duration"), reason.alias("reason"))
+    return held(out)
+
+
+def results(pages: DataFrame, tournament: str = "tournament_id") -> DataFrame:
+    """The matches of result pages that count, without reason."""
+    return read_results(pages, tournament).filter("reason is null").drop("reason")
+
+
+def rejected_results(pages: DataFrame, tournament: str = "tournament_id") -> DataFrame:
+    """tournament_id, reason, n: the matches of result pages that don't count."""
+    return read_results(pages, tournament).filter("reason is not null").groupBy(tournament, "reason").agg(F.count("*").alias("n"))
 
 
 #: The places of figures in the list of a statistics page; a pair gives a value and its total.
@@ -139,7 +160,7 @@ def statistics(pages: DataFrame, key: str = "stats_url") -> DataFrame:
     won = F.transform(shown, lambda x: x.contains("winner"))
     value = lambda v: F.struct(F.coalesce(_one(v, r"\((\d+)\s*/"), F.trim(F.replace(v, F.lit("%"), F.lit("")))).try_cast("int").alias("x"), _one(v, r"/\s*(\d+)\)").cast("int").alias("y"))
     side = lambda c: F.transform(_all(F.col("html"), rf'(?s)<div class="{c}-stats-item">\s*<div class="value">(.*?)</div>'), value)
-    rows = pages.select(key, won.alias("won"), side("player").alias("a"), side("opponent").alias("b"))
+    rows = held(held(pages.select(key, "html")).select(key, won.alias("won"), side("player").alias("a"), side("opponent").alias("b")))
     rows = rows.filter((F.size("won") == 2) & (F.col("won")[0] != F.col("won")[1]) & (F.size("a") > 0) & (F.size("b") > 0))
     rows = rows.select(key, F.when(F.col("won")[0], F.col("a")).otherwise(F.col("b")).alias("w"), F.when(F.col("won")[0], F.col("b")).otherwise(F.col("a")).alias("l"))
     at = lambda s, i, f: F.get(s, F.lit(i))[f]
