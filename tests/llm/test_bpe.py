@@ -61,10 +61,3 @@ def test_long_merge():
         long = bpe.merge(piece, c.ranks)
         assert c.decode(np.array(long, "<u4").tobytes()) == piece
         assert long == tiktoken.Encoding("one", pat_str=r"[\s\S]+", mergeable_ranks=c.ranks, special_tokens={}).encode_ordinary(piece.decode())
-
-
-def test_long_rows_that_repeat(spark, library):
-    """One of each is encoded, all are returned; also those whose chunks share no boundary."""
-    rows = [(1, "ab cd " * 200)] * 50 + [(2, "ab cd " * 200), (None, "ab cd " * 200), (3, "a" * 900), (3, "a" * 900)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert got(df, chunk=300, overlap=40) == want(library, rows)
