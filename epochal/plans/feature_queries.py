@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from epochal import session
 from epochal.functions import features as fx
 from epochal.operators import panel, ratings, scans
 from epochal.operators import temporal as tp
@@ -20,7 +21,7 @@ from epochal.sources import tables
 
 def form(p: DataFrame) -> DataFrame:
     """Shares of the last five and ten matches, their difference, its size, and a flag for each above 0.7."""
-    p = tq.form_shares(p)
+    p = tq.form_shares(p) if "_last" not in p.columns else tq.shares(p)
     return p.withColumns({"form_trend": F.col("form_5") - F.col("form_10"), "consistency": F.abs(F.col("form_5") - F.col("form_10")), "good_form_5": (F.col("form_5") > 0.7).cast("int"), "good_form_10": (F.col("form_10") > 0.7).cast("int")})
 
 
@@ -63,38 +64,59 @@ def rank_peak_distance(spark, sf_dir):
 def table(spark, sf_dir) -> DataFrame:
     """All families in one plan: windows of the player first, which share their exchange, then joins of slim tables by match and
     tournament, and the partner's values last."""
-    m = tables.matches(spark, sf_dir)
+    m = session.pinned(tables.matches(spark, sf_dir))
     p = kpi.side_panel(spark, sf_dir).withColumn("points", F.when(won(), F.col("rnd") * 10).otherwise(5))
-    t = tables.tournaments(spark, sf_dir).select("tournament_id", "category")
-    p = p.join(t, "tournament_id")
+    t = tables.tournaments(spark, sf_dir).select("tournament_id", "category", "country")
+    p = panel.attach(p.join(t, "tournament_id"), tables.players(spark, sf_dir), "player_code", ["citizenship", "turned_pro"])
+    p = session.pinned(p.join(tables.stats(spark, sf_dir).select("id", "won_points", "lost_points"), "id", "left"))
+    key = ["id", "player_code"]
+    # one scan for all that a player's earlier matches come to; then slim tables of their own, joined by match and player
     title = ((F.col("rnd") == 11) & won()).cast("int")
-    p = kpi.points_before(kpi.three_years(kpi.lagged_means(form(p))))
-    p = scans.before(p, ["player_code"], tq.month(), tq.ORDER, {"prior_wins": won().cast("int"), "prior_matches": F.lit(1), "titles": title, "gs_titles": title * (F.col("category") == "gs").cast("int")})
-    p = scans.before(p, ["player_code", "surface"], tq.month(), tq.ORDER, {"_wins": won().cast("int"), "_played": F.lit(1)})
-    on_surface = (1 + F.col("_wins")) / (2 + F.col("_played")).cast("double")
-    p = p.withColumn("surface_rate", F.when(F.col("surface").isNotNull(), on_surface))
+    values = {n: (F.expr(kpi.lagged_value(num, den)), least) for n, num, den, least in kpi.LAGGED} | {f"_{c}": (F.col(c), 1) for c in ("won_points", "lost_points")}
+    sums = {"prior_wins": won().cast("int"), "prior_matches": F.lit(1), "titles": title, "gs_titles": title * (F.col("category") == "gs").cast("int")}
+    sums |= {f"_sum_{n}": v.cast("double") for n, (v, _) in values.items()} | {f"_n_{n}": v.isNotNull().cast("long") for n, (v, _) in values.items()}
+    on = F.when(F.col("surface").isNotNull(), (1 + F.col("_wins")) / (2 + F.col("_played")).cast("double"))
+    surfaces = scans.before(p.select(*key, "surface", "match_result", *tq.ORDER[:-1]), ["player_code", "surface"], tq.month(), tq.ORDER, {"_wins": won().cast("int"), "_played": F.lit(1)}).select(*key, on.alias("surface_rate"))
+    years = kpi.three_years(p).select(*key, *kpi.THREE_YEARS)
+    points = kpi.points_before(tq.timed(p.select(*key, "surface", "points", "start_dtm", "rnd"))).select(*key, *[f"{s}points_{y}" for s in ("", "surface_") for y in ("1y", "3y")])
+    p = form(scans.before(p, ["player_code"], tq.month(), tq.ORDER, sums, last={"_last": (won().cast("double"), 10)}))
+    p = p.withColumns({n: F.when(F.col(f"_n_{n}") >= least, F.col(f"_sum_{n}") / F.col(f"_n_{n}")) for n, (_, least) in values.items()})
+    p = p.join(surfaces, key).join(years, key).join(points, key)
     trips = travel(tq.player_tournaments(spark, sf_dir)).select("player_code", "tournament_id", *TRAVEL)
     p = p.join(trips, ["player_code", "tournament_id"], "left").join(tq.shifted(spark, sf_dir), ["id", "player_code"])
     met = tq.pair_history(m, ["player_a", "player_b"]).select("id", "player_a", "met", "a_wins")
-    elo = ratings.elo_by_round(m, rq.ORDER, rq.ROUND).select("id", "winner_elo", "loser_elo")
-    sur = ratings.surface_elo(m, rq.ORDER).select("id", F.col("winner_elo").alias("winner_surface_elo"), F.col("loser_elo").alias("loser_surface_elo"))
+    labels = ratings.groups(m)
+    elo = ratings.elo_by_round(m, rq.ORDER, rq.ROUND, labels=labels).select("id", "winner_elo", "loser_elo")
+    sur = ratings.surface_elo(m, rq.ORDER, labels=labels).select("id", F.col("winner_elo").alias("winner_surface_elo"), F.col("loser_elo").alias("loser_surface_elo"))
     p = kpi.log_ratios(p.join(met, "id").join(elo, "id").join(sur, "id"))
     mine = F.when(F.col("player_code") == F.col("player_a"), F.col("a_wins")).otherwise(F.col("met") - F.col("a_wins"))
     side = lambda a, b: F.when(won(), F.col(a) - F.col(b)).otherwise(F.col(b) - F.col(a))
     known = F.col("r0").isNotNull()
     theirs = panel.partner("r0")
+    of = lambda me, c: F.when(won() == F.lit(me), F.col(f"winner_{c}")).otherwise(F.col(f"loser_{c}"))
+    years = lambda role: (F.year("start_dtm") - F.col(f"{role}_turned_pro")).cast("int")
+    gap = F.greatest(F.col("_lost_points"), F.lit(1e-9))
     p = p.withColumns({
         "target": won().cast("int"), "h2h_rate": fx.smoothed(mine, F.col("met"), 8.0), "h2h_credibility": fx.credibility(F.col("met"), 8.0), "has_h2h": (F.coalesce("met", F.lit(0)) > 0).cast("int"),
         "elo_diff": side("winner_elo", "loser_elo"), "surface_elo_diff": side("winner_surface_elo", "loser_surface_elo"),
         "rank_diff": theirs - F.col("r0"), "rank_log_ratio": F.when(known & theirs.isNotNull(), F.log(theirs) - F.log("r0")),
+        "efficiency": F.when(F.col("_lost_points").isNotNull(), F.col("_won_points") / gap), "clutch_gap": F.col("_won_points") - F.col("_lost_points"),
+        "specialisation": of(True, "surface_elo") - of(True, "elo"), "opponent_specialisation": of(False, "surface_elo") - of(False, "elo"), "surface_elo_log_ratio": F.log(of(True, "surface_elo") / of(True, "elo")),
+        "player_home": fx.home(F.col("player_citizenship"), F.col("country")), "opponent_home": fx.home(F.col("opponent_citizenship"), F.col("country")), "experience": years("player"), "opponent_experience": years("opponent"),
+        **{f"opponent_{c}": panel.partner(c) for c in THEIRS},
         "rank_trend_4w": fx.trend_number(fx.trend(F.col("r0"), F.col("r28"), 0.02)), "rank_trend_12w": fx.trend_number(fx.trend(F.col("r0"), F.col("r84"), 0.05)),
     })
-    return p.select("id", "player_code", "opponent_code", "target", *[F.round(c, 5).alias(c) for c in ROUNDED], *WHOLE, *[F.col(c).isNull().cast("int").alias(f"{c}_was_na") for c in MISSING])
+    return p.select("id", "player_code", "opponent_code", "target", *[F.round(c, DIGITS.get(c, 5)).alias(c) for c in ROUNDED], *WHOLE, *[F.col(c).isNull().cast("int").alias(f"{c}_was_na") for c in MISSING])
 
 
+#: Columns of which the opponent's value stands beside.
+THEIRS = ["form_5", "form_10", "days", "prev_played"]
 TRAVEL = ["days", "back_to_back", "two_weeks", "long_rest", "continent_changed", "country_changed", "surface_changed", "indoor_changed", "prev_played", "prev_furthest", "fatigue", "red_eye"]
-ROUNDED = ["form_5", "form_10", "form_trend", "consistency", "surface_rate", "h2h_rate", "h2h_credibility", "elo_diff", "surface_elo_diff", "rank_log_ratio", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED]]
-WHOLE = ["good_form_5", "good_form_10", "prior_wins", "prior_matches", "titles", "gs_titles", "has_h2h", "r0", "r28", "r84", "rank_diff", "rank_trend_4w", "rank_trend_12w", *[f"{s}points_{y}" for s in ("", "surface_") for y in ("1y", "3y")], *kpi.THREE_YEARS, *TRAVEL]
+ROUNDED = ["form_5", "form_10", "form_trend", "consistency", "surface_rate", "h2h_rate", "h2h_credibility", "elo_diff", "surface_elo_diff", "rank_log_ratio", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED],
+           "efficiency", "clutch_gap", "specialisation", "opponent_specialisation", "surface_elo_log_ratio", "opponent_form_5", "opponent_form_10"]
+#: Digits of columns that are exact halves at five.
+DIGITS = {"efficiency": 6, "clutch_gap": 6}
+WHOLE = ["player_home", "opponent_home", "experience", "opponent_experience", "opponent_days", "opponent_prev_played", "good_form_5", "good_form_10", "prior_wins", "prior_matches", "titles", "gs_titles", "has_h2h", "r0", "r28", "r84", "rank_diff", "rank_trend_4w", "rank_trend_12w", *[f"{s}points_{y}" for s in ("", "surface_") for y in ("1y", "3y")], *kpi.THREE_YEARS, *TRAVEL]
 MISSING = ["surface_rate", "rank_diff", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED]]
 
 
@@ -111,13 +133,18 @@ def _sql() -> str:
     values = {
         "rank_log_ratio": "d.rank_log_ratio", "rank_diff": "d.rank_diff", "rank_trend_4w": "tr.trend_4w", "rank_trend_12w": "tr.trend_12w", "surface_rate": "sp.surface_rate",
         "h2h_rate": "least(0.999, greatest(0.001, (case when p.player_code = h.player_a then h.a_wins else h.met - h.a_wins end + 4.0) / (h.met + 8.0)))", "h2h_credibility": "h.met / (h.met + 8.0)", "has_h2h": "cast(h.met > 0 as int)",
+        "specialisation": f"case when {is_won} then s.winner_elo - e.winner_elo else s.loser_elo - e.loser_elo end", "opponent_specialisation": f"case when {is_won} then s.loser_elo - e.loser_elo else s.winner_elo - e.winner_elo end",
+        "surface_elo_log_ratio": f"ln(case when {is_won} then s.winner_elo / e.winner_elo else s.loser_elo / e.loser_elo end)",
+        "experience": "cast(extract(year from p.start_dtm) - xa.turned_pro as int)", "opponent_experience": "cast(extract(year from p.start_dtm) - xb.turned_pro as int)",
         "elo_diff": f"case when {is_won} then e.winner_elo - e.loser_elo else e.loser_elo - e.winner_elo end", "surface_elo_diff": f"case when {is_won} then s.winner_elo - s.loser_elo else s.loser_elo - s.winner_elo end",
     }
     one = lambda c: values.get(c, c if c.startswith("surface_points") else c)
-    cells = [f"round({one(c)}, 5) as {c}" for c in ROUNDED] + [f"{one(c)} as {c}" for c in WHOLE] + [f"cast({one(c)} is null as int) as {c}_was_na" for c in MISSING]
-    joins = [(lagged, "k"), (rq.exact(have["kpi_log_ratios"]), "lr"), (have["per_mille_3y"], "y"), (have["points_windows"], "pw"), (have["career_stats"], "c"), (have["titles_cumulative"], "ti"), (have["rank_asof_shifted"], "r"), (rq.exact(have["rank_differences"]), "d"), (have["rank_trend"], "tr")]
-    return registry.oracle("p", "select p.id, p.player_code, p.opponent_code, cast(p.match_result = 'win' as int) as target, " + ", ".join(cells) + " from p " + " ".join(f"join ({sql}) {a} on {a}.id = p.id and {a}.player_code = p.player_code" for sql, a in joins)
+    cells = [f"round({one(c)}, {DIGITS.get(c, 5)}) as {c}" for c in ROUNDED] + [f"{one(c)} as {c}" for c in WHOLE] + [f"cast({one(c)} is null as int) as {c}_was_na" for c in MISSING]
+    joins = [(lagged, "k"), (rq.exact(have["kpi_log_ratios"]), "lr"), (have["per_mille_3y"], "y"), (have["points_windows"], "pw"), (have["career_stats"], "c"), (have["titles_cumulative"], "ti"), (have["rank_asof_shifted"], "r"), (rq.exact(have["rank_differences"]), "d"), (have["rank_trend"], "tr"), (rq.exact(have["clutch_gap"]), "cg"), (have["player_meta_join"], "hm")]
+    return registry.oracle("p pl", "select p.id, p.player_code, p.opponent_code, cast(p.match_result = 'win' as int) as target, " + ", ".join(cells) + " from p " + " ".join(f"join ({sql}) {a} on {a}.id = p.id and {a}.player_code = p.player_code" for sql, a in joins)
         + f" join ({form_sql}) f on f.id = p.id and f.player_code = p.player_code left join ({rq.exact(have['surface_progressive'])}) sp on sp.id = p.id and sp.player_code = p.player_code join ({travel_sql}) tv on tv.player_code = p.player_code and tv.tournament_id = p.tournament_id"
+        + f" join (select id, player_code, form_5 as opponent_form_5, form_10 as opponent_form_10 from ({form_sql}) z) f2 on f2.id = p.id and f2.player_code = p.opponent_code left join pl xa on xa.player_code = p.player_code left join pl xb on xb.player_code = p.opponent_code"
+        + f" left join (select player_code, tournament_id, days as opponent_days, prev_played as opponent_prev_played from ({travel_sql}) z) tv2 on tv2.player_code = p.opponent_code and tv2.tournament_id = p.tournament_id"
         + f" join {of('h2h_full')} h on h.id = p.id join ({rq.exact(rq.GENERAL)}) e on e.id = p.id join ({rq.exact(rq.surfaces('false'))}) s on s.id = p.id").replace("round(form_5,", "round(f.form_5,")
 
 

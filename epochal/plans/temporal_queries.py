@@ -130,7 +130,11 @@ def last_rows(k):
 
 def form_shares(p):
     """The panel with the shares of the last five and ten matches that were won."""
-    p = scans.before(p, ["player_code"], month(), ORDER, last={"_last": (won().cast("double"), 10)})
+    return shares(scans.before(p, ["player_code"], month(), ORDER, last={"_last": (won().cast("double"), 10)}))
+
+
+def shares(p):
+    """form_5 and form_10 of the results of the last ten matches (_last)."""
     share = lambda x: F.try_divide(F.aggregate(x, F.lit(0.0), lambda a, b: a + b), F.size(x))
     return p.withColumns({f"form_{k}": share(F.slice("_last", F.greatest(F.size("_last") - k + 1, F.lit(1)), k)) for k in (5, 10)}).drop("_last")
 
