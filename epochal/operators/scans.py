@@ -56,10 +56,10 @@ def _end(items: Column, k: int) -> Column:
     return F.slice(items, F.greatest(F.size(items) - k + 1, F.lit(1)), k)
 
 
-def means(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str], values: dict[str, tuple[Column, int]]) -> DataFrame:
-    """Adds the mean of the values before, nulls left out; null until so many are known."""
+def means(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str], values: dict[str, tuple[Column, int]], sums: dict[str, Column] | None = None) -> DataFrame:
+    """Adds the mean of the values before, nulls left out; null until so many are known. sums: as in before."""
     totals = {f"_sum_{n}": v.cast("double") for n, (v, _) in values.items()} | {f"_n_{n}": v.isNotNull().cast("long") for n, (v, _) in values.items()}
-    out = before(df, keys, block, order, totals)
+    out = before(df, keys, block, order, totals | (sums or {}))
     return out.withColumns({n: F.when(F.col(f"_n_{n}") >= least, F.col(f"_sum_{n}") / F.col(f"_n_{n}")) for n, (_, least) in values.items()}).drop(*totals)
 
 

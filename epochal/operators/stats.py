@@ -104,31 +104,35 @@ def _beta_share(a: float, b: float, x: float) -> float:
     return front * out
 
 
-#: Strength of the prior by the kind of a column.
-WEIGHTS = {"log_ratio": 30.0, "share": 20.0, "mean": 10.0}
+#: Strength of the prior by the kind of a column, and how near to 0 and 1 shares may come.
+WEIGHTS, EDGE = {"log_ratio": 30.0, "share": 20.0, "mean": 10.0}, 1e-6
 
 
 def kind_of(column: str) -> str:
     if re.search(r"log_ratio", column):
         return "log_ratio"
-    return "share" if re.search(r"_pct$|_share$|_rate$", column) else "mean"
+    return "share" if re.search(r"_pct(_|$)|_share$|_rate$|_efficiency$", column) else "mean"
 
 
-def shrink(df: DataFrame, columns: Sequence[str], exposure: str) -> DataFrame:
+def shrink(df: DataFrame, columns: Sequence[str], exposure: str | dict[str, str | Column]) -> DataFrame:
     """Each column drawn to its prior by exposure / (exposure + weight), with <column>_was_na.
 
-    Shares and means are drawn to their mean over all rows (one aggregate for all columns), log ratios
-    to 0; a missing value becomes its prior. Shares stay within 0.001 and 0.999.
+    exposure: the column that counts what stands behind a value, one for all or one for each column. Shares and
+    means are drawn to their mean over all rows (one aggregate for all columns; 0.5 and 0 where no value is
+    known), log ratios to 0; a missing value becomes its prior. Shares are of one, or of a hundred in a column
+    whose largest value is above 1.5, and stay EDGE away from both ends.
     """
-    means = df.agg(*[F.avg(c).alias(c) for c in columns])
-    row = means.first()  # one row
+    known = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("mean", F.avg), ("most", F.max))]).first()  # one row
     out = {}
     for c in columns:
-        kind = kind_of(c)
-        prior = F.lit(0.0 if kind == "log_ratio" else row[c]).cast("double")
-        share = F.coalesce(F.col(exposure), F.lit(0)) / (F.coalesce(F.col(exposure), F.lit(0)) + F.lit(WEIGHTS[kind]))
-        value = F.coalesce(share * F.col(c) + (1 - share) * prior, prior)
-        out[c] = F.least(F.lit(0.999), F.greatest(F.lit(0.001), value)) if kind == "share" else value
+        kind, mean, most = kind_of(c), known[f"mean_{c}"], known[f"most_{c}"]
+        seen = exposure if isinstance(exposure, str) else exposure[c]
+        n = F.coalesce(F.col(seen) if isinstance(seen, str) else seen, F.lit(0))
+        unit = 100.0 if kind == "share" and most is not None and most > 1.5 else 1.0
+        prior = F.lit(0.0 if kind == "log_ratio" else mean / unit if mean is not None else 0.5 if kind == "share" else 0.0)
+        part = n / (n + F.lit(WEIGHTS[kind]))
+        value = part * F.coalesce(F.col(c) / unit, prior) + (1 - part) * prior
+        out[c] = F.least(F.lit(1 - EDGE), F.greatest(F.lit(EDGE), value)) * unit if kind == "share" else value
     flags = {f"{c}_was_na": F.col(c).isNull().cast("int") for c in columns}
     return df.select(*[F.col(c) for c in df.columns if c not in columns], *[v.alias(k) for k, v in (out | flags).items()])
 

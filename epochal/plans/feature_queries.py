@@ -81,7 +81,7 @@ def table(spark, sf_dir) -> DataFrame:
     points = kpi.points_before(tq.timed(p.select(*key, "surface", "points", "start_dtm", "rnd"))).select(*key, *[f"{s}points_{y}" for s in ("", "surface_") for y in ("1y", "3y")])
     p = form(scans.before(p, ["player_code"], tq.month(), tq.ORDER, sums, last={"_last": (won().cast("double"), 10)}))
     p = p.withColumns({n: F.when(F.col(f"_n_{n}") >= least, F.col(f"_sum_{n}") / F.col(f"_n_{n}")) for n, (_, least) in values.items()})
-    p = p.join(surfaces, key).join(years, key).join(points, key)
+    p = kpi.contrasts(p).join(surfaces, key).join(years, key).join(points, key)
     trips = travel(tq.player_tournaments(spark, sf_dir)).select("player_code", "tournament_id", *TRAVEL)
     p = p.join(trips, ["player_code", "tournament_id"], "left").join(tq.shifted(spark, sf_dir), ["id", "player_code"])
     met = tq.pair_history(m, ["player_a", "player_b"]).select("id", "player_a", "met", "a_wins")
@@ -106,18 +106,19 @@ def table(spark, sf_dir) -> DataFrame:
         **{f"opponent_{c}": panel.partner(c) for c in THEIRS},
         "rank_trend_4w": fx.trend_number(fx.trend(F.col("r0"), F.col("r28"), 0.02)), "rank_trend_12w": fx.trend_number(fx.trend(F.col("r0"), F.col("r84"), 0.05)),
     })
-    return p.select("id", "player_code", "opponent_code", "target", *[F.round(c, DIGITS.get(c, 5)).alias(c) for c in ROUNDED], *WHOLE, *[F.col(c).isNull().cast("int").alias(f"{c}_was_na") for c in MISSING])
+    return p.select("id", "player_code", "opponent_code", "target", *[F.round(c, DIGITS.get(c, 5)).alias(c) for c in ROUNDED], *[kpi.figure(c).alias(c) for c in CONTRASTS], *WHOLE, *[F.col(c).isNull().cast("int").alias(f"{c}_was_na") for c in MISSING])
 
 
 #: Columns of which the opponent's value stands beside.
-THEIRS = ["form_5", "form_10", "days", "prev_played"]
+THEIRS = ["form_5", "form_10", "days", "prev_played", "titles", "gs_titles", "surface_rate", *[n for n, *_ in kpi.LAGGED], *kpi.CONTRASTS]
+CONTRASTS = [f"{r}{n}" for r in ("", "opponent_") for n in kpi.CONTRASTS]
 TRAVEL = ["days", "back_to_back", "two_weeks", "long_rest", "continent_changed", "country_changed", "surface_changed", "indoor_changed", "prev_played", "prev_furthest", "fatigue", "red_eye"]
 ROUNDED = ["form_5", "form_10", "form_trend", "consistency", "surface_rate", "h2h_rate", "h2h_credibility", "elo_diff", "surface_elo_diff", "rank_log_ratio", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED],
-           "efficiency", "clutch_gap", "specialisation", "opponent_specialisation", "surface_elo_log_ratio", "opponent_form_5", "opponent_form_10"]
+           "efficiency", "clutch_gap", "specialisation", "opponent_specialisation", "surface_elo_log_ratio", "opponent_form_5", "opponent_form_10", "opponent_surface_rate", *[f"opponent_{n}" for n, *_ in kpi.LAGGED]]
 #: Digits of columns that are exact halves at five.
 DIGITS = {"efficiency": 6, "clutch_gap": 6}
-WHOLE = ["player_home", "opponent_home", "experience", "opponent_experience", "opponent_days", "opponent_prev_played", "good_form_5", "good_form_10", "prior_wins", "prior_matches", "titles", "gs_titles", "has_h2h", "r0", "r28", "r84", "rank_diff", "rank_trend_4w", "rank_trend_12w", *[f"{s}points_{y}" for s in ("", "surface_") for y in ("1y", "3y")], *kpi.THREE_YEARS, *TRAVEL]
-MISSING = ["surface_rate", "rank_diff", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED]]
+WHOLE = ["player_home", "opponent_home", "experience", "opponent_experience", "opponent_days", "opponent_prev_played", "good_form_5", "good_form_10", "prior_wins", "prior_matches", "titles", "gs_titles", "opponent_titles", "opponent_gs_titles", "has_h2h", "r0", "r28", "r84", "rank_diff", "rank_trend_4w", "rank_trend_12w", *[f"{s}points_{y}" for s in ("", "surface_") for y in ("1y", "3y")], *kpi.THREE_YEARS, *TRAVEL]
+MISSING = ["surface_rate", "rank_diff", *[n for n, *_ in kpi.LAGGED], *[f"{n}_log_ratio" for n, *_ in kpi.LAGGED], *CONTRASTS]
 
 
 def _sql() -> str:
@@ -128,6 +129,7 @@ def _sql() -> str:
       2.0::double * v1 + v2 + v3 + 0.5::double * v4 as fatigue, cast(coalesce(days <= 9, false) as int) * v1 as red_eye, prev_played, prev_furthest from (select *, date_diff('day', lag(start_dtm) over w, start_dtm) as days, cast(coalesce(continent <> lag(continent) over w, false) as int) as v1, cast(coalesce(country <> lag(country) over w, false) as int) as v2, cast(coalesce(surface <> lag(surface) over w, false) as int) as v3,
       cast(coalesce(indoor <> lag(indoor) over w, false) as int) as v4, lag(played) over w as prev_played, lag(furthest) over w as prev_furthest from pt window w as (partition by player_code order by start_dtm, tournament_id)) z""")
     lagged = registry.oracle("q", f"select id, player_code, {', '.join(n for n, *_ in kpi.LAGGED)} from (select *, {kpi.LAGGED_SQL} from {kpi.VALUES_SQL} window w as {kpi.W1}) x")
+    theirs = ", ".join(f"{n} as opponent_{n}" for n, *_ in kpi.LAGGED)
     form_sql = registry.oracle("p", f"select * from {FORM} f")
     is_won = "p.match_result = 'win'"
     values = {
@@ -139,10 +141,10 @@ def _sql() -> str:
         "elo_diff": f"case when {is_won} then e.winner_elo - e.loser_elo else e.loser_elo - e.winner_elo end", "surface_elo_diff": f"case when {is_won} then s.winner_elo - s.loser_elo else s.loser_elo - s.winner_elo end",
     }
     one = lambda c: values.get(c, c if c.startswith("surface_points") else c)
-    cells = [f"round({one(c)}, {DIGITS.get(c, 5)}) as {c}" for c in ROUNDED] + [f"{one(c)} as {c}" for c in WHOLE] + [f"cast({one(c)} is null as int) as {c}_was_na" for c in MISSING]
-    joins = [(lagged, "k"), (rq.exact(have["kpi_log_ratios"]), "lr"), (have["per_mille_3y"], "y"), (have["points_windows"], "pw"), (have["career_stats"], "c"), (have["titles_cumulative"], "ti"), (have["rank_asof_shifted"], "r"), (rq.exact(have["rank_differences"]), "d"), (have["rank_trend"], "tr"), (rq.exact(have["clutch_gap"]), "cg"), (have["player_meta_join"], "hm")]
+    cells = [f"round({one(c)}, {DIGITS.get(c, 5)}) as {c}" for c in ROUNDED] + [f"ec.{c}" for c in CONTRASTS] + [f"{one(c)} as {c}" for c in WHOLE] + [f"cast({one(c)} is null as int) as {c}_was_na" for c in MISSING]
+    joins = [(lagged, "k"), (rq.exact(have["kpi_log_ratios"]), "lr"), (have["per_mille_3y"], "y"), (have["points_windows"], "pw"), (have["career_stats"], "c"), (have["titles_cumulative"], "ti"), (have["rank_asof_shifted"], "r"), (rq.exact(have["rank_differences"]), "d"), (have["rank_trend"], "tr"), (rq.exact(have["clutch_gap"]), "cg"), (have["player_meta_join"], "hm"), (have["efficiency_clutch"], "ec")]
     return registry.oracle("p pl", "select p.id, p.player_code, p.opponent_code, cast(p.match_result = 'win' as int) as target, " + ", ".join(cells) + " from p " + " ".join(f"join ({sql}) {a} on {a}.id = p.id and {a}.player_code = p.player_code" for sql, a in joins)
-        + f" join ({form_sql}) f on f.id = p.id and f.player_code = p.player_code left join ({rq.exact(have['surface_progressive'])}) sp on sp.id = p.id and sp.player_code = p.player_code join ({travel_sql}) tv on tv.player_code = p.player_code and tv.tournament_id = p.tournament_id"
+        + f" join ({form_sql}) f on f.id = p.id and f.player_code = p.player_code left join ({rq.exact(have['surface_progressive'])}) sp on sp.id = p.id and sp.player_code = p.player_code left join (select id, player_code, surface_rate as opponent_surface_rate from ({rq.exact(have['surface_progressive'])}) z) sp2 on sp2.id = p.id and sp2.player_code = p.opponent_code join (select id, player_code, {theirs} from ({lagged}) z) k2 on k2.id = p.id and k2.player_code = p.opponent_code join (select id, player_code, titles as opponent_titles, gs_titles as opponent_gs_titles from ({have['titles_cumulative']}) z) ti2 on ti2.id = p.id and ti2.player_code = p.opponent_code join ({travel_sql}) tv on tv.player_code = p.player_code and tv.tournament_id = p.tournament_id"
         + f" join (select id, player_code, form_5 as opponent_form_5, form_10 as opponent_form_10 from ({form_sql}) z) f2 on f2.id = p.id and f2.player_code = p.opponent_code left join pl xa on xa.player_code = p.player_code left join pl xb on xb.player_code = p.opponent_code"
         + f" left join (select player_code, tournament_id, days as opponent_days, prev_played as opponent_prev_played from ({travel_sql}) z) tv2 on tv2.player_code = p.opponent_code and tv2.tournament_id = p.tournament_id"
         + f" join {of('h2h_full')} h on h.id = p.id join ({rq.exact(rq.GENERAL)}) e on e.id = p.id join ({rq.exact(rq.surfaces('false'))}) s on s.id = p.id").replace("round(form_5,", "round(f.form_5,")

@@ -64,7 +64,7 @@ def exposed(spark, sf_dir):
 
 
 @query("p st", f""", z as {Z}, g as (select avg(kpi_share) as k, avg(aces_mean) as a from z)
-  select id, player_code, round(least(0.999, greatest(0.001, coalesce(n / (n + 20.0) * kpi_share + (1 - n / (n + 20.0)) * k, k))), 5) as kpi_share, round(coalesce(n / (n + 10.0) * aces_mean + (1 - n / (n + 10.0)) * a, a), 5) as aces_mean from z, g""")
+  select id, player_code, round(least(0.999999, greatest(0.000001, coalesce(n / (n + 20.0) * kpi_share + (1 - n / (n + 20.0)) * k, k))), 5) as kpi_share, round(coalesce(n / (n + 10.0) * aces_mean + (1 - n / (n + 10.0)) * a, a), 5) as aces_mean from z, g""")
 def shrinkage(spark, sf_dir):
     s = stats.shrink(exposed(spark, sf_dir), ["kpi_share", "aces_mean"], "n")
     return s.select("id", "player_code", F.round("kpi_share", 5).alias("kpi_share"), F.round("aces_mean", 5).alias("aces_mean"))

@@ -160,6 +160,19 @@ def test_shrink(spark):
     assert got[1].serve_pct == pytest.approx(0.6) and got[2].serve_pct == pytest.approx(0.75 * 0.9 + 0.25 * 0.7)
 
 
+def test_shrink_by_kind(spark):
+    """Percentages keep their scale and its bounds, log ratios go to 0, gaps to their mean, each by its own count; unknown ones to the prior."""
+    rows = [(0, 10, 80.0, 1.0, 4.0, None), (20, 30, None, None, None, None), (980, 70, 140.0, -2.0, 0.0, None)]
+    df = frame(spark, rows, "n int, k int, serve_1st_efficiency double, aces_log_ratio double, tie_gap double, none_pct double")
+    by = {"serve_1st_efficiency": "n", "aces_log_ratio": F.least("n", "k"), "tie_gap": "k", "none_pct": "n"}
+    a, b, c = stats.shrink(df, list(by), by).orderBy("n").collect()
+    assert (a.serve_1st_efficiency, b.serve_1st_efficiency, c.serve_1st_efficiency) == pytest.approx((99.9999, 99.9999, 99.9999))
+    assert (a.aces_log_ratio, b.aces_log_ratio, c.aces_log_ratio) == pytest.approx((0.0, 0.0, -2.0 * 70 / 100))
+    assert (a.tie_gap, b.tie_gap, c.tie_gap) == pytest.approx((0.5 * 4 + 0.5 * 2, 2.0, 2.0 / 8))
+    assert [r.none_pct for r in (a, b, c)] == [0.5] * 3 and b.tie_gap_was_na == 1 and a.tie_gap_was_na == 0
+    assert stats.shrink(df.limit(0), list(by), by).count() == 0
+
+
 def test_p_value():
     assert stats.p_value(0.5, 20) == pytest.approx(0.0248, abs=2e-4)
     assert stats.p_value(0.0, 20) == pytest.approx(1.0)
