@@ -1,4 +1,5 @@
-"""python -m epochal STAGE [--year Y]: runs named queries over a folder of tables and writes their rows.
+"""python -m epochal STAGE [--year Y]: with --pages, reads saved pages into tables and features, each stage going on from the
+tables of the ones before; without, runs named queries over a folder of tables and writes their rows.
 
 Exit code 0 if all stages were done, 1 if one failed; a failed stage is logged and the next one runs.
 """
@@ -11,7 +12,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from epochal import session
+from epochal import ingest, session
 from epochal.operators import audit
 from epochal.plans import registry
 
@@ -29,12 +30,17 @@ def main(argv: list[str] | None = None) -> int:
     args = argparse.ArgumentParser(prog="epochal", description=__doc__)
     args.add_argument("stage", choices=[*STAGES, "all"])
     args.add_argument("--tables", default=os.environ.get("BENCH_SF_DIR", "."), help="folder of the tables")
+    args.add_argument("--pages", help="folder of saved pages (kind, year, url, html)")
     args.add_argument("--out", required=True, help="folder of the results and of the log")
-    args.add_argument("--year", type=int, help="only rows whose tournament_id begins with this year, where there is one")
+    args.add_argument("--year", type=int, help="only pages of this year, and what depends on them; of queries, rows whose tournament_id begins with it")
     given = args.parse_args(argv)
     spark = session.session()
     done = True
+    run = ingest.Run(spark, given.pages, given.out) if given.pages else None
     for stage in STAGES if given.stage == "all" else [given.stage]:
+        if run:
+            done &= audit.logged(spark, given.out, stage, lambda stage=stage: ingest.STAGES[stage](run, given.year))
+            continue
         for name in STAGES[stage]:
 
             def build(name=name):

@@ -48,6 +48,11 @@ def leading_year(tournament_id: Column) -> Column:
     return F.regexp_extract(tournament_id, r"^(\d+)", 1).cast("int")
 
 
+def code_of(tournament_id: Column) -> Column:
+    """The tournament's own code behind the year."""
+    return F.nullif(F.regexp_extract(tournament_id, r"^\d+-(.*)$", 1), F.lit(""))
+
+
 def ordinal_start(day: Column, place: Column) -> Column:
     """Day and place of the round as an hour, sortable text."""
     return F.concat(day.cast("string"), F.lit(" "), F.lpad(place.cast("string"), 2, "0"))

@@ -21,14 +21,25 @@ def run(spark: SparkSession, folder: str, module: str, build: Callable[[], DataF
 
     Counts are observed while the rows are written, so nothing is read twice.
     """
-    batch, began, seen = uuid.uuid4().hex, time.time(), Observation()
+    batch, seen = uuid.uuid4().hex, Observation()
     version = f"{folder}/{module}/{batch}"
-    entry = {"batch": batch, "module": module, "version": version, "at": began}
-    try:
+
+    def work() -> dict:
         actions = [F.count(F.when(F.col("action") == a, 1)).alias(a) for a in ("insert", "update")]
         build().observe(seen, F.count("*").alias("rows"), *actions).write.parquet(version)
-        got = seen.get
-        entry |= {"status": "done", "rows": got["rows"], "inserted": got["insert"], "updated": got["update"]}
+        return seen.get
+
+    return logged(spark, folder, module, work, batch, version)
+
+
+def logged(spark: SparkSession, folder: str, module: str, work: Callable[[], dict], batch: str | None = None, version: str | None = None) -> bool:
+    """Does a piece of work, which gives counts (rows, insert, update), and logs it; whether it was done."""
+    began = time.time()
+    entry = {"batch": batch or uuid.uuid4().hex, "module": module, "version": version, "at": began}
+    try:
+        got = work()
+        rows = got.get("rows", sum(got.get(a, 0) for a in ("insert", "update", "noop")))
+        entry |= {"status": "done", "rows": rows, "inserted": got["insert"], "updated": got["update"]}
     except Exception as wrong:  # whatever fails a batch is logged, and its version is never current
         entry |= {"status": "failed", "error": str(wrong)[:500]}
     entry["seconds"] = time.time() - began

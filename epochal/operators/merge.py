@@ -43,6 +43,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], policy: di
     return both.select(*keys, "_merged.*", action.alias("action"))
 
 
+def longer(column: str) -> Column:
+    """A policy: the longer text counts, the old one of two as long; a null is the shortest."""
+    length = lambda c: F.coalesce(F.length(c), F.lit(-1))
+    return F.when(length(f"new.{column}") > length(f"old.{column}"), F.col(f"new.{column}")).otherwise(F.col(f"old.{column}"))
+
+
 def replace_code(df: DataFrame, column: str, codes: DataFrame, old: str = "old_code", new: str = "new_code", texts: Sequence[str] = ()) -> DataFrame:
     """Repoints a column of codes by a map; texts: columns of ids that contain the code, in which it is replaced too."""
     pairs = codes.select(F.col(old).alias(column), F.col(new).alias("_to"))

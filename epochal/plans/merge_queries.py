@@ -158,9 +158,7 @@ SECOND_READ = "select id, case when id % 2 = 0 then '64 36 76' when id % 7 <> 0
 def merge_match_reads(spark, sf_dir):
     """Matches read again: the longer score counts, links and durations are kept where the new read lacks them, statistics stay."""
     old, new = (spark.sql(q.replace("from m ", "from {m} "), m=tables.matches(spark, sf_dir)) for q in (FIRST_READ, SECOND_READ))
-    length = lambda c: F.coalesce(F.length(c), F.lit(0))
-    score = F.when(F.col("_old").isNull() | (length("new.score") > length("old.score")), F.col("new.score")).otherwise(F.col("old.score"))
-    return merge.upsert(old, new, ["id"], {"score": score, "aces": F.col("old.aces")})
+    return merge.upsert(old, new, ["id"], {"score": merge.longer("score"), "aces": F.col("old.aces")})
 
 
 #: Players 7 and 8 of ten are one and the same as player 6 (8 by way of 7); ids of matches have codes among their tokens.
