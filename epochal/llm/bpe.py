@@ -89,10 +89,11 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes_of = {i: t for t, i in self.ranks.items()}
         self.find = regex.compile(pattern).findall
+        self.memory = f"bpe {path}"  # ids are of these ranks only
 
     def packed(self, token: str) -> bytes:
         """The ids of a pre-token as little-endian 32-bit integers."""
-        seen = common.remembered("bpe")
+        seen = common.remembered(self.memory)
         got = seen.get(token)
         if got is None:
             got = np.array(merge(token.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
@@ -106,7 +107,7 @@ class Codec:
         return self.find(text)
 
     def encode(self, text: str) -> bytes:
-        seen, packed = common.remembered("bpe"), self.packed
+        seen, packed = common.remembered(self.memory), self.packed
         return b"".join([seen.get(t) or packed(t) for t in self.find(text)])
 
     def decode(self, ids: bytes) -> bytes:

@@ -47,7 +47,8 @@ def byte_letters() -> dict[str, int]:
 class Prefixes:
     """The merges of a vocabulary, and the encoding of pre-tokens by the last tokens of their prefixes."""
 
-    def __init__(self, tokens: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
+    def __init__(self, tokens: dict[bytes, int], merges: list[tuple[bytes, bytes]], name: str = ""):
+        self.memory = (f"pairs {name}", f"pretokens {name}")  # a vocabulary's own
         self.rank = [-1] * (max(tokens.values()) + 1)
         self.halves: list[tuple[int, int] | None] = [None] * len(self.rank)
         self.merges: dict[tuple[int, int], int] = {}
@@ -80,7 +81,7 @@ class Prefixes:
 
     def last_tokens(self, piece: bytes) -> list[int]:
         """For each length of a prefix, from 0 on, the last token of its encoding (-1 for the empty one)."""
-        last, size, pairs = [-1] * (len(piece) + 1), self.size, common.remembered("pairs", "pretokens")
+        last, size, pairs = [-1] * (len(piece) + 1), self.size, common.remembered(*self.memory)
         for at, token in self.ending.iter(piece.decode("latin-1")):
             if last[at + 1] >= 0:
                 continue  # there is only one
@@ -125,7 +126,8 @@ class Codec:
         raw = lambda token: bytes(map(as_byte.__getitem__, token))
         added = {t["content"]: t["id"] for t in given["added_tokens"]}
         tokens = {raw(t): i for t, i in model["vocab"].items() if t not in added}
-        self.prefixes = Prefixes(tokens, [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]])
+        self.prefixes = Prefixes(tokens, [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]], path)
+        self.memory = self.prefixes.memory[::-1]
         self.bytes_of = {i: t for t, i in tokens.items()} | {i: t.encode() for t, i in added.items()}
         self.added = added
         self.at_added = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")").split if added else None
@@ -151,7 +153,7 @@ class Codec:
 
     def packed(self, token: str) -> bytes:
         """The ids of a pre-token as little-endian 32-bit integers."""
-        seen = common.remembered("pretokens", "pairs")
+        seen = common.remembered(*self.memory)
         got = seen.get(token)
         if got is None:
             got = np.array(self.prefixes.encode(token.encode("utf-8", "surrogatepass")), "<u4").tobytes()
@@ -162,7 +164,7 @@ class Codec:
         return got
 
     def encode(self, text: str) -> bytes:
-        seen, packed, out = common.remembered("pretokens", "pairs"), self.packed, []
+        seen, packed, out = common.remembered(*self.memory), self.packed, []
         for no, part in enumerate(self.at_added(text) if self.at_added else [text]):
             if no % 2:
                 out.append(np.array([self.added[part]], "<u4").tobytes())

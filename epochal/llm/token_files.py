@@ -20,6 +20,7 @@ not read. A key that is not in the index is not found but for one in 65,536 by i
 from __future__ import annotations
 
 import functools
+import json
 import re
 import struct
 import uuid
@@ -51,8 +52,32 @@ SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u02
 MARK = re.compile(rb"([!,\-.:;?)])(?=[\x09-\x0d\x20])(?<=[a-z].)").sub
 
 
+#: What a tokenizer's file has where texts may be encoded by words: it lower-cases, white space only separates,
+#: letters and marks are words of their own, and the last token of a word ends so.
+BY_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+WORD_END = "</w>"
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer's file is of that kind; texts of others are encoded whole."""
+    with open(path, encoding="utf-8") as lines:
+        given = json.load(lines)
+    model = given["model"]
+    alone = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in given["added_tokens"])
+    return alone and model.get("type") == "BPE" and model.get("end_of_word_suffix") == WORD_END and not model.get("dropout") and all(given[k] == v for k, v in BY_WORDS.items())
+
+
 class Words:
-    """Encodes texts word by word: white space only separates for this tokenizer, so a text's ids are its words' ids.
+    """Encodes texts word by word where by_words says that a text's ids are its words' ids, other tokenizers' whole.
 
     New words are split into letters and marks where that is plain, and these parts go to the
     tokenizer many at a time; the last id of each part is one that ends a word. Other words go alone.
@@ -62,12 +87,15 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.plain, self.memory = by_words(path), f"token files {path}"
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
         self.as_they_are = [b"\xcc", b"\xcd", *(t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
 
     def parts(self, new: list[str]) -> list[bytes]:
         """Packed ids of parts, each of them one word to the tokenizer."""
@@ -130,7 +158,10 @@ class Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids and the end id, packed."""
-        held = common.remembered("token files")
+        end = np.array([END], self.kind).tobytes()
+        if not self.plain:
+            return [self.alone(t) + end for t in texts]
+        held = common.remembered(self.memory)
         seen, before = held.setdefault("younger", {}), held.setdefault("older", {})
         split = [self.words(t) for t in texts]
         new = set().union(*split).difference(seen)
@@ -141,7 +172,7 @@ class Words:
         known = new.intersection(before)
         seen.update(zip(known, map(before.__getitem__, known), strict=True))
         self.learn(new - known, seen, before)
-        end, get = np.array([END], self.kind).tobytes(), seen.__getitem__
+        get = seen.__getitem__
         return [b"".join(map(get, words)) + end for words in split]
 
 

@@ -61,3 +61,14 @@ def test_long_merge():
         long = bpe.merge(piece, c.ranks)
         assert c.decode(np.array(long, "<u4").tobytes()) == piece
         assert long == tiktoken.Encoding("one", pat_str=r"[\s\S]+", mergeable_ranks=c.ranks, special_tokens={}).encode_ordinary(piece.decode())
+
+
+def test_two_ranks_in_one_worker():
+    """What is remembered of one file's pre-tokens is not taken for another's."""
+    texts = ["the same words in both files", "naïve 12345 the"]
+    other = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    for path in (PATH, other, PATH):
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+        own = tiktoken.Encoding("x", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        codec = bpe.codec(path, PATTERN)
+        assert [np.frombuffer(codec.encode(t), "<u4").tolist() for t in texts] == [own.encode_ordinary(t) for t in texts]

@@ -93,3 +93,17 @@ def test_other_files(tmp_path):
     (tmp_path / "t.json").write_text(json.dumps(given))
     with pytest.raises(ValueError, match="merge"):
         prefix_bpe.Codec(str(tmp_path / "t.json"))
+
+
+def test_two_vocabularies_in_one_worker(tmp_path):
+    """Pairs and pre-tokens that are remembered belong to a vocabulary: here the same file without its later merges."""
+    given = json.load(open(PATH))
+    kept = given["model"]["merges"][:2000]
+    made = {"".join(m.split(" ") if isinstance(m, str) else m) for m in kept}
+    added = {t["content"] for t in given["added_tokens"]}
+    given["model"]["merges"], given["model"]["vocab"] = kept, {t: i for t, i in given["model"]["vocab"].items() if len(t) == 1 or t in made or t in added}
+    (tmp_path / "small.json").write_text(json.dumps(given))
+    texts = ["information about the same words", "naïve 12345 the"]
+    for path in (PATH, str(tmp_path / "small.json"), PATH):
+        own, codec = Tokenizer.from_file(path), prefix_bpe.codec(path)
+        assert [np.frombuffer(codec.encode(t), "<u4").tolist() for t in texts] == [own.encode(t, add_special_tokens=False).ids for t in texts]

@@ -1,5 +1,6 @@
 """Token-id files against the tokenizers library, and the index against a dictionary."""
 
+import json
 import zlib
 
 import numpy as np
@@ -51,6 +52,22 @@ def test_words_split_before_the_tokenizer():
         assert np.frombuffer(packed, encoder.kind).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
 
 
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    """A byte-level file, and the same words without lower-casing; one worker keeps what it remembers of each apart."""
+    given = json.load(open(PATH))
+    given["normalizer"]["normalizers"].pop()
+    given["truncation"] = {"direction": "Right", "max_length": 2, "strategy": "LongestFirst", "stride": 0}
+    (tmp_path / "case.json").write_text(json.dumps(given))
+    paths = [PATH, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "case.json")]
+    assert [token_files.by_words(p) for p in paths] == [True, False, False]
+    texts = ["Hello  World, it's\n\nnot. THE end", "hello world", "", " \t "]
+    for path in [*paths, *paths]:
+        library, encoder = Tokenizer.from_file(path), token_files.words(path)
+        library.no_truncation()
+        got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)]
+        assert got == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts], path
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(3).integers(0, 1 << 63, 20_000, dtype=np.uint64)
     keys = np.unique(keys)
