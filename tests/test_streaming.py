@@ -1,5 +1,9 @@
 """Drained streams against batch results; they are files, not rows of the driver."""
 
+from types import SimpleNamespace
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +73,36 @@ def test_levels_go_on_after_a_restart(spark, tmp_path):
     got = {r.event_id: (r.before, r.after) for r in out}
     assert len(got) == len(out) == 39  # the last one waits
     assert all(got[i] == want[i] for i in got)
+
+
+class Counted:
+    """A state that counts its calls, each of which a worker sends to Spark."""
+
+    def __init__(self):
+        self.calls, self.held = 0, []
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.calls += 1
+            if name in ("getValueState", "getListState", "getMapState"):
+                return self
+            if name == "appendValue":
+                self.held.append(given[0])
+            if name == "clear":
+                self.held.clear()
+            return iter(list(self.held)) if name in ("get", "iterator") else len(self.held) > 0 and name == "exists"
+
+        return call
+
+
+def test_levels_ask_for_state_by_batch_and_not_by_event():
+    state, levels = Counted(), events.Levels(0.5)
+    levels.init(state)
+    n = 5000
+    frame = pd.DataFrame({"ts": pd.to_datetime(np.arange(n), unit="s"), "event_id": range(n), "value": np.ones(n)})
+    assert not any(len(x) for x in levels.handleInputRows((1,), iter([frame]), None))
+    state.exists = lambda: len(state.held) > 0
+    watermark = SimpleNamespace(getCurrentWatermarkInMs=lambda: 10**9)
+    levels.level = SimpleNamespace(exists=lambda: False, update=lambda x: None)
+    out = pd.concat(levels.handleExpiredTimer((1,), watermark, SimpleNamespace(getExpiryTimeInMs=lambda: 0)))
+    assert len(out) == n and out["after"].iloc[1] == 0.75 and state.calls < 20
