@@ -7,9 +7,10 @@ dish are sampled by Gibbs sweeps, customers being seated one after another given
 restaurant's other dishes, and predictive probabilities are averaged over the kept sweeps.
 
 Texts are read twice. First all words are counted. Then every token goes, once, to the part of its
-context, and that exchange is read twice: contexts are seated over a uniform parent (and as often again
-as ROUNDS says over the parent that their tables make), and at last sampled and scored over the parent
-that these tables make. In between, each part asks for what it lacks and gets it by one small exchange:
+context, and that exchange is read twice: contexts are seated over a uniform parent to begin with, then
+over the parent that their tables make until there were ROUNDS rounds, and at last sampled and scored over the parent
+that these tables make. In each round after the first the contexts are seated anew over the parent, and the parent
+anew with the tables that they then have, as a Gibbs sweep over both levels. In between, each part asks for what it lacks and gets it by one small exchange:
 for each of its dishes the parent's customers and tables, summed over all parts. No table of words is broadcast.
 
 A context with more than a quarter of an even part is hot, so there are four hot contexts a part at
@@ -35,8 +36,8 @@ from . import common
 
 #: Discount and strength of the context restaurants and of their parent; sweeps in all and those kept.
 DISCOUNT, STRENGTH, PARENT_DISCOUNT, PARENT_STRENGTH, SWEEPS, KEPT = 0.7, 5.0, 0.3, 10.0, 6, 4
-#: Times that the parent is made of the contexts' tables before the last sampling.
-ROUNDS = 1
+#: Times that the parent is seated with the contexts' tables before the last sampling; the first ones stem from a uniform parent.
+ROUNDS = 2
 #: Least tokens of a hot context, tokens of a part, parts at most, tokens and texts of a block.
 SPLIT, PART, PARTS, BLOCK, BLOCK_TEXTS = 1 << 17, 3 << 19, 1 << 20, 1 << 20, 1 << 15
 START, END = np.uint64(0x5A17F00D5EED0001), np.uint64(0x5A17F00D5EED0002)
@@ -242,10 +243,10 @@ class Part:
         self.own, self.n = self.n[self.split], self.n.copy()
         self.n[self.split] = np.round(totals[d + h :])[self.split_of]
 
-    def seated(self, sweeps: int, kept: int, discount: float, strength: float, uniform: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    def seated(self, sweeps: int, kept: int, discount: float, strength: float, uniform: bool = False, turn: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Tables after some sweeps, and the predictive probability of each pair averaged over the kept ones.
 
-        Without sweeps each dish has one table. The tables of a hot context are those of all its shares, as last told.
+        Without sweeps each dish has one table. Chance differs by turn. The tables of a hot context are those of all its shares, as last told.
         """
         prior = np.full(len(self.n), 1 / (self.plan.kinds + 1)) if uniform else self.prior
         tables, mean = (self.n > 0).astype("f8"), np.zeros(len(self.n))
@@ -258,7 +259,7 @@ class Part:
 
         for sweep in range(max(1, sweeps)):
             if sweeps:
-                tables = seat(self.n, (strength + discount * opened())[self.of] * prior, discount, self.pair_name, 2 * sweep + uniform)
+                tables = seat(self.n, (strength + discount * opened())[self.of] * prior, discount, self.pair_name, 2 * sweep + uniform + 1000 * turn)
             if sweep >= max(1, sweeps) - kept:
                 mean += (np.maximum(self.n - discount * tables, 0) + (strength + discount * opened())[self.of] * prior) / (self.count + strength)[self.of] / min(kept, max(1, sweeps))
         return tables, mean
@@ -275,7 +276,7 @@ def _bucketed(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(parts + 1))
 
 
-def asked(dealt: DataFrame, told: DataFrame | None, shared, sweeps: int, discount: float, strength: float) -> DataFrame:
+def asked(dealt: DataFrame, told: DataFrame | None, shared, sweeps: int, discount: float, strength: float, turn: int = 0) -> DataFrame:
     """What each part asks of each bucket, with its own tables and customers."""
     schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), *[(c, pa.binary()) for c in ("names", "tops", "values")]])
 
@@ -286,7 +287,7 @@ def asked(dealt: DataFrame, told: DataFrame | None, shared, sweeps: int, discoun
         part, at = Part(group, shared.value), group["part"][0].as_py()
         if answers is not None:
             part.told(*_told(part, answers))
-        tables, _ = part.seated(sweeps, 1, discount, strength, answers is None)
+        tables, _ = part.seated(sweeps, 1, discount, strength, answers is None, turn)
         names, values, parts = part.names(), part.ask(tables), shared.value.parts
         order, ends = _bucketed(names, parts)
         names, values, rows = names[order], values[order].astype("<f4"), []
@@ -314,7 +315,7 @@ def _told(part: Part, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, float,
     return *out, answers["all_customers"][0].as_py(), answers["all_open"][0].as_py()
 
 
-def answered(asks: DataFrame, shared) -> DataFrame:
+def answered(asks: DataFrame, shared, turn: int = 0) -> DataFrame:
     """Sums over all parts for the names that each part asked for, in its order, with the parent's tables of dishes and the parent's totals."""
     schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("totals", pa.binary()), ("tables", pa.binary()), ("customers", pa.float64()), ("open", pa.float64())])
 
@@ -326,7 +327,7 @@ def answered(asks: DataFrame, shared) -> DataFrame:
         dish = names >> np.uint64(62) == 0
         customers = np.where(dish, np.round(totals), 0).astype("i8")
         pull = np.full(len(names), (plan.parent_strength + plan.parent_discount * plan.kinds) / (plan.kinds + 1))
-        tables = seat(customers, pull, plan.parent_discount, names, 99) if plan.sampled else (customers > 0).astype("f8")
+        tables = seat(customers, pull, plan.parent_discount, names, 99 + 1000 * turn) if plan.sampled else (customers > 0).astype("f8")
         rows, start = [], 0
         for k, (part, size) in enumerate(zip(group["part"].to_pylist(), map(len, group["names"].to_pylist()), strict=True)):
             some = at[start : start + size // 4]
@@ -385,8 +386,8 @@ def score(docs: DataFrame, held_out, sweeps: int = SWEEPS, kept: int = KEPT, rou
     plan = plan_of(counted, docs.count(), common.partitions(docs.sparkSession), sampled=sweeps > 0, **settings)
     shared = docs.sparkSession.sparkContext.broadcast(plan)  # four hot words a part at most
     dealt, told = deal(rows, shared), None
-    for _ in range(max(1, rounds)):
-        told = answered(asked(dealt, told, shared, min(sweeps, 2), discount, strength), shared)
+    for turn in range(rounds, 0, -1) if rounds > 1 else (0,):
+        told = answered(asked(dealt, told, shared, min(sweeps, 2), discount, strength, turn), shared, turn)
     sums = restaurants(dealt, told, shared, sweeps, kept, discount, strength)
     total, kinds, ends = plan.total, plan.kinds, plan.ends
     least = float(np.log10(total + kinds + 1))

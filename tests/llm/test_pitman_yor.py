@@ -167,3 +167,12 @@ def test_seating():
     few = pitman_yor.seat(np.full(40_000, 2), np.ones(40_000), 0.5, np.arange(40_000, dtype="u8"), 3).mean()
     assert abs(few - (1 + 1.0 / 1.5)) < 0.01
     assert (pitman_yor.seat(n[::-1], np.full(5, 0.5), 0.6, names[::-1], 1)[::-1] == t).all()
+
+
+def test_the_parent_is_seated_anew_with_tables_over_it(docs, monkeypatch):
+    """Contexts are seated over a parent, and not over a uniform one only, before the parent is made that scores are taken from."""
+    over, asked = [], pitman_yor.asked
+    monkeypatch.setattr(pitman_yor, "asked", lambda dealt, told, *more: over.append(told is not None) or asked(dealt, told, *more))
+    found = [r for r in pitman_yor.score(docs, held).collect() if r.held_out]
+    assert over[0] is False and over[-1] is True
+    assert sum(r.score for r in found) > sum(r.base_score for r in found)
