@@ -66,3 +66,14 @@ def test_draws_follow_their_cell(spark):
     blind = kolmogorov(drawn(F.lit(130.0), F.lit(6.5)), "cell", "v", "mean", "sd")
     assert len(own) == 4 and all(far < bound(n) for n, far in own.values())
     assert sum(far > bound(n) for n, far in blind.values()) >= 3
+
+
+def test_ranks_of_a_frequent_value_stay_spread(spark):
+    """Rows of a value that is nearly everywhere are not brought into one task to get their rank."""
+    df = spark.range(0, 8000, 1, 8).selectExpr("case when id % 50 = 0 then cast(id as double) else 7.5d end as x")
+    ranked = {(r.x): r.n for r in stats.average_ranks(df, ["x"]).groupBy("x").agg(F.count("*").alias("n")).collect()}
+    assert len(ranked) == 161 and sum(ranked.values()) == 8000 and ranked[1 + (1 + 7840) / 2] == 7840
+    melted = df.selectExpr("monotonically_increasing_id() as _row", "0 as c", "x as v")
+    ranks = melted.groupBy("c", "v").agg(F.count("*").alias("_n"), F.lit(1.0).alias("_rank"))
+    sizes = stats.with_ranks(melted, ranks).filter("v = 7.5").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 8 and max(r["count"] for r in sizes) <= 1000
