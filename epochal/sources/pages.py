@@ -158,7 +158,8 @@ def statistics(pages: DataFrame, key: str = "stats_url") -> DataFrame:
     """key, and w_<figure> and l_<figure> of statistics pages, by place in the lists of both sides; pages whose winner is not told apart are left out."""
     shown = F.slice(F.split("html", r'<div class="stats-item">'), 2, 2)
     won = F.transform(shown, lambda x: x.contains("winner"))
-    value = lambda v: F.struct(F.coalesce(_one(v, r"\((\d+)\s*/"), F.trim(F.replace(v, F.lit("%"), F.lit("")))).try_cast("int").alias("x"), _one(v, r"/\s*(\d+)\)").cast("int").alias("y"))
+    digits = lambda v, mark, pattern: F.when(v.contains(mark), F.regexp_extract(v, pattern, 1).try_cast("int"))
+    value = lambda v: F.struct(F.coalesce(digits(v, "(", r"\((\d+)\s*/"), F.trim(F.replace(v, F.lit("%"), F.lit(""))).try_cast("int")).alias("x"), digits(v, "/", r"/\s*(\d+)\)").alias("y"))
     side = lambda c: F.transform(_all(F.col("html"), rf'(?s)<div class="{c}-stats-item">\s*<div class="value">(.*?)</div>'), value)
     rows = held(held(pages.select(key, "html")).select(key, won.alias("won"), side("player").alias("a"), side("opponent").alias("b")))
     rows = rows.filter((F.size("won") == 2) & (F.col("won")[0] != F.col("won")[1]) & (F.size("a") > 0) & (F.size("b") > 0))
