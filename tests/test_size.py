@@ -32,3 +32,20 @@ def test_three_years_pin_moments(spark, sf, monkeypatch):
 def test_priors_made_before(spark):
     df = spark.createDataFrame([(None, 0)], "x_pct double, n int")
     assert stats.shrink(df, ["x_pct"], "n", {"mean_x_pct": 0.25, "most_x_pct": 1.0}).first().x_pct == pytest.approx(0.25)
+
+
+def test_trees_see_cells(spark, monkeypatch):
+    """Each pass of the trees is over cells of bins, labels, target and check, however many rows they have."""
+    from epochal.operators import ml
+
+    seen, pinned = [], session.pinned
+    monkeypatch.setattr(session, "pinned", lambda df: seen.append(pinned(df)) or seen[-1])
+    df = spark.range(2000).selectExpr("cast(id % 3 as double) as x", "'a' as k", "cast(id % 2 as double) as target", "id % 10 = 0 as is_check")
+    ml.fit(df, ["x"], ["k"], rounds=1)
+    assert seen[-1].count() <= 12 and seen[-1].agg(F.sum("weight")).first()[0] == 2000
+
+
+def test_a_word_is_remembered_as_one_number():
+    from epochal.llm import quality
+
+    assert isinstance(quality._bins("Word"), int)
