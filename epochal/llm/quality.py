@@ -34,13 +34,13 @@ STATS = 16
 _SHAPE = ((re.compile(r"[^\W\d_]+"), lambda m: "A" if m.group().isupper() else "a"), (re.compile(r"\d+"), lambda m: "0"))
 
 
-def _bins(word: str) -> tuple[int, int]:
-    """Bins of a word and of its shape: letters as a or A, digits as 0, the rest as it stands (runs of three at most)."""
+def _bins(word: str) -> int:
+    """Bins of a word (times 2^16) and of its shape, one number in memory: letters as a or A, digits as 0, the rest as it stands (runs of three at most)."""
     shape = word
     for pattern, to in _SHAPE:
         shape = pattern.sub(to, shape)
     bare = word.lower().strip(".,;:!?\"'()")
-    return STATS + zlib.crc32(bare.encode("utf-8", "surrogatepass")) % (BINS - STATS), STATS + zlib.crc32(b"shape " + shape[:12].encode("utf-8", "surrogatepass")) % (BINS - STATS)
+    return (STATS + zlib.crc32(bare.encode("utf-8", "surrogatepass")) % (BINS - STATS)) << 16 | STATS + zlib.crc32(b"shape " + shape[:12].encode("utf-8", "surrogatepass")) % (BINS - STATS)
 
 
 def _statistics(text: str, counts: Counter, n: int) -> list[float]:
@@ -75,7 +75,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     seen = common.remembered("quality")
     words = text.split()
     counts = Counter(words)
-    if len(seen) > common.REMEMBERED:
+    if len(seen) > common.HASHED:
         seen.clear()
     bins = []
     for w in counts:
@@ -90,10 +90,10 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return np.arange(STATS), np.array(stats, "f4")
     at = np.array(bins)
     tf = np.fromiter(counts.values(), "f4", len(counts))
-    shape_bins, where = np.unique(at[:, 1], return_inverse=True)
+    shape_bins, where = np.unique(at & 0xFFFF, return_inverse=True)
     shapes = np.sqrt(np.bincount(where, tf) / len(words))
     tf = np.log1p(tf)
-    return np.concatenate([np.arange(STATS), at[:, 0], shape_bins]), np.concatenate([stats, tf / np.linalg.norm(tf), shapes]).astype("f4")
+    return np.concatenate([np.arange(STATS), at >> 16, shape_bins]), np.concatenate([stats, tf / np.linalg.norm(tf), shapes]).astype("f4")
 
 
 class Machine:

@@ -83,7 +83,7 @@ class Lexicon:
         for word in words:
             got = seen.get(word)
             if got is None:
-                if len(seen) >= common.REMEMBERED:
+                if len(seen) >= common.HASHED:
                     seen.clear()
                 got = seen[word] = self._kind(word)
             if got:
