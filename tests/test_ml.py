@@ -40,3 +40,10 @@ def test_metrics_by_group(panel):
         some = scored.filter(F.col("year") == year)
         assert by[year] == pytest.approx(stats.auc(some, "p", "y").first().auc)
         assert tuple(stats.losses(scored, "p", "y", by=["year"]).filter(F.col("year") == year).drop("year").first()) == pytest.approx(tuple(stats.losses(some, "p", "y").first()))
+
+
+def test_every_year_is_held_out(panel):
+    """Metrics cover all rows of all years, not those of the last ones."""
+    rows = panel.filter("year >= 2003").select("id", "year", F.col("x").alias("elo_gap"), F.col("x").alias("kpi_mean"), F.lit(6.0).alias("rnd"), F.col("kind").alias("surface"), "target")
+    found = {r.year: r.n for r in ml.yearly_metrics(rows, rounds=2).collect()}
+    assert found == {r.year: r.n for r in rows.groupBy("year").agg(F.count("*").alias("n")).collect()} and len(found) == 3
