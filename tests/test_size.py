@@ -1,5 +1,7 @@
 """What is moved or stored by queries that had grown too wide, by their plans."""
 
+import time
+
 import pytest
 
 from epochal import session
@@ -49,3 +51,37 @@ def test_a_word_is_remembered_as_one_number():
     from epochal.llm import quality
 
     assert isinstance(quality._bins("Word"), int)
+
+
+def test_families_are_dealt_by_match_once(spark, sf, monkeypatch):
+    """Neither the families' joins nor the partner's values deal the wide rows of feature_table anew."""
+    from epochal.plans import feature_queries as fq
+
+    monkeypatch.setattr(session, "stored", lambda df: df.sparkSession.createDataFrame([], df.schema))
+    monkeypatch.setattr(session, "pinned", lambda df: df.localCheckpoint())
+    with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in with_conf}
+    try:
+        for k, v in with_conf.items():
+            spark.conf.set(k, v)
+        plan = plan_of(fq.table(spark, sf))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange ") == 7
+
+
+def test_steps_release_what_they_shuffled(spark):
+    """What a stored step has shuffled is off the disks before the next one, with no collection of garbage in between."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    left = lambda: {str(x) for x in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    held = left()
+    with session.released(spark):
+        rows = session.stored(spark.range(1000).repartition(7, "id"))
+    for _ in range(50):
+        if not (left() - held):
+            break
+        time.sleep(0.1)
+    assert not (left() - held)
+    assert rows.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
